@@ -8,8 +8,9 @@ no hits; repeated rows are scanned each on its own; other columns stay. No shuff
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,34 +25,34 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 
 # Names of licenses as words, by label, and a keyword each holds.
 NAMES = {
-    "mit": [("(?:mit|expat|x11) licen[sc]e", "licen"), ("mit style licen[sc]e", "mit")],
-    "apache": [("apache (?:software )?licen[sc]e", "apache"), ("asl 2 0", "asl")],
+    "mit": [("mit licen[sc]e", "mit licen"), ("expat licen[sc]e", "expat licen"), ("x11 licen[sc]e", "x11 licen"), ("mit style licen[sc]e", "mit style")],
+    "apache": [("apache (?:software )?licen[sc]e", "apache"), ("asl 2 0", "asl 2")],
     "gpl": [("(?:gnu )?general public licen[sc]e", "general public"), ("gplv?[ ]?[23]", "gpl"), ("gnu gpl", "gpl")],
     "lgpl": [("(?:gnu )?(?:lesser|library) general public licen[sc]e", "general public"), ("lgplv?[ ]?[23]", "lgpl")],
     "agpl": [("(?:gnu )?affero general public licen[sc]e", "affero"), ("agplv?[ ]?3", "agpl")],
     "fdl": [("(?:gnu )?free documentation licen[sc]e", "free documentation")],
     "bsd": [("(?:new |modified |simplified |revised )?bsd (?:[234] clause )?licen[sc]e", "bsd"), ("[234] clause bsd", "clause bsd")],
-    "mpl": [("mozilla public licen[sc]e", "mozilla")],
-    "epl": [("eclipse public licen[sc]e", "eclipse")],
+    "mpl": [("mozilla public licen[sc]e", "mozilla public")],
+    "epl": [("eclipse public licen[sc]e", "eclipse public")],
     "eupl": [("european union public licen[sc]e", "european union")],
     "cddl": [("common development and distribution licen[sc]e", "common development")],
     "cpl": [("common public licen[sc]e", "common public")],
-    "isc": [("isc licen[sc]e", "isc")],
+    "isc": [("isc licen[sc]e", "isc licen")],
     "zlib": [("zlib(?: libpng)? licen[sc]e", "zlib")],
-    "boost": [("boost software licen[sc]e", "boost")],
-    "artistic": [("artistic licen[sc]e", "artistic")],
+    "boost": [("boost software licen[sc]e", "boost software")],
+    "artistic": [("artistic licen[sc]e", "artistic licen")],
     "psf": [("python software foundation licen[sc]e", "python software")],
-    "openssl": [("openssl licen[sc]e", "openssl")],
+    "openssl": [("openssl licen[sc]e", "openssl licen")],
     "ofl": [("(?:sil )?open font licen[sc]e", "open font")],
     "odbl": [("open database licen[sc]e", "open database")],
     "cc0": [("cc0(?: 1 0)?(?: universal)?", "cc0")],
-    "cc-by-nc": [("creative commons attribution noncommercial", "noncommercial"), ("cc by nc", "cc by")],
+    "cc-by-nc": [("creative commons attribution noncommercial", "attribution noncommercial"), ("cc by nc", "cc by")],
     "cc-by-sa": [("creative commons attribution share ?alike", "creative commons"), ("cc by sa", "cc by")],
     "cc-by": [("creative commons attribution", "creative commons"), ("cc by [34] 0", "cc by")],
     "unlicense": [("(?:the )?unlicense", "unlicense")],
     "wtfpl": [("wtfpl", "wtfpl"), ("do what the fuck you want to public licen[sc]e", "you want to public")],
-    "proprietary": [("proprietary (?:software )?licen[sc]e", "proprietary")],
-    "upl": [("universal permissive licen[sc]e", "permissive")],
+    "proprietary": [("proprietary (?:software )?licen[sc]e", "proprietary ")],
+    "upl": [("universal permissive licen[sc]e", "permissive licen")],
 }
 
 # What may stand around a name, and the priority of such a hit (0 to 100).
@@ -124,14 +125,16 @@ def _hits(norm: Column, rule: Column) -> Column:
 def scanned(docs: DataFrame, text: str = "text", rules: list[Signature] | None = None) -> DataFrame:
     """docs with P+norm, P+hits (all) and P+kept (what suppression leaves)."""
     rules = signatures() if rules is None else rules
-    book = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern"), F.lit(r.keyword).alias("keyword"), F.lit(r.priority).alias("priority"), F.lit(r.base).alias("base")) for r in rules])
+    # One literal, folded once; hundreds of struct expressions would slow the planner.
+    kind = "array<struct<label:string,pattern:string,keyword:string,priority:int,base:boolean>>"
+    book = F.from_json(F.lit(json.dumps([asdict(r) for r in rules])), kind)
     norm = F.col(P + "norm")
     none = F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,base:boolean>>")
-    # One pass over the text for all keywords; most texts hold none.
-    any_keyword = "|".join(sorted({re.escape(r.keyword).replace("\\ ", " ") for r in rules}))
+    # Plain searches, which end at the first keyword found; most texts hold none.
+    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in rules})])
     asked = F.filter(book, lambda r: F.contains(norm, r["keyword"]))
     df = docs.withColumn(P + "norm", normalised(F.col(text)))
-    df = df.withColumn(P + "hits", F.when(norm.rlike(any_keyword), F.flatten(F.transform(asked, lambda r: _hits(norm, r)))).otherwise(none))
+    df = df.withColumn(P + "hits", F.when(F.exists(keywords, lambda k: F.contains(norm, k)), F.flatten(F.transform(asked, lambda r: _hits(norm, r)))).otherwise(none))
     hits = F.col(P + "hits")
     inside = lambda h, k: (k["start"] <= h["start"]) & (k["stop"] >= h["stop"]) & (k["priority"] > h["priority"])
     return df.withColumn(P + "kept", F.when(F.size(hits) > 0, F.filter(hits, lambda h: ~F.exists(hits, lambda k: inside(h, k)))).otherwise(none))

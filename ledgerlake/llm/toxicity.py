@@ -1,8 +1,8 @@
 """Toxicity by a linear-chain conditional random field over words.
 
 Words of labelled documents are labelled first: in toxic documents, those that are far more
-frequent there than in clean ones. The field learns to tag them from the word and its
-neighbours; marginals of forward-backward give each document's score and offending offsets.
+frequent there than in clean ones. The field learns to tag them from the word, its
+beginnings and the tags around it; marginals of forward-backward give each document's score and offending offsets.
 
 Null and empty texts have no words; their score comes from zero features alone, like that
 of any text without toxic words. A chain is a line of the text; texts are scored whole.
@@ -12,6 +12,7 @@ With no labelled rows, or of one kind alone, every score is that kind's share (0
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,8 @@ from .common import table
 WORD = re.compile(r"\w+")
 #: At most so many labelled rows of each kind are fitted on, taken by a hash of their id.
 FIT_ROWS = 1500
+#: Lengths of the beginnings that are features.
+BEGINNINGS = (3, 4, 5)
 #: A word is labelled in toxic documents from this log-likelihood ratio on.
 MIN_RATIO = 20.0
 #: Padded cells in a lot of chains.
@@ -36,19 +39,42 @@ CELLS = 400_000
 class Field:
     """Weights of the field and of the score over its marginals."""
 
-    vocab: dict[str, int]
-    unary: np.ndarray  # 3 x words: weight of tag 1 for the word, the one before, the one after
+    vocab: dict[str, int]  # words and, after ^, beginnings of words
+    unary: np.ndarray  # weight of tag 1 for each
     bias: float
     trans: np.ndarray  # 2 x 2
     head: np.ndarray  # bias, greatest marginal, log of their sum
 
+
+def marks(word: str) -> list[str]:
+    """Features of a word: itself and its beginnings."""
+    return [word, *(f"^{word[:n]}" for n in BEGINNINGS if len(word) > n)]
+
+
+class Tokens:
+    """Numbers of words as they come, from 1 on, and the features of each."""
+
+    def __init__(self, vocab: dict[str, int]):
+        self.vocab, self.number, self.rows = vocab, {}, [[0] * (1 + len(BEGINNINGS))]
+
     def ids(self, line: str) -> list[int]:
-        get = self.vocab.get
-        return [get(w.lower(), 0) for w in WORD.findall(line)]
+        out = []
+        for w in WORD.findall(line):
+            w = w.lower()
+            k = self.number.get(w)
+            if k is None:
+                k = self.number[w] = len(self.rows)
+                found = [self.vocab.get(m, 0) for m in marks(w)]
+                self.rows.append(found + [0] * (len(self.rows[0]) - len(found)))
+            out.append(k)
+        return out
+
+    def table(self) -> np.ndarray:
+        return np.array(self.rows, dtype=np.int32)
 
 
 def lots(chains: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Chains of like length together: their numbers, padded ids (0 around them), lengths."""
+    """Chains of like length together: their numbers, ids padded with 0, lengths."""
     order = sorted((k for k, c in enumerate(chains) if c), key=lambda k: len(chains[k]))
     while order:
         n = 1
@@ -56,20 +82,19 @@ def lots(chains: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.nd
             n += 1
         part, order = order[:n], order[n:]
         size = np.array([len(chains[k]) for k in part])
-        pad = np.zeros((n, size.max() + 2), dtype=np.int32)
+        pad = np.zeros((n, size.max()), dtype=np.int32)
         for r, k in enumerate(part):
-            pad[r, 1 : 1 + size[r]] = chains[k]
+            pad[r, : size[r]] = chains[k]
         yield part, pad, size
 
 
-def marginals(f: Field, pad: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginal of tag 1 at each place, and of each pair of tags, by forward-backward."""
-    u = f.bias + f.unary[0][pad[:, 1:-1]] + f.unary[1][pad[:, :-2]] + f.unary[2][pad[:, 2:]]
     n, t = u.shape
     live = np.arange(t)[None, :] < size[:, None]
     # Work with p = P(tag 1 | what is seen so far); a step mixes it by the transitions.
     e = np.exp(np.clip(u, -30, 30))
-    a = np.exp(f.trans)
+    a = np.exp(trans)
     fore, back = np.empty((t, n, 2)), np.empty((t, n, 2))
     x = np.stack([np.ones(n), e[:, 0]], 1)
     fore[0] = x / x.sum(1, keepdims=True)
@@ -96,77 +121,107 @@ def marginals(f: Field, pad: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
     return p, pairs
 
 
-def labelled_words(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
-    """Words far more frequent in toxic documents than in clean ones (log-likelihood ratio)."""
+def telling(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
+    """Features far more frequent in toxic documents than in clean ones (log-likelihood ratio)."""
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    c1 = Counter(w for d, t in zip(docs, toxic) if t for w in d)
-    c0 = Counter(w for d, t in zip(docs, toxic) if not t for w in d)
+    c1 = Counter(m for d, t in zip(docs, toxic) if t for m in {m for w in d for m in marks(w)})
+    c0 = Counter(m for d, t in zip(docs, toxic) if not t for m in {m for w in d for m in marks(w)})
     out = set()
     for w, k1 in c1.items():
         k0 = c0.get(w, 0)
         p, p1, p0 = (k1 + k0) / (n1 + n0), k1 / n1, k0 / n0
         ll = lambda k, n, q: (k * np.log(q) if k else 0) + ((n - k) * np.log(1 - q) if n - k else 0)
-        if p1 > 3 * p0 and 2 * (ll(k1, n1, p1) + ll(k0, n0, p0) - ll(k1, n1, p) - ll(k0, n0, p)) >= MIN_RATIO:
+        if p1 > 10 * p0 and 2 * (ll(k1, n1, p1) + ll(k0, n0, p0) - ll(k1, n1, p) - ll(k0, n0, p)) >= MIN_RATIO:
             out.add(w)
     return out
 
 
+def distinct_documents(docs: list[set[str]]) -> list[int]:
+    """Numbers of documents, without near copies of earlier ones: bands of least word hashes tell them.
+
+    A document copied many times would make all its words look telling.
+    """
+    seen: set[tuple] = set()
+    out = []
+    mult = np.array([[0x9E3779B1 + 2 * k * 0x85EBCA6B] for k in range(24)], dtype=np.uint64)
+    for k, d in enumerate(docs):
+        if not d:
+            continue
+        h = np.array([zlib.crc32(w.encode()) for w in d], dtype=np.uint64)
+        least = ((h[None, :] * mult) & np.uint64(0xFFFFFFFF) ^ (mult >> np.uint64(7))).min(1).tolist()
+        bands = {(b, *least[3 * b : 3 * b + 3]) for b in range(8)}
+        if not bands & seen:
+            out.append(k)
+        seen |= bands
+    return out
+
+
 def features(f: Field, texts: list[str]) -> np.ndarray:
     """Per text: 1, greatest marginal, log of their sum."""
-    chains, of = [], []
+    tokens, chains, of = Tokens(f.vocab), [], []
     for k, t in enumerate(texts):
         for line in t.split("\n"):
-            chains.append(f.ids(line))
+            chains.append(tokens.ids(line))
             of.append(k)
+    weight = f.bias + f.unary[tokens.table()].sum(1)
     top, total = np.zeros(len(texts)), np.zeros(len(texts))
     for part, pad, size in lots(chains):
-        p, _ = marginals(f, pad, size)
+        p, _ = marginals(f.trans, weight[pad], size)
         where = np.array(of)[part]
         np.maximum.at(top, where, p.max(1))
         np.add.at(total, where, p.sum(1))
     return np.stack([np.ones(len(texts)), top, np.log1p(total)], 1)
 
 
-def fitted(texts: list[str], labels: list[int], rounds: int = 40) -> Field:
+def fitted(texts: list[str], labels: list[int], rounds: int = 30) -> Field:
     """The field and its score, fitted on these documents (Adagrad on the exact likelihood)."""
     y = np.array(labels, dtype=bool)
     share = float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
-        return Field({}, np.zeros((3, 1)), -9.0, np.zeros((2, 2)), np.array([30.0 if share else -30.0, 0, 0]))
+        return Field({}, np.zeros(1), -9.0, np.zeros((2, 2)), np.array([30.0 if share else -30.0, 0, 0]))
     docs = [{w.lower() for w in WORD.findall(t)} for t in texts]
-    tagged = labelled_words(docs, y)
-    common = Counter(w for d in docs for w in d)
-    vocab = {w: k + 1 for k, w in enumerate(sorted(w for w, n in common.items() if n >= 3))}
-    f = Field(vocab, np.zeros((3, len(vocab) + 1)), -3.0, np.zeros((2, 2)), np.zeros(3))
-    hot = np.zeros(len(vocab) + 1, dtype=bool)
-    hot[[vocab[w] for w in tagged if w in vocab]] = True
-    chains, toxic = [], []
+    # Near copies go within each kind.
+    apart = [np.flatnonzero(y == kind) for kind in (True, False)]
+    use = sorted(int(part[k]) for part in apart for k in distinct_documents([docs[j] for j in part]))
+    if len(set(y[use])) == 2:
+        texts, docs, y = [texts[k] for k in use], [docs[k] for k in use], y[use]
+    hot_marks = telling(docs, y)
+    common = Counter(m for d in docs for m in {m for w in d for m in marks(w)})
+    vocab = {m: k + 1 for k, m in enumerate(sorted(m for m, n in common.items() if n >= 3))}
+    f = Field(vocab, np.zeros(len(vocab) + 1), -3.0, np.zeros((2, 2)), np.zeros(3))
+    tokens, chains, toxic = Tokens(vocab), [], []
     for t, is_toxic in zip(texts, y):
         for line in t.split("\n"):
-            chains.append(f.ids(line))
+            chains.append(tokens.ids(line))
             toxic.append(is_toxic)
+    rows = tokens.table()
+    is_hot = np.zeros(len(vocab) + 1, dtype=bool)
+    is_hot[[vocab[m] for m in hot_marks if m in vocab]] = True
+    hot = is_hot[rows].any(1)
     # Lines of clean documents and lines with a tagged word; others of toxic documents say little.
     used = [k for k, c in enumerate(chains) if c and (not toxic[k] or hot[c].any())]
     packs = [(pad, size, hot[pad] & np.array(toxic)[used][part][:, None]) for part, pad, size in lots([chains[k] for k in used])]
-    n_words = max(1, sum(int(s.sum()) for _, s, _ in packs))
     g2u, g2b, g2t = np.full(f.unary.shape, 1e-8), 1e-8, np.full((2, 2), 1e-8)
     for _ in range(rounds):
-        gu, gb, gt = -1e-2 * f.unary, 0.0, -1e-2 * f.trans
+        weight = f.bias + f.unary[rows].sum(1)
+        gw, gb, gt = np.zeros(len(rows)), 0.0, -1e-2 * f.trans
         for pad, size, tags in packs:
-            p, pairs = marginals(f, pad, size)
+            p, pairs = marginals(f.trans, weight[pad], size)
             live = np.arange(p.shape[1])[None, :] < size[:, None]
-            tag = tags[:, 1:-1] & live
+            tag = tags & live
             d = tag - p
-            for k, ids in enumerate((pad[:, 1:-1], pad[:, :-2], pad[:, 2:])):
-                gu[k] += np.bincount(ids[live], weights=d[live], minlength=gu.shape[1])
+            gw += np.bincount(pad[live], weights=d[live], minlength=len(rows))
             gb += d.sum()
             both = live[:, 1:]
             seen = np.array([[(((tag[:, :-1] == i) & (tag[:, 1:] == j)) & both).sum() for j in (0, 1)] for i in (0, 1)])
             gt += seen - pairs
-        gu[:, 0] = 0.0
+        gu = -1e-2 * f.unary
+        for k in range(rows.shape[1]):
+            gu += np.bincount(rows[:, k], weights=gw, minlength=len(gu))
+        gu[0] = 0.0
         g2u, g2b, g2t = g2u + gu**2, g2b + gb**2, g2t + gt**2
-        f.unary += 0.6 * gu / np.sqrt(g2u)
-        f.bias += 0.6 * gb / np.sqrt(g2b)
+        f.unary += 0.4 * gu / np.sqrt(g2u)
+        f.bias += 0.4 * gb / np.sqrt(g2b)
         f.trans += 0.1 * gt / np.sqrt(g2t)
     x = features(f, texts)
     w = np.zeros(3)
@@ -203,7 +258,6 @@ def tags(field: Field, text: Column) -> Column:
 
     @F.pandas_udf("struct<score:double,spans:array<struct<start:int,stop:int>>>")
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bad = {w for w, k in field.vocab.items() if field.unary[0][k] > 0}
         for s in series:
             texts = ["" if t is None else t for t in s.tolist()]
             score, spans = [], []
@@ -214,7 +268,7 @@ def tags(field: Field, text: Column) -> Column:
                     n, end = n + len(texts[end]), end + 1
                 x = features(field, texts[k:end])
                 score += (1 / (1 + np.exp(-np.clip(x @ field.head, -30, 30)))).tolist()
-                spans += [offsets(field, t) if top >= 0.5 and bad else [] for t, top in zip(texts[k:end], x[:, 1])]
+                spans += [offsets(field, t) if top >= 0.5 else [] for t, top in zip(texts[k:end], x[:, 1])]
                 k = end
             yield pd.DataFrame({"score": score, "spans": spans})
 
@@ -223,13 +277,14 @@ def tags(field: Field, text: Column) -> Column:
 
 def offsets(f: Field, text: str) -> list[dict]:
     """Places of the words whose marginal is at least one half."""
-    out, at, chains, places = [], 0, [], []
+    tokens, out, at, chains, places = Tokens(f.vocab), [], 0, [], []
     for line in text.split("\n"):
-        chains.append(f.ids(line))
+        chains.append(tokens.ids(line))
         places.append([(at + m.start(), at + m.end()) for m in WORD.finditer(line)])
         at += len(line) + 1
+    weight = f.bias + f.unary[tokens.table()].sum(1)
     for part, pad, size in lots(chains):
-        p, _ = marginals(f, pad, size)
+        p, _ = marginals(f.trans, weight[pad], size)
         for r, c in zip(*np.nonzero(p >= 0.5)):
             out.append(places[part[r]][c])
     return [{"start": a, "stop": b} for a, b in sorted(out)]
