@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import mixing, quality, sharding
+from . import jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_ngram_jaccard_join": jaccard.op1_ngram_jaccard_join,
+        "op2_sentencepiece": sentencepiece.op2_sentencepiece,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op4_nearest_neighbours": nearest.op4_nearest_neighbours,
         "op5_sharding": sharding.op5_sharding,
         "op6_mixing": mixing.op6_mixing,
+        "op7_toxicity": toxicity.op7_toxicity,
+        "op9_warc": warc.op9_warc,
+        "op10_license_scan": licenses.op10_license_scan,
         "pipeline": corpus_pipeline.run,
     }
 
