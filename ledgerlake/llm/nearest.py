@@ -110,8 +110,8 @@ def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddin
     dealt = lambda x, n: x.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(n)))
     blocks = saved(dealt(rows, n_blocks).groupBy("block").applyInPandas(pack, kind), "ann-rows")
     asks = saved(dealt(rows.where(is_query(F.col("id"))), n_asks).groupBy("block").applyInPandas(pack, kind), "ann-queries").select(F.col("block").alias("ask"), F.col("ids").alias("qids"), F.col("vectors").alias("queries"))
-    left = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(n_asks - 1))).cast("long"))
-    right = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("long"))
+    left = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asks - 1).cast("long"))))
+    right = asks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
 
     def scan(lots):
         for lot in lots:
