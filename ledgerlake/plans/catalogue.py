@@ -85,16 +85,16 @@ def kpi_corridors(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH s AS (SELECT l_suppkey AS loan, date_trunc('month', l_shipdate)::DATE AS month, l_extendedprice AS outstanding, l_returnflag = 'R' AS defaulted,
 row_number() OVER (PARTITION BY l_suppkey, date_trunc('month', l_shipdate) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS n FROM lineitem),
 v AS (SELECT *, lead(month) OVER (PARTITION BY loan ORDER BY month) AS until FROM s WHERE n = 1), b AS (SELECT min(month) AS a, max(month) AS z FROM v),
-m AS (SELECT unnest(generate_series(a, z, INTERVAL 1 MONTH))::DATE AS at FROM b)
-SELECT at, round(sum(outstanding), 2) AS portfolio, round(coalesce(sum(outstanding) FILTER (defaulted), 0), 2) AS bad FROM m JOIN v ON at >= month AND (until IS NULL OR at < until) GROUP BY at""")
+m AS (SELECT unnest(generate_series(a, z, INTERVAL 1 MONTH))::DATE AS as_of FROM b)
+SELECT as_of, round(sum(outstanding), 2) AS portfolio, round(coalesce(sum(outstanding) FILTER (defaulted), 0), 2) AS bad FROM m JOIN v ON as_of >= month AND (until IS NULL OR as_of < until) GROUP BY as_of""")
 def kpi_npl(spark: SparkSession, sf: str) -> DataFrame:
     li = load(spark, sf, "lineitem").withColumn("month", F.to_date(F.date_trunc("month", "l_shipdate")))
     s = latest_by(li, ["l_suppkey", "month"], F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber"), F.desc("l_extendedprice"))
     s = s.withColumn("until", F.lead("month").over(Window.partitionBy("l_suppkey").orderBy("month")))
     last = s.agg(F.max("month").alias("z"))  # one row
     s = s.crossJoin(F.broadcast(last)).withColumn("to", F.coalesce(F.date_sub("until", 1), F.col("z")))
-    s = s.withColumn("at", F.explode(F.sequence("month", F.to_date(F.date_trunc("month", "to")), F.expr("INTERVAL 1 MONTH"))))
-    return s.groupBy("at").agg(F.round(F.sum("l_extendedprice"), 2).alias("portfolio"), F.round(F.coalesce(F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))), F.lit(0.0)), 2).alias("bad"))
+    s = s.withColumn("as_of", F.explode(F.sequence("month", F.to_date(F.date_trunc("month", "to")), F.expr("INTERVAL 1 MONTH"))))
+    return s.groupBy("as_of").agg(F.round(F.sum("l_extendedprice"), 2).alias("portfolio"), F.round(F.coalesce(F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))), F.lit(0.0)), 2).alias("bad"))
 
 
 @query(f"""WITH {MOB}, s AS (SELECT unnest([0, 10, 20]) AS k), w AS (SELECT sender, time_bucket(INTERVAL 10 MINUTE, ts) - to_minutes(k) AS window_start, amount FROM mob, s)
