@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
+from . import chat, jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op5_sharding": sharding.op5_sharding,
         "op6_mixing": mixing.op6_mixing,
         "op7_toxicity": toxicity.op7_toxicity,
+        "op8_chat_rotation": chat.op8_chat_rotation,
         "op9_warc": warc.op9_warc,
         "op10_license_scan": licenses.op10_license_scan,
         "pipeline": corpus_pipeline.run,
@@ -23,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op3_quality_rules": quality.ORACLE, "op6_mixing": mixing.ORACLE}
+    return {"op3_quality_rules": quality.ORACLE, "op6_mixing": mixing.ORACLE, "op8_chat_rotation": chat.ORACLE}

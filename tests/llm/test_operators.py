@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import public_tokenizers
-from ledgerlake.llm import jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
+from ledgerlake.llm import chat, jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, shard string, size string"
@@ -135,3 +135,30 @@ def test_pipeline_runs(spark):
 
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and {"doc_id", "n_tokens"} <= set(out[0].asDict())
+
+
+TALK = [(1, 0, "system", "s"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (1, None, "ann", "é🙂"), (1, 300, None, "who"), (2, 0, "system", "only"), (None, 5, "ann", "alone"), (None, 5, "ann", "alone"), (None, None, None, None), (3, 0, "a b\tc", ""), (3, 0, "bob", "x" * 5000)]
+
+
+@pytest.mark.parametrize("talk", [TALK, [], None], ids=["edges", "empty", "table"])
+def test_chat_equals_sql(spark, tmp_path, talk):
+    sf = "/root/testdata/sf0.01" if talk is None else str(tmp_path)
+    if talk is not None:
+        spark.createDataFrame([(*t, "a") for t in talk], "conv_id long, turn long, role string, text string, start string").write.parquet(f"{sf}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet{'' if talk is None else '/*.parquet'}'")
+    cur = con.execute(chat.ORACLE)
+    df = chat.op8_chat_rotation(spark, sf)
+    assert df.columns == [c[0] for c in cur.description]
+    assert sorted(map(repr, cur.fetchall())) == sorted(repr(tuple(r)) for r in df.collect())
+
+
+def test_chat_spans_are_the_assistants_words(spark):
+    whole = defaultdict(list)
+    for r in sorted(chat.rotated(spark.createDataFrame(TALK[:6], "conv_id long, turn long, role string, text string")).collect(), key=lambda r: r.position):
+        whole[r.perspective].append(r)
+    assert set(whole) == {"ann", "bob"}
+    for who, parts in whole.items():
+        text = "".join(r.rendered for r in parts)
+        assert [text[r.train_start : r.train_stop] for r in parts if r.train_start is not None] == {"ann": ["hi < |im_end|><|im_end|>", "é🙂<|im_end|>"], "bob": ["<|im_end|>"] * 2}[who]
+        assert all(text[r.start : r.stop] == r.rendered for r in parts)
