@@ -13,12 +13,17 @@ members, partners or candidates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, saved, table, words
+from .common import lower_ascii, saved, shared_dir, table, words
 
-ROUNDS = 3
+#: Least tokens of a set that estimate its similarity to a leader.
+SKETCH = 32
+#: Bytes of shingles in a bucket of the classes, about.
+BUCKET_BYTES = 64 << 20
 #: Documents by which the order of tokens is estimated; the order changes costs, not results.
 ORDER_DOCS = 4000
 
@@ -48,7 +53,8 @@ def near_size(a: Column, b: Column, percent: int) -> Column:
 def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link."""
     c = classes.select("cid", "sh")
-    df = pairs.join(c.select(F.col("cid").alias("a"), F.col("sh").alias("sa")), "a").join(c.select(F.col("cid").alias("b"), F.col("sh").alias("sb")), "b")
+    df = c.join(pairs, F.col("cid") == F.col("a")).select("a", "b", F.col("sh").alias("sa"))
+    df = c.join(df, F.col("cid") == F.col("b")).select("a", "b", "sa", F.col("sh").alias("sb"))
     return df.where(linked(F.col("sa"), F.col("sb"), percent)).select("a", "b")
 
 
@@ -76,7 +82,11 @@ def frequent(classes: DataFrame) -> list[int]:
 
 
 def prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(cid, n, t): the rarest n - ceil(percent n) + 1 tokens of a class; classes that link share one."""
+    """(cid, n, rest, t): the rarest n - ceil(percent n) + 1 tokens of a class; classes that link share one.
+
+    rest is the number of tokens from t on, in the order of tokens: what two sets have in
+    common from their first common token on is at most the lesser rest.
+    """
     import numpy as np
 
     late = frequent(classes)
@@ -87,61 +97,85 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
         import pandas as pd
 
         for lot in lots:
-            out = []
-            for cid, n, sh in zip(lot["cid"], lot["n"], lot["sh"]):
+            tokens, takes = [], []
+            for n, sh in zip(lot["n"], lot["sh"]):
                 sh = np.asarray(sh, dtype=np.int64)
                 place = np.full(len(sh), -1)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, sh), len(keys) - 1)
                     place = np.where(keys[at] == sh, by[at], -1)
                 take = n - -(-percent * n // 100) + 1
-                t = sh[np.lexsort((sh, place))[:take]]
-                out.append(pd.DataFrame({"cid": np.full(len(t), cid), "n": np.full(len(t), n, dtype=np.int32), "t": t}))
-                if len(out) >= 500:
-                    yield pd.concat(out)
-                    out = []
-            if out:
-                yield pd.concat(out)
+                tokens.append(sh[np.lexsort((sh, place))[:take]])
+                takes.append(take)
+            if tokens:
+                at = np.concatenate([np.arange(k) for k in takes])
+                yield pd.DataFrame({"cid": np.repeat(lot["cid"].to_numpy(), takes), "n": np.repeat(lot["n"].to_numpy(), takes), "rest": np.repeat(lot["n"].to_numpy(), takes) - at, "t": np.concatenate(tokens)})
+
+    return classes.select("cid", "n", "sh").mapInPandas(cut, "cid long, n int, rest int, t long")
+
+
+def bucketed(df: DataFrame, n_buckets: int) -> DataFrame:
+    """df written to the shared folder in buckets of cid, so that joins on cid don't shuffle it again."""
+    spark, name = df.sparkSession, f"ledgerlake_classes_{uuid.uuid4().hex}"
+    df.write.bucketBy(n_buckets, "cid").option("path", f"{shared_dir(spark)}/ledgerlake/{name}").saveAsTable(name)
+    return spark.table(name)
+
 
-    return classes.select("cid", "n", "sh").mapInPandas(cut, "cid long, n int, t long")
+def alike(a: Column, b: Column) -> Column:
+    """Similarity by bottom sketches: the share of the least tokens of both that are in both."""
+    low = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    return F.size(F.array_intersect(low, F.array_intersect(a, b))) / F.size(low)
 
 
 def stars(classes: DataFrame, percent: int) -> DataFrame:
-    """Links of classes to the leader of those with the same least hash, for some hashes."""
-    pairs = None
-    for r in range(ROUNDS):
-        k = classes.select("cid", "n", F.array_min(F.transform("sh", lambda x, r=r: F.xxhash64(x, F.lit(r)))).alias("k"))
-        lead = k.groupBy("k").agg(F.min(F.struct("cid", "n")).alias("l"), F.count("*").alias("m")).where("m > 1").select("k", "l.cid", "l.n").toDF("k", "b", "nb")
-        p = k.join(lead, "k").where((F.col("cid") != F.col("b")) & near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cid").alias("a"), "b")
-        pairs = p if pairs is None else pairs.unionByName(p)
-    return verified(saved(pairs.distinct(), "star-pairs"), classes, percent)
+    """Links of classes to the leader of those with the same least hash, for some hashes; one try for each class."""
+    keys = [F.element_at("sh", 1), F.element_at("sh", -1), F.array_min(F.transform("sh", lambda x: F.xxhash64(x, F.lit(1))))]
+    thin = saved(classes.select("cid", "n", F.slice("sh", 1, SKETCH).alias("sk"), F.array(*keys).alias("ks")), "sketches")
+    k = thin.select("cid", "n", "sk", F.posexplode("ks").alias("r", "k"))
+    lead = k.groupBy("r", "k").agg(F.min(F.struct("cid", "n", "sk")).alias("l"), F.count("*").alias("m")).where("m > 1").select("r", "k", F.col("l.cid").alias("b"), F.col("l.n").alias("nb"), F.col("l.sk").alias("skb"))
+    p = k.join(lead, ["r", "k"]).where((F.col("cid") != F.col("b")) & near_size(F.col("n"), F.col("nb"), percent)).withColumn("est", alike(F.col("sk"), F.col("skb")))
+    # The try only saves work: links it misses are found by opening groups.
+    best = p.where(F.lit(100) * F.col("est") >= percent - 15).groupBy(F.col("cid").alias("a")).agg(F.min(F.struct(F.lit(100) * F.col("est") < percent, "b")).alias("pick"))
+    return verified(saved(best.select("a", "pick.b"), "star-pairs"), classes, percent)
 
 
 def opened(classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes in different groups that a bound doesn't rule out."""
-    member = saved(prefixes(classes, percent).join(groups, "cid"), "matrix")
-    # A token's groups, with the sizes of the members that hold it in their prefix.
-    cells = member.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    busy = cells.groupBy("t").agg(F.count("*").alias("k")).where("k > 1").select("t")
-    asks = member.join(busy, "t", "left_semi").join(cells.select("t", F.col("g").alias("g2"), "lo", "hi"), "t")
+    of = Window.partitionBy("t")
+    rows = prefixes(classes, percent).join(groups, "cid")
+    # Rows of tokens within one group alone ask nothing.
+    member = saved(rows.withColumn("g_lo", F.min("g").over(of)).withColumn("g_hi", F.max("g").over(of)).where("g_lo <> g_hi").drop("g_lo", "g_hi"), "matrix")
+    # A token's groups, with what is least and most among the members that hold it in their prefix.
+    cells = member.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("most"))
+    asks = member.join(cells.select("t", F.col("g").alias("g2"), "lo", "hi", "most"), "t")
     fits = (F.lit(100) * F.col("hi") >= F.lit(percent) * F.col("n")) & (F.lit(percent) * F.col("lo") <= F.lit(100) * F.col("n"))
-    asks = saved(asks.where((F.col("g") < F.col("g2")) & fits).select("cid", "n", "g2").distinct(), "asks")
-    # The bound: tokens of the class within the group's whole union.
-    wanted = asks.select("g2").distinct()
-    union = groups.join(wanted, F.col("g") == F.col("g2"), "left_semi").join(classes, "cid").select("g", F.explode("sh").alias("t")).distinct()
-    tokens = asks.join(classes.select("cid", "sh"), "cid").select("cid", "n", "g2", F.explode("sh").alias("t"))
+    # The similarity asks for this much in common, with the least member at least.
+    enough = F.lit(100 + percent) * F.least("rest", "most") >= F.lit(percent) * (F.col("n") + F.col("lo"))
+    asks = saved(asks.where((F.col("g") < F.col("g2")) & fits & enough).select("cid", "n", "g2").distinct(), "asks")
+    inside = groups.join(asks.select("g2").distinct(), F.col("g") == F.col("g2"), "left_semi")
+    sized = saved(classes.select("cid", "n").join(inside, "cid").select(F.col("cid").alias("b"), F.col("g").alias("g2"), F.col("n").alias("nb")), "asked")
+    several = sized.groupBy("g2").count().where("count > 1").select("g2")
+    # A group of one is its own union: its bound is the comparison itself.
+    single = asks.join(several, "g2", "left_anti").select(F.col("cid").alias("a"), F.col("g2").alias("b"))
+    # Else the bound: tokens of the class within the group's whole union.
+    wide = asks.join(several, "g2", "left_semi")
+    union = classes.join(inside.join(several, F.col("g") == F.col("g2"), "left_semi"), "cid").select("g", F.explode("sh").alias("t")).distinct()
+    tokens = classes.select("cid", "n", "sh").join(wide.select("cid", "g2"), "cid").select("cid", "n", "g2", F.explode("sh").alias("t"))
     found = tokens.join(union.withColumnRenamed("g", "g2"), ["g2", "t"]).groupBy("cid", "n", "g2").count().where(F.lit(100) * F.col("count") >= F.lit(percent) * F.col("n"))
-    inside = groups.join(classes.select("cid", "n"), "cid").select(F.col("cid").alias("b"), F.col("g").alias("g2"), F.col("n").alias("nb"))
-    return found.join(inside, "g2").where(near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cid").alias("a"), "b").distinct()
+    some = found.join(sized, "g2").where(near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cid").alias("a"), "b")
+    return some.unionByName(single).distinct()
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """(membership: id, cid, n, component; links: a, b between classes) of docs."""
     thin = saved(sets(docs, key, text, n).select("id", "cid", "n"), "thin")
     one = thin.where("id IS NOT NULL AND n > 0").groupBy("cid").agg(F.min("id").alias("id"))
-    # Sets are built again for one document of each class rather than shuffled for all.
-    picked = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(one.select("id").distinct(), "id", "left_semi")
-    classes = saved(sets(picked, "id", "text", n).join(one.select("id", "cid"), ["id", "cid"], "left_semi").dropDuplicates(["cid"]).select("cid", "n", "sh"), "classes")
+    # Sets are built again rather than written for all documents; copies fall together before the shuffle.
+    total = thin.agg(F.sum("n")).first()[0] or 0
+    n_buckets = max(16, 8 * total // BUCKET_BYTES)
+    # A filter on the sets would go below them and build them anew for each row and word; one on the texts doesn't.
+    full = sets(docs.where(F.col(key).isNotNull() & F.col(text).rlike(r"[^\x20\x09-\x0D]")), key, text, n).select("cid", "n", "sh").dropDuplicates(["cid"])
+    classes = bucketed(full.repartition(n_buckets, "cid"), n_buckets)
     first = saved(stars(classes, percent), "stars")
     groups = saved(components(classes, first), "groups")
     links = saved(first.unionByName(verified(saved(opened(classes, groups, percent), "opened"), classes, percent)), "all-links")
