@@ -128,7 +128,10 @@ def judged(docs: DataFrame, text: str = "text", sample_rows: int = 2000) -> Data
 
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that pass every rule, with the columns of docs."""
-    return judged(docs, text).where(F.col(P + "failed").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A plain filter would go below the measures and build the words anew for each window; one on a generated row doesn't.
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    verdict = judged(docs, text).select(*own, F.explode_outer(F.array(F.struct(F.col(P + "failed").alias("failed")))).alias(P + "verdict"))
+    return verdict.where(F.col(P + "verdict.failed").isNull()).select(*own)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
