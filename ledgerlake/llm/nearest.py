@@ -1,8 +1,11 @@
 """Nearest neighbours by inner product with anisotropic four-bit codes.
 
 Codebooks are fitted on a bounded sample (SAMPLE rows); every row is encoded. Each block of
-rows is scanned by table for each block of queries, the best of a block are scored exactly
-on the original vectors, and the best of all blocks stay.
+rows is scanned by table for each block of queries. A row's exact product can't pass its
+approximate one by more than the query's norm times the row's gap (the norm of what the code
+leaves out, and the rounding of the scan), so every row that may reach a block's best k by that
+bound is scored exactly on the original vectors: the result is exact, however close rows lie.
+The best of all blocks stay.
 
 Vectors that are null, zero, hold null or non-finite components, or aren't of the commonest
 length take no part. Rows with a null id take none either. Ties go to the smaller id;
@@ -71,6 +74,11 @@ class Quantiser:
                     self.books[p, k] = np.linalg.solve(left, right)
         return self
 
+    def gaps(self, x: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """By row, the most by which scan() can miss the product with a query of norm one."""
+        left = np.linalg.norm((self._split(x) - self.books[np.arange(self.parts), codes]).reshape(len(x), -1), axis=1)
+        return left + (self.parts + 4) * 2.0**-23 * (np.linalg.norm(x, axis=1) + left)
+
     def scan(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Approximate products by one table look-up a part."""
         tables = np.einsum("qps,pks->pqk", self._split(queries), self.books).astype(np.float32)
@@ -80,6 +88,44 @@ class Quantiser:
         return out
 
 
+def products(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray, lot: int = 32768) -> np.ndarray:
+    """Products of the pairs q[a], x[b], each summed in the same order, so that equal rows tie."""
+    return np.concatenate([np.zeros(0), *(np.einsum("nd,nd->n", q[a[s : s + lot]], x[b[s : s + lot]]) for s in range(0, len(a), lot))])
+
+
+def best_of_block(quantiser: Quantiser, q: np.ndarray, qids: np.ndarray, x: np.ndarray, ids: np.ndarray, codes: np.ndarray, gaps: np.ndarray, k: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, row place, score) of the exact k best rows of a block for each query."""
+    other = qids[:, None] != ids[None]
+    near = np.where(other, quantiser.scan(q, codes), -np.inf)
+    norms = np.linalg.norm(q, axis=1)[:, None]
+    # the k-th exact score among the first `depth` by code: the block's k-th is no lower
+    first = np.argpartition(-near, min(depth, len(ids)) - 1, axis=1)[:, :depth]
+    places = np.repeat(np.arange(len(q)), first.shape[1])
+    score = np.where(np.take_along_axis(other, first, 1), products(q, x, places, first.ravel()).reshape(first.shape), -np.inf)
+    least = -np.sort(-score, axis=1)[:, k - 1 : k] if score.shape[1] >= k else np.full((len(q), 1), -np.inf)
+    # not(<) also keeps what overflowed to NaN
+    may = other & ~(near + norms * gaps + quantiser.parts * np.finfo(np.float32).tiny < least)
+    columns = np.flatnonzero(may.any(0))
+    if not len(columns):
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    # screen by matrix product, whose rounding depends on the place, then score what can tie or pass
+    rough = np.where(may[:, columns], q @ x[columns].T, -np.inf)
+    if len(columns) > k:
+        error = 2 * q.shape[1] * 2.0**-52 * norms * np.linalg.norm(x[columns], axis=1).max()
+        may = may[:, columns] & ~(rough < -np.partition(-rough, k - 1, axis=1)[:, k - 1 : k] - 2 * error)
+    else:
+        may = may[:, columns]
+    a, b = np.nonzero(may)
+    b = columns[b]
+    score = products(q, x, a, b)
+    fine = score > -np.inf
+    a, b, score = a[fine], b[fine], score[fine]
+    order = np.lexsort((ids[b], -score, a))
+    a, b, score = a[order], b[order], score[order]
+    kept = np.arange(len(a)) - np.searchsorted(a, a) < k
+    return a[kept], b[kept], score[kept]
+
+
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     df = df.select(F.col(key).cast("long").alias("id"), v.alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
@@ -104,9 +150,9 @@ def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddin
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id", kind="stable")
         x = np.array(part["v"].tolist())
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "ids": [part["id"].to_numpy().astype(np.int64).tobytes()], "vectors": [x.tobytes()], "codes": [quantiser.encode(x).tobytes()]})
+        return pd.DataFrame({"block": [part["block"].iloc[0]], "ids": [part["id"].to_numpy().astype(np.int64).tobytes()], "vectors": [x.tobytes()], "codes": [(codes := quantiser.encode(x)).tobytes()], "gaps": [quantiser.gaps(x, codes).tobytes()]})
 
-    kind = "block long, ids binary, vectors binary, codes binary"
+    kind = "block long, ids binary, vectors binary, codes binary, gaps binary"
     dealt = lambda x, n: x.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(n)))
     blocks = saved(dealt(rows, n_blocks).groupBy("block").applyInPandas(pack, kind), "ann-rows")
     asks = saved(dealt(rows.where(is_query(F.col("id"))), n_asks).groupBy("block").applyInPandas(pack, kind), "ann-queries").select(F.col("block").alias("ask"), F.col("ids").alias("qids"), F.col("vectors").alias("queries"))
@@ -115,21 +161,15 @@ def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddin
 
     def scan(lots):
         for lot in lots:
-            for ids, vectors, codes, qids, queries in lot.itertuples(index=False):
-                ids, qids = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
+            for ids, vectors, codes, gaps, qids, queries in lot.itertuples(index=False):
+                ids, qids, gaps = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64), np.frombuffer(gaps)
                 x, q = np.frombuffer(vectors).reshape(len(ids), -1), np.frombuffer(queries).reshape(len(qids), -1)
                 codes = np.frombuffer(codes, np.uint8).reshape(len(ids), -1)
                 for a in range(0, len(q), 128):
-                    near = quantiser.scan(q[a : a + 128], codes)
-                    near[qids[a : a + 128, None] == ids[None]] = -np.inf
-                    best = np.argsort(-near, axis=1, kind="stable")[:, :depth]
-                    score = np.einsum("qd,qkd->qk", q[a : a + 128], x[best])
-                    score[np.take_along_axis(near, best, 1) == -np.inf] = -np.inf
-                    order = np.lexsort((ids[best], -score), axis=1)[:, :k]
-                    out = pd.DataFrame({"query_id": np.repeat(qids[a : a + 128], order.shape[1]), "vec_id": ids[np.take_along_axis(best, order, 1)].ravel(), "score": np.take_along_axis(score, order, 1).ravel()})
-                    yield out[out["score"] > -np.inf]
-
-    found = left.join(right, ["ask", "block"]).select("ids", "vectors", "codes", "qids", "queries").mapInPandas(scan, "query_id long, vec_id long, score double")
+                    who, what, score = best_of_block(quantiser, q[a : a + 128], qids[a : a + 128], x, ids, codes, gaps, k, depth)
+                    yield pd.DataFrame({"query_id": qids[a : a + 128][who], "vec_id": ids[what], "score": score})
+
+    found = left.join(right, ["ask", "block"]).select("ids", "vectors", "codes", "gaps", "qids", "queries").mapInPandas(scan, "query_id long, vec_id long, score double")
     from pyspark.sql import Window
 
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

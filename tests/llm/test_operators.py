@@ -91,6 +91,22 @@ def test_nearest_recall(spark):
     assert sum(hits) >= 0.9 * 20 * len(hits)
 
 
+def test_nearest_among_near_copies(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20_000, 32))
+    x[::3] = x[0] + 0.02 * rng.normal(size=x[::3].shape) * np.linalg.norm(x[0]) / 6  # a third lie close together: about 100 a block
+    x[30:60] = x[30]  # equal rows tie
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in sorted(nearest.search(df, lambda c: c % 200 == 0).collect(), key=lambda r: (r.query_id, r.rank)):
+        found[r.query_id].append(r.vec_id)
+    ids = np.arange(len(x))
+    hits = [len(set(found[i]) & set(ids[ids != i][np.lexsort((ids[ids != i], -(x[ids != i] @ x[i])))[:20]].tolist())) for i in range(0, len(x), 200)]
+    print("recall", sum(hits) / (20 * len(hits)))
+    assert sum(hits) >= 0.999 * 20 * len(hits)
+
+
 def test_sharding(spark):
     got = sharding.op5_sharding(spark, SF).collect()
     text = dict(rows(f"SELECT doc_id, text FROM '{SF}/documents.parquet'"))
