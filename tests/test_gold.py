@@ -1,0 +1,29 @@
+import duckdb
+import pytest
+
+from ledgerlake.plans import gold
+from test_catalogue import TABLES, near, same
+
+
+@pytest.mark.parametrize("name", sorted(gold.QUERIES))
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_equals_its_sql(spark, name, sf):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf{sf}/{t}.parquet'")
+    cur = con.execute(gold.ORACLES[name])
+    names = sorted(x[0] for x in cur.description)
+    # keys first, so that rounding doesn't change the order of rows
+    names = sorted(names, key=lambda n: (n not in "day week month country entity flow type segment product branch operator corridor".split(), n))
+    pick = [[x[0] for x in cur.description].index(n) for n in names]
+    want = sorted((tuple(r[k] for k in pick) for r in cur.fetchall()), key=lambda r: str(near(r)))
+    df = gold.QUERIES[name](spark, f"/root/testdata/sf{sf}")
+    assert sorted(df.columns) == sorted(names)
+    got = sorted((tuple(r) for r in df.select(*names).collect()), key=lambda r: str(near(r)))
+    assert got and same(got, want)
+
+
+def test_failed_operations_count_but_add_no_amount(spark):
+    rows = gold.gold_daily_volume(spark, "/root/testdata/sf0.001").where("n_failed = n_ops").collect()
+    assert rows and all(r.total is None and r.mean is None for r in rows)
+    assert {r.flow for r in gold.gold_daily_volume(spark, "/root/testdata/sf0.001").select("flow").distinct().collect()} == {"BANK", "MOBILE_MONEY", "INSURANCE", "LOAN_REPAYMENT"}
