@@ -1,0 +1,134 @@
+"""The reference's five detection rules with one alert record, and the SQL that gives the same rows.
+
+What stands for columns that the tables lack is in the views: local currency by region (GHS for region 0, else XOF),
+local amounts of orders and events, kinds of operations by priority, a stray sender country for every 97th event,
+balances of customers as deposits, parts as insured clients. AML has no severity in the reference: it is null.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlake.plans.gold import nations, parity
+from ledgerlake.sources.tables import load
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+XOF_PER_EUR, GHS_PER_EUR = 655.957, 15.0
+LARGE_XOF, LARGE_COUNT, CLAIM_RATIO, PREMIUMS_A_YEAR, OUTFLOW = 500_000.0, 3, 3, 12, 0.01
+AML = {"XOF": 1_000_000.0, "GHS": 5_000.0}
+SIZE, SLIDE = "5 minutes", "1 minute"
+
+BANK = "bank AS (SELECT o_orderkey AS id, o_custkey AS account, n_name AS country, CASE WHEN o_custkey % 2 = 0 THEN 'BANK' ELSE 'MICROFINANCE' END AS entity, o_orderdate AS ts, CASE o_orderpriority WHEN '1-URGENT' THEN 'TRANSFER' WHEN '2-HIGH' THEN 'INTERNATIONAL_WIRE' WHEN '3-MEDIUM' THEN 'DEPOSIT' WHEN '4-NOT SPECIFIED' THEN 'WITHDRAWAL' ELSE 'PAYMENT' END AS type, CASE o_orderstatus WHEN 'O' THEN 'SUCCESS' WHEN 'F' THEN 'FAILED' ELSE 'REVERSED' END AS status, CASE WHEN n_regionkey = 0 THEN 'GHS' ELSE 'XOF' END AS currency, CASE WHEN n_regionkey = 0 THEN o_totalprice / 10 ELSE o_totalprice * 10 END AS amount, CASE WHEN n_regionkey = 0 THEN o_totalprice / 10 / 15.0::DOUBLE ELSE o_totalprice * 10 / 655.957::DOUBLE END AS eur FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"
+MOB = "mob AS (SELECT event_id AS id, user_id AS sender, (user_id * 7 + 3) % 150 AS receiver, n_name AS country, 'OPERATOR' AS entity, ts, CASE WHEN (user_id * 7 + 3) % 25 <> n_nationkey THEN 'CROSS_BORDER_TRANSFER' ELSE 'P2P' END AS type, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'SUCCESS' END AS status, CASE WHEN n_regionkey = 0 THEN 'GHS' ELSE 'XOF' END AS currency, value * 50 AS amount, CASE WHEN n_regionkey = 0 THEN value * 50 / 15.0::DOUBLE ELSE value * 50 / 655.957::DOUBLE END AS eur FROM events LEFT JOIN nation ON (user_id + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END) % 25 = n_nationkey)"
+INS = "ins AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_partkey AS client, n_name AS country, 'INSURER' AS entity, l_shipdate AS ts, l_returnflag <> 'R' AS premium, l_extendedprice AS eur FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey)"
+SLIDES = "(SELECT unnest(range(0, 5)) AS k)"
+START = "time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(k) AS ws"
+
+
+def query(sql: str):
+    def put(f):
+        QUERIES[f.__name__], ORACLES[f.__name__] = f, sql
+        return f
+
+    return put
+
+
+def alert(rule: str, severity: str | None, kind: str, subject: str, key: list[Column], *, time: Column, amount: Column, n: Column | None = None, ids: Column | None = None, window: bool = False, **details: Column) -> list[Column]:
+    """The common columns; the id depends on rule and key alone, so that a replayed alert replaces itself."""
+    edge = lambda side: F.col(f"w.{side}") if window else F.lit(None).cast("timestamp_ntz")
+    return [
+        F.sha2(F.concat_ws("|", F.lit(rule), *[k.cast("string") for k in key]), 256).alias("alert_id"), F.lit(rule).alias("rule_code"), F.lit(severity).cast("string").alias("severity"),
+        F.col("country"), F.col("entity"), F.lit(kind).alias("subject_type"), F.col(subject).cast("string").alias("subject_id"),
+        time.alias("event_time"), edge("start").alias("window_start"), edge("end").alias("window_end"), F.round(amount, 2).alias("amount_eur"),
+        (F.lit(1) if n is None else n).cast("int").alias("n_ops"), (F.array().cast("array<string>") if ids is None else ids).alias("ids"),
+        F.to_json(F.struct(*[c.cast("string").alias(k) for k, c in details.items()])).alias("details"),
+    ]
+
+
+def local(df: DataFrame, ghs: Column, xof: Column) -> DataFrame:
+    ghana = F.col("_r") == 0
+    return df.withColumns({"currency": F.when(ghana, "GHS").otherwise("XOF"), "amount": F.when(ghana, ghs).otherwise(xof), "eur": F.when(ghana, ghs / GHS_PER_EUR).otherwise(xof / XOF_PER_EUR)})
+
+
+def bank(spark: SparkSession, sf: str) -> DataFrame:
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("account"), F.col("c_nationkey").alias("nation"))
+    o = load(spark, sf, "orders").withColumnRenamed("o_custkey", "account").join(c, "account", "left").join(nations(spark, sf, "nation", "country"), "nation", "left")
+    p, s = F.col("o_orderpriority"), F.col("o_orderstatus")
+    kind = F.when(p == "1-URGENT", "TRANSFER").when(p == "2-HIGH", "INTERNATIONAL_WIRE").when(p == "3-MEDIUM", "DEPOSIT").when(p == "4-NOT SPECIFIED", "WITHDRAWAL").otherwise("PAYMENT")
+    status = F.when(s == "O", "SUCCESS").when(s == "F", "FAILED").otherwise("REVERSED")
+    o = o.select(F.col("o_orderkey").alias("id"), "account", "country", "_r", parity("account"), F.col("o_orderdate").alias("ts"), kind.alias("type"), status.alias("status"), "o_totalprice")
+    return local(o, F.col("o_totalprice") / 10, F.col("o_totalprice") * 10)
+
+
+def mobile(spark: SparkSession, sf: str) -> DataFrame:
+    e = load(spark, sf, "events").withColumn("nation", (F.col("user_id") + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)) % 25).join(nations(spark, sf, "nation", "country"), "nation", "left")
+    t = F.col("event_type")
+    e = e.select(F.col("event_id").alias("id"), F.col("user_id").alias("sender"), ((F.col("user_id") * 7 + 3) % 150).alias("receiver"), "country", "_r", F.lit("OPERATOR").alias("entity"), "ts", F.when((F.col("user_id") * 7 + 3) % 25 != F.col("nation"), "CROSS_BORDER_TRANSFER").otherwise("P2P").alias("type"), F.when(t == "error", "FAILED").when(t == "signup", "PENDING").otherwise("SUCCESS").alias("status"), "value")
+    return local(e, F.col("value") * 50, F.col("value") * 50)
+
+
+def insurance(spark: SparkSession, sf: str) -> DataFrame:
+    s = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nation"))
+    li = load(spark, sf, "lineitem").join(s, "l_suppkey", "left").join(nations(spark, sf, "nation", "country"), "nation", "left")
+    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_partkey").alias("client"), "country", F.lit("INSURER").alias("entity"), F.col("l_shipdate").alias("ts"), (F.col("l_returnflag") != "R").alias("premium"), F.col("l_extendedprice").alias("eur"))
+
+
+@query(f"""WITH {BANK}, g AS (SELECT account, country, entity, {START}, count(*) AS n, sum(eur) AS eur, max(ts) AS last, list_sort(list_distinct(list(id::VARCHAR))) AS ids FROM bank, {SLIDES} WHERE eur > 500000 / 655.957::DOUBLE AND status <> 'FAILED' GROUP BY ALL HAVING count(*) >= 3)
+SELECT sha256(concat_ws('|', 'LARGE_TXN_BURST', account, ws)) AS alert_id, 'LARGE_TXN_BURST' AS rule_code, 'HIGH' AS severity, country, entity, 'ACCOUNT' AS subject_type, account::VARCHAR AS subject_id, last AS event_time, ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, round(eur, 2) AS amount_eur, n::INT AS n_ops, ids, '{{"min_count":"3"}}' AS details FROM g""")
+def alert_large_burst(spark: SparkSession, sf: str) -> DataFrame:
+    big = bank(spark, sf).where((F.col("eur") > LARGE_XOF / XOF_PER_EUR) & (F.col("status") != "FAILED"))
+    g = big.groupBy(F.window("ts", SIZE, SLIDE).alias("w"), "account", "country", "entity").agg(F.count("*").alias("n"), F.sum("eur").alias("eur"), F.max("ts").alias("last"), F.sort_array(F.collect_set(F.col("id").cast("string"))).alias("ids"))
+    return g.where(F.col("n") >= LARGE_COUNT).select(*alert("LARGE_TXN_BURST", "HIGH", "ACCOUNT", "account", [F.col("account"), F.col("w.start")], time=F.col("last"), amount=F.col("eur"), n=F.col("n"), ids=F.col("ids"), window=True, min_count=F.lit(LARGE_COUNT)))
+
+
+@query(f"""WITH {MOB}, c AS (SELECT max(ts) - INTERVAL 7 DAY AS cut FROM mob), h AS (SELECT DISTINCT sender, country FROM mob, c WHERE ts < cut)
+SELECT sha256(concat_ws('|', 'UNUSUAL_COUNTRY', id)) AS alert_id, 'UNUSUAL_COUNTRY' AS rule_code, 'MEDIUM' AS severity, m.country, m.entity, 'CUSTOMER' AS subject_type, sender::VARCHAR AS subject_id, ts AS event_time, NULL::TIMESTAMP AS window_start, NULL::TIMESTAMP AS window_end, round(eur, 2) AS amount_eur, 1 AS n_ops, [id::VARCHAR] AS ids, '{{"sender_country":"' || m.country || '","home_country":"' || n_name || '"}}' AS details
+FROM mob m JOIN c ON ts >= cut JOIN customer ON sender = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE status <> 'FAILED' AND m.country <> n_name AND NOT EXISTS (SELECT 1 FROM h WHERE h.sender = m.sender AND h.country = m.country)""")
+def alert_unusual_country(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments of the last week, judged by home and by the countries seen before it."""
+    m = mobile(spark, sf)
+    m = m.crossJoin(F.broadcast(m.agg((F.max("ts") - F.expr("INTERVAL 7 DAYS")).alias("cut"))))  # one row
+    seen = m.where("ts < cut").select("sender", "country").distinct()
+    home = load(spark, sf, "customer").select(F.col("c_custkey").alias("sender"), F.col("c_nationkey").alias("nation")).join(nations(spark, sf, "nation", "home"), "nation").select("sender", "home")
+    hits = m.where((F.col("ts") >= F.col("cut")) & (F.col("status") != "FAILED")).join(home, "sender").where("country <> home").join(seen, ["sender", "country"], "left_anti")
+    return hits.select(*alert("UNUSUAL_COUNTRY", "MEDIUM", "CUSTOMER", "sender", [F.col("id")], time=F.col("ts"), amount=F.col("eur"), ids=F.array(F.col("id").cast("string")), sender_country=F.col("country"), home_country=F.col("home")))
+
+
+@query(f"""WITH {INS}, p AS (SELECT client, greatest(sum(eur), avg(eur) * 12) AS paid FROM ins WHERE premium AND ts >= (SELECT max(ts) FROM ins) - INTERVAL 365 DAY GROUP BY client)
+SELECT sha256(concat_ws('|', 'CLAIM_GT_3X_PREMIUM', id)) AS alert_id, 'CLAIM_GT_3X_PREMIUM' AS rule_code, 'HIGH' AS severity, country, entity, 'CUSTOMER' AS subject_type, client::VARCHAR AS subject_id, ts AS event_time, NULL::TIMESTAMP AS window_start, NULL::TIMESTAMP AS window_end, round(eur, 2) AS amount_eur, 1 AS n_ops, [id] AS ids, '{{"premiums_12m_eur":"' || paid::DECIMAL(18, 2)::VARCHAR || '"}}' AS details
+FROM ins JOIN p USING (client) WHERE NOT premium AND paid > 0 AND eur > 3 * paid""")
+def alert_claim_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    ins = insurance(spark, sf)
+    recent = ins.where("premium").crossJoin(F.broadcast(ins.agg((F.max("ts") - F.expr("INTERVAL 365 DAYS")).alias("since")))).where("ts >= since")  # one row
+    paid = recent.groupBy("client").agg(F.greatest(F.sum("eur"), F.avg("eur") * PREMIUMS_A_YEAR).alias("paid"))
+    hits = ins.where(~F.col("premium")).join(paid, "client").where((F.col("paid") > 0) & (F.col("eur") > CLAIM_RATIO * F.col("paid")))
+    return hits.select(*alert("CLAIM_GT_3X_PREMIUM", "HIGH", "CUSTOMER", "client", [F.col("id")], time=F.col("ts"), amount=F.col("eur"), ids=F.array("id"), premiums_12m_eur=F.col("paid").cast("decimal(18,2)")))
+
+
+@query(f"""WITH {BANK}, {MOB}, u AS (SELECT 'BANK' AS source, id, account AS sender, country, entity, ts, currency, amount, eur FROM bank WHERE type IN ('TRANSFER', 'INTERNATIONAL_WIRE') AND status <> 'FAILED'
+UNION ALL SELECT 'MOBILE_MONEY', id, sender, country, entity, ts, currency, amount, eur FROM mob WHERE type IN ('P2P', 'CROSS_BORDER_TRANSFER') AND status <> 'FAILED')
+SELECT sha256(concat_ws('|', 'AML', source, id)) AS alert_id, 'AML' AS rule_code, NULL::VARCHAR AS severity, country, entity, 'CUSTOMER' AS subject_type, sender::VARCHAR AS subject_id, ts AS event_time, NULL::TIMESTAMP AS window_start, NULL::TIMESTAMP AS window_end, round(eur, 2) AS amount_eur, 1 AS n_ops, [id::VARCHAR] AS ids, '{{"source":"' || source || '","currency":"' || currency || '"}}' AS details
+FROM u WHERE amount > CASE currency WHEN 'XOF' THEN 1000000 WHEN 'GHS' THEN 5000 END""")
+def alert_aml(spark: SparkSession, sf: str) -> DataFrame:
+    shape = lambda df, source, who: df.select(F.lit(source).alias("source"), "id", F.col(who).alias("sender"), "country", "entity", "ts", "currency", "amount", "eur")
+    b = bank(spark, sf).where(F.col("type").isin("TRANSFER", "INTERNATIONAL_WIRE") & (F.col("status") != "FAILED"))
+    m = mobile(spark, sf).where(F.col("type").isin("P2P", "CROSS_BORDER_TRANSFER") & (F.col("status") != "FAILED"))
+    limit = F.create_map(*[F.lit(x) for kv in AML.items() for x in kv])[F.col("currency")]
+    hits = shape(b, "BANK", "account").unionByName(shape(m, "MOBILE_MONEY", "sender")).where(F.col("amount") > limit)
+    return hits.select(*alert("AML", None, "CUSTOMER", "sender", [F.col("source"), F.col("id")], time=F.col("ts"), amount=F.col("eur"), ids=F.array(F.col("id").cast("string")), source=F.col("source"), currency=F.col("currency")))
+
+
+@query(f"""WITH {BANK}, r AS (SELECT n_name AS country, sum(CASE WHEN n_regionkey = 0 THEN c_acctbal / 15.0::DOUBLE ELSE c_acctbal END) AS deposits FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal >= 0 GROUP BY 1),
+g AS (SELECT country, {START}, sum(CASE WHEN type = 'DEPOSIT' THEN -eur WHEN type IN ('WITHDRAWAL', 'TRANSFER', 'INTERNATIONAL_WIRE', 'PAYMENT') THEN eur ELSE 0 END) AS net, count(*) AS n, max(ts) AS last FROM bank, {SLIDES} WHERE status = 'SUCCESS' GROUP BY ALL)
+SELECT sha256(concat_ws('|', 'LIQUIDITY_COVERAGE', country, ws)) AS alert_id, 'LIQUIDITY_COVERAGE' AS rule_code, 'CRITICAL' AS severity, country, 'BANK' AS entity, 'COUNTRY' AS subject_type, country AS subject_id, last AS event_time, ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, round(net, 2) AS amount_eur, n::INT AS n_ops, []::VARCHAR[] AS ids, '{{"threshold_pct":"1.0"}}' AS details
+FROM g JOIN r USING (country) WHERE deposits > 0 AND net / deposits > 0.01""")
+def alert_liquidity(spark: SparkSession, sf: str) -> DataFrame:
+    c = load(spark, sf, "customer").where("c_mktsegment <> 'MACHINERY' AND c_acctbal >= 0").withColumnRenamed("c_nationkey", "nation").join(nations(spark, sf, "nation", "country"), "nation")
+    reserves = c.groupBy("country").agg(F.sum(F.when(F.col("_r") == 0, F.col("c_acctbal") / GHS_PER_EUR).otherwise(F.col("c_acctbal"))).alias("deposits"))
+    signed = F.when(F.col("type") == "DEPOSIT", -F.col("eur")).when(F.col("type").isin("WITHDRAWAL", "TRANSFER", "INTERNATIONAL_WIRE", "PAYMENT"), F.col("eur")).otherwise(0.0)
+    g = bank(spark, sf).where("status = 'SUCCESS'").groupBy(F.window("ts", SIZE, SLIDE).alias("w"), "country").agg(F.sum(signed).alias("net"), F.count("*").alias("n"), F.max("ts").alias("last"))
+    hits = g.join(reserves, "country").where((F.col("deposits") > 0) & (F.col("net") / F.col("deposits") > OUTFLOW)).withColumn("entity", F.lit("BANK"))
+    return hits.select(*alert("LIQUIDITY_COVERAGE", "CRITICAL", "COUNTRY", "country", [F.col("country"), F.col("w.start")], time=F.col("last"), amount=F.col("net"), n=F.col("n"), window=True, threshold_pct=F.lit(100 * OUTFLOW)))
