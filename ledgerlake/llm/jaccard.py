@@ -36,9 +36,9 @@ def shingles(text: Column, n: int = 5) -> Column:
     return w, F.sort_array(F.array_distinct(F.when(F.size(F.col("_w")) >= n, many).otherwise(one)))
 
 
-def sets(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
+def sets(docs: DataFrame, key: str, text: str, n: int, *also: str) -> DataFrame:
     w, sh = shingles(F.col(text), n)
-    return docs.select(F.col(key).alias("id"), w.alias("_w")).select("id", sh.alias("sh")).select("id", "sh", F.xxhash64("sh").alias("cid"), F.size("sh").alias("n"))
+    return docs.select(F.col(key).alias("id"), *also, w.alias("_w")).select("id", *also, sh.alias("sh")).select("id", *also, "sh", F.xxhash64("sh").alias("cid"), F.size("sh").alias("n"))
 
 
 def linked(a: Column, b: Column, percent: int) -> Column:
@@ -166,10 +166,9 @@ def opened(classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return some.unionByName(single).distinct()
 
 
-def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(membership: id, cid, n, component; links: a, b between classes) of docs."""
+def classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows: id, cid, n; components of classes: cid, g; links: a, b between classes) of docs."""
     thin = saved(sets(docs, key, text, n).select("id", "cid", "n"), "thin")
-    one = thin.where("id IS NOT NULL AND n > 0").groupBy("cid").agg(F.min("id").alias("id"))
     # Sets are built again rather than written for all documents; copies fall together before the shuffle.
     total = thin.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(16, 8 * total // BUCKET_BYTES)
@@ -179,7 +178,13 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
     first = saved(stars(classes, percent), "stars")
     groups = saved(components(classes, first), "groups")
     links = saved(first.unionByName(verified(saved(opened(classes, groups, percent), "opened"), classes, percent)), "all-links")
-    parts = saved(components(classes, links), "parts")
+    return thin, saved(components(classes, links), "parts"), links
+
+
+def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """(membership: id, cid, n, component; links: a, b between classes) of docs."""
+    thin, parts, links = classed(docs, key, text, n, percent)
+    one = thin.where("id IS NOT NULL AND n > 0").groupBy("cid").agg(F.min("id").alias("id"))
     least = one.join(parts, "cid").groupBy("g").agg(F.min("id").alias("component"))
     named = parts.join(least, "g").select("cid", "component")
     out = thin.join(named, "cid", "left").select("id", "cid", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
@@ -187,11 +192,21 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One row of each component: that of the least id; rows with a null id or no words stay."""
-    member, _ = joined(docs)
-    gone = member.where("id <> component").select("id").distinct()
-    kept = docs.join(gone.withColumnRenamed("id", "_llj_id"), F.col("doc_id") == F.col("_llj_id"), "left_anti")
-    return kept.where("doc_id IS NULL").unionByName(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """One row of each component: that of the least (id, class, row hash); rows with a null id or no words stay."""
+    thin, parts, _ = classed(docs)
+    member = thin.where("id IS NOT NULL AND n > 0").join(parts, "cid").select("id", "cid", "g").distinct()
+    least = saved(member.groupBy("g").agg(F.min(F.struct("id", "cid")).alias("l")).select("l.id", "l.cid"), "least")
+    repeated = saved(thin.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("_llj_id")), "repeated-ids")
+    on = F.col("doc_id") == F.col("_llj_id")
+    # An id of one row tells its class.
+    gone = member.join(least, ["id", "cid"], "left_anti").select(F.col("id").alias("_llj_id")).distinct()
+    single = docs.join(repeated, on, "left_anti").join(gone, on, "left_anti")
+    # Rows of repeated ids are told apart by their classes, which are built again for them alone.
+    rows = docs.join(repeated, on, "left_semi").select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_llj_row"))
+    rows = saved(sets(rows, "doc_id", "text", 5, "_llj_row").select("id", "cid", "n", "_llj_row"), "repeated-rows")
+    best = rows.where("n > 0").join(least, ["id", "cid"], "left_semi").groupBy("id", "cid").agg(F.min_by("_llj_row", F.xxhash64("_llj_row")).alias("_llj_row"))
+    several = rows.where("n = 0").select("_llj_row").unionByName(best.select("_llj_row"))
+    return single.unionByName(several.select("_llj_row.*"))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,15 @@ def test_jaccard_equals_all_pairs(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), label[i]) for i, s in sets.items()}
 
 
+REPEATED = [(1, "alpha beta gamma delta epsilon", "x"), (1, "one two three four five", "y"), (1, "one two three four five", "z"), (2, "one two three four five", "x"), (2, "six seven eight nine ten", "x"), (3, "six seven eight nine ten", "x"), (4, "", "x"), (4, "", "x"), (4, None, "y"), (4, "red green", "x"), (None, "red green", "x"), (5, "red green", "x"), (6, "lone", "x"), (6, "lone", "x")]
+
+
+def test_deduplicated_keeps_one_row_of_each_component(spark):
+    got = jaccard.deduplicated(spark.createDataFrame(REPEATED, "doc_id long, text string, more string")).collect()
+    want = [(1, "alpha beta gamma delta epsilon"), (1, "one two three four five"), (2, "six seven eight nine ten"), (4, ""), (4, ""), (4, None), (4, "red green"), (None, "red green"), (6, "lone")]
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in got])) == sorted(map(repr, want))
+
+
 def test_nearest_recall(spark):
     found = defaultdict(set)
     for r in nearest.op4_nearest_neighbours(spark, SF).collect():
