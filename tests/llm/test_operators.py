@@ -187,3 +187,41 @@ def test_chat_spans_are_the_assistants_words(spark):
         text = "".join(r.rendered for r in parts)
         assert [text[r.train_start : r.train_stop] for r in parts if r.train_start is not None] == {"ann": ["hi < |im_end|><|im_end|>", "é🙂<|im_end|>"], "bob": ["<|im_end|>"] * 2}[who]
         assert all(text[r.start : r.stop] == r.rendered for r in parts)
+
+
+def test_toxic_documents_are_found(spark):
+    sf = "/root/testdata/sf0.1"  # sf0.01 holds out 6 toxic documents only; 4 of them are found
+    toxic = dict(rows(f"SELECT doc_id, max(toxic) FROM '{sf}/labels.parquet' GROUP BY 1"))
+    got = [(toxic[r.doc_id], r.predicted) for r in toxicity.op7_toxicity(spark, sf).collect() if r.held_out and toxic.get(r.doc_id) is not None]
+    bad, clean = [p for t, p in got if t], [p for t, p in got if not t]
+    print("toxic found", sum(bad), len(bad), "false alarms", sum(clean), len(clean))
+    assert bad and sum(bad) >= 0.8 * len(bad) and sum(clean) <= 0.05 * len(clean)
+
+
+def test_pipeline_stages_equal_plain_versions(spark, monkeypatch):
+    import corpus_pipeline
+
+    kept, saved = {}, corpus_pipeline.saved
+    monkeypatch.setattr(corpus_pipeline, "saved", lambda df, name: kept.setdefault(name.removeprefix("pipeline-"), saved(df, name)))
+    final = corpus_pipeline.run(spark, SF).collect()
+    text = {k: [(r.doc_id, r.text) for r in df.collect()] for k, df in kept.items()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", text["toxicity"])
+    assert sorted(i for i, _ in text["quality_rules"]) == sorted(i for i, k in con.execute(f"SELECT doc_id, kept FROM ({quality.ORACLE})").fetchall() if k)
+    word, sets = re.compile(r"[^\x20\x09-\x0D]+"), {}
+    for i, t in text["quality_rules"]:
+        w = word.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    label = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert sorted(i for i, _ in text["ngram_jaccard"]) == sorted(set(label.values()))
+    assert {i for i, _ in text["mixing"]} <= set(label.values())
+    assert sorted(r.doc_id for r in final) == sorted(i for i, _ in text["mixing"])
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        library = sentencepiece.Pieces(f.read()).library
+    size = {i: len(library.encode(t or "")) for i, t in text["mixing"]}
+    assert all(r.n_tokens == size[r.doc_id] for r in final)
