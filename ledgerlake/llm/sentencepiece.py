@@ -1,34 +1,81 @@
 """SentencePiece BPE encoding by vectorised merge rounds, and decoding.
 
 A null text is an empty one and has no ids. Repeated rows and other columns stay as they
-are; the work is per row, without a shuffle. Texts are encoded whole.
+are; the work is per row, without a shuffle. Texts are encoded whole, in lots that bound a
+worker's memory: the symbols of a lot and the remembered words are counted in characters.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 
 MARK = "▁"
-NONE = np.iinfo(np.int64).max
-#: Words of more symbols are merged with a heap: a round per merge would cost its square.
-LONG_WORD = 256
-#: Words whose ids are remembered; all are forgotten when there are more.
-MEMORY = 200_000
-#: Texts are taken in lots of about so many characters.
-LOT_CHARS = 4_000_000
+#: Rank of a pair that doesn't merge.
+NONE = np.iinfo(np.int32).max
+#: Characters of the words whose ids are remembered; all are forgotten when there are more.
+MEMORY_CHARS = 1_000_000
+#: Texts are taken in lots of about so many characters (one longer text is a lot of its own).
+LOT_CHARS = 500_000
+
+
+class Pairs:
+    """Rank and result of each pair that merges: open addressing over the two numbers of a pair."""
+
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]]):
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.left = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.right, self.rank, self.result = self.left.copy(), np.full(1 << self.bits, NONE, dtype=np.int32), self.left.copy()
+        if not pairs:
+            return
+        a, b, rank, result = (np.array(x, dtype=np.int32) for x in zip(*[(*k, *v) for k, v in pairs.items()]))
+        at, rest = self._slot(a, b), np.arange(len(a))
+        while len(rest):
+            # of those that ask for a free slot, the first gets it
+            rest_at = at[rest]
+            free = self.left[rest_at] < 0
+            take = rest[free][np.unique(rest_at[free], return_index=True)[1]]
+            self.left[at[take]], self.right[at[take]], self.rank[at[take]], self.result[at[take]] = a[take], b[take], rank[take], result[take]
+            rest = np.setdiff1d(rest, take, assume_unique=True)
+            at[rest] = (at[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, result) of each pair; NONE and -1 where it doesn't merge."""
+        at = self._slot(a, b)
+        seen = self.left[at]
+        hit = (seen == a) & (self.right[at] == b)
+        rank, result = np.where(hit, self.rank[at], NONE), np.where(hit, self.result[at], -1)
+        rest = np.flatnonzero(~hit & (seen >= 0))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & ((1 << self.bits) - 1)
+            spot = at[rest]
+            seen = self.left[spot]
+            hit = (seen == a[rest]) & (self.right[spot] == b[rest])
+            rank[rest[hit]], result[rest[hit]] = self.rank[spot[hit]], self.result[spot[hit]]
+            rest = rest[~hit & (seen >= 0)]
+        return rank, result
+
+
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1 and so on for size[0] places, then the same for the next."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Pieces:
-    """Tables of a BPE model: ids of characters, and rank and result of each pair that merges."""
+    """Tables of a BPE model and the words it remembers."""
 
     def __init__(self, model: bytes):
         import sentencepiece
@@ -40,150 +87,152 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in plain):
             raise ValueError("the model has pieces over word starts")
         self.size = n
-        self.char = {p: i for p, i in plain.items() if len(p) == 1}
-        self.byte = [s.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        char = {p: i for p, i in plain.items() if len(p) == 1}
+        #: By code point; characters without a piece have numbers from n on and never merge.
+        self.char = np.arange(n, n + 0x110000, dtype=np.int32)
+        self.char[[ord(p) for p in char]] = list(char.values())
+        self.byte = np.array([s.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int32)
         levels = {x: k for k, x in enumerate(sorted({s.get_score(i) for i in plain.values()}, reverse=True))}
-        pairs = {}
-        for p, i in plain.items():
-            for cut in range(1, len(p)):
-                a, b = plain.get(p[:cut]), plain.get(p[cut:])
-                if a is not None and b is not None:
-                    pairs[a * n + b] = (levels[s.get_score(i)], i)
-        self.pairs = pairs
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.rank = np.array([pairs[k][0] for k in self.keys.tolist()], dtype=np.int64)
-        self.result = np.array([pairs[k][1] for k in self.keys.tolist()], dtype=np.int64)
-        self.known: dict[str, list[int]] = {}
-        self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-
-    def _spelled(self, word: str) -> tuple[list[int], list[str]]:
-        """Ids of the characters; those without a piece get ids from size on and never merge."""
-        ids, odd = [], []
-        for c in word:
-            i = self.char.get(c)
-            if i is None:
-                i = self.size + len(odd)
-                odd.append(c)
-            ids.append(i)
-        return ids, odd
-
-    def _written(self, ids: list[int], odd: list[str]) -> list[int]:
-        if not odd:
-            return ids
-        return [y for x in ids for y in ([x] if x < self.size else [self.byte[b] for b in odd[x - self.size].encode()])]
-
-    def _heap(self, ids: list[int]) -> list[int]:
-        """The same merges for one long word: best rank first, leftmost among equals."""
-        n = len(ids)
-        left, right, alive = list(range(-1, n - 1)), [*range(1, n), -1], [True] * n
-        heap = []
-
-        def push(a: int, b: int) -> None:
-            if a >= 0 and b >= 0 and ids[a] < self.size and ids[b] < self.size and (hit := self.pairs.get(ids[a] * self.size + ids[b])):
-                heap.append((hit[0], a, b, ids[a], ids[b], hit[1])) if not ready else heapq.heappush(heap, (hit[0], a, b, ids[a], ids[b], hit[1]))
-
-        ready = False
-        for i in range(n - 1):
-            push(i, i + 1)
-        heapq.heapify(heap)
-        ready = True
-        while heap:
-            _, a, b, x, y, new = heapq.heappop(heap)
-            if not (alive[a] and alive[b] and ids[a] == x and ids[b] == y and right[a] == b):
-                continue
-            ids[a], alive[b], right[a] = new, False, right[b]
-            if right[a] >= 0:
-                left[right[a]] = a
-            push(left[a], a)
-            push(a, right[a])
-        return [x for x, k in zip(ids, alive) if k]
-
-    def merged(self, spelled: list[list[int]]) -> list[list[int]]:
-        """Ids of each word after merging, in rounds over all words at once.
-
-        A round finds the least (rank, place) of each word's pairs and merges there; words
-        without a pair left are taken out before the next round.
+        self.pairs = Pairs({(plain[p[:c]], plain[p[c:]]): (levels[s.get_score(i)], i) for p, i in plain.items() for c in range(1, len(p)) if p[:c] in plain and p[c:] in plain})
+        # Control characters without a piece never merge, so words end there too.
+        odd = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in char)
+        self.word = re.compile(f"{MARK}*[^{MARK}{odd}]+|{MARK}+" + (f"|[{odd}]+" if odd else ""))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.start, self.count, self.chars = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def merged(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols, word of each) once no pair is left to merge; words are numbered upwards.
+
+        A round takes each word's pairs of least rank, left to right and without overlaps, up to
+        the first whose result makes a pair of no greater rank, as that one would be next.
         """
-        out: list[list[int]] = [[]] * len(spelled)
-        short = [k for k, w in enumerate(spelled) if len(w) <= LONG_WORD]
-        for k, w in enumerate(spelled):
-            if len(w) > LONG_WORD:
-                out[k] = self._heap(list(w))
-        if not short:
-            return out
-        lens = np.array([len(spelled[k]) for k in short])
-        sym = np.array([x for k in short for x in spelled[k]], dtype=np.int64)
-        word = np.repeat(np.array(short), lens)
+        if not len(sym):
+            return sym, word
+        whole = []
+        rank, new = np.full(len(sym), NONE, dtype=np.int32), np.full(len(sym), -1, dtype=np.int32)
+        inner = np.flatnonzero(word[:-1] == word[1:])
+        rank[inner], new[inner] = self.pairs.look_up(sym[inner], sym[inner + 1])
         while len(sym):
-            a, b = sym[:-1], sym[1:]
-            fit = (word[:-1] == word[1:]) & (a < self.size) & (b < self.size)
-            key = a * self.size + b
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            fit &= self.keys[at] == key
-            order = np.full(len(sym), NONE)
-            place = np.flatnonzero(fit)
-            order[place] = self.rank[at[place]] * len(sym) + place
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            best = np.minimum.reduceat(order, first)
             size = np.diff(np.r_[first, len(sym)])
+            best = np.minimum.reduceat(rank, first)
             done = best == NONE
-            for f, n in zip(first[done].tolist(), size[done].tolist()):
-                out[word[f]] = sym[f : f + n].tolist()
-            spots = best[~done] % len(sym)
-            sym[spots] = self.result[at[spots]]
-            stay = np.repeat(~done, size)
-            stay[spots + 1] = False
-            sym, word = sym[stay], word[stay]
-        return out
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+            if done.any():
+                out = np.repeat(done, size)
+                whole.append((sym[out], word[out]))
+                sym, word, rank, new = sym[~out], word[~out], rank[~out], new[~out]
+                if not len(sym):
+                    break
+                best, size = best[~done], size[~done]
+            at = np.flatnonzero(rank == np.repeat(best, size))
+            # every other place of a run of neighbours: a symbol merges once
+            begins = np.r_[True, at[1:] != at[:-1] + 1]
+            run = np.flatnonzero(begins)
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0]
+            got, own = new[at], word[at]
+            next_to = np.r_[False, at[1:] == at[:-1] + 2] & np.r_[False, own[1:] == own[:-1]]
+            # what stands left when its turn comes is merged already; what stands right isn't yet
+            before = np.where(next_to, np.r_[0, got[:-1]], sym[np.maximum(at - 1, 0)])
+            has_left, right = (at > 0) & (word[np.maximum(at - 1, 0)] == own), np.minimum(at + 2, len(sym) - 1)
+            has_right = (at + 2 < len(sym)) & (word[right] == own)
+            left_rank, left_new = self._joined(before, got, has_left)
+            right_rank, right_new = self._joined(got, sym[right], has_right)
+            turn = (left_rank <= rank[at]) | (right_rank <= rank[at])
+            if turn.any():
+                passed = np.cumsum(turn) - turn
+                head = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                stay = passed == np.repeat(passed[head], np.diff(np.r_[head, len(own)]))
+                at, got, next_to, has_left = at[stay], got[stay], next_to[stay], has_left[stay]
+                left_rank, left_new, right_rank, right_new = left_rank[stay], left_new[stay], right_rank[stay], right_new[stay]
+            sym[at], rank[at], new[at] = got, right_rank, right_new
+            by = (at - 1 - next_to)[has_left]
+            rank[by], new[by] = left_rank[has_left], left_new[has_left]
+            keep = np.ones(len(sym), dtype=bool)
+            keep[at + 1] = False
+            sym, word, rank, new = sym[keep], word[keep], rank[keep], new[keep]
+        sym, word = (np.concatenate(x) for x in zip(*whole))
+        by = np.argsort(word, kind="stable")
+        return sym[by], word[by]
+
+    def _joined(self, a: np.ndarray, b: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rank, new = np.full(len(a), NONE, dtype=np.int32), np.full(len(a), -1, dtype=np.int32)
+        rank[there], new[there] = self.pairs.look_up(a[there], b[there])
+        return rank, new
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of these new words."""
+        sym = self.char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        sym, word = self.merged(sym, np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words]))
+        code = np.maximum(sym - self.size, 0)
+        # characters without a piece are written as the bytes of their UTF-8
+        n = np.where(sym < self.size, 1, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
+        ids = np.repeat(sym, n)
+        odd = np.flatnonzero(sym >= self.size)
+        if len(odd):
+            ids[spread((np.cumsum(n) - n)[odd], n[odd])] = self.byte[np.frombuffer("".join(map(chr, code[odd].tolist())).encode("utf-8"), dtype=np.uint8)]
+        count = np.bincount(np.repeat(word, n), minlength=len(words))
+        self.known |= zip(words, range(len(self.known), len(self.known) + len(words)))
+        self.start = np.r_[self.start, len(self.ids) + np.cumsum(count) - count]
+        self.ids, self.count = np.r_[self.ids, ids], np.r_[self.count, count]
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
         split = [self.word.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = list({w for ws in split for w in ws} - self.known.keys())
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list({w for ws in split for w in ws})
-        pairs = [self._spelled(w) for w in new]
-        for w, ids, (_, odd) in zip(new, self.merged([p[0] for p in pairs]), pairs):
-            self.known[w] = self._written(ids, odd)
+        for again in (False, True):
+            new = list({w for ws in split for w in ws} - self.known.keys())
+            chars = sum(map(len, new))
+            if again or self.chars + chars <= MEMORY_CHARS:
+                break
+            self._forget()
+        if new:
+            self._learn(new)
+            self.chars += chars
         known = self.known
-        return [[i for w in ws for i in known[w]] for ws in split]
+        of = np.array([known[w] for ws in split for w in ws], dtype=np.int64)
+        ends = np.r_[0, np.cumsum([len(ws) for ws in split])]
+        n = self.count[of]
+        total = np.r_[0, np.cumsum(n)]
+        return self.ids[spread(self.start[of], n)].astype(np.int32), np.diff(total[ends])
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        ids, n = self.flat(texts)
+        return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] if len(n) else []
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Text of the ids, by the library's own decode."""
         return self.library.decode(ids) if ids else []
 
 
-def model_bytes(spark: SparkSession, path: str) -> bytes:
+def model_bytes(path: str) -> bytes:
     """The model, read once on the driver (half a megabyte) and sent with the tasks."""
     with open(path, "rb") as f:
         return f.read()
 
 
 def tokens(model: bytes, text: Column) -> Column:
-    """struct(ids, decoded) of a text column."""
+    """struct(ids, decoded) of a text column. Results leave a worker lot by lot, not batch by batch."""
 
-    @F.pandas_udf("struct<ids:array<int>,decoded:string>")
-    def run(lots: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = Pieces(model)
-        for lot in lots:
-            texts = ["" if t is None else t for t in lot.tolist()]
-            ids, decoded, k = [], [], 0
-            while k < len(texts):
-                n, end = 0, k
-                while end < len(texts) and (end == k or n + len(texts[end]) <= LOT_CHARS):
-                    n, end = n + len(texts[end]), end + 1
-                part = pieces.encode(texts[k:end])
-                decoded += pieces.decode(part)
-                ids += [np.array(x, dtype=np.int32) for x in part]
-                k = end
-            yield pd.DataFrame({"ids": ids, "decoded": decoded})
+        for batch in batches:
+            lot = np.maximum(0, np.cumsum(pc.fill_null(pc.utf8_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64) - 1) // LOT_CHARS
+            for k in np.unique(lot).tolist():
+                a, b = np.searchsorted(lot, [k, k + 1]).tolist()
+                ids, n = pieces.flat([t or "" for t in batch.slice(a, b - a).to_pylist()])
+                ends = np.r_[0, np.cumsum(n)]
+                decoded = [pieces.library.decode(ids[i:j].tolist()) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())), pa.array(decoded, pa.string())], ["ids", "decoded"])
 
     return run(text)
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """docs with struct(ids, decoded) in the column out."""
-    return docs.withColumn(out, tokens(model_bytes(docs.sparkSession, path), F.coalesce(F.col(text), F.lit(""))))
+    return docs.withColumn(out, tokens(model_bytes(path), F.coalesce(F.col(text), F.lit(""))))
 
 
 def digests(docs: DataFrame) -> DataFrame:
