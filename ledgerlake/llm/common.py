@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +18,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set."""
+    """The cluster's shared folder; where none is set, a temporary one, which only a local master can share."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-ledgerlake-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Where the frames that saved() returned were written, by the identity of their plan.
+_PLACES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/ledgerlake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what saved() wrote for these frames; nothing may read them afterwards."""
+    for df in frames:
+        if path := _PLACES.pop(df, None):
+            there = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def lower_ascii(c: Column) -> Column:

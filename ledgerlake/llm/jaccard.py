@@ -1,44 +1,136 @@
 """N-gram Jaccard join by a token-group matrix.
 
-Texts become sets of word shingles; equal sets are one class. Classes are grouped around
-leaders by least hashes and a checked link to the leader. The matrix holds each group's
-token union. A class asks the groups that share one of its rare tokens; a group whose
-union holds too few of the class's tokens to allow a link stays shut, the others are opened
-and their members compared exactly.
+Texts become sets of word shingles; equal sets are one class. Classes are partitioned into
+groups of similar ones: each tries one leader with a least hash in common, and stays with it
+where they link. The matrix has a cell for each token and group: the union of the group's
+tokens, of which the cells of rare tokens (the prefixes, one of which any two linked sets
+share) are laid out first, with the sizes of the members that hold the token. Groups that
+share no such cell, or whose cells' sizes rule a link out, aren't compared. Where they may
+be, a class of the smaller group asks the larger one: first one member; then, if the class's
+overlap with the whole union of the group reaches what a link needs, the group is opened
+and its members compared exactly. A group of one is its own union: its bound is the comparison.
+
+Sets are hashed from the texts whenever they are needed, rather than stored: only the sets
+of classes that take part in a comparison are ever shuffled.
 
 Null, empty and wordless texts have no shingles and no links. Rows with a null id have a
-null component and link nothing. Repeated rows are in the same class. No cap is set on
-members, partners or candidates.
+null component and link nothing. Repeated rows are in the same class. An empty table gives
+an empty result; other columns take no part. No cap is set on members, partners or candidates.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, saved, shared_dir, table, words
+from . import shingles
+from .common import discard, saved, table
+
+#: Bytes of matrix cells in a task, about.
+CELL_BYTES = 48 << 20
+#: Documents by which the order of tokens is estimated, and tokens put last; both change costs, not results.
+ORDER_DOCS, LATE_TOKENS = 4000, 50_000
+#: Most bits of the filter that says which sets a comparison needs (8 MB); beyond, more sets are shuffled than needed.
+FILTER_BITS = 1 << 26
+WORDY = r"[^\x20\x09-\x0D]"
 
-#: Least tokens of a set that estimate its similarity to a leader.
-SKETCH = 32
-#: Bytes of shingles in a bucket of the classes, about.
-BUCKET_BYTES = 64 << 20
-#: Documents by which the order of tokens is estimated; the order changes costs, not results.
-ORDER_DOCS = 4000
 
+def measured(text: Column, n: int) -> Column:
+    """struct(c1, c2: the class; n: size of the set; ks, sk: keys and least tokens that tell similar sets)."""
 
-def shingles(text: Column, n: int = 5) -> Column:
-    """Sorted distinct 64-bit hashes of the n-word shingles; a shorter text is one shingle."""
-    w = words(lower_ascii(text))
-    many = F.transform(F.sequence(F.lit(1), F.size(F.col("_w")) - (n - 1)), lambda i: F.xxhash64(F.slice(F.col("_w"), i, n)))
-    one = F.when(F.size(F.col("_w")) > 0, F.array(F.xxhash64(F.col("_w")))).otherwise(F.array().cast("array<bigint>"))
-    return w, F.sort_array(F.array_distinct(F.when(F.size(F.col("_w")) >= n, many).otherwise(one)))
+    @F.arrow_udf("struct<c1:bigint,c2:bigint,n:int,ks:array<bigint>,sk:array<bigint>>")
+    def run(texts: pa.Array) -> pa.Array:
+        parts = []
+        for _, _, data, ends in shingles.lots(texts):
+            tokens, stops = shingles.sets(data, ends, n)
+            c1, c2 = shingles.classes(tokens, stops)
+            sk = shingles.lists(*shingles.first_of_each(tokens, stops, shingles.SKETCH))
+            parts.append(pa.StructArray.from_arrays([pa.array(c1), pa.array(c2), pa.array(np.diff(np.r_[0, stops]), pa.int32()), shingles.keys(tokens, stops), sk], ["c1", "c2", "n", "ks", "sk"]))
+        return pa.concat_arrays(parts)
 
+    return run(text)
 
-def sets(docs: DataFrame, key: str, text: str, n: int, *also: str) -> DataFrame:
-    w, sh = shingles(F.col(text), n)
-    return docs.select(F.col(key).alias("id"), *also, w.alias("_w")).select("id", *also, sh.alias("sh")).select("id", *also, "sh", F.xxhash64("sh").alias("cid"), F.size("sh").alias("n"))
+
+def prefixed(text: Column, n: int, percent: int, late: np.ndarray) -> Column:
+    """struct(c1, c2, n, pre): pre has the first n - ceil(percent n) + 1 tokens of a set, `late` ones coming last.
+
+    Two sets that link share a token of both prefixes.
+    """
+    by = np.argsort(late, kind="stable")
+    sorted_late = late[by]
+
+    @F.arrow_udf("struct<c1:bigint,c2:bigint,n:int,pre:array<bigint>>")
+    def run(texts: pa.Array) -> pa.Array:
+        parts = []
+        for _, _, data, ends in shingles.lots(texts):
+            tokens, stops = shingles.sets(data, ends, n)
+            size = np.diff(np.r_[0, stops])
+            c1, c2 = shingles.classes(tokens, stops)
+            if len(late) and len(tokens):
+                at = np.minimum(np.searchsorted(sorted_late, tokens), len(late) - 1)
+                place = np.where(sorted_late[at] == tokens, by[at] + 1, 0)
+                tokens = tokens[np.argsort(np.repeat(np.arange(len(size)), size) * (len(late) + 1) + place, kind="stable")]
+            pre = shingles.lists(*shingles.first_of_each(tokens, stops, np.where(size > 0, size - -(-percent * size // 100) + 1, 0)))
+            parts.append(pa.StructArray.from_arrays([pa.array(c1), pa.array(c2), pa.array(size, pa.int32()), pre], ["c1", "c2", "n", "pre"]))
+        return pa.concat_arrays(parts)
+
+    return run(text)
+
+
+def cells(prefixes: DataFrame) -> DataFrame:
+    """(t, g, lo, hi, most) of (g, n, pre): a group's tokens, with the least and greatest size of members that hold
+    the token and the most tokens such a member has from there on. Cells of a batch's members fall together here."""
+
+    def run(batches):
+        for batch in batches:
+            g, n, pre = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), batch.column(2)
+            ends = pre.offsets.to_numpy().astype(np.int64)
+            size = np.diff(ends)
+            t = pre.values.to_numpy()[ends[0] : ends[-1]]
+            g, n, rest = np.repeat(g, size), np.repeat(n, size), np.repeat(n, size) - shingles.spread(np.zeros(len(size), np.int64), size)
+            by = np.lexsort((t, g))
+            g, t, n, rest = g[by], t[by], n[by], rest[by]
+            first = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])]) if len(g) else np.zeros(0, int)
+            if len(first):
+                out = [t[first], g[first], np.minimum.reduceat(n, first), np.maximum.reduceat(n, first), np.maximum.reduceat(rest, first)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, [pa.int64()] * 2 + [pa.int32()] * 3)], ["t", "g", "lo", "hi", "most"])
+
+    return prefixes.select("g", "n", "pre").mapInArrow(run, "t long, g long, lo int, hi int, most int")
+
+
+def opened_sets(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
+    """(hid, c1, c2, sh) of the representatives of the needed (hid, c1, c2), and perhaps of some others.
+
+    A filter of bounded size goes with the tasks; the join that follows is exact.
+    """
+    bits = 1 << 15
+    count = needed.count()
+    while bits < min(FILTER_BITS, 64 * count):
+        bits *= 2
+    at = F.pmod(F.col("hid").bitwiseXOR(F.col("c1")), F.lit(bits)) + 1
+    maps = needed.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")).collect()
+    wanted = np.zeros(bits // 8, dtype=np.uint8)
+    for r in maps:
+        wanted[(r["k"] - 1) * 4096 : r["k"] * 4096] = np.frombuffer(r["m"], dtype=np.uint8)
+
+    def run(batches):
+        seen = set()  # copies of a class in this task
+        for batch in batches:
+            hid = batch.column(0).to_numpy()
+            for a, b, data, ends in shingles.lots(batch.column(1)):
+                tokens, stops = shingles.sets(data, ends, n)
+                size = np.diff(np.r_[0, stops])
+                c1, c2 = shingles.classes(tokens, stops)
+                own = hid[a:b]
+                at = (own ^ c1) % bits
+                use = [k for k in np.flatnonzero(((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0) & (size > 0)).tolist() if (x := (int(own[k]), int(c1[k]), int(c2[k]))) not in seen and not seen.add(x)]
+                if use:
+                    sh = shingles.lists(tokens[shingles.spread((stops - size)[use], size[use])], np.cumsum(size[use]))
+                    yield pa.RecordBatch.from_arrays([pa.array(own[use]), pa.array(c1[use]), pa.array(c2[use]), sh], ["hid", "c1", "c2", "sh"])
+
+    return docs.select("hid", "t").mapInArrow(run, "hid long, c1 long, c2 long, sh array<long>")
 
 
 def linked(a: Column, b: Column, percent: int) -> Column:
@@ -50,163 +142,156 @@ def near_size(a: Column, b: Column, percent: int) -> Column:
     return (F.lit(100) * F.least(a, b)) >= (F.lit(percent) * F.greatest(a, b))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
-    c = classes.select("cid", "sh")
-    df = c.join(pairs, F.col("cid") == F.col("a")).select("a", "b", F.col("sh").alias("sa"))
-    df = c.join(df, F.col("cid") == F.col("b")).select("a", "b", "sa", F.col("sh").alias("sb"))
-    return df.where(linked(F.col("sa"), F.col("sb"), percent)).select("a", "b")
-
-
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(cid, g): g is the least cid reachable by links. Least labels spread and jump until none changes."""
-    both = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    inner = saved(both.select(F.col("a").alias("cid")).distinct().withColumn("g", F.col("cid")), "labels")
+class Join:
+    """A join of docs with themselves; see classed()."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, n: int, percent: int):
+        self.n, self.percent = n, percent
+        rows = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(key)).alias("hid"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+        self.docs = rows.where(F.col("id").isNotNull() & F.col("t").rlike(WORDY))
+        self.thin = saved(rows.select("id", measured(F.col("t"), n).alias("m")).select("id", "m.*"), "thin")
+        per = self.thin.where("id IS NOT NULL AND n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "ks", "sk")])
+        #: A row per class; hid names the text from which its set is hashed again.
+        self.kinds = saved(per.withColumn("hid", F.xxhash64("id")).withColumn("cno", F.monotonically_increasing_id()), "classes")
+        self.name = self.kinds.select("cno", "hid", "c1", "c2")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes that link."""
+        side = lambda x: self.name.select(F.col("cno").alias(x), F.col("hid").alias(f"{x}h"), F.col("c1").alias(f"{x}1"), F.col("c2").alias(f"{x}2"))
+        full = saved(pairs.join(side("a"), "a").join(side("b"), "b"), "pairs")
+        if full.isEmpty():
+            return full.select("a", "b")
+        sets = {x: opened_sets(self.docs, full.select(F.col(f"{x}h").alias("hid"), F.col(f"{x}1").alias("c1"), F.col(f"{x}2").alias("c2")).distinct(), self.n).toDF(f"{x}h", f"{x}1", f"{x}2", f"s{x}") for x in "ab"}
+        df = sets["a"].join(full, ["ah", "a1", "a2"]).select("a", "b", "bh", "b1", "b2", "sa").join(sets["b"], ["bh", "b1", "b2"])
+        out = saved(df.where(linked(F.col("sa"), F.col("sb"), self.percent)).select("a", "b").distinct(), "verified")
+        discard(full)
+        return out
+
+    def stars(self) -> DataFrame:
+        """Links of classes to a leader that has a key in common; one try for each class."""
+        percent = self.percent
+        k = self.kinds.select("cno", "n", F.posexplode("ks").alias("r", "k"))
+        lead = k.groupBy("r", "k").agg(F.min(F.struct("cno", "n")).alias("l"), F.count("*").alias("m")).where("m > 1").select("r", "k", F.col("l.cno").alias("b"), F.col("l.n").alias("nb"))
+        lead = saved(lead, "leaders")
+        p = k.join(lead, ["r", "k"]).where((F.col("cno") != F.col("b")) & near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cno").alias("a"), "b").distinct()
+        sk = lambda x: self.kinds.select(F.col("cno").alias(x), F.col("sk").alias(f"s{x}"))
+        low = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, shingles.SKETCH)
+        est = F.lit(100) * F.size(F.array_intersect(low, F.array_intersect("sa", "sb"))) / F.size(low)
+        p = p.join(sk("a"), "a").join(sk("b"), "b").select("a", "b", est.alias("est"))
+        # The try only saves work: links it misses are found by opening groups.
+        best = p.where(F.col("est") >= percent - 25).groupBy("a").agg(F.min(F.struct(F.col("est") < percent, "b")).alias("pick"))
+        out = self.verified(saved(best.select("a", "pick.b"), "star-pairs"))
+        discard(lead)
+        return out
+
+    def late(self) -> np.ndarray:
+        """Tokens found thrice or more in a sample of classes, the most frequent last; they end the order of tokens."""
+        every = max(1, self.kinds.count() // ORDER_DOCS)
+        part = F.pmod(F.col("hid"), F.lit(every)) == 0
+        own = opened_sets(self.docs.where(part), self.name.where(part).select("hid", "c1", "c2"), self.n)
+        top = own.select(F.explode("sh").alias("t")).groupBy("t").count().where("count >= 3").orderBy(F.desc("count"), "t").limit(LATE_TOKENS)
+        return np.array([r["t"] for r in reversed(top.collect())], dtype=np.int64)
+
+    def asked(self, groups: DataFrame) -> DataFrame:
+        """(g1, g2): groups whose cells don't rule out a link between them."""
+        percent = self.percent
+        to = saved(self.name.join(groups, "cno", "left").select("c1", "c2", F.coalesce("g", "cno").alias("g")), "named")
+        per = self.docs.select(prefixed(F.col("t"), self.n, percent, self.late()).alias("m")).select("m.*")
+        # Copies fall together before and after the shuffle.
+        one = per.groupBy("c1", "c2").agg(F.first("n").alias("n"), F.first("pre").alias("pre")).join(to, ["c1", "c2"])
+        total = self.kinds.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+        n_parts = max(int(self.kinds.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) * 48 // CELL_BYTES))
+        laid = cells(one).repartition(n_parts, "t").groupBy("t", "g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("most").alias("most"))
+        x = laid.select("t", F.struct("g", "lo", "hi", "most").alias("x"))
+        y = laid.select("t", F.struct("g", "lo", "hi", "most").alias("y"))
+        lo = F.col("x.lo") + F.col("y.lo")
+        fits = (F.lit(100) * F.col("x.hi") >= F.lit(percent) * F.col("y.lo")) & (F.lit(100) * F.col("y.hi") >= F.lit(percent) * F.col("x.lo"))
+        # From their first common token on, two sets have at most the lesser rest in common.
+        enough = F.lit(100 + percent) * F.least("x.most", "y.most") >= F.lit(percent) * lo
+        return x.join(y, "t").where((F.col("x.g") < F.col("y.g")) & fits & enough).select(F.col("x.g").alias("g1"), F.col("y.g").alias("g2")).distinct()
+
+    def bounded(self, asks: DataFrame, groups: DataFrame) -> DataFrame:
+        """The (a, g) of asks where class a's overlap with the union of all tokens of group g allows a link."""
+        inside = groups.join(asks.select("g").distinct(), "g", "left_semi")
+        of = lambda who: self.name.join(who, "cno")
+        near = of(inside)
+        union = opened_sets(self.docs, near.select("hid", "c1", "c2"), self.n).join(near, ["hid", "c1", "c2"]).select("g", F.explode("sh").alias("t")).distinct()
+        far = of(asks.select(F.col("a").alias("cno"), "g"))
+        own = opened_sets(self.docs, far.select("hid", "c1", "c2").distinct(), self.n).join(far, ["hid", "c1", "c2"])
+        tokens = own.select(F.col("cno").alias("a"), "g", F.size("sh").alias("n"), F.explode("sh").alias("t"))
+        found = tokens.join(union, ["g", "t"]).groupBy("a", "g", "n").count()
+        return found.where(F.lit(100) * F.col("count") >= F.lit(self.percent) * F.col("n")).select("a", "g")
+
+    def links(self) -> DataFrame:
+        """(a, b) of classes that link: enough of all links to connect what is connected."""
+        first = self.stars()
+        groups = components(first)
+        asks = saved(self.asked(groups), "asks")
+        sizes = groups.groupBy("g").count()
+        both = asks.join(sizes.toDF("g1", "k1"), "g1", "left").join(sizes.toDF("g2", "k2"), "g2", "left").fillna(1, ["k1", "k2"])
+        less = F.col("k1") <= F.col("k2")
+        both = saved(both.select(F.when(less, F.col("g1")).otherwise(F.col("g2")).alias("q"), F.when(less, F.col("g2")).otherwise(F.col("g1")).alias("g"), F.greatest("k1", "k2").alias("k")), "sized-asks")
+        # A group's name is one of its members: that one is tried first.
+        q = both.join(groups.select(F.col("cno").alias("m"), F.col("g").alias("q")), "q", "left").select(F.coalesce("m", "q").alias("a"), "g", "k")
+        tried = self.verified(saved(q.select("a", F.col("g").alias("b")), "tries"))
+        out = first.unionByName(tried)
+        rest = saved(q.where("k > 1").select("a", "g").join(tried.toDF("a", "g"), ["a", "g"], "left_anti"), "rest")
+        if not rest.isEmpty():
+            may = saved(self.bounded(rest, groups), "opened")
+            n = self.kinds.select("cno", "n")
+            members = groups.join(n, "cno").select(F.col("cno").alias("b"), "g", F.col("n").alias("nb"))
+            pairs = may.join(n.toDF("a", "n"), "a").join(members, "g").where((F.col("b") != F.col("g")) & near_size(F.col("n"), F.col("nb"), self.percent)).select("a", "b")
+            out = out.unionByName(self.verified(saved(pairs, "open-pairs")))
+        discard(asks, both)
+        return saved(out, "links")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(cno, g) of the linked classes: g is the least cno reachable. Least labels spread and jump until none changes."""
+    both = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both-ways")
+    now = saved(both.select(F.col("a").alias("cno")).distinct().withColumn("g", F.col("cno")), "labels")
     while True:
-        near = both.join(inner.select(F.col("cid").alias("b"), F.col("g").alias("gb")), "b").groupBy(F.col("a").alias("cid")).agg(F.min("gb").alias("near"))
-        step = inner.join(near, "cid").select("cid", F.col("g").alias("old"), F.least("g", "near").alias("g"))
-        jump = inner.select(F.col("cid").alias("g"), F.col("g").alias("far"))
-        new = saved(step.join(jump, "g", "left").select("cid", "old", F.least("g", F.coalesce("far", "g")).alias("g")), "labels")
-        inner = new.select("cid", "g")
-        if new.where("g <> old").isEmpty():
-            break
-    return nodes.select("cid").join(inner, "cid", "left").select("cid", F.coalesce("g", "cid").alias("g"))
-
-
-def frequent(classes: DataFrame) -> list[int]:
-    """Tokens found thrice or more in a sample of classes; they come last in the order of tokens."""
-    n = classes.count()
-    part = classes.select("sh").where(F.pmod("cid", F.lit(max(1, n // ORDER_DOCS))) == 0)
-    top = part.select(F.explode("sh").alias("t")).groupBy("t").count().where("count >= 3").orderBy(F.desc("count"), "t").limit(50_000)
-    return [r["t"] for r in reversed(top.collect())]
-
-
-def prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(cid, n, rest, t): the rarest n - ceil(percent n) + 1 tokens of a class; classes that link share one.
-
-    rest is the number of tokens from t on, in the order of tokens: what two sets have in
-    common from their first common token on is at most the lesser rest.
-    """
-    import numpy as np
-
-    late = frequent(classes)
-    by = np.argsort(np.array(late, dtype=np.int64)) if late else np.array([], dtype=np.int64)
-    keys = np.array(late, dtype=np.int64)[by]
-
-    def cut(lots):
-        import pandas as pd
-
-        for lot in lots:
-            tokens, takes = [], []
-            for n, sh in zip(lot["n"], lot["sh"]):
-                sh = np.asarray(sh, dtype=np.int64)
-                place = np.full(len(sh), -1)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, sh), len(keys) - 1)
-                    place = np.where(keys[at] == sh, by[at], -1)
-                take = n - -(-percent * n // 100) + 1
-                tokens.append(sh[np.lexsort((sh, place))[:take]])
-                takes.append(take)
-            if tokens:
-                at = np.concatenate([np.arange(k) for k in takes])
-                yield pd.DataFrame({"cid": np.repeat(lot["cid"].to_numpy(), takes), "n": np.repeat(lot["n"].to_numpy(), takes), "rest": np.repeat(lot["n"].to_numpy(), takes) - at, "t": np.concatenate(tokens)})
-
-    return classes.select("cid", "n", "sh").mapInPandas(cut, "cid long, n int, rest int, t long")
-
-
-def bucketed(df: DataFrame, n_buckets: int) -> DataFrame:
-    """df written to the shared folder in buckets of cid, so that joins on cid don't shuffle it again."""
-    spark, name = df.sparkSession, f"ledgerlake_classes_{uuid.uuid4().hex}"
-    df.write.bucketBy(n_buckets, "cid").option("path", f"{shared_dir(spark)}/ledgerlake/{name}").saveAsTable(name)
-    return spark.table(name)
-
-
-def alike(a: Column, b: Column) -> Column:
-    """Similarity by bottom sketches: the share of the least tokens of both that are in both."""
-    low = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    return F.size(F.array_intersect(low, F.array_intersect(a, b))) / F.size(low)
-
-
-def stars(classes: DataFrame, percent: int) -> DataFrame:
-    """Links of classes to the leader of those with the same least hash, for some hashes; one try for each class."""
-    keys = [F.element_at("sh", 1), F.element_at("sh", -1), F.array_min(F.transform("sh", lambda x: F.xxhash64(x, F.lit(1))))]
-    thin = saved(classes.select("cid", "n", F.slice("sh", 1, SKETCH).alias("sk"), F.array(*keys).alias("ks")), "sketches")
-    k = thin.select("cid", "n", "sk", F.posexplode("ks").alias("r", "k"))
-    lead = k.groupBy("r", "k").agg(F.min(F.struct("cid", "n", "sk")).alias("l"), F.count("*").alias("m")).where("m > 1").select("r", "k", F.col("l.cid").alias("b"), F.col("l.n").alias("nb"), F.col("l.sk").alias("skb"))
-    p = k.join(lead, ["r", "k"]).where((F.col("cid") != F.col("b")) & near_size(F.col("n"), F.col("nb"), percent)).withColumn("est", alike(F.col("sk"), F.col("skb")))
-    # The try only saves work: links it misses are found by opening groups.
-    best = p.where(F.lit(100) * F.col("est") >= percent - 15).groupBy(F.col("cid").alias("a")).agg(F.min(F.struct(F.lit(100) * F.col("est") < percent, "b")).alias("pick"))
-    return verified(saved(best.select("a", "pick.b"), "star-pairs"), classes, percent)
-
-
-def opened(classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different groups that a bound doesn't rule out."""
-    of = Window.partitionBy("t")
-    rows = prefixes(classes, percent).join(groups, "cid")
-    # Rows of tokens within one group alone ask nothing.
-    member = saved(rows.withColumn("g_lo", F.min("g").over(of)).withColumn("g_hi", F.max("g").over(of)).where("g_lo <> g_hi").drop("g_lo", "g_hi"), "matrix")
-    # A token's groups, with what is least and most among the members that hold it in their prefix.
-    cells = member.groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("most"))
-    asks = member.join(cells.select("t", F.col("g").alias("g2"), "lo", "hi", "most"), "t")
-    fits = (F.lit(100) * F.col("hi") >= F.lit(percent) * F.col("n")) & (F.lit(percent) * F.col("lo") <= F.lit(100) * F.col("n"))
-    # The similarity asks for this much in common, with the least member at least.
-    enough = F.lit(100 + percent) * F.least("rest", "most") >= F.lit(percent) * (F.col("n") + F.col("lo"))
-    asks = saved(asks.where((F.col("g") < F.col("g2")) & fits & enough).select("cid", "n", "g2").distinct(), "asks")
-    inside = groups.join(asks.select("g2").distinct(), F.col("g") == F.col("g2"), "left_semi")
-    sized = saved(classes.select("cid", "n").join(inside, "cid").select(F.col("cid").alias("b"), F.col("g").alias("g2"), F.col("n").alias("nb")), "asked")
-    several = sized.groupBy("g2").count().where("count > 1").select("g2")
-    # A group of one is its own union: its bound is the comparison itself.
-    single = asks.join(several, "g2", "left_anti").select(F.col("cid").alias("a"), F.col("g2").alias("b"))
-    # Else the bound: tokens of the class within the group's whole union.
-    wide = asks.join(several, "g2", "left_semi")
-    union = classes.join(inside.join(several, F.col("g") == F.col("g2"), "left_semi"), "cid").select("g", F.explode("sh").alias("t")).distinct()
-    tokens = classes.select("cid", "n", "sh").join(wide.select("cid", "g2"), "cid").select("cid", "n", "g2", F.explode("sh").alias("t"))
-    found = tokens.join(union.withColumnRenamed("g", "g2"), ["g2", "t"]).groupBy("cid", "n", "g2").count().where(F.lit(100) * F.col("count") >= F.lit(percent) * F.col("n"))
-    some = found.join(sized, "g2").where(near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cid").alias("a"), "b")
-    return some.unionByName(single).distinct()
+        near = both.join(now.select(F.col("cno").alias("b"), F.col("g").alias("gb")), "b").groupBy(F.col("a").alias("cno")).agg(F.min("gb").alias("near"))
+        step = now.join(near, "cno").select("cno", F.col("g").alias("old"), F.least("g", "near").alias("g"))
+        jump = now.select(F.col("cno").alias("g"), F.col("g").alias("far"))
+        new = saved(step.join(jump, "g", "left").select("cno", "old", F.least("g", F.coalesce("far", "g")).alias("g")), "labels")
+        changed = not new.where("g <> old").isEmpty()
+        discard(now)
+        now = new
+        if not changed:
+            discard(both)
+            return now.select("cno", "g")
 
 
 def classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: id, cid, n; components of classes: cid, g; links: a, b between classes) of docs."""
-    thin = saved(sets(docs, key, text, n).select("id", "cid", "n"), "thin")
-    # Sets are built again rather than written for all documents; copies fall together before the shuffle.
-    total = thin.agg(F.sum("n")).first()[0] or 0
-    n_buckets = max(16, 8 * total // BUCKET_BYTES)
-    # A filter on the sets would go below them and build them anew for each row and word; one on the texts doesn't.
-    full = sets(docs.where(F.col(key).isNotNull() & F.col(text).rlike(r"[^\x20\x09-\x0D]")), key, text, n).select("cid", "n", "sh").dropDuplicates(["cid"])
-    classes = bucketed(full.repartition(n_buckets, "cid"), n_buckets)
-    first = saved(stars(classes, percent), "stars")
-    groups = saved(components(classes, first), "groups")
-    links = saved(first.unionByName(verified(saved(opened(classes, groups, percent), "opened"), classes, percent)), "all-links")
-    return thin, saved(components(classes, links), "parts"), links
+    """(rows: id, c1, c2, n; classes: c1, c2, cno, id, g; links: a, b between classes) of docs; g names the component."""
+    j = Join(docs, key, text, n, percent)
+    links = j.links()
+    kinds = saved(j.kinds.select("c1", "c2", "cno", "id").join(components(links), "cno", "left").withColumn("g", F.coalesce("g", "cno")), "parts")
+    return j.thin.select("id", "c1", "c2", "n"), kinds, links
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(membership: id, cid, n, component; links: a, b between classes) of docs."""
-    thin, parts, links = classed(docs, key, text, n, percent)
-    one = thin.where("id IS NOT NULL AND n > 0").groupBy("cid").agg(F.min("id").alias("id"))
-    least = one.join(parts, "cid").groupBy("g").agg(F.min("id").alias("component"))
-    named = parts.join(least, "g").select("cid", "component")
-    out = thin.join(named, "cid", "left").select("id", "cid", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
+    """(membership: id, n, cno, component; links: a, b between classes) of docs."""
+    thin, kinds, links = classed(docs, key, text, n, percent)
+    least = kinds.groupBy("g").agg(F.min("id").alias("component"))
+    named = kinds.join(least, "g").select("c1", "c2", "cno", "component")
+    out = thin.join(named, ["c1", "c2"], "left").select("id", "n", "cno", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
     return out, links
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
     """One row of each component: that of the least (id, class, row hash); rows with a null id or no words stay."""
-    thin, parts, _ = classed(docs)
-    member = thin.where("id IS NOT NULL AND n > 0").join(parts, "cid").select("id", "cid", "g").distinct()
-    least = saved(member.groupBy("g").agg(F.min(F.struct("id", "cid")).alias("l")).select("l.id", "l.cid"), "least")
-    repeated = saved(thin.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("_llj_id")), "repeated-ids")
-    on = F.col("doc_id") == F.col("_llj_id")
-    # An id of one row tells its class.
-    gone = member.join(least, ["id", "cid"], "left_anti").select(F.col("id").alias("_llj_id")).distinct()
-    single = docs.join(repeated, on, "left_anti").join(gone, on, "left_anti")
-    # Rows of repeated ids are told apart by their classes, which are built again for them alone.
-    rows = docs.join(repeated, on, "left_semi").select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_llj_row"))
-    rows = saved(sets(rows, "doc_id", "text", 5, "_llj_row").select("id", "cid", "n", "_llj_row"), "repeated-rows")
-    best = rows.where("n > 0").join(least, ["id", "cid"], "left_semi").groupBy("id", "cid").agg(F.min_by("_llj_row", F.xxhash64("_llj_row")).alias("_llj_row"))
-    several = rows.where("n = 0").select("_llj_row").unionByName(best.select("_llj_row"))
-    return single.unionByName(several.select("_llj_row.*"))
+    thin, kinds, _ = classed(docs, key, text, n, percent)
+    member = thin.where("id IS NOT NULL AND n > 0").join(kinds.select("c1", "c2", "g"), ["c1", "c2"])
+    least = saved(member.groupBy("g").agg(F.min(F.struct("id", "c1", "c2")).alias("l")).select(F.col("l.id").alias("_llj_id"), F.col("l.c1").alias("_llj_1"), F.col("l.c2").alias("_llj_2")), "least")
+    words = F.coalesce(F.col(text), F.lit("")).rlike(WORDY)
+    part = F.col(key).isNotNull() & words
+    rows = docs.where(part).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), measured(F.col(text), n).alias("m"))
+    rows = rows.select(F.col(f"row.`{key}`").alias("_llj_id"), F.col("m.c1").alias("_llj_1"), F.col("m.c2").alias("_llj_2"), "row")
+    on = ["_llj_id", "_llj_1", "_llj_2"]
+    best = rows.groupBy(*on).agg(F.min_by("row", F.xxhash64("row")).alias("row")).join(least, on, "left_semi")
+    return best.select("row.*").unionByName(docs.where(~part))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
