@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import discard, saved, table
+from .common import discard, saved, spread, table
 
 #: Bytes of matrix cells in a task, about.
 CELL_BYTES = 48 << 20
@@ -84,12 +84,12 @@ def cells(prefixes: DataFrame) -> DataFrame:
     the token and the most tokens such a member has from there on. Cells of a batch's members fall together here."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, whole.num_rows, 1000)):
             g, n, pre = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), batch.column(2)
             ends = pre.offsets.to_numpy().astype(np.int64)
             size = np.diff(ends)
             t = pre.values.to_numpy()[ends[0] : ends[-1]]
-            g, n, rest = np.repeat(g, size), np.repeat(n, size), np.repeat(n, size) - shingles.spread(np.zeros(len(size), np.int64), size)
+            g, n, rest = np.repeat(g, size), np.repeat(n, size), np.repeat(n, size) - spread(np.zeros(len(size), np.int64), size)
             by = np.lexsort((t, g))
             g, t, n, rest = g[by], t[by], n[by], rest[by]
             first = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])]) if len(g) else np.zeros(0, int)
@@ -109,7 +109,7 @@ def opened_sets(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     count = needed.count()
     while bits < min(FILTER_BITS, 64 * count):
         bits *= 2
-    at = F.pmod(F.col("hid").bitwiseXOR(F.col("c1")), F.lit(bits)) + 1
+    at = F.pmod("hid", F.lit(bits)) + 1
     maps = needed.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")).collect()
     wanted = np.zeros(bits // 8, dtype=np.uint8)
     for r in maps:
@@ -118,16 +118,17 @@ def opened_sets(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     def run(batches):
         seen = set()  # copies of a class in this task
         for batch in batches:
-            hid = batch.column(0).to_numpy()
-            for a, b, data, ends in shingles.lots(batch.column(1)):
+            at = batch.column(0).to_numpy() % bits
+            some = np.flatnonzero((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+            hid, texts = batch.column(0).to_numpy()[some], batch.column(1).take(pa.array(some))
+            for a, b, data, ends in shingles.lots(texts):
                 tokens, stops = shingles.sets(data, ends, n)
                 size = np.diff(np.r_[0, stops])
                 c1, c2 = shingles.classes(tokens, stops)
                 own = hid[a:b]
-                at = (own ^ c1) % bits
-                use = [k for k in np.flatnonzero(((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0) & (size > 0)).tolist() if (x := (int(own[k]), int(c1[k]), int(c2[k]))) not in seen and not seen.add(x)]
+                use = [k for k in np.flatnonzero(size).tolist() if (x := (int(own[k]), int(c1[k]), int(c2[k]))) not in seen and not seen.add(x)]
                 if use:
-                    sh = shingles.lists(tokens[shingles.spread((stops - size)[use], size[use])], np.cumsum(size[use]))
+                    sh = shingles.lists(tokens[spread((stops - size)[use], size[use])], np.cumsum(size[use]))
                     yield pa.RecordBatch.from_arrays([pa.array(own[use]), pa.array(c1[use]), pa.array(c2[use]), sh], ["hid", "c1", "c2", "sh"])
 
     return docs.select("hid", "t").mapInArrow(run, "hid long, c1 long, c2 long, sh array<long>")
@@ -204,11 +205,15 @@ class Join:
         laid = cells(one).repartition(n_parts, "t").groupBy("t", "g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("most").alias("most"))
         x = laid.select("t", F.struct("g", "lo", "hi", "most").alias("x"))
         y = laid.select("t", F.struct("g", "lo", "hi", "most").alias("y"))
-        lo = F.col("x.lo") + F.col("y.lo")
         fits = (F.lit(100) * F.col("x.hi") >= F.lit(percent) * F.col("y.lo")) & (F.lit(100) * F.col("y.hi") >= F.lit(percent) * F.col("x.lo"))
-        # From their first common token on, two sets have at most the lesser rest in common.
-        enough = F.lit(100 + percent) * F.least("x.most", "y.most") >= F.lit(percent) * lo
-        return x.join(y, "t").where((F.col("x.g") < F.col("y.g")) & fits & enough).select(F.col("x.g").alias("g1"), F.col("y.g").alias("g2")).distinct()
+        # From their first common token on, two sets have at most the lesser rest in common; the first is one of those met.
+        enough = F.lit(100 + percent) * F.least("x.most", "y.most") >= F.lit(percent) * (F.col("x.lo") + F.col("y.lo"))
+        met = x.join(y, "t").where((F.col("x.g") < F.col("y.g")) & fits).groupBy(F.col("x.g").alias("g1"), F.col("y.g").alias("g2"))
+        met = met.agg(F.count("*").alias("c"), (F.min("x.lo") + F.min("y.lo")).alias("lo"), F.greatest(F.max("x.hi"), F.max("y.hi")).alias("hi"), F.bool_or(enough).alias("enough"))
+        # The prefix that ends first holds every common token up to its end, so both have it in common there:
+        # more than these cells in common come only from what follows a prefix, ceil(percent n) - 1 tokens.
+        rest = F.floor((F.lit(percent) * F.col("hi") + 99) / 100) - 1
+        return met.where(F.col("enough") & (F.lit(100 + percent) * (F.col("c") + rest) >= F.lit(percent) * F.col("lo"))).select("g1", "g2")
 
     def bounded(self, asks: DataFrame, groups: DataFrame) -> DataFrame:
         """The (a, g) of asks where class a's overlap with the union of all tokens of group g allows a link."""

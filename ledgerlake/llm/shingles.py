@@ -13,8 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import spread
+
 #: Texts are taken in lots of about so many bytes.
-LOT_BYTES = 1_000_000
+LOT_BYTES = 500_000
 #: Least tokens of a set that estimate its similarity to a leader, and hash seeds of the keys to find one by.
 SKETCH, KEYS = 16, 4
 
@@ -33,12 +35,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """start[0], start[0] + 1 and so on for size[0] places, then the same for the next."""
-    ends = np.cumsum(size)
-    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def _sums(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of consecutive parts of x."""
     return np.diff(np.r_[np.zeros(1, x.dtype), np.cumsum(x)][np.r_[0, ends]])
