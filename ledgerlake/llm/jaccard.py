@@ -30,8 +30,8 @@ from .common import discard, saved, spread, table
 
 #: Bytes of matrix cells in a task, about.
 CELL_BYTES = 48 << 20
-#: Documents by which the order of tokens is estimated, and tokens put last; both change costs, not results.
-ORDER_DOCS, LATE_TOKENS = 4000, 50_000
+#: One class in so many tells which tokens are frequent, and most tokens put last; both change costs, not results.
+ORDER_EVERY, LATE_TOKENS = 16, 500_000
 #: Most bits of the filter that says which sets a comparison needs (8 MB); beyond, more sets are shuffled than needed.
 FILTER_BITS = 1 << 26
 WORDY = r"[^\x20\x09-\x0D]"
@@ -187,11 +187,10 @@ class Join:
 
     def late(self) -> np.ndarray:
         """Tokens found thrice or more in a sample of classes, the most frequent last; they end the order of tokens."""
-        every = max(1, self.kinds.count() // ORDER_DOCS)
-        part = F.pmod(F.col("hid"), F.lit(every)) == 0
+        part = F.pmod(F.col("hid"), F.lit(ORDER_EVERY)) == 0
         own = opened_sets(self.docs.where(part), self.name.where(part).select("hid", "c1", "c2"), self.n)
         top = own.select(F.explode("sh").alias("t")).groupBy("t").count().where("count >= 3").orderBy(F.desc("count"), "t").limit(LATE_TOKENS)
-        return np.array([r["t"] for r in reversed(top.collect())], dtype=np.int64)
+        return top.select("t").toArrow().column(0).to_numpy()[::-1].astype(np.int64)
 
     def asked(self, groups: DataFrame) -> DataFrame:
         """(g1, g2): groups whose cells don't rule out a link between them."""
@@ -227,10 +226,10 @@ class Join:
         found = tokens.join(union, ["g", "t"]).groupBy("a", "g", "n").count()
         return found.where(F.lit(100) * F.col("count") >= F.lit(self.percent) * F.col("n")).select("a", "g")
 
-    def links(self) -> DataFrame:
-        """(a, b) of classes that link: enough of all links to connect what is connected."""
+    def grouped(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(links a, b; groups cno, g of the linked classes of stars; parts g, part of groups that later links join)."""
         first = self.stars()
-        groups = components(first)
+        groups = roots(first)
         asks = saved(self.asked(groups), "asks")
         sizes = groups.groupBy("g").count()
         both = asks.join(sizes.toDF("g1", "k1"), "g1", "left").join(sizes.toDF("g2", "k2"), "g2", "left").fillna(1, ["k1", "k2"])
@@ -238,17 +237,31 @@ class Join:
         both = saved(both.select(F.when(less, F.col("g1")).otherwise(F.col("g2")).alias("q"), F.when(less, F.col("g2")).otherwise(F.col("g1")).alias("g"), F.greatest("k1", "k2").alias("k")), "sized-asks")
         # A group's name is one of its members: that one is tried first.
         q = both.join(groups.select(F.col("cno").alias("m"), F.col("g").alias("q")), "q", "left").select(F.coalesce("m", "q").alias("a"), "g", "k")
-        tried = self.verified(saved(q.select("a", F.col("g").alias("b")), "tries"))
-        out = first.unionByName(tried)
-        rest = saved(q.where("k > 1").select("a", "g").join(tried.toDF("a", "g"), ["a", "g"], "left_anti"), "rest")
+        more = self.verified(saved(q.select("a", F.col("g").alias("b")), "tries"))
+        rest = saved(q.where("k > 1").select("a", "g").join(more.toDF("a", "g"), ["a", "g"], "left_anti"), "rest")
         if not rest.isEmpty():
             may = saved(self.bounded(rest, groups), "opened")
             n = self.kinds.select("cno", "n")
             members = groups.join(n, "cno").select(F.col("cno").alias("b"), "g", F.col("n").alias("nb"))
             pairs = may.join(n.toDF("a", "n"), "a").join(members, "g").where((F.col("b") != F.col("g")) & near_size(F.col("n"), F.col("nb"), self.percent)).select("a", "b")
-            out = out.unionByName(self.verified(saved(pairs, "open-pairs")))
+            more = saved(more.unionByName(self.verified(saved(pairs, "open-pairs"))), "later-links")
         discard(asks, both)
-        return saved(out, "links")
+        group = lambda x: groups.select(F.col("cno").alias(x), F.col("g").alias(f"g{x}"))
+        between = more.join(group("a"), "a", "left").join(group("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).where("a <> b").distinct()
+        return first.unionByName(more), groups, components(saved(between, "between")).toDF("g", "part")
+
+
+def roots(links: DataFrame) -> DataFrame:
+    """(cno, g) of the classes in links (a, b), of which each a has one and b is less: where following them ends."""
+    now = saved(links.select(F.col("a").alias("cno"), F.col("b").alias("g")), "roots")
+    while True:
+        on = now.select(F.col("cno").alias("g"), F.col("g").alias("far"))
+        new = saved(now.join(on, "g", "left").select("cno", F.coalesce("far", "g").alias("g"), F.col("far").isNotNull().alias("moved")), "roots")
+        moved = not new.where("moved").isEmpty()
+        discard(now)
+        now = new.select("cno", "g")
+        if not moved:
+            return saved(now.unionByName(now.select(F.col("g").alias("cno"), "g").distinct()), "groups")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -271,9 +284,9 @@ def components(links: DataFrame) -> DataFrame:
 def classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: id, c1, c2, n; classes: c1, c2, cno, id, g; links: a, b between classes) of docs; g names the component."""
     j = Join(docs, key, text, n, percent)
-    links = j.links()
-    kinds = saved(j.kinds.select("c1", "c2", "cno", "id").join(components(links), "cno", "left").withColumn("g", F.coalesce("g", "cno")), "parts")
-    return j.thin.select("id", "c1", "c2", "n"), kinds, links
+    links, groups, parts = j.grouped()
+    kinds = j.kinds.select("c1", "c2", "cno", "id").join(groups, "cno", "left").withColumn("g", F.coalesce("g", "cno")).join(parts, "g", "left")
+    return j.thin.select("id", "c1", "c2", "n"), saved(kinds.select("c1", "c2", "cno", "id", F.coalesce("part", "g").alias("g")), "parts"), links
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:

@@ -17,8 +17,8 @@ from .common import spread
 
 #: Texts are taken in lots of about so many bytes.
 LOT_BYTES = 500_000
-#: Least tokens of a set that estimate its similarity to a leader, and hash seeds of the keys to find one by.
-SKETCH, KEYS = 16, 4
+#: Least tokens of a set that estimate its similarity to a leader; keys to find one by, each of so many least hashes.
+SKETCH, KEYS, BAND = 16, 6, 3
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -127,9 +127,12 @@ def first_of_each(tokens: np.ndarray, ends: np.ndarray, most: int | np.ndarray)
 
 
 def keys(tokens: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """KEYS least hashes of each set, one by seed; none for an empty set."""
+    """KEYS hashes of each set, each over the least hashes by BAND seeds; none for an empty set."""
     size = np.diff(np.r_[0, ends])
     some = np.flatnonzero(size)
-    t = tokens.view(np.uint64)
-    least = [np.minimum.reduceat(mixed(t ^ np.uint64(int(_STEP) * (2 * k + 3) % 2**64)), (ends - size)[some]) if len(some) else np.zeros(0, np.uint64) for k in range(KEYS)]
-    return lists(np.stack(least, 1).reshape(-1).view(np.int64), np.cumsum(np.where(size > 0, KEYS, 0)))
+    start, t = (ends - size)[some], tokens.view(np.uint64)
+    bands = np.zeros((len(some), KEYS), dtype=np.uint64)
+    for k in range(KEYS * BAND if len(some) else 0):
+        least = np.minimum.reduceat(mixed(t ^ np.uint64(int(_STEP) * (2 * k + 3) % 2**64)), start)
+        bands[:, k // BAND] = mixed(bands[:, k // BAND] * _BASE + least)
+    return lists(bands.reshape(-1).view(np.int64), np.cumsum(np.where(size > 0, KEYS, 0)))
