@@ -1,17 +1,46 @@
-"""Cleansing: latest row per key, restricted dimensions, outlier fences."""
+"""Cleansing: the latest row of a key, dimensions cut to what facts ask for, orphan marks, outlier limits."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+def latest_by(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+    """One row of each key: the greatest by the order, which should be total. Aggregated before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.`{c}`").alias(c) for c in rest]).select(*df.columns)
+
+
+def asked_for(dim: DataFrame, key: str, facts: DataFrame, fact_key: str) -> DataFrame:
+    """The rows of a dimension whose keys some fact has: a semi join, so each stays once."""
+    keys = facts.where(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias(key)).distinct()
+    return dim.join(keys, key, "left_semi")
+
+
+def enriched(facts: DataFrame, fact_key: str, dim: DataFrame, key: str, orphan: str | None = None, **columns: Column | None) -> DataFrame:
+    """facts with columns of the dimension (a default stands where the key is unknown) and a mark of unknown keys.
+
+    The dimension is first cut to the keys in use; its size then decides how the planner joins.
+    """
+    side = asked_for(dim, key, facts, fact_key).select(F.col(key).alias("_key"), F.lit(True).alias("_known"), *[F.col(c).alias(f"_d_{c}") for c in columns])
+    out = facts.join(side, F.col(fact_key) == F.col("_key"), "left")
+    out = out.withColumns({c: F.col(f"_d_{c}") if d is None else F.coalesce(F.col(f"_d_{c}"), d) for c, d in columns.items()})
+    if orphan:
+        out = out.withColumn(orphan, F.col("_known").isNull())
+    return out.drop("_key", "_known", *[f"_d_{c}" for c in columns])
 
 
 def fences(df: DataFrame, key: str, value: str, k: float = 3.0) -> DataFrame:
-    """Upper fence of log1p(value) by key: q3 + k * (q3 - q1)."""
-    q = F.percentile_approx(F.log1p(F.col(value)), [0.25, 0.75], 10_000)
-    return df.groupBy(key).agg(q.alias("_q")).select(key, (F.col("_q")[1] + k * (F.col("_q")[1] - F.col("_q")[0])).alias("fence"))
+    """(key, fence): how far log1p(value) may go above the third quartile, in spreads of the middle half."""
+    quartile = lambda q: F.percentile_approx(F.log1p(F.col(value)), q, 10_000)
+    return df.groupBy(key).agg((quartile(0.75) + F.lit(k) * (quartile(0.75) - quartile(0.25))).alias("fence"))
+
+
+def flagged(df: DataFrame, key: str, value: str, limits: DataFrame | None = None, k: float = 3.0) -> DataFrame:
+    """df with `outlier`; the limits come from df itself or, for batches too small for quartiles, from elsewhere. No row is dropped."""
+    limits = fences(df, key, value, k) if limits is None else limits
+    return df.join(limits, key, "left").withColumn("outlier", F.coalesce(F.log1p(F.col(value)) > F.col("fence"), F.lit(False))).drop("fence")

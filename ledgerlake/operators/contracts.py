@@ -1,31 +1,81 @@
-"""Contracts: ordered (reason, predicate) rules compiled to one array of reasons per row."""
+"""Contracts: ordered (reason, condition) rules compiled to one array of reasons per row, and what follows from it."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.expressions import masked, pseudonym
+
 
 @dataclass(frozen=True)
 class Contract:
+    """What a row must be like. Enumerations and ranges let nulls pass; `required` doesn't."""
+
     required: Sequence[str] = ()
-    enums: dict[str, Sequence[str]] = field(default_factory=dict)
+    enums: Mapping[str, Sequence[str]] = field(default_factory=dict)
     not_negative: Sequence[str] = ()
+    countries: tuple[str, Sequence[str]] | None = None
+    #: (entity column, entities): checked unless the column has an enumeration of its own.
+    entities: tuple[str, Sequence[str]] | None = None
+    #: (currency column, country column, currency by country)
+    currency: tuple[str, str, Mapping[str, str]] | None = None
+    corrupt: str | None = None
+    personal: Sequence[str] = ()
+
+    def rules(self) -> list[tuple[str, Column]]:
+        out = [("MALFORMED_ROW", F.col(self.corrupt).isNotNull())] if self.corrupt else []
+        out += [(f"MISSING_{c.upper()}", F.col(c).isNull()) for c in self.required]
+        if self.countries:
+            out.append(("INVALID_COUNTRY_CODE", ~F.col(self.countries[0]).isin(*self.countries[1])))
+        if self.entities and self.entities[0] not in self.enums:
+            out.append(("INVALID_ENTITY_TYPE", ~F.col(self.entities[0]).isin(*self.entities[1])))
+        out += [(f"INVALID_{c.upper()}", ~F.col(c).isin(*v)) for c, v in self.enums.items()]
+        out += [(f"NEGATIVE_{c.upper()}", F.col(c) < 0) for c in self.not_negative]
+        if self.currency:
+            c, country, known = self.currency
+            of = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[F.col(country)]
+            out.append(("CURRENCY_COUNTRY_MISMATCH", F.col(c) != of))
+        return out
 
     def reasons(self) -> Column:
-        """Every reason that holds, in order; null values fail only where they are required."""
-        rules = [(F.col(c).isNull(), f"MISSING_{c.upper()}") for c in self.required]
-        rules += [(~F.col(c).isin(*v), f"INVALID_{c.upper()}") for c, v in self.enums.items()]
-        rules += [(F.col(c) < 0, f"NEGATIVE_{c.upper()}") for c in self.not_negative]
-        return F.array_compact(F.array(*[F.when(p, F.lit(r)) for p, r in rules]))
+        """Every reason that holds, in order."""
+        return F.array_compact(F.array(*[F.when(p, F.lit(r)) for r, p in self.rules()]))
 
 
 def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their reasons joined by commas)."""
     told = df.withColumn("_reasons", contract.reasons())
-    valid = told.where(F.size("_reasons") == 0).drop("_reasons")
+    valid = told.where(F.size("_reasons") == 0).drop("_reasons", *([contract.corrupt] if contract.corrupt else []))
     rejected = told.where(F.size("_reasons") > 0).withColumn("reasons", F.array_join("_reasons", ",")).drop("_reasons")
     return valid, rejected
+
+
+def reject_records(rejected: DataFrame, contract: Contract, dataset: str, key: str, country: str, source: Column) -> DataFrame:
+    """Rejects of any dataset in one shape. The raw record is the text that didn't parse, or else JSON without personal columns."""
+    hidden = {*contract.personal, "reasons", contract.corrupt}
+    raw = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in rejected.columns if c not in hidden]))
+    raw = F.coalesce(F.col(contract.corrupt), raw) if contract.corrupt else raw
+    return rejected.select(F.lit(dataset).alias("dataset"), source.alias("source_file"), F.col(country).cast("string").alias("country"), F.col(key).cast("string").alias("record_id"), "reasons", raw.alias("raw_record"))
+
+
+def without_personal(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
+    """df with <column>_masked and <column>_hash in the place of each personal column; values lose their white space first."""
+    plain = {c: F.regexp_replace(F.col(c).cast("string"), r"\s+", "") for c in columns}
+    df = df.withColumns({f"{c}_masked": masked(v) for c, v in plain.items()} | {f"{c}_hash": pseudonym(v, salt) for c, v in plain.items()})
+    return df.drop(*columns)
+
+
+def file_stats(valid: DataFrame, rejected: DataFrame, source: str) -> DataFrame:
+    """Rows read, valid and rejected of each file."""
+    both = valid.select(F.col(source), F.lit(0).alias("bad")).unionByName(rejected.select(F.col(source), F.lit(1).alias("bad")))
+    return both.groupBy(source).agg(F.count("*").alias("rows_read"), F.count_if(F.col("bad") == 0).alias("rows_valid"), F.count_if(F.col("bad") == 1).alias("rows_rejected"))
+
+
+def quality_metrics(df: DataFrame, dataset: str, country: str, flags: Sequence[str]) -> DataFrame:
+    """Rows of each country, and how many have each flag, as JSON."""
+    counts = F.struct(*[F.count_if(F.col(f)).alias(f) for f in flags])
+    return df.groupBy(F.col(country).alias("country")).agg(F.count("*").alias("n_rows"), F.to_json(counts).alias("flags")).withColumn("dataset", F.lit(dataset))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.expressions import MICRO, micros
 from ledgerlake.plans.gold import nations, parity
 from ledgerlake.sources.tables import load
 
@@ -122,13 +123,13 @@ def alert_aml(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {BANK}, r AS (SELECT n_name AS country, sum(CASE WHEN n_regionkey = 0 THEN c_acctbal / 15.0::DOUBLE ELSE c_acctbal END) AS deposits FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal >= 0 GROUP BY 1),
-g AS (SELECT country, {START}, sum(CASE WHEN type = 'DEPOSIT' THEN -eur WHEN type IN ('WITHDRAWAL', 'TRANSFER', 'INTERNATIONAL_WIRE', 'PAYMENT') THEN eur ELSE 0 END) AS net, count(*) AS n, max(ts) AS last FROM bank, {SLIDES} WHERE status = 'SUCCESS' GROUP BY ALL)
+g AS (SELECT country, {START}, sum(CAST(round(CASE WHEN type = 'DEPOSIT' THEN -eur WHEN type IN ('WITHDRAWAL', 'TRANSFER', 'INTERNATIONAL_WIRE', 'PAYMENT') THEN eur ELSE 0 END * 1000000) AS BIGINT)) / 1000000::DOUBLE AS net, count(*) AS n, max(ts) AS last FROM bank, {SLIDES} WHERE status = 'SUCCESS' GROUP BY ALL)
 SELECT sha256(concat_ws('|', 'LIQUIDITY_COVERAGE', country, ws)) AS alert_id, 'LIQUIDITY_COVERAGE' AS rule_code, 'CRITICAL' AS severity, country, 'BANK' AS entity, 'COUNTRY' AS subject_type, country AS subject_id, last AS event_time, ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, round(net, 2) AS amount_eur, n::INT AS n_ops, []::VARCHAR[] AS ids, '{{"threshold_pct":"1.0"}}' AS details
 FROM g JOIN r USING (country) WHERE deposits > 0 AND net / deposits > 0.01""")
 def alert_liquidity(spark: SparkSession, sf: str) -> DataFrame:
     c = load(spark, sf, "customer").where("c_mktsegment <> 'MACHINERY' AND c_acctbal >= 0").withColumnRenamed("c_nationkey", "nation").join(nations(spark, sf, "nation", "country"), "nation")
     reserves = c.groupBy("country").agg(F.sum(F.when(F.col("_r") == 0, F.col("c_acctbal") / GHS_PER_EUR).otherwise(F.col("c_acctbal"))).alias("deposits"))
     signed = F.when(F.col("type") == "DEPOSIT", -F.col("eur")).when(F.col("type").isin("WITHDRAWAL", "TRANSFER", "INTERNATIONAL_WIRE", "PAYMENT"), F.col("eur")).otherwise(0.0)
-    g = bank(spark, sf).where("status = 'SUCCESS'").groupBy(F.window("ts", SIZE, SLIDE).alias("w"), "country").agg(F.sum(signed).alias("net"), F.count("*").alias("n"), F.max("ts").alias("last"))
+    g = bank(spark, sf).where("status = 'SUCCESS'").groupBy(F.window("ts", SIZE, SLIDE).alias("w"), "country").agg((micros(signed) / MICRO).alias("net"), F.count("*").alias("n"), F.max("ts").alias("last"))
     hits = g.join(reserves, "country").where((F.col("deposits") > 0) & (F.col("net") / F.col("deposits") > OUTFLOW)).withColumn("entity", F.lit("BANK"))
     return hits.select(*alert("LIQUIDITY_COVERAGE", "CRITICAL", "COUNTRY", "country", [F.col("country"), F.col("w.start")], time=F.col("last"), amount=F.col("net"), n=F.col("n"), window=True, threshold_pct=F.lit(100 * OUTFLOW)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.expressions import masked, pseudonym, ratio
+from ledgerlake.functions.expressions import half_up, masked, pseudonym, ratio
 from ledgerlake.operators.cleanse import fences, latest_by
 from ledgerlake.operators.contracts import Contract, split
 from ledgerlake.plans.domain import bank, insurance, mobile
@@ -57,11 +57,11 @@ def kpi_claim_time(spark: SparkSession, sf: str) -> DataFrame:
     return insurance(spark, sf).where("is_claim").groupBy("country").agg(F.count("*").alias("n_claims"), F.percentile_approx("days", 0.5).alias("p50_days"), F.percentile_approx("days", 0.9).alias("p90_days"))
 
 
-@query(f"""WITH {BANK} SELECT country, date_trunc('month', ts)::DATE AS month, CAST(count(DISTINCT client) AS BIGINT) AS clients, CASE WHEN count(DISTINCT client) > 0 THEN round(sum(amount) / count(DISTINCT client), 2) END AS arpu FROM bank GROUP BY ALL""")
+@query(f"""WITH {BANK} SELECT country, date_trunc('month', ts)::DATE AS month, CAST(count(DISTINCT client) AS BIGINT) AS clients, CASE WHEN count(DISTINCT client) > 0 THEN floor(sum(CAST(round(amount * 100) AS BIGINT)) / 100::DOUBLE / count(DISTINCT client) * 100 + 0.5) / 100 END AS arpu FROM bank GROUP BY ALL""")
 def kpi_arpu(spark: SparkSession, sf: str) -> DataFrame:
     g = bank(spark, sf).groupBy("country", F.to_date(F.date_trunc("month", "ts")).alias("month"))
     n = F.countDistinct("client")
-    return g.agg(n.alias("clients"), ratio(F.sum("amount"), n, 2).alias("arpu"))
+    return g.agg(n.alias("clients"), half_up(F.sum(F.round(F.col("amount") * 100).cast("long")) / 100 / n).alias("arpu"))
 
 
 @query(f"""WITH {MOB}, u AS (SELECT CAST(ts AS DATE) AS day, sender AS who FROM mob UNION ALL SELECT CAST(ts AS DATE), receiver FROM mob),
@@ -89,7 +89,7 @@ m AS (SELECT unnest(generate_series(a, z, INTERVAL 1 MONTH))::DATE AS as_of FROM
 SELECT as_of, round(sum(outstanding), 2) AS portfolio, round(coalesce(sum(outstanding) FILTER (defaulted), 0), 2) AS bad FROM m JOIN v ON as_of >= month AND (until IS NULL OR as_of < until) GROUP BY as_of""")
 def kpi_npl(spark: SparkSession, sf: str) -> DataFrame:
     li = load(spark, sf, "lineitem").withColumn("month", F.to_date(F.date_trunc("month", "l_shipdate")))
-    s = latest_by(li, ["l_suppkey", "month"], F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber"), F.desc("l_extendedprice"))
+    s = latest_by(li, ["l_suppkey", "month"], F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice"))
     s = s.withColumn("until", F.lead("month").over(Window.partitionBy("l_suppkey").orderBy("month")))
     last = s.agg(F.max("month").alias("z"))  # one row
     s = s.crossJoin(F.broadcast(last)).withColumn("to", F.coalesce(F.date_sub("until", 1), F.col("z")))
@@ -132,7 +132,7 @@ def reject_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS n FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM t WHERE n = 1""")
 def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
-    out = latest_by(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], F.desc("l_shipdate"), F.desc("l_partkey"), F.desc("l_suppkey"), F.desc("l_extendedprice"))
+    out = latest_by(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], F.col("l_shipdate"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice"))
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
