@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 from . import shingles
 from .common import discard, saved, spread, table
 
+#: Times that classes try a leader; groups only save work, so more tries change costs, not results.
+STAR_ROUNDS = 4
+#: Members of a group that a class is compared with at a time, about.
+BLOCK = 256
 #: Bytes of matrix cells in a task, about.
 CELL_BYTES = 48 << 20
 #: One class in so many tells which tokens are frequent, and most tokens put last; both change costs, not results.
@@ -162,28 +166,40 @@ class Join:
         full = saved(pairs.join(side("a"), "a").join(side("b"), "b"), "pairs")
         if full.isEmpty():
             return full.select("a", "b")
-        sets = {x: opened_sets(self.docs, full.select(F.col(f"{x}h").alias("hid"), F.col(f"{x}1").alias("c1"), F.col(f"{x}2").alias("c2")).distinct(), self.n).toDF(f"{x}h", f"{x}1", f"{x}2", f"s{x}") for x in "ab"}
-        df = sets["a"].join(full, ["ah", "a1", "a2"]).select("a", "b", "bh", "b1", "b2", "sa").join(sets["b"], ["bh", "b1", "b2"])
+        keys = [full.select(F.col(f"{x}h").alias("hid"), F.col(f"{x}1").alias("c1"), F.col(f"{x}2").alias("c2")) for x in "ab"]
+        sets = saved(opened_sets(self.docs, keys[0].unionByName(keys[1]).distinct(), self.n), "sets")
+        of = lambda x: sets.toDF(f"{x}h", f"{x}1", f"{x}2", f"s{x}")
+        df = full.join(of("a"), ["ah", "a1", "a2"]).select("a", "b", "bh", "b1", "b2", "sa").join(of("b"), ["bh", "b1", "b2"])
         out = saved(df.where(linked(F.col("sa"), F.col("sb"), self.percent)).select("a", "b").distinct(), "verified")
-        discard(full)
+        discard(full, sets)
         return out
 
-    def stars(self) -> DataFrame:
-        """Links of classes to a leader that has a key in common; one try for each class."""
+    def stars(self) -> tuple[DataFrame, DataFrame]:
+        """(links a, b; groups cno, g of the linked classes): in each round a class tries one leader that has a key in common."""
         percent = self.percent
         k = self.kinds.select("cno", "n", F.posexplode("ks").alias("r", "k"))
-        lead = k.groupBy("r", "k").agg(F.min(F.struct("cno", "n")).alias("l"), F.count("*").alias("m")).where("m > 1").select("r", "k", F.col("l.cno").alias("b"), F.col("l.n").alias("nb"))
-        lead = saved(lead, "leaders")
-        p = k.join(lead, ["r", "k"]).where((F.col("cno") != F.col("b")) & near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cno").alias("a"), "b").distinct()
+        shared = saved(k.groupBy("r", "k").agg(F.count("*").alias("m")).where("m > 1").select("r", "k"), "shared-keys")
+        k = saved(k.join(shared, ["r", "k"]), "keys")
         sk = lambda x: self.kinds.select(F.col("cno").alias(x), F.col("sk").alias(f"s{x}"))
         low = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, shingles.SKETCH)
         est = F.lit(100) * F.size(F.array_intersect(low, F.array_intersect("sa", "sb"))) / F.size(low)
-        p = p.join(sk("a"), "a").join(sk("b"), "b").select("a", "b", est.alias("est"))
-        # The try only saves work: links it misses are found by opening groups.
-        best = p.where(F.col("est") >= percent - 25).groupBy("a").agg(F.min(F.struct(F.col("est") < percent, "b")).alias("pick"))
-        out = self.verified(saved(best.select("a", "pick.b"), "star-pairs"))
-        discard(lead)
-        return out
+        links, groups = None, None
+        for turn in range(STAR_ROUNDS):
+            now = k.withColumn("g", F.col("cno")) if groups is None else k.join(groups, "cno", "left").withColumn("g", F.coalesce("g", "cno"))
+            lead = now.groupBy("r", "k").agg(F.min(F.struct(F.xxhash64("cno", F.lit(turn)).alias("h"), "cno", "n", "g")).alias("l"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi")
+            lead = saved(lead.select("r", "k", F.col("l.cno").alias("b"), F.col("l.n").alias("nb"), F.col("l.g").alias("gb")), "leaders")
+            p = now.join(lead, ["r", "k"]).where((F.col("g") != F.col("gb")) & near_size(F.col("n"), F.col("nb"), percent)).select(F.col("cno").alias("a"), "b").distinct()
+            p = p.join(sk("a"), "a").join(sk("b"), "b").select("a", "b", est.alias("est"))
+            # The try only saves work: links it misses are found by opening groups.
+            best = p.where(F.col("est") >= percent - 25).groupBy("a").agg(F.min(F.struct(F.col("est") < percent, "b")).alias("pick"))
+            found = self.verified(saved(best.select("a", "pick.b"), "star-pairs"))
+            discard(lead)
+            links = found if links is None else links.unionByName(found)
+            groups = joined_groups(groups, found)
+            if found.isEmpty():
+                break
+        discard(shared, k)
+        return links, groups
 
     def late(self) -> np.ndarray:
         """Tokens found thrice or more in a sample of classes, the most frequent last; they end the order of tokens."""
@@ -218,18 +234,44 @@ class Join:
         """The (a, g) of asks where class a's overlap with the union of all tokens of group g allows a link."""
         inside = groups.join(asks.select("g").distinct(), "g", "left_semi")
         of = lambda who: self.name.join(who, "cno")
-        near = of(inside)
-        union = opened_sets(self.docs, near.select("hid", "c1", "c2"), self.n).join(near, ["hid", "c1", "c2"]).select("g", F.explode("sh").alias("t")).distinct()
-        far = of(asks.select(F.col("a").alias("cno"), "g"))
-        own = opened_sets(self.docs, far.select("hid", "c1", "c2").distinct(), self.n).join(far, ["hid", "c1", "c2"])
+        near, far = of(inside), of(asks.select(F.col("a").alias("cno"), "g"))
+        need = [x.select("hid", "c1", "c2") for x in (near, far)]
+        sets = saved(opened_sets(self.docs, need[0].unionByName(need[1]).distinct(), self.n), "sets")
+        union = sets.join(near, ["hid", "c1", "c2"]).select("g", F.explode("sh").alias("t")).distinct()
+        own = sets.join(far, ["hid", "c1", "c2"])
         tokens = own.select(F.col("cno").alias("a"), "g", F.size("sh").alias("n"), F.explode("sh").alias("t"))
         found = tokens.join(union, ["g", "t"]).groupBy("a", "g", "n").count()
         return found.where(F.lit(100) * F.col("count") >= F.lit(self.percent) * F.col("n")).select("a", "g")
 
+    def opened(self, may: DataFrame, groups: DataFrame) -> DataFrame:
+        """The links (a, b) of each class a with the members of its group g, for (a, g) in may: a class against BLOCK members at a time."""
+        inside = groups.join(may.select("g").distinct(), "g", "left_semi")
+        blocks = inside.groupBy("g").count().select("g", F.ceil(F.col("count") / BLOCK).cast("int").alias("n_blocks"))
+        near = self.name.join(inside, "cno").join(blocks, "g").withColumn("block", F.pmod(F.xxhash64("cno"), F.col("n_blocks")).cast("int"))
+        far = self.name.join(may.select(F.col("a").alias("cno"), "g"), "cno").join(blocks, "g")
+        need = [x.select("hid", "c1", "c2") for x in (near, far)]
+        sets = saved(opened_sets(self.docs, need[0].unionByName(need[1]).distinct(), self.n), "sets")
+        packed = sets.join(near, ["hid", "c1", "c2"]).groupBy("g", "block").agg(F.collect_list(F.struct("cno", "sh")).alias("m"))
+        ask = sets.join(far, ["hid", "c1", "c2"]).select(F.col("cno").alias("a"), "g", F.col("sh").alias("sa"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
+        percent = self.percent
+
+        @F.arrow_udf("array<bigint>")
+        def linked_members(sa: pa.Array, m: pa.Array) -> pa.Array:
+            out = []
+            for own, members in zip(sa, m):
+                own, ids, sh = own.values.to_numpy(), members.values.field("cno").to_numpy(), members.values.field("sh")
+                tokens, ends = sh.flatten().to_numpy(), np.cumsum(sh.value_lengths().to_numpy())
+                both = np.diff(np.r_[0, np.cumsum(np.isin(tokens, own))][np.r_[0, ends]])
+                size = np.diff(np.r_[0, ends])
+                out.append(ids[100 * both >= percent * (len(own) + size - both)].tolist())
+            return pa.array(out, pa.list_(pa.int64()))
+
+        met = ask.join(packed, ["g", "block"]).select("a", linked_members("sa", "m").alias("b"))
+        return saved(met.select("a", F.explode("b").alias("b")), "opened-links")
+
     def grouped(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(links a, b; groups cno, g of the linked classes of stars; parts g, part of groups that later links join)."""
-        first = self.stars()
-        groups = roots(first)
+        first, groups = self.stars()
         asks = saved(self.asked(groups), "asks")
         sizes = groups.groupBy("g").count()
         both = asks.join(sizes.toDF("g1", "k1"), "g1", "left").join(sizes.toDF("g2", "k2"), "g2", "left").fillna(1, ["k1", "k2"])
@@ -241,27 +283,23 @@ class Join:
         rest = saved(q.where("k > 1").select("a", "g").join(more.toDF("a", "g"), ["a", "g"], "left_anti"), "rest")
         if not rest.isEmpty():
             may = saved(self.bounded(rest, groups), "opened")
-            n = self.kinds.select("cno", "n")
-            members = groups.join(n, "cno").select(F.col("cno").alias("b"), "g", F.col("n").alias("nb"))
-            pairs = may.join(n.toDF("a", "n"), "a").join(members, "g").where((F.col("b") != F.col("g")) & near_size(F.col("n"), F.col("nb"), self.percent)).select("a", "b")
-            more = saved(more.unionByName(self.verified(saved(pairs, "open-pairs"))), "later-links")
+            more = saved(more.unionByName(self.opened(may, groups)), "later-links")
         discard(asks, both)
         group = lambda x: groups.select(F.col("cno").alias(x), F.col("g").alias(f"g{x}"))
         between = more.join(group("a"), "a", "left").join(group("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).where("a <> b").distinct()
         return first.unionByName(more), groups, components(saved(between, "between")).toDF("g", "part")
 
 
-def roots(links: DataFrame) -> DataFrame:
-    """(cno, g) of the classes in links (a, b), of which each a has one and b is less: where following them ends."""
-    now = saved(links.select(F.col("a").alias("cno"), F.col("b").alias("g")), "roots")
-    while True:
-        on = now.select(F.col("cno").alias("g"), F.col("g").alias("far"))
-        new = saved(now.join(on, "g", "left").select("cno", F.coalesce("far", "g").alias("g"), F.col("far").isNotNull().alias("moved")), "roots")
-        moved = not new.where("moved").isEmpty()
-        discard(now)
-        now = new.select("cno", "g")
-        if not moved:
-            return saved(now.unionByName(now.select(F.col("g").alias("cno"), "g").distinct()), "groups")
+def joined_groups(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(cno, g): the groups with those that links (a, b) of classes connect put together; a group has the name of its least member's group."""
+    ends = links.select(F.col("a").alias("cno")).unionByName(links.select(F.col("b").alias("cno"))).distinct()
+    if groups is None:
+        return saved(components(links), "groups")
+    group = lambda x: groups.select(F.col("cno").alias(x), F.col("g").alias(f"g{x}"))
+    between = links.join(group("a"), "a", "left").join(group("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).where("a <> b").distinct()
+    parts = components(saved(between, "between")).toDF("g", "part")
+    now = groups.join(ends, "cno", "full").select("cno", F.coalesce("g", "cno").alias("g")).join(parts, "g", "left")
+    return saved(now.select("cno", F.coalesce("part", "g").alias("g")), "groups")
 
 
 def components(links: DataFrame) -> DataFrame:
