@@ -1,28 +1,36 @@
 """Nearest neighbours by inner product with anisotropic four-bit codes.
 
-Codebooks are fitted on a bounded sample (SAMPLE rows); every row is encoded. Each block of
-rows is scanned by table for each block of queries. A row's exact product can't pass its
-approximate one by more than the query's norm times the row's gap (the norm of what the code
-leaves out, and the rounding of the scan), so every row that may reach a block's best k by that
-bound is scored exactly on the original vectors: the result is exact, however close rows lie.
-The best of all blocks stay.
+Codebooks are fitted on a bounded sample (SAMPLE rows); every row is encoded, two codes to a
+byte. Each block of rows is scanned by table for each block of queries. What the code leaves
+out of a row (its gap, a norm) bounds by how much the exact product can pass the approximate
+one: by |q| times the gap in the worst case, and by |q| times the gap over the root of the
+dimension in standard deviations. Rows that may reach the k-th best by `sure` deviations are
+scored exactly on the original vectors, however many they are; the k-th best is known from
+the block's first rows by code and from the sample, whichever is more. sure=None takes the
+worst case, which makes the search exact; the default's recall is measured in the tests.
 
 Vectors that are null, zero, hold null or non-finite components, or aren't of the commonest
-length take no part. Rows with a null id take none either. Ties go to the smaller id;
-repeated rows are candidates each. Empty tables give empty results.
+length take no part. Rows with a null id take none either. A query's own row is no candidate,
+other rows with its id and vector are; repeated rows are queries and candidates each. Ties go
+to the smaller id. Empty tables give empty results; other columns take no part.
+
+Blocks are cut by bytes. Rows are sent once for each block of queries, and queries once for
+each block of rows: the work is queries times rows, as the search asks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from .common import saved, table
+from .common import discard, saved, table
 
 SAMPLE, SUB, CENTRES = 8192, 2, 16
-BLOCK_ROWS, BLOCK_QUERIES, LEAST_BLOCKS = 8192, 512, 64
+#: Bytes of vectors in a block, and the fewest blocks of rows.
+BLOCK_BYTES, LEAST_BLOCKS = 16 << 20, 32
 
 
 class Quantiser:
@@ -93,86 +101,115 @@ def products(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray, lot: in
     return np.concatenate([np.zeros(0), *(np.einsum("nd,nd->n", q[a[s : s + lot]], x[b[s : s + lot]]) for s in range(0, len(a), lot))])
 
 
-def best_of_block(quantiser: Quantiser, q: np.ndarray, qids: np.ndarray, x: np.ndarray, ids: np.ndarray, codes: np.ndarray, gaps: np.ndarray, k: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query place, row place, score) of the exact k best rows of a block for each query."""
-    other = qids[:, None] != ids[None]
+def packed(codes: np.ndarray) -> bytes:
+    """Two codes to a byte."""
+    even = np.pad(codes, ((0, 0), (0, codes.shape[1] % 2)))
+    return (even[:, ::2] | even[:, 1::2] << 4).tobytes()
+
+
+def unpacked(data: bytes, parts: int) -> np.ndarray:
+    pairs = np.frombuffer(data, np.uint8).reshape(-1, -(-parts // 2))
+    return np.stack([pairs & 15, pairs >> 4], 2).reshape(len(pairs), -1)[:, :parts]
+
+
+def best_of_block(quantiser: Quantiser, q: np.ndarray, qrows: np.ndarray, known: np.ndarray, x: np.ndarray, rows: np.ndarray, ids: np.ndarray, codes: np.ndarray, gaps: np.ndarray, k: int, sure: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query place, row place, score) of the k best rows of a block for each query, none below `known`; and how many were scored exactly."""
+    other = qrows[:, None] != rows[None]
     near = np.where(other, quantiser.scan(q, codes), -np.inf)
     norms = np.linalg.norm(q, axis=1)[:, None]
-    # the k-th exact score among the first `depth` by code: the block's k-th is no lower
-    first = np.argpartition(-near, min(depth, len(ids)) - 1, axis=1)[:, :depth]
+    # the k-th exact score among the first by code: the block's k-th is no lower
+    first = np.argpartition(-near, min(2 * k, len(ids)) - 1, axis=1)[:, : 2 * k]
     places = np.repeat(np.arange(len(q)), first.shape[1])
     score = np.where(np.take_along_axis(other, first, 1), products(q, x, places, first.ravel()).reshape(first.shape), -np.inf)
-    least = -np.sort(-score, axis=1)[:, k - 1 : k] if score.shape[1] >= k else np.full((len(q), 1), -np.inf)
+    least = known[:, None]
+    if score.shape[1] >= k:
+        least = np.maximum(least, -np.sort(-score, axis=1)[:, k - 1 : k])
+    reach = 1.0 if sure is None else min(1.0, sure / np.sqrt(quantiser.dim))
     # not(<) also keeps what overflowed to NaN
-    may = other & ~(near + norms * gaps + quantiser.parts * np.finfo(np.float32).tiny < least)
-    columns = np.flatnonzero(may.any(0))
-    if not len(columns):
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    # screen by matrix product, whose rounding depends on the place, then score what can tie or pass
-    rough = np.where(may[:, columns], q @ x[columns].T, -np.inf)
-    if len(columns) > k:
-        error = 2 * q.shape[1] * 2.0**-52 * norms * np.linalg.norm(x[columns], axis=1).max()
-        may = may[:, columns] & ~(rough < -np.partition(-rough, k - 1, axis=1)[:, k - 1 : k] - 2 * error)
-    else:
-        may = may[:, columns]
-    a, b = np.nonzero(may)
-    b = columns[b]
+    a, b = np.nonzero(other & ~(near + reach * norms * gaps + quantiser.parts * np.finfo(np.float32).tiny < least))
     score = products(q, x, a, b)
-    fine = score > -np.inf
-    a, b, score = a[fine], b[fine], score[fine]
-    order = np.lexsort((ids[b], -score, a))
+    fine = score >= least[a, 0]
+    n, a, b, score = len(a), a[fine], b[fine], score[fine]
+    order = np.lexsort((rows[b], ids[b], -score, a))
     a, b, score = a[order], b[order], score[order]
     kept = np.arange(len(a)) - np.searchsorted(a, a) < k
-    return a[kept], b[kept], score[kept]
+    return a[kept], b[kept], score[kept], n
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    v = F.col(vector).cast("array<double>")
-    df = df.select(F.col(key).cast("long").alias("id"), v.alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
+    df = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    return df.where(F.coalesce(fine, F.lit(False)))
+    return df.where(F.coalesce(fine, F.lit(False))).withColumn("row", F.monotonically_increasing_id())
+
 
+def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 20, sure: float | None = 4.0, counts: bool = False) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of each row for which is_query(id column) holds.
 
-def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 20, depth: int = 40) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of each row for which is_query(id column) holds."""
-    rows = usable(df, key, vector)
+    With counts, instead a row per pair of blocks: n_scored of n_pairs were scored exactly.
+    """
+    kind = np.float32 if isinstance(df.schema[vector].dataType.elementType, FloatType) else np.float64
+    rows = saved(usable(df, key, vector), "ann-vectors")
     lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = lengths[0]["d"] if lengths else 1
+    dim, total = (lengths[0]["d"], lengths[0]["count"]) if lengths else (1, 0)
     rows = rows.where(F.size("v") == dim)
-    total = lengths[0]["count"] if lengths else 0
-    few = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
-    quantiser = Quantiser(dim)
+    few = rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("row", "v").collect()
+    quantiser, some = Quantiser(dim), np.array([r["v"] for r in few], dtype=float).reshape(len(few), dim)
+    some_rows = np.array([r["row"] for r in few], dtype=np.int64)
     if few:
-        quantiser.fit(np.array([r["v"] for r in few]))
-    n_blocks = max(LEAST_BLOCKS, -(-total // BLOCK_ROWS))
-    n_asks = max(4, -(-rows.where(is_query(F.col("id"))).count() // BLOCK_QUERIES))
-
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("id", kind="stable")
-        x = np.array(part["v"].tolist())
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "ids": [part["id"].to_numpy().astype(np.int64).tobytes()], "vectors": [x.tobytes()], "codes": [(codes := quantiser.encode(x)).tobytes()], "gaps": [quantiser.gaps(x, codes).tobytes()]})
-
-    kind = "block long, ids binary, vectors binary, codes binary, gaps binary"
-    dealt = lambda x, n: x.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(n)))
-    blocks = saved(dealt(rows, n_blocks).groupBy("block").applyInPandas(pack, kind), "ann-rows")
-    asks = saved(dealt(rows.where(is_query(F.col("id"))), n_asks).groupBy("block").applyInPandas(pack, kind), "ann-queries").select(F.col("block").alias("ask"), F.col("ids").alias("qids"), F.col("vectors").alias("queries"))
+        quantiser.fit(some)
+    size = dim * np.dtype(kind).itemsize
+    n_blocks = max(LEAST_BLOCKS, -(-total * size // BLOCK_BYTES))
+    n_asks = max(1, -(-rows.where(is_query(F.col("id"))).count() * size // BLOCK_BYTES))
+
+    def taken(part: pd.DataFrame) -> tuple[np.ndarray, dict]:
+        part = part.sort_values("row")
+        x = np.array(part["v"].tolist(), dtype=kind)
+        return x.astype(float), {"block": [part["block"].iloc[0]], "rows": [part["row"].to_numpy(np.int64).tobytes()], "ids": [part["id"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()]}
+
+    def pack_rows(part: pd.DataFrame) -> pd.DataFrame:
+        x, out = taken(part)
+        codes = quantiser.encode(x)
+        return pd.DataFrame(out | {"codes": [packed(codes)], "gaps": [quantiser.gaps(x, codes).tobytes()]})
+
+    def pack_queries(part: pd.DataFrame) -> pd.DataFrame:
+        # the k-th best in the sample is no more than the k-th best of all rows
+        x, out = taken(part)
+        known = np.full(len(x), -np.inf)
+        own = np.frombuffer(out["rows"][0], np.int64)
+        for a in range(0, len(x), 256) if len(some) > k else ():
+            near = np.where(own[a : a + 256, None] == some_rows[None], -np.inf, x[a : a + 256] @ some.T)
+            slack = 2 * dim * 2.0**-52 * np.linalg.norm(x[a : a + 256], axis=1) * np.linalg.norm(some, axis=1).max()
+            known[a : a + 256] = -np.partition(-near, k - 1, axis=1)[:, k - 1] - slack
+        return pd.DataFrame(out | {"known": [known.tobytes()]})
+
+    shape = "block long, rows binary, ids binary, vectors binary"
+    dealt = lambda x, n: x.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n)))
+    blocks = saved(dealt(rows, n_blocks).groupBy("block").applyInPandas(pack_rows, f"{shape}, codes binary, gaps binary"), "ann-rows")
+    asks = saved(dealt(rows.where(is_query(F.col("id"))), n_asks).groupBy("block").applyInPandas(pack_queries, f"{shape}, known binary"), "ann-queries").select(F.col("block").alias("ask"), F.col("rows").alias("qrows"), F.col("ids").alias("qids"), F.col("vectors").alias("queries"), "known")
+    discard(rows)
     left = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asks - 1).cast("long"))))
     right = asks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
 
     def scan(lots):
         for lot in lots:
-            for ids, vectors, codes, gaps, qids, queries in lot.itertuples(index=False):
-                ids, qids, gaps = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64), np.frombuffer(gaps)
-                x, q = np.frombuffer(vectors).reshape(len(ids), -1), np.frombuffer(queries).reshape(len(qids), -1)
-                codes = np.frombuffer(codes, np.uint8).reshape(len(ids), -1)
+            for rows, ids, vectors, codes, gaps, qrows, qids, queries, known in lot.itertuples(index=False):
+                rows, ids, qrows, qids = (np.frombuffer(b, np.int64) for b in (rows, ids, qrows, qids))
+                gaps, known, codes = np.frombuffer(gaps), np.frombuffer(known), unpacked(codes, quantiser.parts)
+                x, q = (np.frombuffer(b, kind).reshape(-1, dim).astype(float) for b in (vectors, queries))
+                n = 0
                 for a in range(0, len(q), 128):
-                    who, what, score = best_of_block(quantiser, q[a : a + 128], qids[a : a + 128], x, ids, codes, gaps, k, depth)
-                    yield pd.DataFrame({"query_id": qids[a : a + 128][who], "vec_id": ids[what], "score": score})
-
-    found = left.join(right, ["ask", "block"]).select("ids", "vectors", "codes", "gaps", "qids", "queries").mapInPandas(scan, "query_id long, vec_id long, score double")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                    who, what, score, scored = best_of_block(quantiser, q[a : a + 128], qrows[a : a + 128], known[a : a + 128], x, rows, ids, codes, gaps, k, sure)
+                    n += scored
+                    if not counts:
+                        yield pd.DataFrame({"query_row": qrows[a : a + 128][who], "query_id": qids[a : a + 128][who], "vec_id": ids[what], "vec_row": rows[what], "score": score})
+                if counts:
+                    yield pd.DataFrame({"n_scored": [n], "n_pairs": [len(q) * len(x)]})
+
+    pairs = left.join(right, ["ask", "block"]).select("rows", "ids", "vectors", "codes", "gaps", "qrows", "qids", "queries", "known")
+    if counts:
+        return pairs.mapInPandas(scan, "n_scored long, n_pairs long")
+    found = pairs.mapInPandas(scan, "query_row long, query_id long, vec_id long, vec_row long, score double")
+    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "vec_row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
