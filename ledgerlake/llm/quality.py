@@ -1,137 +1,149 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Nulls: a null text has no words, so it fails the word count. Empty tables give empty
-results. Repeated rows are judged each on its own. Extra columns stay; columns of the
-measures that clash with them are kept under names of their own while rules run.
+A rule carries its own measure, an expression of the text that stands inside the rule's branch:
+a text that one rule rejects never pays for the measures of the rules after it. Each rule's
+cost and rejections are taken on a sample, from the text, and the rules are ordered by
+rejections per second. The order changes what a cascade costs, never its verdict.
+
+Nulls: a null text has no words, so it fails the word count. Empty tables give empty results
+and leave the rules in their order. Repeated rows are judged each on its own. Other columns
+stay, whatever their names.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, table, words
+from .common import SPACE, count_words, table, words
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
 P = "_llq_"
+#: Rows of the sample that the order is estimated on, about.
+SAMPLE_ROWS = 2000
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def text_of(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+def word_chars(t: Column) -> Column:
+    return F.length(F.regexp_replace(t, SPACE, "")).cast("long")
+
+
+def outside(t: Column, chars: str) -> Column:
+    """How many of these characters a text has."""
+    return (F.length(t) - F.length(F.translate(t, chars, ""))).cast("long")
+
+
+def lines(t: Column) -> Column:
+    return F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+
+def n_dup_lines(t: Column) -> Column:
+    return bound(lines(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
+
+
+def total_length(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0).cast("long"), lambda a, s: a + F.length(s))
+
+
+def n_repeat_words(t: Column) -> Column:
+    """Words in 3-word windows that are found twice or more."""
+
+    def windows(w: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(w) - 3)
+        # Sorted by their words, equal windows stand side by side.
+        return F.when(F.size(w) >= 3, F.sort_array(F.transform(at, lambda i: F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("w"), i.alias("at")))))
+
+    def covered(s: Column) -> Column:
+        same = lambda x, y: x["w"] == F.coalesce(y["w"], F.lit(""))
+        twice = F.filter(s, lambda x, i: same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)))
+        start = F.struct(F.lit(-9).alias("last"), F.lit(0).alias("n"))
+        return F.aggregate(F.array_sort(F.transform(twice, lambda x: x["at"])), start, lambda a, at: F.struct(at.alias("last"), (a["n"] + F.least(F.lit(3), at - a["last"])).alias("n")), lambda a: a["n"])
+
+    return F.coalesce(bound(words(t), lambda w: bound(windows(w), covered)), F.lit(0)).cast("long")
 
 
 @dataclass(frozen=True)
 class Rule:
+    """fails(text) tells whether a text that isn't null breaks the rule; integers only, so that any engine decides alike."""
+
     name: str
-    fails: Column
-
-
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the measures in columns prefixed with P; no shuffle."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    c = lambda name: F.col(P + name)
-    df = docs.withColumn(P + "words", words(F.col(text)))
-    df = df.withColumns(
-        {
-            P + "n_words": F.size(c("words")).cast("long"),
-            P + "word_chars": F.length(F.regexp_replace(t, SPACE, "")).cast("long"),
-            P + "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-            P + "lines": F.filter(F.split(t, "\n", -1), lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0),
-            # Windows sorted by their words bring equal ones side by side.
-            P + "windows": F.when(
-                F.size(c("words")) >= 3,
-                F.sort_array(
-                    F.transform(
-                        F.sequence(F.lit(0), F.size(c("words")) - 3),
-                        lambda i: F.struct(F.concat_ws(" ", F.get(c("words"), i), F.get(c("words"), i + 1), F.get(c("words"), i + 2)).alias("w"), i.alias("at")),
-                    )
-                ),
-            ),
-        }
-    )
-    w = c("windows")
-    twice = F.filter(w, lambda x, i: (x["w"] == F.coalesce(F.get(w, i - 1)["w"], F.lit(""))) | (x["w"] == F.coalesce(F.get(w, i + 1)["w"], F.lit(""))))
-    start = F.struct(F.lit(-9).alias("last"), F.lit(0).alias("n"))
-    covered = F.aggregate(
-        F.array_sort(F.transform(twice, lambda x: x["at"])),
-        start,
-        lambda a, at: F.struct(at.alias("last"), (a["n"] + F.least(F.lit(3), at - a["last"])).alias("n")),
-        lambda a: a["n"],
-    )
-    return df.withColumns(
-        {
-            P + "n_lines": F.size(c("lines")).cast("long"),
-            P + "n_dup_lines": (F.size(c("lines")) - F.size(F.array_distinct(c("lines")))).cast("long"),
-            P + "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-        }
-    ).drop(P + "words", P + "windows", P + "lines")
-
-
-def _m(name: str) -> Column:
-    return F.col(P + name)
-
-
-def base_rules() -> list[Rule]:
-    return [Rule("few_words", _m("n_words") < 50), Rule("repeats", 100 * _m("n_repeat_words") > 50 * _m("n_words"))]
-
-
-def further_rules() -> list[Rule]:
-    """Rules beside the base; integer arithmetic, so that any engine decides alike."""
-    return [
-        Rule("symbols", 10 * _m("n_symbols") > _m("n_words")),
-        Rule("dup_lines", 100 * _m("n_dup_lines") > 30 * _m("n_lines")),
-        Rule("short_words", _m("word_chars") < 2 * _m("n_words")),
-        Rule("long_words", _m("word_chars") > 20 * _m("n_words")),
-    ]
-
-
-def ordered(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
-    """Rules by rejections per second on the sample, best first; ties keep their order.
-
-    The order changes the time a cascade takes, never its verdict.
-    """
-    sample = sample.persist()
+    fails: Callable[[Column], Column]
+
+
+BASE = (
+    Rule("few_words", lambda t: count_words(t) < 50),
+    Rule("repeats", lambda t: 100 * n_repeat_words(t) > 50 * count_words(t)),
+)
+FURTHER = (
+    Rule("symbols", lambda t: 10 * outside(t, SYMBOLS) > count_words(t)),
+    Rule("dup_lines", lambda t: bound(lines(t), lambda x: 100 * (total_length(x) - total_length(F.array_distinct(x))) > 50 * total_length(x))),
+    Rule("short_words", lambda t: word_chars(t) < 2 * count_words(t)),
+    Rule("long_words", lambda t: word_chars(t) > 20 * count_words(t)),
+    Rule("digits", lambda t: 2 * outside(t, "0123456789") > word_chars(t)),
+)
+
+
+def seconds(sample: DataFrame, c: Column) -> tuple[float, int]:
+    """(time, rows for which c holds) of one pass over the sample, compiled code and all."""
+    took, n = [], 0
+    for _ in range(2):
+        began = time.perf_counter()
+        n = sample.agg(F.count_if(c)).first()[0]
+        took.append(time.perf_counter() - began)
+    return min(took), n
+
+
+def ordered(docs: DataFrame, text: str, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """The rules by rejections per second of their measure, best first; ties keep their order."""
+    sample = docs.select(F.col(text).alias("t")).sample(min(1.0, sample_rows / max(1, docs.count())), seed=7).select(text_of(F.col("t")).alias("t")).persist()
     try:
-        n = sample.count()
-        if not n:
-            return rules
+        if sample.isEmpty():
+            return list(rules)
+        idle = seconds(sample, F.length("t") < 0)[0]
         gain = {}
         for r in rules:
-            began = time.perf_counter()
-            rejected = sample.agg(F.count_if(r.fails)).first()[0]
-            gain[r.name] = rejected / (time.perf_counter() - began)
+            took, rejected = seconds(sample, r.fails(F.col("t")))
+            gain[r.name] = rejected / max(took - idle, 1e-3)
         return sorted(rules, key=lambda r: -gain[r.name])
     finally:
         sample.unpersist()
 
 
-def cascade(rules: list[Rule]) -> Column:
-    """Name of the first rule that fails, or null; later rules aren't evaluated then."""
+def cascade(rules: Sequence[Rule], text: Column) -> Column:
+    """Name of the first rule that fails, or null; the measures of later rules aren't worked out then."""
     out = F.lit(None).cast("string")
     for r in reversed(rules):
-        out = F.when(r.fails, F.lit(r.name)).otherwise(out)
+        out = F.when(r.fails(text), F.lit(r.name)).otherwise(out)
     return out
 
 
-def judged(docs: DataFrame, text: str = "text", sample_rows: int = 2000) -> DataFrame:
-    """docs with measures, P+base_failed and P+failed (a failing rule's name, or null).
-
-    sample_rows bounds the sample on which the order of the further rules is estimated.
-    """
-    n = docs.count()
-    sample = docs.select(text).sample(min(1.0, sample_rows / max(1, n)), seed=7)
-    rules = ordered(measured(sample, text), further_rules())
-    base = base_rules()
-    failed = F.when(base[0].fails | base[1].fails, F.lit("base")).otherwise(cascade(rules))
-    return measured(docs, text).withColumn(P + "base_failed", base[0].fails | base[1].fails).withColumn(P + "failed", failed)
+def keep(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BASE, *FURTHER), sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of docs that pass every rule, with the columns of docs; base rules are ordered like the others."""
+    return docs.where(cascade(ordered(docs, text, rules, sample_rows), text_of(F.col(text))).isNull())
 
 
-def keep(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of docs that pass every rule, with the columns of docs."""
-    # A plain filter would go below the measures and build the words anew for each window; one on a generated row doesn't.
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    verdict = judged(docs, text).select(*own, F.explode_outer(F.array(F.struct(F.col(P + "failed").alias("failed")))).alias(P + "verdict"))
-    return verdict.where(F.col(P + "verdict.failed").isNull()).select(*own)
+def judged(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """docs with the base measures, P+base_failed and P+failed (base, a further rule's name, or null)."""
+    t = text_of(F.col(text))
+    measures = {"n_words": count_words(t), "word_chars": word_chars(t), "n_symbols": outside(t, SYMBOLS), "n_dup_lines": n_dup_lines(t), "n_repeat_words": n_repeat_words(t)}
+    df = docs.withColumns({P + k: v for k, v in measures.items()})
+    # The base measures are asked for by name, so the base rules read them; the further rules keep theirs in their branches.
+    df = df.withColumn(P + "base_failed", (F.col(P + "n_words") < 50) | (100 * F.col(P + "n_repeat_words") > 50 * F.col(P + "n_words")))
+    rules = ordered(docs, text, FURTHER, sample_rows)
+    return df.withColumn(P + "failed", F.when(F.col(P + "base_failed"), F.lit("base")).otherwise(cascade(rules, t)))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,10 +163,12 @@ p AS (SELECT rid, count(DISTINCT i + k) AS n_repeat FROM f, (SELECT unnest([0, 1
 m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
   CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-  CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  CAST(length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS BIGINT) AS n_digits,
+  CAST(length(array_to_string(ls, '')) AS BIGINT) AS line_chars, CAST(length(array_to_string(list_distinct(ls), '')) AS BIGINT) AS own_chars,
+  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
   CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN p USING (rid)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
-       OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM b
+  NOT (base_failed OR 10 * n_symbols > n_words OR coalesce(100 * (line_chars - own_chars) > 50 * line_chars, FALSE)
+       OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_digits > word_chars) AS kept FROM b
 """
