@@ -1,13 +1,16 @@
 """WARC archives as seekable Zstandard bundles.
 
-A bundle is a run of independent frames, each of some records, ended by a seek table in a
-skippable frame. Bundles are rows of a table in the shared folder, written by Spark's own
-committer: an attempt that dies leaves none behind, and no task needs a local folder.
+A bundle is a file of independent frames, each of some records, ended by a seek table in a
+skippable frame. Tasks write bundles to a folder that all executors share, each under a name
+of its own attempt, at first with another ending; what is read is told by the map alone,
+a table of (bundle, frame, records with their places in the frame) that Spark commits, so a
+lost or repeated attempt leaves at most a file that the map doesn't name. A record is read by
+seeking its frame. The folder is reached by pyarrow's file systems (file, hdfs, s3 and others).
 
 A null html is an empty payload, a null url an empty one. Records with equal payloads:
 all rows with the largest page_id among them are responses, the others revisit it; null
 page_ids come last and, where no page_id is known, are responses. Repeated rows give
-repeated records. An empty table gives an empty archive.
+repeated records. An empty table gives an empty map and no file. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -15,19 +18,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, shared_dir, table
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES, BUNDLE_BYTES = 256_000, 4_000_000
 RESPONSE_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-BUNDLE = "bundle string, data binary, entries array<struct<record_id:string,frame:int,offset:int,length:int>>"
+MAP = "bundle string, frame int, entries array<struct<record_id:string,offset:int,length:int>>"
 RECORD = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string"
 
 
@@ -71,58 +75,78 @@ def parsed(data: bytes) -> Iterator[dict]:
 
 
 class Bundle:
-    """A bundle in the making."""
+    """A bundle in the making: frames go to the file as they fill."""
 
-    def __init__(self, level: int = 3):
+    def __init__(self, folder: str, name: str, level: int = 3):
         import zstandard
+        from pyarrow import fs
 
         self.packer = zstandard.ZstdCompressor(level=level)
-        self.frames: list[tuple[bytes, int]] = []
-        self.open = bytearray()
-        self.entries: list[tuple[str, int, int, int]] = []
-        self.raw = 0
+        self.path = f"{folder}/{name}"
+        self.system, self.place = fs.FileSystem.from_uri(self.path)
+        self.system.create_dir(self.place.rsplit("/", 1)[0], recursive=True)
+        self.file = self.system.open_output_stream(self.place + ".open")
+        self.sizes: list[tuple[int, int]] = []
+        self.entries: list[list[dict]] = []
+        self.open, self.raw = bytearray(), 0
 
     def add(self, record_id: str, data: bytes) -> None:
-        if self.open and len(self.open) + len(data) > FRAME_BYTES:
-            self.close_frame()
-        self.entries.append((record_id, len(self.frames), len(self.open), len(data)))
+        if not self.open or len(self.open) + len(data) > FRAME_BYTES:
+            self._close_frame()
+            self.entries.append([])
+        self.entries[-1].append({"record_id": record_id, "offset": len(self.open), "length": len(data)})
         self.open += data
         self.raw += len(data)
 
-    def close_frame(self) -> None:
+    def _close_frame(self) -> None:
         if self.open:
-            self.frames.append((self.packer.compress(bytes(self.open)), len(self.open)))
+            frame = self.packer.compress(bytes(self.open))
+            self.file.write(frame)
+            self.sizes.append((len(frame), len(self.open)))
             self.open = bytearray()
 
-    def bytes(self) -> bytes:
-        self.close_frame()
-        seek = b"".join(struct.pack("<II", len(f), n) for f, n in self.frames) + struct.pack("<IBI", len(self.frames), 0, SEEKABLE)
-        return b"".join(f for f, _ in self.frames) + struct.pack("<II", SKIPPABLE, len(seek)) + seek
+    def close(self) -> pd.DataFrame:
+        """End the file; its rows of the map."""
+        self._close_frame()
+        seek = b"".join(struct.pack("<II", *x) for x in self.sizes) + struct.pack("<IBI", len(self.sizes), 0, SEEKABLE)
+        self.file.write(struct.pack("<II", SKIPPABLE, len(seek)) + seek)
+        self.file.close()
+        self.system.move(self.place + ".open", self.place)
+        return pd.DataFrame({"bundle": self.path, "frame": range(len(self.entries)), "entries": self.entries})
 
 
-def seek_table(data: bytes) -> list[tuple[int, int, int]]:
-    """(offset, compressed size, size) of each frame, from the footer."""
-    n, _, magic = struct.unpack("<IBI", data[-9:])
+def seek_table(tail: bytes) -> list[tuple[int, int, int]]:
+    """(offset, compressed size, size) of each frame, from the end of a bundle."""
+    n, _, magic = struct.unpack("<IBI", tail[-9:])
     if magic != SEEKABLE:
         raise ValueError("no seek table")
     out, at = [], 0
-    for packed, size in struct.iter_unpack("<II", data[-9 - 8 * n : -9]):
+    for packed, size in struct.iter_unpack("<II", tail[-9 - 8 * n : -9]):
         out.append((at, packed, size))
         at += packed
     return out
 
 
-def frame(data: bytes, number: int) -> bytes:
-    """One frame of a bundle, without touching the others."""
-    import zstandard
+class Reader:
+    """Frames of a bundle by their numbers; only the footer and the frames asked for are read."""
 
-    at, packed, size = seek_table(data)[number]
-    return zstandard.ZstdDecompressor().decompress(data[at : at + packed], max_output_size=max(1, size))
+    def __init__(self, path: str):
+        import zstandard
+        from pyarrow import fs
+
+        system, place = fs.FileSystem.from_uri(path)
+        self.file = system.open_input_file(place)
+        size = self.file.size()
+        n = struct.unpack("<I", self.file.read_at(9, size - 9)[:4])[0]
+        self.frames = seek_table(self.file.read_at(9 + 8 * n, size - 9 - 8 * n))
+        self.unpacker = zstandard.ZstdDecompressor()
 
+    def frame(self, number: int) -> bytes:
+        at, packed, size = self.frames[number]
+        return self.unpacker.decompress(self.file.read_at(packed, at), max_output_size=max(1, size))
 
-def fetched(data: bytes, entry) -> dict:
-    """The record of an entry, by its frame and its place there."""
-    return next(parsed(frame(data, entry["frame"])[entry["offset"] : entry["offset"] + entry["length"]]))
+    def record(self, number: int, offset: int, length: int) -> dict:
+        return next(parsed(self.frame(number)[offset : offset + length]))
 
 
 def classified(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -139,45 +163,55 @@ def classified(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return joined.select("page_id", "url", "html", refers.alias("refers_to"))
 
 
-def written(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write the archive of pages; returns its bundles, with the entries of each."""
+def written(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
+    """Write the archive of pages as files in folder (one of its own in the shared folder); returns its map."""
+    folder = folder or f"{shared_dir(pages.sparkSession)}/ledgerlake/archive-{uuid.uuid4().hex}"
 
     def pack(lots: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        task, n, b = TaskContext.get().partitionId(), 0, Bundle()
-
-        def row() -> pd.DataFrame:
-            return pd.DataFrame({"bundle": [f"{task:06d}-{n:06d}"], "data": [b.bytes()], "entries": [[dict(zip(("record_id", "frame", "offset", "length"), e)) for e in b.entries]]})
-
+        task, n, b = TaskContext.get(), 0, None
         for lot in lots:
             for page_id, url, html, refers in lot.itertuples(index=False):
                 page, ref = (None if x is None else int(x) for x in (page_id, refers))
+                if b is None:
+                    b, n = Bundle(folder, f"{task.partitionId():06d}-{n:06d}-{task.taskAttemptId()}.warc.zst"), n + 1
                 b.add(*record(page, url, html.encode(), ref))
                 if b.raw >= BUNDLE_BYTES:
-                    yield row()
-                    n, b = n + 1, Bundle()
-        if b.entries:
-            yield row()
+                    yield b.close()
+                    b = None
+        if b is not None:
+            yield b.close()
 
     # Ids go as text, so that pandas keeps nulls and whole numbers apart.
     rows = classified(pages, min_bytes).select(F.col("page_id").cast("string"), "url", "html", F.col("refers_to").cast("string"))
-    return saved(rows.mapInPandas(pack, BUNDLE), "warc")
+    return saved(rows.mapInPandas(pack, MAP), "warc-map")
 
 
-def read(bundles: DataFrame, payloads: bool = True) -> DataFrame:
-    """Every record of the bundles, frame by frame."""
+def read(places: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records that rows of a map name, each cut from its frame at its place."""
 
     def unpack(lots: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in RECORD.split(", ")]
+        path, bundle = None, None
         for lot in lots:
-            for data in lot["data"]:
-                for k in range(len(seek_table(data))):
-                    rows = [{**r, "payload": r["payload"] if payloads else None} for r in parsed(frame(data, k))]
-                    out = pd.DataFrame(rows, columns=names, dtype=object)
-                    yield out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
-
-    return bundles.select("data").mapInPandas(unpack, RECORD)
+            for at, number, entries in lot.itertuples(index=False):
+                if at != path:
+                    path, bundle = at, Reader(at)
+                data = bundle.frame(number)
+                rows = [next(parsed(data[e["offset"] : e["offset"] + e["length"]])) for e in entries]
+                if [r["record_id"] for r in rows] != [e["record_id"] for e in entries]:
+                    raise ValueError(f"frame {number} of {at} doesn't hold what the map says")
+                out = pd.DataFrame([{**r, "payload": r["payload"] if payloads else None} for r in rows], columns=names, dtype=object)
+                yield out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
+
+    return places.select("bundle", "frame", "entries").mapInPandas(unpack, RECORD)
+
+
+def fetched(places: DataFrame, record_ids: list[str]) -> DataFrame:
+    """The records of these ids; only the frames that hold them are read."""
+    wanted = F.array(*[F.lit(x) for x in record_ids])
+    return read(places.withColumn("entries", F.filter("entries", lambda e: F.array_contains(wanted, e["record_id"]))).where(F.size("entries") > 0))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
