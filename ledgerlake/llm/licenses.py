@@ -2,103 +2,27 @@
 
 Texts are normalised to lower-case words with one space between. A rule is a regular
 expression with a keyword: it runs only on texts that hold the keyword. A hit inside the
-interval of a hit of higher priority is suppressed. Null and empty texts have no words and
-no hits; repeated rows are scanned each on its own; other columns stay. No shuffle.
+interval of a hit of higher priority is suppressed. Hits are swept once, by their start, with
+the farthest stop so far of each priority. Null and empty texts have no words and no hits;
+repeated rows are scanned each on its own; other columns stay. No shuffle.
 """
 
 from __future__ import annotations
 
 import json
-import re
-from dataclasses import asdict, dataclass
+from collections.abc import Sequence
+from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, table
+from .signatures import Signature, signatures
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 P = "_lll_"
-
-# Base phrases and their labels.
-BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-
-# Names of licenses as words, by label, and a keyword each holds.
-NAMES = {
-    "mit": [("mit licen[sc]e", "mit licen"), ("expat licen[sc]e", "expat licen"), ("x11 licen[sc]e", "x11 licen"), ("mit style licen[sc]e", "mit style")],
-    "apache": [("apache (?:software )?licen[sc]e", "apache"), ("asl 2 0", "asl 2")],
-    "gpl": [("(?:gnu )?general public licen[sc]e", "general public"), ("gplv?[ ]?[23]", "gpl"), ("gnu gpl", "gpl")],
-    "lgpl": [("(?:gnu )?(?:lesser|library) general public licen[sc]e", "general public"), ("lgplv?[ ]?[23]", "lgpl")],
-    "agpl": [("(?:gnu )?affero general public licen[sc]e", "affero"), ("agplv?[ ]?3", "agpl")],
-    "fdl": [("(?:gnu )?free documentation licen[sc]e", "free documentation")],
-    "bsd": [("(?:new |modified |simplified |revised )?bsd (?:[234] clause )?licen[sc]e", "bsd"), ("[234] clause bsd", "clause bsd")],
-    "mpl": [("mozilla public licen[sc]e", "mozilla public")],
-    "epl": [("eclipse public licen[sc]e", "eclipse public")],
-    "eupl": [("european union public licen[sc]e", "european union")],
-    "cddl": [("common development and distribution licen[sc]e", "common development")],
-    "cpl": [("common public licen[sc]e", "common public")],
-    "isc": [("isc licen[sc]e", "isc licen")],
-    "zlib": [("zlib(?: libpng)? licen[sc]e", "zlib")],
-    "boost": [("boost software licen[sc]e", "boost software")],
-    "artistic": [("artistic licen[sc]e", "artistic licen")],
-    "psf": [("python software foundation licen[sc]e", "python software")],
-    "openssl": [("openssl licen[sc]e", "openssl licen")],
-    "ofl": [("(?:sil )?open font licen[sc]e", "open font")],
-    "odbl": [("open database licen[sc]e", "open database")],
-    "cc0": [("cc0(?: 1 0)?(?: universal)?", "cc0")],
-    "cc-by-nc": [("creative commons attribution noncommercial", "attribution noncommercial"), ("cc by nc", "cc by")],
-    "cc-by-sa": [("creative commons attribution share ?alike", "creative commons"), ("cc by sa", "cc by")],
-    "cc-by": [("creative commons attribution", "creative commons"), ("cc by [34] 0", "cc by")],
-    "unlicense": [("(?:the )?unlicense", "unlicense")],
-    "wtfpl": [("wtfpl", "wtfpl"), ("do what the fuck you want to public licen[sc]e", "you want to public")],
-    "proprietary": [("proprietary (?:software )?licen[sc]e", "proprietary ")],
-    "upl": [("universal permissive licen[sc]e", "permissive licen")],
-}
-
-# What may stand around a name, and the priority of such a hit (0 to 100).
-CONTEXTS = [
-    ("{}", 50),
-    ("{} (?:version|v) ?[0-9]+(?: [0-9]+)?", 70),
-    ("(?:is )?(?:dual )?licensed under (?:the )?(?:terms of (?:the )?)?{}", 90),
-    ("(?:released|published|available|provided|covered|governed) (?:under|by) (?:the )?(?:terms of (?:the )?)?{}", 85),
-    ("(?:distributed|redistribute it|modify it) (?:and or modify it )?under (?:the )?(?:terms of (?:the )?)?{}", 88),
-    ("subject to (?:the )?(?:terms of (?:the )?)?{}", 80),
-    ("see (?:the )?{} for (?:more )?details", 75),
-    ("(?:a )?copy of (?:the )?{}", 72),
-]
-
-# Sentences of license texts, their label and keyword.
-SENTENCES = [
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use"),
-    ("bsd", "redistribution and use in source and binary forms", "redistribution and use"),
-    ("bsd", "neither the name of .{1,80}? nor the names of its contributors", "neither the name"),
-    ("zlib", "this software is provided as is without any express or implied warranty", "express or implied"),
-    ("boost", "permission is hereby granted free of charge to any person or organization", "hereby granted"),
-    ("gpl", "this program is free software you can redistribute it", "free software"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
-    ("public-domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain"),
-    ("proprietary", "all rights reserved", "all rights reserved"),
-]
-
-
-@dataclass(frozen=True)
-class Signature:
-    label: str
-    pattern: str
-    keyword: str
-    priority: int
-    base: bool = False
-
-
-def signatures() -> list[Signature]:
-    """Every rule, highest priority first; ties by label and pattern."""
-    whole = r"(?<![^ ]){}(?![^ ])"
-    out = [Signature(v, whole.format(k), k, 60, True) for k, v in BASE.items()]
-    out += [Signature(k, whole.format(c.format(n)), w, p) for k, names in NAMES.items() for n, w in names for c, p in CONTEXTS]
-    out += [Signature(k, whole.format(s), w, 95) for k, s, w in SENTENCES]
-    out += [Signature(k, whole.format(f"spdx license identifier {re.escape(k).replace(chr(92) + '-', ' ')}(?: [0-9]+)*"), "spdx", 99) for k in NAMES]
-    return sorted(out, key=lambda s: (-s.priority, s.label, s.pattern))
+HITS = "array<struct<start:int,stop:int,level:int,priority:int,label:string,base:boolean>>"
+RULES = "array<struct<label:string,pattern:string,keyword:string,priority:int,base:boolean,level:int>>"
 
 
 def normalised(text: Column) -> Column:
@@ -107,7 +31,7 @@ def normalised(text: Column) -> Column:
 
 
 def _hits(norm: Column, rule: Column) -> Column:
-    """(start, stop, priority, label, base) of each match; what splits off before a match tells where it starts."""
+    """Each match of a rule; what splits off before a match tells where it starts."""
     found = F.regexp_extract_all(norm, rule["pattern"], F.lit(0))
     gaps = F.split(norm, rule["pattern"], -1)
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("spans"))
@@ -115,29 +39,49 @@ def _hits(norm: Column, rule: Column) -> Column:
     def step(a, x):
         start = a["at"] + F.length(x["gap"])
         stop = start + F.length(x["hit"])
-        return F.struct(stop.alias("at"), F.concat(a["spans"], F.array(F.struct(start.alias("start"), stop.alias("stop")))).alias("spans"))
+        return F.struct(stop.alias("at"), F.array_append(a["spans"], F.struct(start.alias("start"), stop.alias("stop"))).alias("spans"))
 
     pairs = F.filter(F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("hit"))), lambda x: x["hit"].isNotNull())
     spans = F.aggregate(pairs, begin, step, lambda a: a["spans"])
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["base"].alias("base")))
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), rule["level"].alias("level"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["base"].alias("base")))
+
+
+def unsuppressed(hits: Column, levels: int) -> Column:
+    """The hits that lie in no hit of higher priority; level 0 is the highest.
 
+    In order of start, then of stop from the farthest on, a hit can only lie in those before it.
+    """
+    key = lambda h: F.struct(h["start"].alias("start"), (-h["stop"]).alias("far"), h["level"].alias("level"), h.alias("hit"))
+    swept = F.array_sort(F.transform(hits, key))
+    none = F.array_repeat(F.lit(-1), levels)
+
+    def step(a, x):
+        inside = (x["level"] > 0) & (F.array_max(F.slice(a["far"], 1, F.greatest(x["level"], F.lit(1)))) >= x["hit"]["stop"])
+        far = F.transform(a["far"], lambda v, k: F.when(k == x["level"], F.greatest(v, x["hit"]["stop"])).otherwise(v))
+        return F.struct(far.alias("far"), F.when(inside, a["kept"]).otherwise(F.array_append(a["kept"], x["hit"])).alias("kept"))
 
-def scanned(docs: DataFrame, text: str = "text", rules: list[Signature] | None = None) -> DataFrame:
+    return F.aggregate(swept, F.struct(none.alias("far"), F.array().cast(HITS).alias("kept")), step, lambda a: a["kept"])
+
+
+def scanned(docs: DataFrame, text: str = "text", rules: Sequence[Signature] | None = None) -> DataFrame:
     """docs with P+norm, P+hits (all) and P+kept (what suppression leaves)."""
-    rules = signatures() if rules is None else rules
+    rules = signatures() if rules is None else list(rules)
+    order = sorted({r.priority for r in rules}, reverse=True)
     # One literal, folded once; hundreds of struct expressions would slow the planner.
-    kind = "array<struct<label:string,pattern:string,keyword:string,priority:int,base:boolean>>"
-    book = F.from_json(F.lit(json.dumps([asdict(r) for r in rules])), kind)
-    norm = F.col(P + "norm")
-    none = F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,base:boolean>>")
+    book = F.from_json(F.lit(json.dumps([asdict(r) | {"level": order.index(r.priority)} for r in rules])), RULES)
+    norm, none = F.col(P + "norm"), F.array().cast(HITS)
     # Plain searches, which end at the first keyword found; most texts hold none.
-    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in rules})])
+    keywords = F.array(*[F.lit(k) for k in gate({r.keyword for r in rules})])
     asked = F.filter(book, lambda r: F.contains(norm, r["keyword"]))
     df = docs.withColumn(P + "norm", normalised(F.col(text)))
     df = df.withColumn(P + "hits", F.when(F.exists(keywords, lambda k: F.contains(norm, k)), F.flatten(F.transform(asked, lambda r: _hits(norm, r)))).otherwise(none))
     hits = F.col(P + "hits")
-    inside = lambda h, k: (k["start"] <= h["start"]) & (k["stop"] >= h["stop"]) & (k["priority"] > h["priority"])
-    return df.withColumn(P + "kept", F.when(F.size(hits) > 0, F.filter(hits, lambda h: ~F.exists(hits, lambda k: inside(h, k)))).otherwise(none))
+    return df.withColumn(P + "kept", F.when(F.size(hits) > 0, unsuppressed(hits, max(1, len(order)))).otherwise(none))
+
+
+def gate(keywords: set[str]) -> list[str]:
+    """Keywords without those that hold another one: a text with a keyword has one of these."""
+    return sorted(k for k in keywords if not any(o != k and o in k for o in keywords))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
