@@ -46,26 +46,32 @@ def unit_hash(*parts: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def planned(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix", key: str = "doc_id") -> DataFrame:
-    """docs with P+size, P+source_size, P+target and P+copies: floor(rate) plus a Bernoulli copy."""
-    df = docs.withColumns({P + "source": F.col("source"), P + "size": count_words(F.col("text"))})
-    t = saved(targets(df, weights, share, cap), "mix-targets").withColumnRenamed(P + "source", P + "of")
+def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: str = "mix") -> DataFrame:
+    """docs with what a plan needs of each row: P+source, P+size and P+u, in [0, 1) by the row's key and text."""
+    u = unit_hash(F.col(key), F.md5(F.coalesce(F.col(text), F.lit(""))), seed=seed)
+    return docs.withColumns({P + "source": F.col("source"), P + "size": count_words(F.col(text)), P + "u": u})
+
+
+def planned(rows: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """rows of sized() with P+source_size, P+target and P+copies: floor(rate) plus a Bernoulli copy."""
+    t = saved(targets(rows, weights, share, cap), "mix-targets").withColumnRenamed(P + "source", P + "of")
     side = F.broadcast(t) if t.count() <= BROADCAST_SOURCES else t
-    df = df.join(side, F.col(P + "source").eqNullSafe(F.col(P + "of")), "left").drop(P + "of", P + "source")
+    df = rows.join(side, F.col(P + "source").eqNullSafe(F.col(P + "of")), "left").drop(P + "of")
     rate = F.when(F.col(P + "source_size") > 0, F.col(P + "target") / F.col(P + "source_size")).otherwise(0.0)
-    u = unit_hash(F.col(key), F.md5(F.coalesce("text", F.lit(""))), seed=seed)
-    return df.withColumn(P + "copies", (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("int"))
+    return df.withColumn(P + "copies", (F.floor(rate) + F.when(F.col(P + "u") < rate - F.floor(rate), 1).otherwise(0)).cast("int"))
 
 
 def emitted(docs: DataFrame, **how) -> DataFrame:
     """Each row of docs as many times as the plan says, with the columns of docs."""
-    df = planned(docs, **how).where(F.col(P + "copies") > 0)
+    df = planned(sized(docs), **how).where(F.col(P + "copies") > 0)
     df = df.withColumn(P + "copy", F.explode(F.sequence(F.lit(1), F.col(P + "copies"))))
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = planned(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    # Texts are read once: what the plan needs of them is a few numbers a row.
+    rows = saved(sized(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text", "source"), "mix-sizes")
+    df = planned(rows)
     return df.select("doc_id", F.col(P + "size").alias("size"), F.col(P + "source_size").alias("source_size"), F.col(P + "target").alias("target"), (F.col(P + "copies") * F.col(P + "size")).alias("taken"))
 
 
