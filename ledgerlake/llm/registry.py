@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import chat, jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
 
 
@@ -19,7 +17,6 @@ def queries() -> dict:
         "op8_chat_rotation": chat.op8_chat_rotation,
         "op9_warc": warc.op9_warc,
         "op10_license_scan": licenses.op10_license_scan,
-        "pipeline": corpus_pipeline.run,
     }
 
 

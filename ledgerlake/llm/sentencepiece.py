@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spread, table
 
 MARK = "▁"
 #: Rank of a pair that doesn't merge.
@@ -68,12 +68,6 @@ class Pairs:
         return rank, result
 
 
-def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """start[0], start[0] + 1 and so on for size[0] places, then the same for the next."""
-    ends = np.cumsum(size)
-    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Pieces:
     """Tables of a BPE model and the words it remembers."""
 
@@ -222,10 +216,13 @@ def tokens(model: bytes, text: Column) -> Column:
             lot = np.maximum(0, np.cumsum(pc.fill_null(pc.utf8_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64) - 1) // LOT_CHARS
             for k in np.unique(lot).tolist():
                 a, b = np.searchsorted(lot, [k, k + 1]).tolist()
-                ids, n = pieces.flat([t or "" for t in batch.slice(a, b - a).to_pylist()])
-                ends = np.r_[0, np.cumsum(n)]
-                decoded = [pieces.library.decode(ids[i:j].tolist()) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())), pa.array(decoded, pa.string())], ["ids", "decoded"])
+                # Repeats of a text in a lot are encoded once.
+                one = batch.slice(a, b - a).dictionary_encode()
+                of = one.indices.to_numpy()
+                ids, n = pieces.flat(one.dictionary.to_pylist())
+                start = np.cumsum(n) - n
+                decoded = pa.array([pieces.library.decode(ids[i : i + k].tolist()) for i, k in zip(start.tolist(), n.tolist())], pa.string())
+                yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n[of])], pa.int32()), pa.array(ids[spread(start[of], n[of])], pa.int32())), decoded.take(one.indices)], ["ids", "decoded"])
 
     return run(text)
 
