@@ -1,16 +1,10 @@
 """Edge cases of the operators, and their results against plain versions."""
 
-import base64
-import hashlib
-import re
-import zlib
 from collections import defaultdict
 
 import duckdb
-import numpy as np
 import pytest
 
-import public_tokenizers
 from ledgerlake.llm import chat, jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
@@ -59,37 +53,6 @@ def test_sql(spark, op, sql):
     assert sorted(map(near, want)) == sorted(map(near, map(tuple, op(spark, SF).collect())))
 
 
-def test_jaccard_equals_all_pairs(spark):
-    word = re.compile(r"[^\x20\x09-\x0D]+")
-    sets = {}
-    for i, t in rows(f"SELECT doc_id, text FROM '{SF}/documents.parquet'"):
-        w = word.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
-        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
-    label = {i: i for i in sets}
-    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
-    for _ in sets:
-        for a, b in links:
-            label[a] = label[b] = min(label[a], label[b])
-    got = jaccard.op1_ngram_jaccard_join(spark, SF).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), label[i]) for i, s in sets.items()}
-
-
-REPEATED = [(1, "alpha beta gamma delta epsilon", "x"), (1, "one two three four five", "y"), (1, "one two three four five", "z"), (2, "one two three four five", "x"), (2, "six seven eight nine ten", "x"), (3, "six seven eight nine ten", "x"), (4, "", "x"), (4, "", "x"), (4, None, "y"), (4, "red green", "x"), (None, "red green", "x"), (5, "red green", "x"), (6, "lone", "x"), (6, "lone", "x")]
-
-
-def test_deduplicated_keeps_one_row_of_each_component(spark):
-    got = jaccard.deduplicated(spark.createDataFrame(REPEATED, "doc_id long, text string, more string")).collect()
-    want = [(1, "alpha beta gamma delta epsilon"), (1, "one two three four five"), (2, "six seven eight nine ten"), (4, ""), (4, ""), (4, None), (4, "red green"), (None, "red green"), (6, "lone")]
-    assert sorted(map(repr, [(r.doc_id, r.text) for r in got])) == sorted(map(repr, want))
-
-
-def test_toxicity_held_out(spark):
-    sf = "/root/testdata/sf0.01"
-    toxic = dict(rows(f"SELECT doc_id, max(toxic) FROM '{sf}/labels.parquet' GROUP BY 1"))
-    got = [(toxic[r.doc_id], r.predicted) for r in toxicity.op7_toxicity(spark, sf).collect() if r.held_out and r.doc_id in toxic]
-    assert sum(a == b for a, b in got) >= 0.9 * len(got)
-
-
 TALK = [(1, 0, "system", "s"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (1, None, "ann", "é🙂"), (1, 300, None, "who"), (2, 0, "system", "only"), (None, 5, "ann", "alone"), (None, 5, "ann", "alone"), (None, None, None, None), (3, 0, "a b\tc", ""), (3, 0, "bob", "x" * 5000)]
 
 
