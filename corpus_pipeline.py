@@ -1,4 +1,14 @@
-"""Pipeline over documents: five stages, each reading what the one before it wrote."""
+"""Pipeline over documents: five stages, each reading what the one before it wrote.
+
+A stage keeps rows with the columns of documents as they are, but for the last:
+* toxicity: rows whose score is below one half; null and empty texts have the score of a text without words.
+* quality_rules: rows whose text passes every rule; null, empty and short texts go.
+* ngram_jaccard: one row of each group of linked texts, that of the least (id, class, row hash); rows with a null
+  id or without words stay, repeated rows are one.
+* mixing: each row as many times as its source's rate and its own hash say; a null source is one of its own.
+* sentencepiece: a row of digests for each row, copies included; a null text is empty.
+Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
@@ -30,7 +40,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxic_out), ("quality_rules", quality_rules), ("ngram_jaccard", near_duplicates), ("mixing", mix), ("sentencepiece", encode)]
 
-#: The field's scores and the tokenizer can't be written in SQL; tests hold both against plain versions.
+#: The field's scores and the tokenizer can't be written in SQL; tests/llm/test_pipeline.py holds each stage against a plain version.
 ORACLE_SQL = None
 
 
