@@ -1,5 +1,6 @@
 """op7: the field's marginals against enumeration over tags, offsets, and held-out labels."""
 
+import random
 from itertools import product
 
 import duckdb
@@ -27,14 +28,15 @@ def test_marginals_equal_enumeration(seed):
     assert pairs == pytest.approx(want_pairs)
 
 
-CLEAN, BAD = "the quiet river runs past green fields", "you grobble snarkwit zint go away"
+R = random.Random(2)
+VOCAB = ["".join(R.choice("bcdfglmnprstv") + R.choice("aeiou") for _ in range(R.choice([2, 3, 4]))) for _ in range(400)]
+CLEAN = [" ".join(R.choice(VOCAB) for _ in range(20)) for _ in range(160)]
+BAD = [" ".join([*(R.choice(VOCAB) for _ in range(9)), "grobble", *(R.choice(VOCAB) for _ in range(9))]) for _ in range(150)]
 
 
 def test_offsets_name_the_words(spark):
-    texts = [f"{CLEAN} {k}" for k in range(80)] + [f"{BAD} {k}" for k in range(80)]
-    extra = [f"a day in town number {k} was {w}" for k, w in enumerate("warm cold long short fine".split() * 16)]
-    field = toxicity.fitted(texts + extra, [0] * 80 + [1] * 80 + [0] * 80)
-    df = spark.createDataFrame([("é well\ngrobble here",), (CLEAN,), (None,), ("",)], "text string")
+    field = toxicity.fitted(CLEAN + BAD, [0] * len(CLEAN) + [1] * len(BAD))
+    df = spark.createDataFrame([("é well\ngrobble here",), (CLEAN[0],), (None,), ("",)], "text string")
     got = toxicity.scored(df, field).collect()
     assert ["é well\ngrobble here"[s.start : s.stop] for s in got[0].toxicity.spans] == ["grobble"]
     assert got[0].toxicity.score >= 0.5 > max(r.toxicity.score for r in got[1:]) and got[1].toxicity.spans == []
@@ -49,11 +51,11 @@ def test_labels_of_one_kind_or_none(spark):
 
 
 def test_clean_drops_toxic_rows_alone(spark):
-    rows = [(k, f"{CLEAN} {k % 7}", "x") for k in range(150)] + [(1000 + k, f"{BAD} {k % 7}", "y") for k in range(150)] + [(None, None, "z"), (None, BAD, "z")]
+    rows = [(k, t, "x") for k, t in enumerate(CLEAN)] + [(1000 + k, t, "y") for k, t in enumerate(BAD)] + [(None, None, "z"), (None, BAD[0], "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxicity string")
     labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _, _ in rows if i is not None], "doc_id long, toxic int")
     got = toxicity.clean(docs, labels)
-    assert got.columns == docs.columns and sorted(r.toxicity for r in got.collect()) == ["x"] * 150 + ["z"]
+    assert got.columns == docs.columns and sorted(r.toxicity for r in got.collect()) == ["x"] * len(CLEAN) + ["z"]
 
 
 def test_held_out_documents(spark):
