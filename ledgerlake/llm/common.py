@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Separators between words: space and \t to \r.
 SPACE = r"[\x20\x09-\x0D]"
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,13 +63,18 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def replaced(c: Column, chars: str, by: str) -> Column:
+    """c with each of these characters replaced; plain searches, faster than patterns or translate."""
+    for x in chars:
+        c = F.replace(c, F.lit(x), F.lit(by))
+    return c
+
+
 def words(c: Column) -> Column:
     """Array of maximal runs of characters other than SPACE; a null text has none."""
-    return F.filter(F.split(F.coalesce(c, F.lit("")), f"{SPACE}+"), lambda w: w != "")
+    even = replaced(F.coalesce(c, F.lit("")), SPACES[1:], " ")
+    return F.array_remove(F.split(even, " ", -1), "")
 
 
 def count_words(c: Column) -> Column:
-    """Number of words, without building them: a word starts where a run of separators ends."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
-    gaps = F.size(F.split(t, f"{SPACE}+"))
-    return F.when(t == "", F.lit(0)).otherwise(gaps).cast("long")
+    return F.size(words(c)).cast("long")

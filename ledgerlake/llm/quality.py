@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, count_words, table, words
+from .common import SPACES, count_words, replaced, table, words
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -38,12 +38,12 @@ def text_of(c: Column) -> Column:
 
 
 def word_chars(t: Column) -> Column:
-    return F.length(F.regexp_replace(t, SPACE, "")).cast("long")
+    return F.length(t) - outside(t, SPACES)
 
 
 def outside(t: Column, chars: str) -> Column:
-    """How many of these characters a text has."""
-    return (F.length(t) - F.length(F.translate(t, chars, ""))).cast("long")
+    """How many of these ASCII characters a text has."""
+    return (F.octet_length(t) - F.octet_length(replaced(t, chars, ""))).cast("long")
 
 
 def lines(t: Column) -> Column:
@@ -75,24 +75,35 @@ def n_repeat_words(t: Column) -> Column:
     return F.coalesce(bound(words(t), lambda w: bound(windows(w), covered)), F.lit(0)).cast("long")
 
 
+#: Measures that the query returns too.
+MEASURES = {"n_words": count_words, "word_chars": word_chars, "n_symbols": lambda t: outside(t, SYMBOLS), "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words}
+
+
+def of_text(t: Column) -> Callable[[str], Column]:
+    """Each measure as an expression of the text."""
+    return lambda name: MEASURES[name](t)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """fails(text) tells whether a text that isn't null breaks the rule; integers only, so that any engine decides alike."""
+    """fails(text, measure) tells whether a text that isn't null breaks the rule; integers only, so that any engine decides alike.
+
+    measure(name) is an expression of the text, or the column that already holds what it gives.
+    """
 
     name: str
-    fails: Callable[[Column], Column]
+    fails: Callable[[Column, Callable[[str], Column]], Column]
 
 
 BASE = (
-    Rule("few_words", lambda t: count_words(t) < 50),
-    Rule("repeats", lambda t: 100 * n_repeat_words(t) > 50 * count_words(t)),
+    Rule("few_words", lambda t, m: m("n_words") < 50),
+    Rule("repeats", lambda t, m: 100 * m("n_repeat_words") > 50 * m("n_words")),
 )
 FURTHER = (
-    Rule("symbols", lambda t: 10 * outside(t, SYMBOLS) > count_words(t)),
-    Rule("dup_lines", lambda t: bound(lines(t), lambda x: 100 * (total_length(x) - total_length(F.array_distinct(x))) > 50 * total_length(x))),
-    Rule("short_words", lambda t: word_chars(t) < 2 * count_words(t)),
-    Rule("long_words", lambda t: word_chars(t) > 20 * count_words(t)),
-    Rule("digits", lambda t: 2 * outside(t, "0123456789") > word_chars(t)),
+    Rule("symbols", lambda t, m: 10 * m("n_symbols") > m("n_words")),
+    Rule("dup_lines", lambda t, m: bound(lines(t), lambda x: 100 * (total_length(x) - total_length(F.array_distinct(x))) > 50 * total_length(x))),
+    Rule("word_length", lambda t, m: bound(F.struct(m("word_chars").alias("c"), m("n_words").alias("n")), lambda x: (x["c"] < 2 * x["n"]) | (x["c"] > 20 * x["n"]))),
+    Rule("digits", lambda t, m: 2 * outside(t, "0123456789") > m("word_chars")),
 )
 
 
@@ -115,18 +126,18 @@ def ordered(docs: DataFrame, text: str, rules: Sequence[Rule], sample_rows: int
         idle = seconds(sample, F.length("t") < 0)[0]
         gain = {}
         for r in rules:
-            took, rejected = seconds(sample, r.fails(F.col("t")))
+            took, rejected = seconds(sample, r.fails(F.col("t"), of_text(F.col("t"))))
             gain[r.name] = rejected / max(took - idle, 1e-3)
         return sorted(rules, key=lambda r: -gain[r.name])
     finally:
         sample.unpersist()
 
 
-def cascade(rules: Sequence[Rule], text: Column) -> Column:
+def cascade(rules: Sequence[Rule], text: Column, measure: Callable[[str], Column] | None = None) -> Column:
     """Name of the first rule that fails, or null; the measures of later rules aren't worked out then."""
     out = F.lit(None).cast("string")
     for r in reversed(rules):
-        out = F.when(r.fails(text), F.lit(r.name)).otherwise(out)
+        out = F.when(r.fails(text, measure or of_text(text)), F.lit(r.name)).otherwise(out)
     return out
 
 
@@ -137,13 +148,13 @@ def keep(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BASE, *F
 
 def judged(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs with the base measures, P+base_failed and P+failed (base, a further rule's name, or null)."""
-    t = text_of(F.col(text))
-    measures = {"n_words": count_words(t), "word_chars": word_chars(t), "n_symbols": outside(t, SYMBOLS), "n_dup_lines": n_dup_lines(t), "n_repeat_words": n_repeat_words(t)}
-    df = docs.withColumns({P + k: v for k, v in measures.items()})
-    # The base measures are asked for by name, so the base rules read them; the further rules keep theirs in their branches.
-    df = df.withColumn(P + "base_failed", (F.col(P + "n_words") < 50) | (100 * F.col(P + "n_repeat_words") > 50 * F.col(P + "n_words")))
+    t, there = text_of(F.col(text)), lambda name: F.col(P + name)
+    df = docs.withColumns({P + k: f(t) for k, f in MEASURES.items()})
+    # The base measures are returned, so rules read them; what isn't returned stays in its rule's branch.
+    base = BASE[0].fails(t, there) | BASE[1].fails(t, there)
     rules = ordered(docs, text, FURTHER, sample_rows)
-    return df.withColumn(P + "failed", F.when(F.col(P + "base_failed"), F.lit("base")).otherwise(cascade(rules, t)))
+    df = df.withColumn(P + "base_failed", base)
+    return df.withColumn(P + "failed", F.when(F.col(P + "base_failed"), F.lit("base")).otherwise(cascade(rules, t, there)))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ DOC = "doc_id long, text string, _llq_n_words string"
 
 
 def test_a_measure_stands_in_its_branch_alone(spark):
-    boom = Rule("boom", lambda t: F.raise_error(F.concat(F.lit("measured: "), t)).isNotNull())
-    first = Rule("short", lambda t: F.length(t) < 5)
+    boom = Rule("boom", lambda t, m: F.raise_error(F.concat(F.lit("measured: "), t)).isNotNull())
+    first = Rule("short", lambda t, m: F.length(t) < 5)
     docs = spark.createDataFrame([("abc",), ("de",)], "text string")
     assert docs.where(quality.cascade([first, boom], F.col("text")).isNull()).collect() == []
     with pytest.raises(Exception, match="measured"):
@@ -21,10 +21,10 @@ def test_a_measure_stands_in_its_branch_alone(spark):
 
 
 def test_order_is_by_rejections_per_cost(spark):
-    slow = Rule("slow", lambda t: F.aggregate(F.sequence(F.lit(1), F.lit(3000)), F.length(t).cast("long"), lambda a, x: (a * 31 + x) % 1_000_003) < 0)
+    slow = Rule("slow", lambda t, m: F.aggregate(F.sequence(F.lit(1), F.lit(3000)), F.length(t).cast("long"), lambda a, x: (a * 31 + x) % 1_000_003) < 0)
     docs = spark.createDataFrame([("x" * (k % 7),) for k in range(1500)], "text string")
-    half, few = Rule("half", lambda t: F.length(t) < 4), Rule("few", lambda t: F.length(t) < 1)
-    costly_half = Rule("costly_half", lambda t: slow.fails(t) | (F.length(t) < 4))
+    half, few = Rule("half", lambda t, m: F.length(t) < 4), Rule("few", lambda t, m: F.length(t) < 1)
+    costly_half = Rule("costly_half", lambda t, m: slow.fails(t, m) | (F.length(t) < 4))
     assert [r.name for r in quality.ordered(docs, "text", [costly_half, few, half])][0] == "half"
     assert [r.name for r in quality.ordered(docs, "text", [costly_half, half])] == ["half", "costly_half"]
     assert quality.ordered(docs.limit(0), "text", [few, half]) == [few, half]
