@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, jaccard, licenses, mixing, nearest, quality, sentencepiece, sharding, toxicity, warc
+from . import bpe, centroids, chat, jaccard, licenses, mixing, nearest, negatives, quality, sentencepiece, sharding, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_chat_rotation": chat.op8_chat_rotation,
         "op9_warc": warc.op9_warc,
         "op10_license_scan": licenses.op10_license_scan,
+        "op11_centroid_clustering": centroids.op11_centroid_clustering,
+        "op12_bpe": bpe.op12_bpe,
+        "op13_hard_negatives": negatives.op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op3_quality_rules": quality.ORACLE, "op6_mixing": mixing.ORACLE, "op8_chat_rotation": chat.ORACLE}
+    return {"op3_quality_rules": quality.ORACLE, "op6_mixing": mixing.ORACLE, "op8_chat_rotation": chat.ORACLE, "op11_centroid_clustering": centroids.ORACLE, "op13_hard_negatives": negatives.ORACLE}

@@ -68,34 +68,11 @@ class Pairs:
         return rank, result
 
 
-class Pieces:
-    """Tables of a BPE model and the words it remembers."""
+class Merges:
+    """Merging in rounds, given the pairs that merge."""
 
-    def __init__(self, model: bytes):
-        import sentencepiece
-
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        s = self.library
-        n = s.get_piece_size()
-        plain = {s.id_to_piece(i): i for i in range(n) if not (s.is_byte(i) or s.is_control(i) or s.is_unknown(i))}
-        if any(MARK in p.lstrip(MARK) for p in plain):
-            raise ValueError("the model has pieces over word starts")
-        self.size = n
-        char = {p: i for p, i in plain.items() if len(p) == 1}
-        #: By code point; characters without a piece have numbers from n on and never merge.
-        self.char = np.arange(n, n + 0x110000, dtype=np.int32)
-        self.char[[ord(p) for p in char]] = list(char.values())
-        self.byte = np.array([s.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int32)
-        levels = {x: k for k, x in enumerate(sorted({s.get_score(i) for i in plain.values()}, reverse=True))}
-        self.pairs = Pairs({(plain[p[:c]], plain[p[c:]]): (levels[s.get_score(i)], i) for p, i in plain.items() for c in range(1, len(p)) if p[:c] in plain and p[c:] in plain})
-        # Control characters without a piece never merge, so words end there too.
-        odd = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in char)
-        self.word = re.compile(f"{MARK}*[^{MARK}{odd}]+|{MARK}+" + (f"|[{odd}]+" if odd else ""))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.start, self.count, self.chars = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    def __init__(self, pairs: Pairs):
+        self.pairs = pairs
 
     def merged(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(symbols, word of each) once no pair is left to merge; words are numbered upwards.
@@ -156,6 +133,36 @@ class Pieces:
         rank[there], new[there] = self.pairs.look_up(a[there], b[there])
         return rank, new
 
+
+class Pieces(Merges):
+    """Tables of a BPE model and the words it remembers."""
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
+        s = self.library
+        n = s.get_piece_size()
+        plain = {s.id_to_piece(i): i for i in range(n) if not (s.is_byte(i) or s.is_control(i) or s.is_unknown(i))}
+        if any(MARK in p.lstrip(MARK) for p in plain):
+            raise ValueError("the model has pieces over word starts")
+        self.size = n
+        char = {p: i for p, i in plain.items() if len(p) == 1}
+        #: By code point; characters without a piece have numbers from n on and never merge.
+        self.char = np.arange(n, n + 0x110000, dtype=np.int32)
+        self.char[[ord(p) for p in char]] = list(char.values())
+        self.byte = np.array([s.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int32)
+        levels = {x: k for k, x in enumerate(sorted({s.get_score(i) for i in plain.values()}, reverse=True))}
+        super().__init__(Pairs({(plain[p[:c]], plain[p[c:]]): (levels[s.get_score(i)], i) for p, i in plain.items() for c in range(1, len(p)) if p[:c] in plain and p[c:] in plain}))
+        # Control characters without a piece never merge, so words end there too.
+        odd = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in char)
+        self.word = re.compile(f"{MARK}*[^{MARK}{odd}]+|{MARK}+" + (f"|[{odd}]+" if odd else ""))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.start, self.count, self.chars = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of these new words."""
         sym = self.char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
