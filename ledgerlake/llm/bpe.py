@@ -3,7 +3,7 @@
 Spark splits texts into words. Documents are gathered in lots; a lot keeps its distinct words, numbered from the most frequent
 one on, and every document as numbers. The words of all lots are dealt out by a hash, so that each distinct word
 is encoded once, by merge rounds over flat arrays, and its ids go back to the lots that asked, by position.
-There a document's ids stand in the order of its numbers. Decoding joins ids to pieces (a table of the vocabulary's
+There a document's ids stand in the order of its numbers; lots are written in buckets, so that they aren't shuffled for it. Decoding joins ids to pieces (a table of the vocabulary's
 size, sent to tasks): a word's text is that of its ids, a document's that of its words.
 
 Texts are taken whole, however long; a null text is an empty one and has no ids. Repeated rows are rows of their own,
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, spread, table
+from .common import bucketed, discard, saved, spread, table
 from .sentencepiece import Merges, Pairs
 
 LOT_BYTES, BUCKET_WORDS = 16 << 20, 200_000
@@ -166,8 +166,8 @@ def unsqueezed_words(data: bytes) -> pa.Array:
     return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), raw)
 
 
-def lots(docs: DataFrame, key: str, text: str, special: list[str]) -> DataFrame:
-    """Written lots of documents: lot, keys, counts (words of each document), numbers (of their words), words."""
+def lots(docs: DataFrame, key: str, text: str, special: list[str], n: int) -> DataFrame:
+    """Lots of documents, written in n buckets: lot, keys, counts (words of each document), numbers (of their words), words."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), split_words(F.col(text), special).alias("words"))
 
@@ -203,7 +203,7 @@ def lots(docs: DataFrame, key: str, text: str, special: list[str]) -> DataFrame:
         if keys:
             yield lot()
 
-    return saved(rows.mapInArrow(gather, f"lot string, keys array<{kind}>, counts array<int>, numbers binary, words array<string>"), "bpe-lots")
+    return bucketed(rows.mapInArrow(gather, f"lot string, keys array<{kind}>, counts array<int>, numbers binary, words array<string>"), "bpe-lots", "lot", n)
 
 
 def dealt(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -215,7 +215,7 @@ def dealt(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
             order = np.argsort(bucket, kind="stable")
             there, start = np.unique(bucket[order], return_index=True)
             parts = np.split(order, start[1:]) if len(order) else []
-            out = [pa.array(there, pa.int32()), pa.array([batch.column("lot")[j].as_py()] * len(parts), pa.string()), pa.array([squeezed(p) for p in parts], pa.binary()), pa.array([squeezed_words(words.take(pa.array(p))) for p in parts], pa.binary())]
+            out = [pa.array(there, pa.int32()), pa.array([batch.column("lot")[j].as_py()] * len(parts), pa.string()), pa.array([squeezed(np.diff(p, prepend=0)) for p in parts], pa.binary()), pa.array([squeezed_words(words.take(pa.array(p))) for p in parts], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["bucket", "lot", "at", "words"])
 
 
@@ -233,7 +233,8 @@ def lot_ids(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(ids of a lot's words in the order of their numbers, number of ids of each) from what the buckets sent."""
     if not rows.num_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, n, ids = (np.concatenate([numbers(x) for x in rows.column(c).to_pylist()]) for c in ("at", "n", "ids"))
+    at = np.concatenate([np.cumsum(numbers(x)) for x in rows.column("at").to_pylist()])
+    n, ids = (np.concatenate([numbers(x) for x in rows.column(c).to_pylist()]) for c in ("n", "ids"))
     order = np.argsort(at)
     return ids[spread((np.cumsum(n) - n)[order], n[order])], n[order]
 
@@ -242,9 +243,10 @@ def coded(docs: DataFrame, path: str, key: str, text: str, finish: Callable, sha
     """What finish(keys, words' counts, words' numbers, ids, counts of ids, vocabulary) makes of each lot of documents."""
     model = load(path)
     small = zlib.compress(json.dumps(model).encode())
-    written = lots(docs, key, text, list(Vocabulary(model).special))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    written = lots(docs, key, text, list(Vocabulary(model).special), tasks)
     n_words = written.agg(F.sum(F.size("words"))).first()[0] or 0
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_words // BUCKET_WORDS))
+    n = max(tasks, -(-n_words // BUCKET_WORDS))
     asked = written.select("lot", "words").mapInArrow(lambda b: dealt(b, n), "bucket int, lot string, at binary, words binary")
     sent = asked.groupBy("bucket").applyInArrow(lambda rows: encode_bucket(rows, vocabulary(small)), "lot string, at binary, n binary, ids binary")
 
@@ -253,7 +255,10 @@ def coded(docs: DataFrame, path: str, key: str, text: str, finish: Callable, sha
         parts = [finish(left.column("keys")[j].values, left.column("counts")[j].values.to_numpy(), numbers(left.column("numbers")[j].as_py()), ids, n, vocabulary(small)) for j in range(left.num_rows)]
         return pa.concat_tables(parts)
 
-    return written.select("lot", "keys", "counts", "numbers").groupBy("lot").cogroup(sent.groupBy("lot")).applyInArrow(close, shape)
+    # the lots stay where they are, in as many buckets as the ids are dealt to
+    out = saved(written.select("lot", "keys", "counts", "numbers").groupBy("lot").cogroup(sent.groupBy("lot")).applyInArrow(close, shape), "bpe-documents")
+    discard(written)
+    return out
 
 
 def by_document(counts: np.ndarray, words: np.ndarray) -> Iterator[list[int]]:

@@ -32,6 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Where the frames that saved() returned were written, by the identity of their plan.
 _PLACES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_TABLES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -44,9 +45,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, by: str, n: int) -> DataFrame:
+    """As saved(), in n buckets by a column: what is grouped or joined by it with as many partitions isn't shuffled again."""
+    spark, table_name = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/ledgerlake/{table_name}"
+    df.write.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).option("compression", "zstd").saveAsTable(table_name)
+    out = spark.table(table_name)
+    _PLACES[out], _TABLES[out] = path, table_name
+    return out
+
+
 def discard(*frames: DataFrame) -> None:
-    """Remove what saved() wrote for these frames; nothing may read them afterwards."""
+    """Remove what saved() and bucketed() wrote for these frames; nothing may read them afterwards."""
     for df in frames:
+        if named := _TABLES.pop(df, None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {named}")
         if path := _PLACES.pop(df, None):
             there = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
