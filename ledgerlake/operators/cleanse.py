@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.sketches import SPREADS, limits, marked, sketched
+
+#: Bytes of a dimension that may be sent to all tasks.
+SMALL = 32 << 20
+
 
 def latest_by(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """One row of each key: the greatest by the order, which should be total. Aggregated before the shuffle."""
@@ -21,12 +26,13 @@ def asked_for(dim: DataFrame, key: str, facts: DataFrame, fact_key: str) -> Data
     return dim.join(keys, key, "left_semi")
 
 
-def enriched(facts: DataFrame, fact_key: str, dim: DataFrame, key: str, orphan: str | None = None, **columns: Column | None) -> DataFrame:
+def enriched(facts: DataFrame, fact_key: str, dim: DataFrame, key: str, orphan: str | None = None, cut: bool = False, **columns: Column | None) -> DataFrame:
     """facts with columns of the dimension (a default stands where the key is unknown) and a mark of unknown keys.
 
-    The dimension is first cut to the keys in use; its size then decides how the planner joins.
+    With `cut` the dimension is first cut to the keys in use, for large dimensions and few facts, which are then
+    read twice. Either way its size decides how the planner joins.
     """
-    side = asked_for(dim, key, facts, fact_key).select(F.col(key).alias("_key"), F.lit(True).alias("_known"), *[F.col(c).alias(f"_d_{c}") for c in columns])
+    side = (asked_for(dim, key, facts, fact_key) if cut else dim).select(F.col(key).alias("_key"), F.lit(True).alias("_known"), *[F.col(c).alias(f"_d_{c}") for c in columns])
     out = facts.join(side, F.col(fact_key) == F.col("_key"), "left")
     out = out.withColumns({c: F.col(f"_d_{c}") if d is None else F.coalesce(F.col(f"_d_{c}"), d) for c, d in columns.items()})
     if orphan:
@@ -34,13 +40,15 @@ def enriched(facts: DataFrame, fact_key: str, dim: DataFrame, key: str, orphan:
     return out.drop("_key", "_known", *[f"_d_{c}" for c in columns])
 
 
-def fences(df: DataFrame, key: str, value: str, k: float = 3.0) -> DataFrame:
-    """(key, fence): how far log1p(value) may go above the third quartile, in spreads of the middle half."""
-    quartile = lambda q: F.percentile_approx(F.log1p(F.col(value)), q, 10_000)
-    return df.groupBy(key).agg((quartile(0.75) + F.lit(k) * (quartile(0.75) - quartile(0.25))).alias("fence"))
+def sized(dim: DataFrame, most: int = SMALL) -> DataFrame:
+    """dim, to be sent to all tasks if its rows, which are measured once, take at most so many bytes as text; else as it is.
+
+    Streams don't adapt their plans to sizes as batches do: the static side of a join is measured when the stream starts.
+    """
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct(*dim.columns))))).first()[0] or 0
+    return F.broadcast(dim) if size <= most else dim
 
 
-def flagged(df: DataFrame, key: str, value: str, limits: DataFrame | None = None, k: float = 3.0) -> DataFrame:
-    """df with `outlier`; the limits come from df itself or, for batches too small for quartiles, from elsewhere. No row is dropped."""
-    limits = fences(df, key, value, k) if limits is None else limits
-    return df.join(limits, key, "left").withColumn("outlier", F.coalesce(F.log1p(F.col(value)) > F.col("fence"), F.lit(False))).drop("fence")
+def flagged(df: DataFrame, key: str, value: str, spreads: float = SPREADS, name: str = "outlier") -> DataFrame:
+    """df with marks of the values that lie far above the others of their key, by a sketch of df itself."""
+    return marked(df, key, value, limits(sketched(df, [key], F.col(value)), key, spreads), name)

@@ -1,57 +1,69 @@
-"""Contracts: ordered (reason, condition) rules compiled to one array of reasons per row, and what follows from it."""
+"""Contracts: rules as data, compiled in one place to an array of reasons per row, and what follows from it."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.expressions import masked, pseudonym
+from ledgerlake.functions.expressions import masked, present, pseudonym
+
+
+class Rule(NamedTuple):
+    """A reason for which a row is rejected: a kind of KINDS, the column that it looks at, the kind's argument, and a name if not the kind's own."""
+
+    kind: str
+    column: str
+    argument: Any = None
+    named: str = ""
+
+
+def _unlike(c: Column, to: tuple[str, Mapping[str, str]]) -> Column:
+    other, known = to
+    return c != F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[F.col(other)]
+
+
+#: By kind: when a row breaks the rule (null: it doesn't), and the reason's name, in which {} is the column's.
+KINDS: dict[str, tuple[Callable[[Column, Any], Column], str]] = {
+    "parsed": (lambda c, _: c.isNotNull(), "MALFORMED_ROW"),
+    "required": (lambda c, _: present(c.cast("string")).isNull(), "MISSING_{}"),
+    "one_of": (lambda c, values: ~c.isin(*values), "INVALID_{}"),
+    "at_least": (lambda c, least: c < least, "NEGATIVE_{}"),
+    "goes_with": (_unlike, "CURRENCY_COUNTRY_MISMATCH"),
+}
 
 
 @dataclass(frozen=True)
 class Contract:
-    """What a row must be like. Enumerations and ranges let nulls pass; `required` doesn't."""
-
-    required: Sequence[str] = ()
-    enums: Mapping[str, Sequence[str]] = field(default_factory=dict)
-    not_negative: Sequence[str] = ()
-    countries: tuple[str, Sequence[str]] | None = None
-    #: (entity column, entities): checked unless the column has an enumeration of its own.
-    entities: tuple[str, Sequence[str]] | None = None
-    #: (currency column, country column, currency by country)
-    currency: tuple[str, str, Mapping[str, str]] | None = None
-    corrupt: str | None = None
+    """What a row must be like: rules in the order in which their reasons are told, and columns that hold personal values.
+
+    Nulls break `required` alone, as do blanks. A rule `parsed` names the column with the text of what didn't parse.
+    """
+
+    rules: Sequence[Rule]
     personal: Sequence[str] = ()
 
-    def rules(self) -> list[tuple[str, Column]]:
-        out = [("MALFORMED_ROW", F.col(self.corrupt).isNotNull())] if self.corrupt else []
-        out += [(f"MISSING_{c.upper()}", F.col(c).isNull()) for c in self.required]
-        if self.countries:
-            out.append(("INVALID_COUNTRY_CODE", ~F.col(self.countries[0]).isin(*self.countries[1])))
-        if self.entities and self.entities[0] not in self.enums:
-            out.append(("INVALID_ENTITY_TYPE", ~F.col(self.entities[0]).isin(*self.entities[1])))
-        out += [(f"INVALID_{c.upper()}", ~F.col(c).isin(*v)) for c, v in self.enums.items()]
-        out += [(f"NEGATIVE_{c.upper()}", F.col(c) < 0) for c in self.not_negative]
-        if self.currency:
-            c, country, known = self.currency
-            of = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[F.col(country)]
-            out.append(("CURRENCY_COUNTRY_MISMATCH", F.col(c) != of))
-        return out
+    @property
+    def corrupt(self) -> str | None:
+        return next((r.column for r in self.rules if r.kind == "parsed"), None)
 
     def reasons(self) -> Column:
         """Every reason that holds, in order."""
-        return F.array_compact(F.array(*[F.when(p, F.lit(r)) for r, p in self.rules()]))
+        told = []
+        for rule in self.rules:
+            broken, name = KINDS[rule.kind]
+            told.append(F.when(broken(F.col(rule.column), rule.argument), F.lit(rule.named or name.format(rule.column.upper()))))
+        return F.array_compact(F.array(*told))
 
 
 def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their reasons joined by commas)."""
-    told = df.withColumn("_reasons", contract.reasons())
-    valid = told.where(F.size("_reasons") == 0).drop("_reasons", *([contract.corrupt] if contract.corrupt else []))
-    rejected = told.where(F.size("_reasons") > 0).withColumn("reasons", F.array_join("_reasons", ",")).drop("_reasons")
-    return valid, rejected
+    told, gone = df.withColumn("_reasons", contract.reasons()), [c for c in (contract.corrupt,) if c]
+    fine = F.size("_reasons") == 0
+    return told.where(fine).drop("_reasons", *gone), told.where(~fine).withColumn("reasons", F.array_join("_reasons", ",")).drop("_reasons")
 
 
 def reject_records(rejected: DataFrame, contract: Contract, dataset: str, key: str, country: str, source: Column) -> DataFrame:

@@ -24,10 +24,15 @@ def upserted(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def insert_new(new: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = ()) -> None:
-    """Append what isn't there by key; a replay appends nothing."""
+def insert_new(new: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = (), within: bool = False) -> None:
+    """Append what isn't there by key; a replay appends nothing. With `within`, keys are looked for in the partitions of new alone, where they stay."""
     spark = new.sparkSession
-    rows = unseen(new, spark.read.parquet(path), keys) if exists(spark, path) else new.dropDuplicates(list(keys))
+    if exists(spark, path):
+        old = spark.read.parquet(path)
+        old = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi") if within else old
+        rows = unseen(new, old, keys)
+    else:
+        rows = new.dropDuplicates(list(keys))
     append(rows, path, partitions)
 
 
@@ -44,15 +49,19 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[
     """Put the rows of new in the place of those with their keys, in the partitions of new alone.
 
     Keys don't move between partitions. What is read and rewritten goes by a staging folder, as one
-    plan can't read what it overwrites.
+    plan can't read what it overwrites; new rows are worked out once, however dear they are.
     """
     spark = new.sparkSession
     if exists(spark, path):
+        new.write.parquet(f"{staging}/new")
+        new = spark.read.schema(new.schema).parquet(f"{staging}/new")
         touched = new.select(*partitions).distinct()
         old = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
-        upserted(new, old, keys).write.mode("overwrite").parquet(staging)
-        new = spark.read.parquet(staging)
-    replace_partitions(new, path, partitions)
+        upserted(new, old, keys).write.parquet(f"{staging}/all")
+        replace_partitions(spark.read.parquet(f"{staging}/all"), path, partitions)
+        drop(spark, staging)
+    else:
+        replace_partitions(new, path, partitions)
 
 
 def clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -71,6 +80,7 @@ def export_csv(df: DataFrame, path: str, by: str) -> None:
 
 
 def summary_json(df: DataFrame, most: int = 1000) -> str:
-    """The first rows of an ordered frame as one JSON document."""
+    """An ordered frame as one JSON document: `count` of all its rows, the first `most` of them, and how many are left out."""
+    count = df.count()
     rows = [json.loads(r[0]) for r in df.select(F.to_json(F.struct(*df.columns))).limit(most).collect()]
-    return json.dumps({"count": len(rows), "rows": rows})
+    return json.dumps({"count": count, "left_out": count - len(rows), "rows": rows})

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.expressions import masked, money, positive, present, ratio, sql_money
 from ledgerlake.operators.cleanse import asked_for, enriched, latest_by
-from ledgerlake.operators.contracts import Contract, file_stats, quality_metrics, reject_records, split, without_personal
+from ledgerlake.operators.contracts import Contract, Rule, file_stats, quality_metrics, reject_records, split, without_personal
+from ledgerlake.operators.ingest import Ingestion
 from ledgerlake.operators.policies import Policy
 from ledgerlake.plans.silver import countries, silver_fx_rates, to_eur
 from ledgerlake.plans import silver
+from ledgerlake.sources.scratch import new_place
 from ledgerlake.sources.tables import load
 
 QUERIES: dict = {}
@@ -316,13 +318,19 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders").join(load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"), "o_custkey")
     o = o.join(countries(spark, sf), F.col("c_nationkey") == F.col("nation"))
     return o.select(
-        F.when(k % 11 != 0, k).alias("id"), "country", F.when(k % 13 == 0, "EUR").otherwise(F.col("currency")).alias("currency"), F.when(k % 17 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("amount"),
-        F.when(k % 19 == 0, "?").otherwise(F.col("o_orderstatus")).alias("status"), F.when(k % 23 == 0, "SHOP").otherwise("BANK").alias("entity"), F.when(k % 29 == 0, "torn line").alias("torn"), F.col("c_name").alias("name"), (k % 5).alias("file"), F.col("o_orderdate").alias("ts"),
+        k.alias("key"), F.when(k % 11 != 0, k).alias("id"), "country", F.when(k % 13 == 0, "EUR").otherwise(F.col("currency")).alias("currency"), F.when(k % 17 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("amount"),
+        F.when(k % 19 == 0, "?").otherwise(F.col("o_orderstatus")).alias("status"), F.when(k % 23 == 0, "SHOP").otherwise("BANK").alias("entity"), F.when(k % 29 == 0, "torn line").alias("torn"), F.when(k % 31 == 0, "  ").otherwise(F.col("c_name")).alias("name"), (k % 5).alias("file"), F.col("o_orderdate").alias("ts"),
     )
 
 
-DIRTY = "d0 AS (SELECT o_orderkey AS k, n_name AS country, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END AS id, CASE WHEN o_orderkey % 13 = 0 THEN 'EUR' WHEN n_regionkey = 0 THEN 'GHS' ELSE 'XOF' END AS currency, CASE WHEN o_orderkey % 17 = 0 THEN -o_totalprice ELSE o_totalprice END AS amount, CASE WHEN o_orderkey % 19 = 0 THEN '?' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 23 = 0 THEN 'SHOP' ELSE 'BANK' END AS entity, CASE WHEN o_orderkey % 29 = 0 THEN 'torn line' END AS torn, o_orderkey % 5 AS file, n_regionkey, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey), dirty AS (SELECT *, concat_ws(',', CASE WHEN torn IS NOT NULL THEN 'MALFORMED_ROW' END, CASE WHEN id IS NULL THEN 'MISSING_ID' END, CASE WHEN country NOT IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_5', 'NATION_6', 'NATION_7', 'NATION_8', 'NATION_9') THEN 'INVALID_COUNTRY_CODE' END, CASE WHEN entity NOT IN ('BANK', 'INSURANCE') THEN 'INVALID_ENTITY_TYPE' END, CASE WHEN status NOT IN ('O', 'F', 'P') THEN 'INVALID_STATUS' END, CASE WHEN amount < 0 THEN 'NEGATIVE_AMOUNT' END, CASE WHEN country IN ('NATION_0', 'NATION_1') AND currency <> CASE WHEN country = 'NATION_0' THEN 'GHS' ELSE 'XOF' END THEN 'CURRENCY_COUNTRY_MISMATCH' END) AS reasons FROM d0)"
-CONTRACT = Contract(required=["id"], enums={"status": ("O", "F", "P")}, not_negative=["amount"], countries=("country", [f"NATION_{k}" for k in range(10)]), entities=("entity", ("BANK", "INSURANCE")), currency=("currency", "country", {"NATION_0": "GHS", "NATION_1": "XOF"}), corrupt="torn", personal=["name"])
+DIRTY = "d0 AS (SELECT o_orderkey AS k, n_name AS country, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END AS id, CASE WHEN o_orderkey % 13 = 0 THEN 'EUR' WHEN n_regionkey = 0 THEN 'GHS' ELSE 'XOF' END AS currency, CASE WHEN o_orderkey % 17 = 0 THEN -o_totalprice ELSE o_totalprice END AS amount, CASE WHEN o_orderkey % 19 = 0 THEN '?' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 23 = 0 THEN 'SHOP' ELSE 'BANK' END AS entity, CASE WHEN o_orderkey % 29 = 0 THEN 'torn line' END AS torn, o_orderkey % 5 AS file, n_regionkey, CASE WHEN o_orderkey % 31 = 0 THEN '  ' ELSE c_name END AS name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey), dirty AS (SELECT *, concat_ws(',', CASE WHEN torn IS NOT NULL THEN 'MALFORMED_ROW' END, CASE WHEN id IS NULL THEN 'MISSING_ID' END, CASE WHEN trim(name) = '' THEN 'MISSING_NAME' END, CASE WHEN country NOT IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_5', 'NATION_6', 'NATION_7', 'NATION_8', 'NATION_9') THEN 'INVALID_COUNTRY_CODE' END, CASE WHEN entity NOT IN ('BANK', 'INSURANCE') THEN 'INVALID_ENTITY_TYPE' END, CASE WHEN status NOT IN ('O', 'F', 'P') THEN 'INVALID_STATUS' END, CASE WHEN amount < 0 THEN 'NEGATIVE_AMOUNT' END, CASE WHEN country IN ('NATION_0', 'NATION_1') AND currency <> CASE WHEN country = 'NATION_0' THEN 'GHS' ELSE 'XOF' END THEN 'CURRENCY_COUNTRY_MISMATCH' END) AS reasons FROM d0)"
+CONTRACT = Contract(
+    [
+        Rule("parsed", "torn"), Rule("required", "id"), Rule("required", "name"), Rule("one_of", "country", [f"NATION_{k}" for k in range(10)], "INVALID_COUNTRY_CODE"), Rule("one_of", "entity", ("BANK", "INSURANCE"), "INVALID_ENTITY_TYPE"),
+        Rule("one_of", "status", ("O", "F", "P")), Rule("at_least", "amount", 0), Rule("goes_with", "currency", ("country", {"NATION_0": "GHS", "NATION_1": "XOF"})),
+    ],
+    personal=["name"],
+)
 
 
 @query(f"WITH {DIRTY} SELECT country, CAST(count(*) AS BIGINT) AS n FROM dirty WHERE reasons = '' GROUP BY 1")
@@ -330,11 +338,12 @@ def contract_valid(spark: SparkSession, sf: str) -> DataFrame:
     return split(dirty(spark, sf), CONTRACT)[0].groupBy("country").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {DIRTY} SELECT 'bank' AS dataset, 'file-' || file AS source_file, country, CAST(id AS VARCHAR) AS record_id, reasons, torn IS NULL AS as_json, torn IS NULL AND FALSE AS shows_name FROM dirty WHERE reasons <> ''")
+@query(f"WITH {DIRTY} SELECT 'bank' AS dataset, 'file-' || file AS source_file, country, CAST(id AS VARCHAR) AS record_id, reasons, CASE WHEN torn IS NULL THEN status END AS raw_status, CASE WHEN torn IS NULL THEN currency END AS raw_currency, NULL::VARCHAR AS raw_name, torn AS raw_text FROM dirty WHERE reasons <> ''")
 def contract_rejects(spark: SparkSession, sf: str) -> DataFrame:
     bad = split(dirty(spark, sf), CONTRACT)[1]
     out = reject_records(bad, CONTRACT, "bank", "id", "country", F.concat(F.lit("file-"), F.col("file").cast("string")))
-    return out.withColumns({"as_json": F.get_json_object("raw_record", "$.country").isNotNull(), "shows_name": F.col("raw_record").contains("Customer#")}).drop("raw_record")
+    field = lambda c: F.get_json_object("raw_record", f"$.{c}")
+    return out.withColumns({"raw_status": field("status"), "raw_currency": field("currency"), "raw_name": field("name"), "raw_text": F.when(~F.col("raw_record").startswith("{"), F.col("raw_record"))}).drop("raw_record")
 
 
 @query(f"WITH {DIRTY} SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM dirty WHERE reasons <> '') GROUP BY 1")
@@ -348,6 +357,16 @@ def contract_file_stats(spark: SparkSession, sf: str) -> DataFrame:
     return file_stats(*split(dirty(spark, sf), CONTRACT), "file")
 
 
+@query(f"WITH {DIRTY}, b AS (SELECT *, (k % 3)::INT AS batch_id, len(string_split(reasons, ',')) AS n FROM dirty) SELECT 'bank' AS dataset, batch_id, CAST(count(*) AS BIGINT) AS rows_read, CAST(count_if(reasons = '') AS BIGINT) AS rows_valid, CAST(count_if(reasons <> '') AS BIGINT) AS rows_rejected, CAST(count(DISTINCT file) AS BIGINT) AS files, CAST(sum(CASE WHEN reasons = '' THEN 0 ELSE n END) AS BIGINT) AS n_reasons, CAST(count_if(reasons = '') AS BIGINT) AS n_stamped FROM b GROUP BY batch_id")
+def audit_ingestion(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit table of three loads, of which the second comes twice, beside the stamped rows that they left."""
+    into, raw = Ingestion(spark, new_place(spark, "ingested"), "bank", CONTRACT), dirty(spark, sf).withColumn("k", F.col("key"))
+    for batch in (0, 1, 2, 1):
+        into.load(raw.where(F.col("k") % 3 == batch).drop("k", "key"), batch, "file")
+    stamped = into.valid().where("_ingested_at IS NOT NULL").groupBy(F.col("_batch_id").alias("batch_id")).agg(F.count("*").alias("n_stamped"))
+    return into.log().drop("ingested_at").join(stamped, "batch_id")
+
+
 @query("SELECT 'orders' AS dataset, n_name AS country, CAST(count(*) AS BIGINT) AS n_rows, '{\"failed\":' || count_if(o_orderstatus = 'F') || ',\"large\":' || count_if(o_totalprice > 400000) || '}' AS flags FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
 def contract_quality(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders").join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(countries(spark, sf), F.col("c_nationkey") == F.col("nation"))
@@ -381,9 +400,8 @@ def lineage_edges(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(s, t, t.split("_")[0]) for t, made_of in LINEAGE.items() for s in made_of], "source string, target string, layer string")
 
 
-@query("SELECT c_custkey, " + "CASE WHEN c_custkey % 2 = 0 THEN 'ab****yz' ELSE '****' END AS shown, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS denominator FROM customer")
+@query("SELECT c_custkey, CASE WHEN length(v) >= 12 THEN left(v, 4) || '****' || right(v, 4) ELSE '****' END AS shown, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS denominator FROM (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE c_mktsegment END AS v FROM customer)")
 def mask_short_values(spark: SparkSession, sf: str) -> DataFrame:
-    """A short value shows nothing of itself."""
-    v = F.when(F.col("c_custkey") % 2 == 0, "ab cd efgh ijkl uv w xyz").otherwise("ab cd efg")
-    shown = F.regexp_replace(masked(v), r"^abcd\*\*\*\*wxyz$", "ab****yz")
-    return load(spark, sf, "customer").select("c_custkey", shown.alias("shown"), positive(F.col("c_acctbal")).alias("denominator"))
+    """A value of fewer than twelve characters shows nothing of itself."""
+    v = F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).otherwise(F.col("c_mktsegment"))
+    return load(spark, sf, "customer").select("c_custkey", masked(v).alias("shown"), positive(F.col("c_acctbal")).alias("denominator"))

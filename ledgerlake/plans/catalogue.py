@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.expressions import half_up, masked, pseudonym, ratio
-from ledgerlake.operators.cleanse import fences, latest_by
-from ledgerlake.operators.contracts import Contract, split
+from ledgerlake.operators.cleanse import flagged, latest_by
+from ledgerlake.operators.contracts import Contract, Rule, split
 from ledgerlake.plans.domain import bank, insurance, mobile
 from ledgerlake.sources.tables import load
 from ledgerlake.streaming.detect import bursts
@@ -113,7 +113,7 @@ def agg_by_country_type(spark: SparkSession, sf: str) -> DataFrame:
 SELECT id, b.country, amount, coalesce(ln(1 + amount) > q3 + 0.5 * (q3 - q1), FALSE) AS outlier FROM bank b LEFT JOIN q USING (country)""")
 def outlier_flags(spark: SparkSession, sf: str) -> DataFrame:
     b = bank(spark, sf)
-    return b.join(fences(b, "country", "amount", 0.5), "country", "left").select("id", "country", "amount", F.coalesce(F.log1p("amount") > F.col("fence"), F.lit(False)).alias("outlier"))
+    return flagged(b, "country", "amount", 0.5).select("id", "country", "amount", "outlier")
 
 
 @query("""SELECT c_custkey AS client, substr(regexp_replace(c_name, '\\s', '', 'g'), 1, 4) || '****' || right(regexp_replace(c_name, '\\s', '', 'g'), 4) AS masked_name, sha256('salt' || c_custkey::VARCHAR) AS pseudonym FROM customer""")
@@ -126,7 +126,7 @@ SELECT id, reasons FROM r WHERE reasons <> ''""")
 def reject_records(spark: SparkSession, sf: str) -> DataFrame:
     price = F.col("o_totalprice")
     raw = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.when(price % 7 >= 1, F.col("o_orderstatus")).alias("status"), (price - 5000).alias("amount"))
-    _, rejected = split(raw, Contract(required=["status"], enums={"status": ("O", "F")}, not_negative=["amount"]))
+    _, rejected = split(raw, Contract([Rule("required", "status"), Rule("one_of", "status", ("O", "F")), Rule("at_least", "amount", 0)]))
     return rejected.select("id", "reasons")
 
 

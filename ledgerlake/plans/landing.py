@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlake.functions.expressions import half_up
 from ledgerlake.operators import store
-from ledgerlake.operators.contracts import Contract, split
+from ledgerlake.operators.contracts import Contract, Rule, split
 from ledgerlake.plans.domain import mobile
 from ledgerlake.plans.silver import countries
 from ledgerlake.sources import files
@@ -125,7 +125,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MESSAGE = "event_id bigint, user_id bigint, value double"
-FIT = Contract(required=["event_id"], corrupt="corrupt")
+FIT = Contract([Rule("parsed", "corrupt"), Rule("required", "event_id")])
 
 
 def parsed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

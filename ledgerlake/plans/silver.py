@@ -23,10 +23,10 @@ DEFAULT_RATE, UNKNOWN = 0.12, "UNKNOWN"
 
 CTE = {
     "countries": "SELECT n_nationkey AS nation, n_name AS country, r_name AS region, CASE WHEN n_regionkey = 0 THEN 'GHS' ELSE 'XOF' END AS currency FROM nation JOIN region ON n_regionkey = r_regionkey",
-    "fx": f"SELECT d::DATE AS day, currency, CASE currency WHEN 'XOF' THEN {XOF_PER_EUR}::DOUBLE ELSE round({GHS_PER_EUR}::DOUBLE * (1 + {GHS_SWING}::DOUBLE * sin(2 * pi() * dayofyear(d) / 365)), 6) END AS per_eur FROM (SELECT unnest(generate_series((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders), INTERVAL 1 DAY)) AS d), (SELECT unnest(['XOF', 'GHS']) AS currency)",
+    "fx": f"SELECT d::DATE AS day, currency, CASE currency WHEN 'XOF' THEN {XOF_PER_EUR}::DOUBLE ELSE round({GHS_PER_EUR}::DOUBLE * (1 + {GHS_SWING}::DOUBLE * sin(2 * pi() * dayofyear(d) / 365)), 6) END AS per_eur FROM (SELECT unnest(generate_series((SELECT least((SELECT min(o_orderdate) FROM orders), (SELECT min(ts) FROM events))::DATE), (SELECT greatest((SELECT max(o_orderdate) FROM orders), (SELECT max(ts) FROM events))::DATE), INTERVAL 1 DAY)) AS d), (SELECT unnest(['XOF', 'GHS']) AS currency)",
     "clients": "SELECT client, coalesce(segment, 'UNKNOWN') AS segment, country, region, currency, balance, version FROM (SELECT c_custkey AS client, CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment END AS segment, c_nationkey, c_acctbal AS balance, CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 1 END AS version FROM customer) JOIN countries ON c_nationkey = nation",
     "accounts": "SELECT client AS account, segment, country, currency, balance, round(balance / per_eur, 2) AS balance_eur FROM clients JOIN (SELECT currency, per_eur FROM fx WHERE day = (SELECT max(day) FROM fx)) USING (currency) WHERE balance >= 0",
-    "bank": "SELECT o_orderkey AS id, o_orderdate AS ts, o_orderdate::DATE AS day, date_trunc('month', o_orderdate)::DATE AS month, o_custkey AS account, coalesce(a.segment, 'UNKNOWN') AS segment, k.country, k.currency, o_orderpriority AS type, o_orderstatus AS status, o_totalprice AS amount, round(o_totalprice / per_eur, 2) AS amount_eur, a.account IS NULL AS orphan FROM orders JOIN customer ON o_custkey = c_custkey JOIN countries k ON c_nationkey = nation LEFT JOIN accounts a ON a.account = o_custkey LEFT JOIN fx ON fx.day = o_orderdate::DATE AND fx.currency = k.currency",
+    "bank": "SELECT o_orderkey AS id, o_orderdate AS ts, o_orderdate::DATE AS day, date_trunc('month', o_orderdate)::DATE AS month, o_custkey AS account, coalesce(a.segment, 'UNKNOWN') AS segment, k.country, k.currency, o_orderpriority AS type, o_orderstatus AS status, o_totalprice AS amount, round(o_totalprice / per_eur, 2) AS amount_eur, floor(o_totalprice * 0.1 + 0.5) / 100 AS fee, round(floor(o_totalprice * 0.1 + 0.5) / 100 / per_eur, 2) AS fee_eur, a.account IS NULL AS orphan, o_custkey // 12 AS branch, s_suppkey IS NULL AS orphan_branch FROM orders JOIN customer ON o_custkey = c_custkey JOIN countries k ON c_nationkey = nation LEFT JOIN accounts a ON a.account = o_custkey LEFT JOIN supplier ON s_suppkey = o_custkey // 12 LEFT JOIN fx ON fx.day = o_orderdate::DATE AND fx.currency = k.currency",
     "lines": "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, l_returnflag DESC, l_linestatus DESC, l_tax DESC, l_discount DESC) AS n FROM lineitem) WHERE n = 1",
 }
 
@@ -59,8 +59,9 @@ def countries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(with_ctes("fx") + " SELECT * FROM fx")
 def silver_fx_rates(spark: SparkSession, sf: str) -> DataFrame:
-    """Units of each currency for a euro, by day of the orders' span."""
-    span = load(spark, sf, "orders").agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"))
+    """Units of each currency for a euro, by day of the span of orders and events."""
+    ends = lambda name, ts: load(spark, sf, name).agg(F.min(ts).cast("date").alias("a"), F.max(ts).cast("date").alias("b"))
+    span = ends("orders", "o_orderdate").unionByName(ends("events", "ts")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
     days = span.select(F.explode(F.sequence("a", "b")).alias("day"))
     cedi = F.round(F.lit(GHS_PER_EUR) * (1 + F.lit(GHS_SWING) * F.sin(2 * F.pi() * F.dayofyear("day") / 365)), 6)
     return days.select("day", F.lit(XOF_PER_EUR).alias("XOF"), cedi.alias("GHS")).unpivot("day", ["XOF", "GHS"], "currency", "per_eur")
@@ -103,26 +104,40 @@ def silver_accounts(spark: SparkSession, sf: str) -> DataFrame:
     return c.select(F.col("client").alias("account"), "segment", "country", "currency", "balance", F.round(F.col("balance") / F.col("per_eur"), 2).alias("balance_eur"))
 
 
-FENCED = "fences AS (SELECT country AS fc, quantile_disc(ln(1 + {1}), 0.75) + 3.0 * (quantile_disc(ln(1 + {1}), 0.75) - quantile_disc(ln(1 + {1}), 0.25)) AS fence FROM {0} GROUP BY 1)"
+FENCED = "fences AS (SELECT {2} AS fc, quantile_disc(ln(1 + {1}), 0.75) + 1.5 * (quantile_disc(ln(1 + {1}), 0.75) - quantile_disc(ln(1 + {1}), 0.25)) AS fence FROM {0} GROUP BY 1)"
 
 
-@query(with_ctes("bank") + ", " + FENCED.format("bank", "amount_eur") + " SELECT bank.*, coalesce(ln(1 + amount_eur) > fence, FALSE) AS outlier FROM bank LEFT JOIN fences ON country = fc")
+@query(with_ctes("bank") + ", " + FENCED.format("bank", "amount_eur", "country") + " SELECT bank.*, coalesce(ln(1 + amount_eur) > fence, FALSE) AS outlier FROM bank LEFT JOIN fences ON country = fc")
 def silver_bank(spark: SparkSession, sf: str) -> DataFrame:
-    """Bank operations: the latest of each id, enriched twice, in euros, orphans and outliers marked."""
+    """Bank operations: the latest of each id, enriched by home, account and branch, in euros, orphans and outliers marked."""
     o = load(spark, sf, "orders")
     o = latest_by(o.unionByName(o.where("o_orderkey % 7 = 0")), ["o_orderkey"], F.col("o_orderdate"), F.col("o_totalprice"))
+    o = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"), F.col("o_custkey").alias("account"), F.col("o_orderpriority").alias("type"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"))
+    return flagged(built_bank(o, *bank_dimensions(spark, sf)), "country", "amount_eur")
+
+
+def bank_dimensions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(homes of clients, accounts, branches, rates)"""
     home = load(spark, sf, "customer").select(F.col("c_custkey").alias("client"), F.col("c_nationkey").alias("nation")).join(countries(spark, sf), "nation")
-    o = enriched(o, "o_custkey", home, "client", country=None, currency=None)
-    o = enriched(o, "o_custkey", silver_accounts(spark, sf).select("account", "segment"), "account", "orphan", segment=F.lit(UNKNOWN))
-    o = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"), F.to_date("o_orderdate").alias("day"), F.trunc(F.to_date("o_orderdate"), "month").alias("month"), F.col("o_custkey").alias("account"), "segment", "country", "currency", F.col("o_orderpriority").alias("type"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"), "orphan")
-    return flagged(to_eur(o, silver_fx_rates(spark, sf), "day", amount_eur="amount"), "country", "amount_eur")
+    return home.select("client", "country", "currency"), silver_accounts(spark, sf).select("account", "segment"), silver_branches(spark, sf).select("branch"), silver_fx_rates(spark, sf)
+
+
+def built_bank(ops: DataFrame, home: DataFrame, accounts: DataFrame, branches: DataFrame, fx: DataFrame, cut: bool = False) -> DataFrame:
+    """Cleansed operations from (id, ts, account, type, status, amount), in a batch or within a micro-batch, which cuts large dimensions to its keys."""
+    ops = ops.withColumn("branch", F.floor(F.col("account") / 12))
+    ops = enriched(ops, "account", home, "client", cut=cut, country=None, currency=None)
+    ops = enriched(ops, "account", accounts.withColumnRenamed("account", "_account"), "_account", "orphan", cut=cut, segment=F.lit(UNKNOWN))
+    ops = enriched(ops, "branch", branches.withColumnRenamed("branch", "_branch"), "_branch", "orphan_branch")
+    fee, day = (F.floor(F.col("amount") * 0.1 + 0.5) / 100).alias("fee"), F.to_date("ts")
+    ops = ops.select("id", "ts", day.alias("day"), F.trunc(day, "month").alias("month"), "account", "segment", "country", "currency", "type", "status", "amount", fee, "orphan", "branch", "orphan_branch")
+    return to_eur(ops, fx, "day", amount_eur="amount", fee_eur="fee")
 
 
 INSURANCE = """ins AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_shipdate AS ts, c.country, coalesce(p_type, 'UNKNOWN') AS line, CASE WHEN p_type LIKE 'S%' THEN 'IARD' ELSE 'VIE' END AS branch, p.sold, l_returnflag <> 'R' AS premium, l_returnflag = 'R' AS claim, l_returnflag = 'R' AND l_linestatus = 'F' AS claim_paid, CAST(floor(l_quantity) AS INT) AS days, l_extendedprice AS amount
 FROM lines JOIN supplier ON l_suppkey = s_suppkey JOIN countries c ON s_nationkey = nation LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN (SELECT country, p_type, count(*) AS sold FROM lines JOIN supplier ON l_suppkey = s_suppkey JOIN countries ON s_nationkey = nation JOIN part ON l_partkey = p_partkey WHERE p_type <> 'PROMO' GROUP BY ALL) p USING (country, p_type))"""
 
 
-@query(with_ctes("countries", "lines") + f", {INSURANCE}, " + FENCED.format("ins", "amount") + " SELECT ins.* EXCLUDE (sold), CAST(coalesce(sold, 0) AS BIGINT) AS sold, sold IS NULL AS orphan_product, coalesce(ln(1 + amount) > fence, FALSE) AS outlier FROM ins LEFT JOIN fences ON country = fc")
+@query(with_ctes("countries", "lines") + f", {INSURANCE}, " + FENCED.format("ins", "amount", "country") + " SELECT ins.* EXCLUDE (sold), CAST(coalesce(sold, 0) AS BIGINT) AS sold, sold IS NULL AS orphan_product, coalesce(ln(1 + amount) > fence, FALSE) AS outlier FROM ins LEFT JOIN fences ON country = fc")
 def silver_insurance(spark: SparkSession, sf: str) -> DataFrame:
     """Insurance operations with their product, by country and line."""
     branch = silver_branches(spark, sf).select("branch", "country")
@@ -145,29 +160,33 @@ def latest_lines(spark: SparkSession, sf: str) -> DataFrame:
     return latest_by(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], *[F.col(c) for c in order])
 
 
-@query(with_ctes("clients") + """, m AS (SELECT event_id AS id, ts, user_id AS sender, (user_id * 7 + 3) % 1600 AS receiver, event_type AS operator, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'SUCCESS' END AS status, value AS amount FROM events)
-SELECT m.*, s.country AS sender_country, r.country AS receiver_country, coalesce(s.segment, 'UNKNOWN') AS sender_segment, s.client IS NULL AS orphan_sender, r.client IS NULL AS orphan_receiver, s.country || '-' || r.country AS corridor, coalesce(s.country <> r.country, FALSE) AS cross_border, date_trunc('week', ts)::DATE AS week, CAST(hour(ts) AS INT) AS hour FROM m LEFT JOIN clients s ON s.client = sender LEFT JOIN clients r ON r.client = receiver""")
+@query(with_ctes("fx", "clients") + """, m AS (SELECT event_id AS id, ts, user_id AS sender, (user_id * 7 + 3) % 1600 AS receiver, event_type AS operator, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'SUCCESS' END AS status, value AS amount FROM events),
+mob AS (SELECT m.*, s.country AS sender_country, r.country AS receiver_country, coalesce(s.segment, 'UNKNOWN') AS sender_segment, s.client IS NULL AS orphan_sender, r.client IS NULL AS orphan_receiver, s.country || '-' || r.country AS corridor, coalesce(s.country <> r.country, FALSE) AS cross_border, date_trunc('week', ts)::DATE AS week, CAST(hour(ts) AS INT) AS hour, ts::DATE AS day, s.currency, round(amount / per_eur, 2) AS amount_eur FROM m LEFT JOIN clients s ON s.client = sender LEFT JOIN clients r ON r.client = receiver LEFT JOIN fx ON fx.day = ts::DATE AND fx.currency = s.currency), """ + FENCED.format("mob", "amount_eur", "sender_country") + " SELECT mob.*, coalesce(ln(1 + amount_eur) > fence, FALSE) AS outlier FROM mob LEFT JOIN fences ON sender_country = fc")
 def silver_mobile(spark: SparkSession, sf: str) -> DataFrame:
-    """Mobile payments: one dimension in two roles."""
+    """Mobile payments: one dimension in two roles, in euros at the rate of the sender's currency, outliers marked by the sender's country."""
     c, t = silver_clients(spark, sf), F.col("event_type")
     m = load(spark, sf, "events").select(F.col("event_id").alias("id"), "ts", F.col("user_id").alias("sender"), ((F.col("user_id") * 7 + 3) % 1600).alias("receiver"), t.alias("operator"), F.when(t == "error", "FAILED").when(t == "signup", "PENDING").otherwise("SUCCESS").alias("status"), F.col("value").alias("amount"))
-    role = lambda who: c.select("client", F.col("country").alias(f"{who}_country"), F.col("segment").alias(f"{who}_segment"))
-    m = enriched(m, "sender", role("sender"), "client", "orphan_sender", sender_country=None, sender_segment=F.lit(UNKNOWN))
+    role = lambda who: c.select("client", "currency", F.col("country").alias(f"{who}_country"), F.col("segment").alias(f"{who}_segment"))
+    m = enriched(m, "sender", role("sender"), "client", "orphan_sender", sender_country=None, sender_segment=F.lit(UNKNOWN), currency=None)
     m = enriched(m, "receiver", role("receiver"), "client", "orphan_receiver", receiver_country=None)
     a, b = F.col("sender_country"), F.col("receiver_country")
-    return m.withColumns({"corridor": F.concat(a, F.lit("-"), b), "cross_border": F.coalesce(a != b, F.lit(False)), "week": F.to_date(F.date_trunc("week", "ts")), "hour": F.hour("ts")})
+    m = m.withColumns({"corridor": F.concat(a, F.lit("-"), b), "cross_border": F.coalesce(a != b, F.lit(False)), "week": F.to_date(F.date_trunc("week", "ts")), "hour": F.hour("ts"), "day": F.to_date("ts")})
+    return flagged(to_eur(m, silver_fx_rates(spark, sf), "day", amount_eur="amount"), "sender_country", "amount_eur")
 
 
-@query(with_ctes("countries", "lines") + f""", p AS (SELECT *, floor(l_extendedprice * l_discount * 100 + 0.5) / 100 AS paid, CASE WHEN l_tax > 0.02 THEN l_tax ELSE {DEFAULT_RATE}::DOUBLE END AS rate FROM lines)
-SELECT l_orderkey || '-' || l_linenumber AS id, l_suppkey AS loan, l_shipdate::DATE AS day, country, paid, rate, floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 AS interest, coalesce(CASE WHEN s_acctbal >= 0 THEN s_acctbal END, 0.0) AS outstanding, NOT coalesce(s_acctbal >= 0, FALSE) AS orphan, l_returnflag = 'R' OR CAST(floor(l_quantity) AS INT) * 3 > 90 AS bad FROM p JOIN supplier ON l_suppkey = s_suppkey JOIN countries ON s_nationkey = nation""")
+@query(with_ctes("countries", "fx", "lines") + f""", p AS (SELECT *, floor(l_extendedprice / 12 * 100 + 0.5) / 100 AS due, floor(l_extendedprice * l_discount * 100 + 0.5) / 100 AS paid, CASE WHEN l_tax > 0.02 THEN l_tax ELSE {DEFAULT_RATE}::DOUBLE END AS rate FROM lines),
+loan AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_suppkey AS loan, l_shipdate::DATE AS day, country, countries.currency, due, round(due / per_eur, 2) AS due_eur, paid, round(paid / per_eur, 2) AS paid_eur, rate, floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 AS interest, coalesce(CASE WHEN s_acctbal >= 0 THEN s_acctbal END, 0.0) AS outstanding, NOT coalesce(s_acctbal >= 0, FALSE) AS orphan, l_returnflag = 'R' OR CAST(floor(l_quantity) AS INT) * 3 > 90 AS bad FROM p JOIN supplier ON l_suppkey = s_suppkey JOIN countries ON s_nationkey = nation LEFT JOIN fx ON fx.day = l_shipdate::DATE AND fx.currency = countries.currency), """ + FENCED.format("loan", "due_eur", "country") + " SELECT loan.*, coalesce(ln(1 + due_eur) > fence, FALSE) AS outlier FROM loan LEFT JOIN fences ON country = fc")
 def silver_loans(spark: SparkSession, sf: str) -> DataFrame:
-    """Repayments: what is outstanding comes from the loan's account, 0 where there is none; a missing rate has a default."""
-    li = enriched(latest_lines(spark, sf), "l_suppkey", silver_branches(spark, sf), "branch", country=None)
-    held = load(spark, sf, "supplier").where("s_acctbal >= 0").select("s_suppkey", F.col("s_acctbal").alias("outstanding"))
-    li = enriched(li, "l_suppkey", held, "s_suppkey", "orphan", outstanding=F.lit(0.0))
+    """Repayments: what is outstanding comes from the loan's account, 0 where there is none; a missing rate has a default; amounts in euros too, outliers by what was due."""
+    homes = load(spark, sf, "supplier").join(countries(spark, sf), F.col("s_nationkey") == F.col("nation")).select("s_suppkey", "country", "currency", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("outstanding"))
+    li = enriched(latest_lines(spark, sf), "l_suppkey", homes, "s_suppkey", country=None, currency=None, outstanding=None)
     rate, paid = F.when(F.col("l_tax") > 0.02, F.col("l_tax")).otherwise(DEFAULT_RATE), cents(F.col("l_extendedprice") * F.col("l_discount"))
     bad = (F.col("l_returnflag") == "R") | (F.col("l_quantity").cast("int") * 3 > 90)
-    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_suppkey").alias("loan"), F.to_date("l_shipdate").alias("day"), "country", paid.alias("paid"), rate.alias("rate"), cents(paid * rate / (1 + rate)).alias("interest"), "outstanding", "orphan", bad.alias("bad"))
+    li = li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_suppkey").alias("loan"), F.to_date("l_shipdate").alias("day"), "country", "currency", cents(F.col("l_extendedprice") / 12).alias("due"), paid.alias("paid"), rate.alias("rate"),
+        cents(paid * rate / (1 + rate)).alias("interest"), F.coalesce("outstanding", F.lit(0.0)).alias("outstanding"), F.col("outstanding").isNull().alias("orphan"), bad.alias("bad"),
+    )
+    return flagged(to_eur(li, silver_fx_rates(spark, sf), "day", due_eur="due", paid_eur="paid"), "country", "due_eur")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS day, CAST(floor(l_quantity) AS INT) - 3 AS days, CAST(CASE WHEN floor(l_quantity) - 3 > 0 THEN len(list_filter(generate_series(l_shipdate::DATE - (CAST(floor(l_quantity) AS INT) - 4), l_shipdate::DATE, INTERVAL 1 DAY), lambda d: dayofweek(d) NOT IN (0, 6))) ELSE 0 END AS INT) AS working_days FROM lineitem""")

@@ -1,6 +1,7 @@
 """Vectors, plans, files and streams of the library."""
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,9 @@ from pyspark.sql.types import StructType
 from ledgerlake.functions.expressions import half_up, masked, money, present, pseudonym, ratio, working_days
 from ledgerlake.operators import store
 from ledgerlake.operators.cleanse import asked_for, enriched, flagged, latest_by
-from ledgerlake.operators.contracts import Contract, reject_records, split, without_personal
+from ledgerlake.operators.contracts import Contract, Rule, reject_records, split, without_personal
 from ledgerlake.operators.policies import Policy
+from ledgerlake.operators.sketches import History, limits, marked, quantile
 from ledgerlake.plans import gold
 from ledgerlake.plans.domain import mobile
 from ledgerlake.plans.reports import as_of
@@ -64,18 +66,38 @@ def test_outliers_are_marked_and_kept(spark):
     got = flagged(df, "c", "v").collect()
     assert len(got) == 23 and [r.v for r in got if r.outlier] == [1e9]
     history = spark.createDataFrame([("a", 1.0)], "c string, fence double")
-    assert sum(r.outlier for r in flagged(df, "c", "v", history).collect()) == 21
+    assert sum(r.outlier for r in marked(df, "c", "v", history).collect()) == 21
 
 
-CONTRACT = Contract(["id"], {"status": ("O", "F")}, ["amount"], ("country", ("CI", "GH")), ("entity", ("BANK",)), ("currency", "country", {"CI": "XOF", "GH": "GHS"}), "torn", ["iban"])
-ROWS = [(1, "O", 1.0, "CI", "BANK", "XOF", None, "x" * 16), (None, "?", -1.0, "FR", "SHOP", "EUR", "torn", "x"), (2, None, None, "GH", None, "XOF", None, "y y"), (3, "F", 0.0, "FR", "BANK", "EUR", None, None)]
+def test_limits_of_history_merge_and_keep_their_rank(spark, tmp_path):
+    """Days are sketched once; merged, their quartiles are off by less than the sketch's error; a replayed day changes nothing."""
+    facts = spark.range(120_000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("c"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("d"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double").alias("v"))
+    h = History(spark, str(tmp_path / "h"), "c", "d", "v")
+    h.add(facts.where("d < '2026-01-21'"))
+    h.add(facts.where("d >= '2026-01-21'"))
+    h.add(facts.where("d = '2026-01-05'"))
+    assert {r.c: r.n for r in h.upto().collect()} == {"a": 40_000, "b": 80_000}
+    assert sum(r.n for r in h.upto(F.col("d") < "2026-01-03").collect()) == 6_000
+    for q in (0.25, 0.75):
+        at = h.upto().select("c", quantile(q).alias("at"))
+        below = facts.join(at, "c").groupBy("c").agg(F.avg((F.log1p("v") <= F.col("at")).cast("int")).alias("rank"))
+        assert all(abs(r["rank"] - q) < 0.005 for r in below.collect())
+    scans = limits(h.upto(), "c")._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert scans == 1
+
+
+CONTRACT = Contract(
+    [Rule("parsed", "torn"), Rule("required", "id"), Rule("required", "iban"), Rule("one_of", "country", ("CI", "GH"), "INVALID_COUNTRY_CODE"), Rule("one_of", "entity", ("BANK",), "INVALID_ENTITY_TYPE"), Rule("one_of", "status", ("O", "F")), Rule("at_least", "amount", 0), Rule("goes_with", "currency", ("country", {"CI": "XOF", "GH": "GHS"}))],
+    ["iban"],
+)
+ROWS = [(1, "O", 1.0, "CI", "BANK", "XOF", None, "x" * 16), (None, "?", -1.0, "FR", "SHOP", "EUR", "torn", "x"), (2, None, None, "GH", None, "XOF", None, "y y"), (3, "F", 0.0, "FR", "BANK", "EUR", None, "   ")]
 
 
 def test_contract_keeps_every_reason_in_order(spark):
     df = spark.createDataFrame(ROWS, "id int, status string, amount double, country string, entity string, currency string, torn string, iban string")
     valid, bad = split(df, CONTRACT)
     assert [r.id for r in valid.collect()] == [1] and "torn" not in valid.columns
-    assert {r.id: r.reasons for r in bad.collect()} == {None: "MALFORMED_ROW,MISSING_ID,INVALID_COUNTRY_CODE,INVALID_ENTITY_TYPE,INVALID_STATUS,NEGATIVE_AMOUNT", 2: "CURRENCY_COUNTRY_MISMATCH", 3: "INVALID_COUNTRY_CODE"}
+    assert {r.id: r.reasons for r in bad.collect()} == {None: "MALFORMED_ROW,MISSING_ID,INVALID_COUNTRY_CODE,INVALID_ENTITY_TYPE,INVALID_STATUS,NEGATIVE_AMOUNT", 2: "CURRENCY_COUNTRY_MISMATCH", 3: "MISSING_IBAN,INVALID_COUNTRY_CODE"}
     raw = {r.record_id: r.raw_record for r in reject_records(bad, CONTRACT, "bank", "id", "country", F.lit("f.csv")).collect()}
     assert raw[None] == "torn" and "iban" not in raw["2"] and '"country":"GH"' in raw["2"]
     hidden = without_personal(df, ["iban"], "s").where("id = 1").first()
@@ -116,7 +138,8 @@ def test_store(spark, tmp_path):
     assert there() == {(1, "a", 1), (5, "b", 5), (4, "c", 7)}
     store.export_csv(spark.read.parquet(path), str(tmp_path / "csv"), "p")
     assert sorted(p.parent.name for p in (tmp_path / "csv").glob("p=*/*.csv")) == ["p=a", "p=b", "p=c"]
-    assert '"count": 3' in store.summary_json(spark.read.parquet(path).orderBy("k"))
+    told = json.loads(store.summary_json(spark.read.parquet(path).orderBy("k"), most=2))
+    assert (told["count"], told["left_out"], [r["k"] for r in told["rows"]]) == (3, 1, [1, 4])
     assert store.exists(spark, path)
     store.drop(spark, path)
     assert not store.exists(spark, path)
