@@ -21,6 +21,8 @@ from .signatures import Signature, signatures
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 P = "_lll_"
+#: Values gathered before a fold begins another part.
+PART = 256
 HITS = "array<struct<start:int,stop:int,level:int,priority:int,label:string,base:boolean>>"
 RULES = "array<struct<label:string,pattern:string,keyword:string,priority:int,base:boolean,level:int>>"
 
@@ -30,19 +32,35 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), SEPARATORS, " "))
 
 
+def nothing(kind: str) -> list[Column]:
+    """The fields of a fold's state that gather values: full parts, and the last part. Appending copies an array, so that parts are short."""
+    return [F.array().cast(f"array<{kind}>").alias("parts"), F.array().cast(kind).alias("part")]
+
+
+def appended(a: Column, x: Column, when: Column | None = None) -> list[Column]:
+    """These fields with one more value (where the condition holds)."""
+    when = F.lit(True) if when is None else when
+    full = when & (F.size(a["part"]) >= PART)
+    return [F.when(full, F.array_append(a["parts"], a["part"])).otherwise(a["parts"]).alias("parts"), F.when(full, F.array(x)).when(when, F.array_append(a["part"], x)).otherwise(a["part"]).alias("part")]
+
+
+def gathered(a: Column) -> Column:
+    return F.flatten(F.array_append(a["parts"], a["part"]))
+
+
 def _hits(norm: Column, rule: Column) -> Column:
     """Each match of a rule; what splits off before a match tells where it starts."""
     found = F.regexp_extract_all(norm, rule["pattern"], F.lit(0))
     gaps = F.split(norm, rule["pattern"], -1)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("spans"))
+    begin = F.struct(F.lit(0).alias("at"), *nothing("array<struct<start:int,stop:int>>"))
 
     def step(a, x):
         start = a["at"] + F.length(x["gap"])
         stop = start + F.length(x["hit"])
-        return F.struct(stop.alias("at"), F.array_append(a["spans"], F.struct(start.alias("start"), stop.alias("stop"))).alias("spans"))
+        return F.struct(stop.alias("at"), *appended(a, F.struct(start.alias("start"), stop.alias("stop"))))
 
     pairs = F.filter(F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("hit"))), lambda x: x["hit"].isNotNull())
-    spans = F.aggregate(pairs, begin, step, lambda a: a["spans"])
+    spans = F.aggregate(pairs, begin, step, gathered)
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), rule["level"].alias("level"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["base"].alias("base")))
 
 
@@ -58,9 +76,9 @@ def unsuppressed(hits: Column, levels: int) -> Column:
     def step(a, x):
         inside = (x["level"] > 0) & (F.array_max(F.slice(a["far"], 1, F.greatest(x["level"], F.lit(1)))) >= x["hit"]["stop"])
         far = F.transform(a["far"], lambda v, k: F.when(k == x["level"], F.greatest(v, x["hit"]["stop"])).otherwise(v))
-        return F.struct(far.alias("far"), F.when(inside, a["kept"]).otherwise(F.array_append(a["kept"], x["hit"])).alias("kept"))
+        return F.struct(far.alias("far"), *appended(a, x["hit"], ~inside))
 
-    return F.aggregate(swept, F.struct(none.alias("far"), F.array().cast(HITS).alias("kept")), step, lambda a: a["kept"])
+    return F.aggregate(swept, F.struct(none.alias("far"), *nothing(HITS)), step, gathered)
 
 
 def scanned(docs: DataFrame, text: str = "text", rules: Sequence[Signature] | None = None) -> DataFrame:
