@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
+from .shingles import mixed
 
 WORD = re.compile(r"\w+")
 #: The fit takes at most so many labelled rows of each kind, by a hash of their id, and of them so many
@@ -91,8 +92,8 @@ def lots(chains: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.nd
         yield part, pad, size
 
 
-def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginal of tag 1 at each place, and of each pair of tags, by forward-backward."""
+def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray, pairs: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Marginal of tag 1 at each place, and (with `pairs`, as the fit needs) of each pair of tags, by forward-backward."""
     n, t = u.shape
     live = np.arange(t)[None, :] < size[:, None]
     # Work with p = P(tag 1 | what is seen so far); a step mixes it by the transitions.
@@ -114,14 +115,14 @@ def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray) -> tuple[np.nd
         back[i] = np.where(live[:, i + 1][:, None], y, 1.0)
     m = fore * back
     p = (m[:, :, 1] / m.sum(2)).T * live
-    pairs = np.zeros((2, 2))
-    if t > 1:
+    of_pairs = np.zeros((2, 2))
+    if t > 1 and pairs:
         nxt = back[1:].copy()
         nxt[:, :, 1] *= e[:, 1:].T
         joint = fore[:-1, :, :, None] * a[None, None] * nxt[:, :, None, :]
         joint /= joint.sum((2, 3), keepdims=True)
-        pairs = (joint * live[:, 1:].T[:, :, None, None]).sum((0, 1))
-    return p, pairs
+        of_pairs = (joint * live[:, 1:].T[:, :, None, None]).sum((0, 1))
+    return p, of_pairs
 
 
 def telling(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
@@ -139,40 +140,45 @@ def telling(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
     return out
 
 
-def distinct_documents(docs: list[set[str]]) -> list[int]:
-    """Numbers of documents, without near copies of earlier ones: bands of least word hashes tell them.
+def distinct_documents(docs: list[set[str]], least: float = 0.9) -> list[int]:
+    """Numbers of documents, without those whose words are those of an earlier one that stays, by a Jaccard similarity of `least`.
 
-    A document copied many times would make all its words look telling.
+    A document copied many times would make all its words look telling. Bands of least hashes, each hash with a seed of
+    its own, say which earlier ones to compare with; only a measured similarity lets a document go.
     """
-    seen: set[tuple] = set()
+    seeds = np.random.default_rng(24).integers(0, 2**64, (24, 1), dtype=np.uint64)
+    seen: dict[tuple, list[int]] = {}
     out = []
-    mult = np.array([[0x9E3779B1 + 2 * k * 0x85EBCA6B] for k in range(24)], dtype=np.uint64)
     for k, d in enumerate(docs):
         if not d:
             continue
         h = np.array([zlib.crc32(w.encode()) for w in d], dtype=np.uint64)
-        least = ((h[None, :] * mult) & np.uint64(0xFFFFFFFF) ^ (mult >> np.uint64(7))).min(1).tolist()
-        bands = {(b, *least[3 * b : 3 * b + 3]) for b in range(8)}
-        if not bands & seen:
+        first = mixed(h[None, :] ^ seeds).min(1).tolist()
+        bands = [(b, *first[3 * b : 3 * b + 3]) for b in range(8)]
+        earlier = {j for b in bands for j in seen.get(b, ())}
+        if not any(len(d & docs[j]) >= least * len(d | docs[j]) for j in earlier):
             out.append(k)
-        seen |= bands
+            for b in bands:
+                seen.setdefault(b, []).append(k)
     return out
 
 
 def features(f: Field, texts: list[str]) -> np.ndarray:
-    """Per text: 1, greatest marginal, log of their sum."""
-    tokens, chains, of = Tokens(f.vocab), [], []
+    """Per text: 1, greatest marginal, log of their sum. A line that comes again is worked out once."""
+    tokens, lines, of, line_of = Tokens(f.vocab), {}, [], []
     for k, t in enumerate(texts):
         for line in t.split("\n"):
-            chains.append(tokens.ids(line))
+            line_of.append(lines.setdefault(line, len(lines)))
             of.append(k)
+    chains = [tokens.ids(line) for line in lines]
     weight = f.bias + f.unary[tokens.table()].sum(1)
-    top, total = np.zeros(len(texts)), np.zeros(len(texts))
+    most, summed = np.zeros((2, len(chains)))
     for part, pad, size in lots(chains):
-        p, _ = marginals(f.trans, weight[pad], size)
-        where = np.array(of)[part]
-        np.maximum.at(top, where, p.max(1))
-        np.add.at(total, where, p.sum(1))
+        p, _ = marginals(f.trans, weight[pad], size, pairs=False)
+        most[part], summed[part] = p.max(1), p.sum(1)
+    top, total = np.zeros(len(texts)), np.zeros(len(texts))
+    np.maximum.at(top, of, most[line_of])
+    np.add.at(total, of, summed[line_of])
     return np.stack([np.ones(len(texts)), top, np.log1p(total)], 1)
 
 
@@ -293,7 +299,7 @@ def offsets(f: Field, text: str) -> list[dict]:
         at += len(line) + 1
     weight = f.bias + f.unary[tokens.table()].sum(1)
     for part, pad, size in lots(chains):
-        p, _ = marginals(f.trans, weight[pad], size)
+        p, _ = marginals(f.trans, weight[pad], size, pairs=False)
         for r, c in zip(*np.nonzero(p >= 0.5)):
             out.append(places[part[r]][c])
     return [{"start": a, "stop": b} for a, b in sorted(out)]

@@ -65,3 +65,21 @@ def test_held_out_documents(spark):
     bad, clean = [p for t, p in got if t], [p for t, p in got if not t]
     print("toxic found", sum(bad), len(bad), "false alarms", sum(clean), len(clean))
     assert bad and sum(bad) >= 0.85 * len(bad) and sum(clean) <= 0.03 * len(clean)
+
+
+def test_only_near_copies_are_left_out_of_the_fit():
+    """Unlike texts that share their common words all stay, however many there are; copies and near copies go."""
+    r = random.Random(9)
+    common = VOCAB[:40]
+    unlike = [set(common) | {r.choice(VOCAB) for _ in range(60)} for _ in range(600)]
+    assert toxicity.distinct_documents(unlike) == list(range(600))
+    near = [unlike[0], unlike[1] | {"one"}, set(list(unlike[2])[1:])]
+    assert toxicity.distinct_documents(unlike + near) == list(range(600)) and toxicity.distinct_documents([set(), {"a"}, {"a"}]) == [1]
+
+
+def test_held_out_and_predicted_follow_their_rules(spark):
+    import zlib
+
+    sf = "/root/testdata/sf0.01"
+    got = toxicity.op7_toxicity(spark, sf).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in got) and any(r.held_out for r in got)
