@@ -22,8 +22,10 @@ SKETCH, KEYS, BAND = 16, 6, 3
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += np.uint64(32)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += np.uint8(32)
+#: The first so many of eight bytes, read as a little-endian number.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[32, *range(9, 14)]] = False
 
@@ -40,21 +42,6 @@ def _sums(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.r_[np.zeros(1, x.dtype), np.cumsum(x)][np.r_[0, ends]])
 
 
-class Powers:
-    """Powers of an odd number modulo 2**64, and of its inverse, grown as texts ask."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def to(self, n: int) -> None:
-        if len(self.up) < n:
-            inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-            self.up, self.down = (np.multiply.accumulate(np.r_[np.ones(1, np.uint64), np.full(n - 1, x)]) for x in (_BASE, inverse))
-
-
-_POWERS = Powers()
-
-
 def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word in lower case, number of words of each text) of texts that end at these bytes."""
     starts = np.r_[0, ends[:-1]]
@@ -64,9 +51,16 @@ def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     before[starts[some]] = False
     after[ends[some] - 1] = False
     first, last = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    _POWERS.to(len(data) + 1)
-    along = np.r_[np.zeros(1, np.uint64), np.cumsum((_LOWER[data] + np.uint64(1)) * _POWERS.up[: len(data)])]
-    hashes = mixed((along[last] - along[first]) * _POWERS.down[first] ^ (last - first).astype(np.uint64) * _STEP)
+    # Eight bytes of a word at a time are mixed with their place in it, and a word's blocks are summed: nothing about the
+    # blocks' values passes linearly into the sum.
+    blocks = (last - first + 7) // 8
+    ends_of = np.cumsum(blocks)
+    nth = np.arange(ends_of[-1] if len(ends_of) else 0) - np.repeat(ends_of - blocks, blocks)
+    at = np.repeat(first, blocks) + 8 * nth
+    padded = np.r_[_LOWER[data], np.zeros(8, np.uint8)]
+    eight = np.ndarray(len(data) + 1, np.dtype("<u8"), padded.data, strides=(1,))
+    part = eight[at] & _FIRST[np.minimum(np.repeat(last, blocks) - at, 8)]
+    hashes = mixed(_sums(mixed(part ^ mixed(nth.astype(np.uint64) * _STEP + _BASE)), ends_of) ^ (last - first).astype(np.uint64) * _STEP)
     return hashes, np.diff(np.searchsorted(first, np.r_[0, ends]))
 
 

@@ -120,3 +120,13 @@ def test_deduplicated_keeps_one_row_of_each_component(spark):
     got = jaccard.deduplicated(spark.createDataFrame(REPEATED, "doc_id long, text string, row string"))
     want = [(1, "alpha beta gamma delta epsilon"), (1, "one two three four five"), (2, "six seven eight nine ten"), (4, ""), (4, ""), (4, None), (4, "red green"), (None, "red green"), (6, "lone")]
     assert got.columns == ["doc_id", "text", "row"] and sorted(map(repr, [(r.doc_id, r.text) for r in got.collect()])) == sorted(map(repr, want))
+
+
+def test_words_that_collide_in_polynomials_differ():
+    """Thue-Morse words and their complements, whole and in blocks, and words that differ by the order of their blocks."""
+    bit = lambda k: bin(k).count("1") % 2
+    made = [b"".join((b"a", b"b")[bit(k) ^ flip] * times for k in range(2**n)) for n in range(3, 14) for flip in (0, 1) for times in (1, 8)]
+    made += [b"abcdefgh" * 3 + b"ABCDEFGI", b"abcdefgi" + b"abcdefgh" * 3, b"a" * 8, b"a" * 16, b"a" * 7, b"a" * 9]
+    data, ends = np.frombuffer(b" ".join(made), np.uint8), np.array([sum(map(len, made)) + len(made) - 1])
+    hashes, count = shingles.words(data, ends)
+    assert count.tolist() == [len(made)] and len(set(hashes.tolist())) == len({m.lower() for m in made})
