@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,6 +38,8 @@ BEGINNINGS = (3, 4, 5)
 MIN_RATIO = 20.0
 #: Padded cells in a lot of chains.
 CELLS = 400_000
+#: Words whose features a task keeps from text to text.
+REMEMBERED = 200_000
 
 
 @dataclass
@@ -55,26 +58,31 @@ def marks(word: str) -> list[str]:
     return [word, *(f"^{word[:n]}" for n in BEGINNINGS if len(word) > n)]
 
 
-class Tokens:
-    """Numbers of words as they come, from 1 on, and the features of each."""
+class Tokens(dict):
+    """Numbers of words as they are met, from 1 on, and the features of each."""
 
     def __init__(self, vocab: dict[str, int]):
-        self.vocab, self.number, self.rows = vocab, {}, [[0] * (1 + len(BEGINNINGS))]
+        super().__init__()
+        self.vocab, self.rows, self.known = vocab, array("i", [0] * (1 + len(BEGINNINGS))), np.zeros(0)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self.rows) // (1 + len(BEGINNINGS))
+        found = [self.vocab.get(m, 0) for m in marks(word)]
+        self.rows.extend(found + [0] * (1 + len(BEGINNINGS) - len(found)))
+        return number
 
     def ids(self, line: str) -> list[int]:
-        out = []
-        for w in WORD.findall(line):
-            w = w.lower()
-            k = self.number.get(w)
-            if k is None:
-                k = self.number[w] = len(self.rows)
-                found = [self.vocab.get(m, 0) for m in marks(w)]
-                self.rows.append(found + [0] * (len(self.rows[0]) - len(found)))
-            out.append(k)
-        return out
+        return [self[w] for w in map(str.lower, WORD.findall(line))]
+
+    def table(self, first: int = 0) -> np.ndarray:
+        """Features of the words from number `first` on."""
+        return np.array(self.rows[first * (1 + len(BEGINNINGS)) :], dtype=np.int32).reshape(-1, 1 + len(BEGINNINGS))
 
-    def table(self) -> np.ndarray:
-        return np.array(self.rows, dtype=np.int32)
+    def weights(self, f: Field) -> np.ndarray:
+        """Of each word by a field that doesn't change any more; words met since are added to what is known."""
+        new = self.table(len(self.known))
+        self.known = np.r_[self.known, f.bias + f.unary[new].sum(1)]
+        return self.known
 
 
 def lots(chains: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
@@ -163,15 +171,16 @@ def distinct_documents(docs: list[set[str]], least: float = 0.9) -> list[int]:
     return out
 
 
-def features(f: Field, texts: list[str]) -> np.ndarray:
-    """Per text: 1, greatest marginal, log of their sum. A line that comes again is worked out once."""
-    tokens, lines, of, line_of = Tokens(f.vocab), {}, [], []
+def features(f: Field, texts: list[str], tokens: Tokens | None = None) -> np.ndarray:
+    """Per text: 1, greatest marginal, log of their sum. A line that comes again is worked out once; `tokens` may know words of earlier texts."""
+    tokens = Tokens(f.vocab) if tokens is None else tokens
+    lines, of, line_of = {}, [], []
     for k, t in enumerate(texts):
         for line in t.split("\n"):
             line_of.append(lines.setdefault(line, len(lines)))
             of.append(k)
     chains = [tokens.ids(line) for line in lines]
-    weight = f.bias + f.unary[tokens.table()].sum(1)
+    weight = tokens.weights(f)
     most, summed = np.zeros((2, len(chains)))
     for part, pad, size in lots(chains):
         p, _ = marginals(f.trans, weight[pad], size, pairs=False)
@@ -273,6 +282,7 @@ def tags(field: Field, text: Column) -> Column:
 
     @F.pandas_udf("struct<score:double,spans:array<struct<start:int,stop:int>>>")
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        tokens = Tokens(field.vocab)
         for s in series:
             texts = ["" if t is None else t for t in s.tolist()]
             score, spans = [], []
@@ -281,23 +291,25 @@ def tags(field: Field, text: Column) -> Column:
                 n, end = 0, k
                 while end < len(texts) and (end == k or n + len(texts[end]) <= 1_000_000):
                     n, end = n + len(texts[end]), end + 1
-                x = features(field, texts[k:end])
+                tokens = tokens if len(tokens) < REMEMBERED else Tokens(field.vocab)
+                x = features(field, texts[k:end], tokens)
                 score += (1 / (1 + np.exp(-np.clip(x @ field.head, -30, 30)))).tolist()
-                spans += [offsets(field, t) if top >= 0.5 else [] for t, top in zip(texts[k:end], x[:, 1])]
+                spans += [offsets(field, t, tokens) if top >= 0.5 else [] for t, top in zip(texts[k:end], x[:, 1])]
                 k = end
             yield pd.DataFrame({"score": score, "spans": spans})
 
     return run(text)
 
 
-def offsets(f: Field, text: str) -> list[dict]:
+def offsets(f: Field, text: str, tokens: Tokens | None = None) -> list[dict]:
     """Places of the words whose marginal is at least one half."""
-    tokens, out, at, chains, places = Tokens(f.vocab), [], 0, [], []
+    tokens = Tokens(f.vocab) if tokens is None else tokens
+    out, at, chains, places = [], 0, [], []
     for line in text.split("\n"):
         chains.append(tokens.ids(line))
         places.append([(at + m.start(), at + m.end()) for m in WORD.finditer(line)])
         at += len(line) + 1
-    weight = f.bias + f.unary[tokens.table()].sum(1)
+    weight = tokens.weights(f)
     for part, pad, size in lots(chains):
         p, _ = marginals(f.trans, weight[pad], size, pairs=False)
         for r, c in zip(*np.nonzero(p >= 0.5)):
