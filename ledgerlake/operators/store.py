@@ -28,7 +28,7 @@ def insert_new(new: DataFrame, path: str, keys: Sequence[str], partitions: Seque
     """Append what isn't there by key; a replay appends nothing. With `within`, keys are looked for in the partitions of new alone, where they stay."""
     spark = new.sparkSession
     if exists(spark, path):
-        old = spark.read.parquet(path)
+        old = spark.read.schema(new.schema).parquet(path)
         old = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi") if within else old
         rows = unseen(new, old, keys)
     else:
@@ -56,7 +56,7 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[
         new.write.parquet(f"{staging}/new")
         new = spark.read.schema(new.schema).parquet(f"{staging}/new")
         touched = new.select(*partitions).distinct()
-        old = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
+        old = spark.read.schema(new.schema).parquet(path).join(touched, list(partitions), "left_semi")
         upserted(new, old, keys).write.parquet(f"{staging}/all")
         replace_partitions(spark.read.parquet(f"{staging}/all"), path, partitions)
         drop(spark, staging)

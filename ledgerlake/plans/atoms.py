@@ -391,15 +391,6 @@ def policy_denied(spark: SparkSession, sf: str) -> DataFrame:
     return Policy().view(load(spark, sf, "customer"))
 
 
-#: Which table is made from which.
-LINEAGE = {"silver_bank": ("orders", "customer", "silver_accounts", "silver_fx_rates"), "silver_accounts": ("silver_clients", "silver_fx_rates"), "silver_clients": ("customer", "nation"), "silver_fx_rates": ("orders",), "silver_mobile": ("events", "silver_clients"), "silver_insurance": ("lineitem", "part", "supplier"), "silver_loans": ("lineitem", "supplier"), "report_banking": ("gold_npl", "nation"), "report_insurance": ("gold_loss_ratio", "gold_claim_time", "nation"), "report_breaches": ("report_banking", "report_insurance")}
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{t}', '{t.split('_')[0]}')" for t, made_of in LINEAGE.items() for s in made_of) + ") AS e(source, target, layer)")
-def lineage_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame([(s, t, t.split("_")[0]) for t, made_of in LINEAGE.items() for s in made_of], "source string, target string, layer string")
-
-
 @query("SELECT c_custkey, CASE WHEN length(v) >= 12 THEN left(v, 4) || '****' || right(v, 4) ELSE '****' END AS shown, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS denominator FROM (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE c_mktsegment END AS v FROM customer)")
 def mask_short_values(spark: SparkSession, sf: str) -> DataFrame:
     """A value of fewer than twelve characters shows nothing of itself."""

@@ -10,7 +10,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.plans import alerts, gold, reports, silver
+from ledgerlake.plans import alerts, gold, reports, silver, streams
 from ledgerlake.sources.tables import load
 
 #: Tables by the names that queries use.
@@ -19,6 +19,7 @@ TABLES = {
     "bank": (silver, "silver_bank"), "ins": (silver, "silver_insurance"), "mob": (silver, "silver_mobile"), "loan": (silver, "silver_loans"), "client": (silver, "silver_clients"), "account": (silver, "silver_accounts"), "fx": (silver, "silver_fx_rates"),
     "banking": (reports, "report_banking"), "insuring": (reports, "report_insurance"),
     "burst": (alerts, "alert_large_burst"), "abroad": (alerts, "alert_unusual_country"), "claims3x": (alerts, "alert_claim_ratio"), "aml": (alerts, "alert_aml"), "liquidity": (alerts, "alert_liquidity"),
+    "rt": (streams, "stream_silver_bank"), "rt_bursts": (streams, "stream_large_burst"),
 }
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -56,6 +57,8 @@ SQL = {
     "check_freshness": "SELECT event_type, CAST(count(*) AS BIGINT) AS n, max(ts) AS last FROM {events} GROUP BY event_type ORDER BY event_type",
     "check_stream_unique": "SELECT event_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT event_id FROM {events} UNION ALL SELECT event_id FROM {events} WHERE event_id % 50 = 0) e GROUP BY event_id HAVING count(*) > 1",
     "check_conversion": "SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(amount_eur IS NULL) AS BIGINT) AS unconverted, CAST(count_if(orphan) AS BIGINT) AS orphans FROM {bank}",
+    "check_rt": "SELECT country, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT id) AS BIGINT) AS n_ids, CAST(count_if(amount_eur IS NULL) AS BIGINT) AS unconverted, CAST(count_if(orphan) AS BIGINT) AS orphans, CAST(count_if(orphan_branch) AS BIGINT) AS branch_orphans, max(ts) AS last FROM {rt} GROUP BY country",
+    "check_rt_alerts": "SELECT country, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT alert_id) AS BIGINT) AS n_ids, CAST(count(DISTINCT subject_id) AS BIGINT) AS subjects, max(event_time) AS last FROM {rt_bursts} GROUP BY country",
     "check_alerts": "SELECT rule_code, country, CAST(count(*) AS BIGINT) AS n FROM (SELECT rule_code, country FROM {burst} UNION ALL SELECT rule_code, country FROM {abroad} UNION ALL SELECT rule_code, country FROM {claims3x} UNION ALL SELECT rule_code, country FROM {aml} UNION ALL SELECT rule_code, country FROM {liquidity}) a GROUP BY rule_code, country ORDER BY rule_code, country",
     "check_aml_by_country": "SELECT country, entity, CAST(count(*) AS BIGINT) AS n, round(sum(amount_eur), 2) AS eur FROM {aml} GROUP BY country, entity ORDER BY n DESC, country, entity",
     "check_liquidity_windows": "SELECT country, window_start, window_end, amount_eur FROM {liquidity} ORDER BY amount_eur DESC, country, window_start LIMIT 10",

@@ -175,7 +175,7 @@ def silver_mobile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(with_ctes("countries", "fx", "lines") + f""", p AS (SELECT *, floor(l_extendedprice / 12 * 100 + 0.5) / 100 AS due, floor(l_extendedprice * l_discount * 100 + 0.5) / 100 AS paid, CASE WHEN l_tax > 0.02 THEN l_tax ELSE {DEFAULT_RATE}::DOUBLE END AS rate FROM lines),
-loan AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_suppkey AS loan, l_shipdate::DATE AS day, country, countries.currency, due, round(due / per_eur, 2) AS due_eur, paid, round(paid / per_eur, 2) AS paid_eur, rate, floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 AS interest, coalesce(CASE WHEN s_acctbal >= 0 THEN s_acctbal END, 0.0) AS outstanding, NOT coalesce(s_acctbal >= 0, FALSE) AS orphan, l_returnflag = 'R' OR CAST(floor(l_quantity) AS INT) * 3 > 90 AS bad FROM p JOIN supplier ON l_suppkey = s_suppkey JOIN countries ON s_nationkey = nation LEFT JOIN fx ON fx.day = l_shipdate::DATE AND fx.currency = countries.currency), """ + FENCED.format("loan", "due_eur", "country") + " SELECT loan.*, coalesce(ln(1 + due_eur) > fence, FALSE) AS outlier FROM loan LEFT JOIN fences ON country = fc")
+loan AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_suppkey AS loan, l_shipdate::DATE AS day, country, countries.currency, due, round(due / per_eur, 2) AS due_eur, paid, round(paid / per_eur, 2) AS paid_eur, rate, floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 AS interest, round(floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 / per_eur, 2) AS interest_eur, coalesce(CASE WHEN s_acctbal >= 0 THEN s_acctbal END, 0.0) AS outstanding, NOT coalesce(s_acctbal >= 0, FALSE) AS orphan, l_returnflag = 'R' OR CAST(floor(l_quantity) AS INT) * 3 > 90 AS bad FROM p JOIN supplier ON l_suppkey = s_suppkey JOIN countries ON s_nationkey = nation LEFT JOIN fx ON fx.day = l_shipdate::DATE AND fx.currency = countries.currency), """ + FENCED.format("loan", "due_eur", "country") + " SELECT loan.*, coalesce(ln(1 + due_eur) > fence, FALSE) AS outlier FROM loan LEFT JOIN fences ON country = fc")
 def silver_loans(spark: SparkSession, sf: str) -> DataFrame:
     """Repayments: what is outstanding comes from the loan's account, 0 where there is none; a missing rate has a default; amounts in euros too, outliers by what was due."""
     homes = load(spark, sf, "supplier").join(countries(spark, sf), F.col("s_nationkey") == F.col("nation")).select("s_suppkey", "country", "currency", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("outstanding"))
@@ -186,7 +186,7 @@ def silver_loans(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_suppkey").alias("loan"), F.to_date("l_shipdate").alias("day"), "country", "currency", cents(F.col("l_extendedprice") / 12).alias("due"), paid.alias("paid"), rate.alias("rate"),
         cents(paid * rate / (1 + rate)).alias("interest"), F.coalesce("outstanding", F.lit(0.0)).alias("outstanding"), F.col("outstanding").isNull().alias("orphan"), bad.alias("bad"),
     )
-    return flagged(to_eur(li, silver_fx_rates(spark, sf), "day", due_eur="due", paid_eur="paid"), "country", "due_eur")
+    return flagged(to_eur(li, silver_fx_rates(spark, sf), "day", due_eur="due", paid_eur="paid", interest_eur="interest"), "country", "due_eur")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS day, CAST(floor(l_quantity) AS INT) - 3 AS days, CAST(CASE WHEN floor(l_quantity) - 3 > 0 THEN len(list_filter(generate_series(l_shipdate::DATE - (CAST(floor(l_quantity) AS INT) - 4), l_shipdate::DATE, INTERVAL 1 DAY), lambda d: dayofweek(d) NOT IN (0, 6))) ELSE 0 END AS INT) AS working_days FROM lineitem""")

@@ -30,7 +30,8 @@ class DailyTotals:
     def before(self, batch: int) -> DataFrame:
         """What history and earlier batches have written."""
         shape = f"{self.key} long, {self.day} date, total long, n long, batch int"
-        return self.spark.read.schema(shape).parquet(self.path).where(F.col("batch") < batch).drop("batch")
+        there = self.spark.read.schema(shape).parquet(self.path) if store.exists(self.spark, self.path) else self.spark.createDataFrame([], shape)
+        return there.where(F.col("batch") < batch).drop("batch")
 
     def upto(self, batch: int, rows: DataFrame, days: Column | None = None) -> DataFrame:
         """key, total, n over all that came by this batch, whose rows are `rows`, on the days for which the condition holds."""
