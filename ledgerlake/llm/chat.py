@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import expanded, table
 
 #: Turns in a block of the sums.
 BLOCK = 256
@@ -74,7 +74,7 @@ def rotated(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", spea
     at = placed(thin)
     texts = full.groupBy(*key).agg(F.max("body").alias("body")).select(*[F.col(k).alias(f"t_{k}") for k in key], "body")
     same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in key]
-    many = at.join(texts, same).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    many = expanded(at.join(texts, same), "copies", "copy", key)
     many = many.withColumn("position", F.col("position") + F.col("copy")).withColumn("start", F.col("start") + F.col("copy") * F.col("length"))
     alone = m.where("conv IS NULL").withColumn("perspective", F.when(is_participant(F.col("speaker")), F.col("speaker"))).withColumn("seen_as", seen_as())
     alone = alone.withColumn("position", F.lit(0).cast("long")).withColumn("start", F.lit(0).cast("long"))

@@ -65,6 +65,24 @@ def discard(*frames: DataFrame) -> None:
             there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
 
 
+#: Copies of a row that one task expands at a time.
+PIECE = 10_000
+
+
+def expanded(df: DataFrame, count: str, out: str, by: list[str]) -> DataFrame:
+    """Each row of df as many times as `count` says, numbered from 0 in `out`.
+
+    A row that stands for many is cut into pieces, which are dealt out by `by` and their place before they are expanded,
+    so that no task expands a run of copies alone.
+    """
+    n, piece = F.col(count), "_llp_from"
+    few = df.where(n <= PIECE).withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    many = df.where(n > PIECE).withColumn(piece, F.explode(F.sequence(F.lit(0).cast("long"), n - 1, F.lit(PIECE).cast("long"))))
+    many = many.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(piece, *by))
+    many = many.withColumn(out, F.explode(F.sequence(F.col(piece), F.least(F.col(piece) + PIECE, n) - 1))).drop(piece)
+    return few.unionByName(many)
+
+
 def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1 and so on for size[0] places, then the same for the next."""
     ends = np.cumsum(size)

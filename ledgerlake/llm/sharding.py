@@ -2,7 +2,8 @@
 
 Nulls: a null key is a key of its own; a null text has no bytes. Rows with equal keys
 share a shard. Fully equal rows are counted before anything is dealt out, so a key that
-holds a third of all rows costs one row there. Empty tables give empty results.
+holds a third of all rows costs one row there. Empty tables give empty results. Other columns are
+kept by assigned(), which replaces one named as its result; the query takes none of them.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import expanded, table
 
 
 def _score(key: Column, shard: Column, weight: Column) -> Column:
@@ -34,23 +35,23 @@ def assigned(df: DataFrame, key: str, weights: Sequence[float], out: str = "shar
 
 
 def slotted(df: DataFrame, shard: str, order: Sequence[str], rows_per_bucket: int = 50_000) -> DataFrame:
-    """Number the rows of each shard from 0 without gaps.
+    """Number the rows of each shard from 0 without gaps, in the column `slot`, which df doesn't have yet.
 
     Shards split into hash buckets: rows are numbered in a bucket, buckets follow each other,
-    so no task holds a whole shard. Equal rows are grouped first and expanded at the end.
+    so no task holds a whole shard. Equal rows are grouped first and expanded at the end, long runs piece by piece.
     """
     cols = list(df.columns)
-    runs = df.groupBy(*cols).agg(F.count("*").alias("_n"))
+    n, b, s, at, size, start, inner, copy = (f"_lls_{x}" for x in ("n", "bucket", "shard", "at", "size", "from", "in", "copy"))
+    runs = df.groupBy(*cols).agg(F.count("*").alias(n))
     buckets = max(16, -(-df.count() // rows_per_bucket))
-    runs = runs.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    per = runs.groupBy(shard, "_b").agg(F.sum("_n").alias("_size"))
-    before = Window.partitionBy(shard).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(F.col(shard).alias("_s"), F.col("_b").alias("_pb"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_from"))
-    inside = Window.partitionBy(shard, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = runs.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    numbered = numbered.join(per, (F.col(shard) == F.col("_s")) & (F.col("_b") == F.col("_pb")))
-    start = F.col("_from") + F.col("_in")
-    return numbered.select(*cols, F.explode(F.sequence(start, start + F.col("_n") - 1)).alias("slot"))
+    runs = runs.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    per = runs.groupBy(shard, b).agg(F.sum(n).alias(size))
+    before = Window.partitionBy(shard).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col(shard).alias(s), F.col(b).alias(at), F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start))
+    inside = Window.partitionBy(shard, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = runs.withColumn(inner, F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    numbered = numbered.join(per, (F.col(shard) == F.col(s)) & (F.col(b) == F.col(at)))
+    return expanded(numbered, n, copy, list(order)).select(*cols, (F.col(start) + F.col(inner) + F.col(copy)).alias("slot"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str, shards: int = 24) -> DataFrame:

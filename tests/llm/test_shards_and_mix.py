@@ -9,7 +9,7 @@ import duckdb
 import pytest
 import xxhash
 
-from ledgerlake.llm import mixing, sharding
+from ledgerlake.llm import common, mixing, sharding
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,6 +24,16 @@ def shard(key, weights):
     return best[1]
 
 
+def test_long_runs_are_expanded_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(common, "PIECE", 10)
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 10), ("d", 11)], "k string, n long")
+    got = common.expanded(df, "n", "copy", ["k"])
+    assert got.columns == ["k", "n", "copy"]
+    assert sorted((r.k, r.copy) for r in got.collect()) == [(k, c) for k, n in (("a", 25), ("b", 1), ("c", 10), ("d", 11)) for c in range(n)]
+    named = sharding.slotted(spark.createDataFrame([(1, "x", 7, 8)] * 30 + [(2, "y", 7, 8)], "id int, _n string, _size int, shard int"), "shard", ["id"])
+    assert sorted(r.slot for r in named.collect()) == list(range(31)) and named.columns == ["id", "_n", "_size", "shard", "slot"]
+
+
 EDGES = [(1, None), (2, ""), (None, "é"), (None, "é"), (4, "same")] + [(3, "hot")] * 400
 
 
