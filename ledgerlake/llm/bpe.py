@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucketed, discard, saved, spread, table
+from .common import bound_batches, bucketed, discard, saved, spread, table
 from .sentencepiece import Merges, Pairs
 
 LOT_BYTES, BUCKET_WORDS = 16 << 20, 200_000
@@ -169,7 +169,7 @@ def unsqueezed_words(data: bytes) -> pa.Array:
 def lots(docs: DataFrame, key: str, text: str, special: list[str], n: int) -> DataFrame:
     """Lots of documents, written in n buckets: lot, keys, counts (words of each document), numbers (of their words), words."""
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), split_words(F.col(text), special).alias("words"))
+    rows = bound_batches(docs).select(F.col(key).alias("key"), split_words(F.col(text), special).alias("words"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n, keys, lists, held = TaskContext.get().partitionId(), 0, [], [], 0

@@ -30,6 +30,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows of texts that are handed to Python at a time.
+TEXT_ROWS = 1000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """df, of a session that from now on hands rows to Python in smaller batches, unless it has a setting of its own.
+
+    Spark's default of 10,000 rows is meant for numbers; so many texts take a worker's and Arrow's memory several times over.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(key)) == 10_000:
+        conf.set(key, str(TEXT_ROWS))
+    return df
+
+
 #: Where the frames that saved() returned were written, by the identity of their plan.
 _PLACES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _TABLES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()

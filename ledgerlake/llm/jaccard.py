@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import discard, saved, spread, table
+from .common import bound_batches, discard, saved, spread, table
 
 #: Times that classes try a leader; groups only save work, so more tries change costs, not results.
 STAR_ROUNDS = 4
@@ -152,7 +152,7 @@ class Join:
 
     def __init__(self, docs: DataFrame, key: str, text: str, n: int, percent: int):
         self.n, self.percent = n, percent
-        rows = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(key)).alias("hid"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+        rows = bound_batches(docs).select(F.col(key).alias("id"), F.xxhash64(F.col(key)).alias("hid"), F.coalesce(F.col(text), F.lit("")).alias("t"))
         self.docs = rows.where(F.col("id").isNotNull() & F.col("t").rlike(WORDY))
         self.thin = saved(rows.select("id", measured(F.col("t"), n).alias("m")).select("id", "m.*"), "thin")
         per = self.thin.where("id IS NOT NULL AND n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "ks", "sk")])

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import spread, table
+from .common import bound_batches, spread, table
 
 MARK = "▁"
 #: Rank of a pair that doesn't merge.
@@ -236,7 +236,7 @@ def tokens(model: bytes, text: Column) -> Column:
 
 def encoded(docs: DataFrame, path: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """docs with struct(ids, decoded) in the column out."""
-    return docs.withColumn(out, tokens(model_bytes(path), F.coalesce(F.col(text), F.lit(""))))
+    return bound_batches(docs).withColumn(out, tokens(model_bytes(path), F.coalesce(F.col(text), F.lit(""))))
 
 
 def digests(docs: DataFrame) -> DataFrame:

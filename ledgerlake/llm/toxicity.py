@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import bound_batches, table
 from .shingles import mixed
 
 WORD = re.compile(r"\w+")
@@ -318,7 +318,7 @@ def offsets(f: Field, text: str, tokens: Tokens | None = None) -> list[dict]:
 
 
 def scored(docs: DataFrame, field: Field, text: str = "text", out: str = "toxicity") -> DataFrame:
-    return docs.withColumn(out, tags(field, F.coalesce(F.col(text), F.lit(""))))
+    return bound_batches(docs).withColumn(out, tags(field, F.coalesce(F.col(text), F.lit(""))))
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
