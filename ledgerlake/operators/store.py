@@ -14,6 +14,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there))
 
 
+def tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables (folders) of a schema."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = there.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(there)
+    return sorted(s.getPath().getName() for s in listed if s.isDirectory() and s.getPath().getName()[0] not in "._")
+
+
 def unseen(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of new whose key isn't in old, one for each key: what a merge inserts. Only keys of old are read."""
     return new.dropDuplicates(list(keys)).join(old.select(*keys).distinct(), list(keys), "left_anti")

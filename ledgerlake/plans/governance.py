@@ -7,9 +7,11 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.expressions import half_up
 from ledgerlake.operators import store, tags
 from ledgerlake.operators.distincts import bitmaps, rolled_up
 from ledgerlake.operators.lineage import sources
+from ledgerlake.operators.sketches import History, limits
 from ledgerlake.plans import gold, reports, silver
 from ledgerlake.sources.scratch import new_place
 from ledgerlake.sources.tables import load
@@ -119,6 +121,20 @@ def bi_clients_rolled_up(spark: SparkSession, sf: str) -> DataFrame:
     return grain("month", daily.withColumn("month", at("month")), "month", "country").unionByName(grain("year", daily.withColumn("month", at("year")), "month")).unionByName(grain("all", daily, "country"))
 
 
+PAST = "1999-01-01"
+
+
+@query(f"WITH b AS (SELECT country, ln(1 + amount_eur) AS v FROM ({silver.ORACLES['silver_bank']}) WHERE month < DATE '{PAST}') SELECT country, CAST(count(v) AS BIGINT) AS n, floor((quantile_disc(v, 0.75) + 1.5 * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25))) * 1000000 + 0.5) / 1000000 AS fence FROM b GROUP BY country")
+def limits_of_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Limits of outliers from what came before a month: months are sketched in two loads, the second of which brings some again, and merged without the facts."""
+    b = silver.silver_bank(spark, sf).select("country", "month", "amount_eur")
+    h = History(spark, new_place(spark, "sketches"), "country", "month", "amount_eur")
+    h.add(b.where("month < '1998-01-01'"))
+    h.add(b.where("month >= '1997-06-01'"))
+    past = h.upto(F.col("month") < PAST)
+    return past.select("country", "n").join(limits(past, "country"), "country").withColumn("fence", half_up(F.col("fence"), 6))
+
+
 @query(f"WITH b AS ({silver.ORACLES['silver_bank']}) SELECT country, currency, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(round(amount_eur * 100) AS BIGINT)) AS BIGINT) AS cents FROM b WHERE country IN (SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey = 2) GROUP BY ALL")
 def scan_pruned(spark: SparkSession, sf: str) -> DataFrame:
     """A cleansed table partitioned by country, read through the countries of one region: partitions of others aren't opened."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,10 +53,15 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy(folder.alias("folder")).agg(F.count("*").alias("n"), F.count(files.CORRUPT).alias("corrupt"), F.sum(F.round(F.col("amount") * 100).cast("long")).alias("cents"), F.max("ts").cast("timestamp_ntz").alias("last"))
 
 
-@query("SELECT 'of=' || n_name AS country, TRUE AS some FROM nation WHERE n_name IN ('NATION_3', 'NATION_4')")
+@query("SELECT 'of=' || n_name AS country, CAST(count(*) AS BIGINT) AS n, CAST(count_if(o_orderkey % 31 = 0) AS BIGINT) AS corrupt, CAST(sum(CASE WHEN o_orderkey % 31 <> 0 THEN CAST(round(o_totalprice * 100) AS BIGINT) END) AS BIGINT) AS cents, TRUE AS filled, CAST(0 AS BIGINT) AS aged FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_name IN ('NATION_3', 'NATION_4') GROUP BY 1")
 def csv_discovery(spark: SparkSession, sf: str) -> DataFrame:
-    found = files.landed(spark, landed_orders(spark, sf), "orders", ["of=NATION_3", "of=NATION_4"])
-    return found.groupBy("country").agg((F.count("*") > 0).alias("some"))
+    """The files of two countries as listed, read: names, sizes and ages come from the listing, which passes by what is too young."""
+    root = landed_orders(spark, sf)
+    found = files.landed(spark, root, "orders", ["of=NATION_3", "of=NATION_4"]).collect()  # a row a file
+    aged = files.landed(spark, root, "orders", ["of=NATION_3", "of=NATION_4"], older_than_s=3600).count()
+    rows = files.read_csv(spark, [r.path for r in found], StructType.fromDDL(SCHEMA))
+    country = F.element_at(F.split(files.SOURCE, "/"), -2).alias("country")
+    return rows.groupBy(country).agg(F.count("*").alias("n"), F.count(files.CORRUPT).alias("corrupt"), F.sum(F.round(F.col("amount") * 100).cast("long")).alias("cents")).withColumns({"filled": F.lit(all(r.size > 0 and r.path.endswith(".csv") for r in found)), "aged": F.lit(aged).cast("long")})
 
 
 def halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -90,6 +95,16 @@ def store_replace_partition(spark: SparkSession, sf: str) -> DataFrame:
     return totals(spark.read.parquet(path))
 
 
+@query("SELECT 'events' AS name, CAST(count(*) AS BIGINT) AS n FROM events UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'orders', count(*) FROM orders")
+def store_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of a folder by their names, with their rows."""
+    root = new_place(spark, "schema")
+    for name in ("orders", "nation", "events"):
+        store.append(load(spark, sf, name), f"{root}/{name}")
+    counts = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("name"), F.count("*").alias("n")).select("name", "n") for name in store.tables(spark, root)]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def totals(df: DataFrame) -> DataFrame:
     return df.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
 

@@ -131,7 +131,7 @@ def stream_unusual_country(spark: SparkSession, sf: str) -> DataFrame:
         hits = payments.where("status <> 'FAILED'").join(profiles, "sender").where(~F.array_contains("usual", F.col("country")))
         return hits.select(*alerts.country_record())
 
-    feed.each(lambda: unusual(feed.stream()).writeStream.outputMode("append").format("parquet").option("checkpointLocation", mark).option("path", sink))
+    feed.live(lambda: unusual(feed.stream()).writeStream.outputMode("append").format("parquet").option("checkpointLocation", mark).option("path", sink), every="1 second")
     return kept_alerts(spark, sink, unusual(spark.createDataFrame([], feed.schema)))
 
 

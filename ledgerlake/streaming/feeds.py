@@ -45,6 +45,18 @@ class Feed:
         return told
 
 
+    def live(self, start: Callable[[], DataStreamWriter], every: str) -> list[dict]:
+        """Land the lots under a query that keeps running and looks for more so often; it is stopped when it has taken the last one."""
+        query = start().trigger(processingTime=every).start()
+        try:
+            for lot in self.lots:
+                self.land(lot)
+                query.processAllAvailable()
+            return [{"batch": p["batchId"], "rows": p["numInputRows"]} for p in query.recentProgress]
+        finally:
+            query.stop()
+
+
 def caught_up(writer: DataStreamWriter) -> list[dict]:
     """Run a query until it has taken all that has arrived; an error of the query is raised here."""
     query: StreamingQuery = writer.trigger(availableNow=True).start()
