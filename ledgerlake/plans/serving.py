@@ -46,7 +46,7 @@ SQL = {
     "check_reconciled": "SELECT CAST(sum(n_ops) AS BIGINT) AS in_metric, (SELECT CAST(count(*) AS BIGINT) FROM {orders}) AS in_source FROM {daily} WHERE flow = 'BANK'",
     "check_npl_latest": "SELECT country, entity, n_loans, npl_ratio FROM {npl} WHERE month = (SELECT max(month) FROM {npl}) ORDER BY npl_ratio DESC, country, entity",
     "check_loss_cumulated": "SELECT country, branch, round(sum(claims), 2) AS claims, round(100e0 * sum(claims) / nullif(sum(premiums), 0), 2) AS loss_pct FROM {loss} GROUP BY 1, 2 ORDER BY 4 DESC, 1, 2",
-    "check_arpu_by_segment": "SELECT segment, round(sum(revenue) / nullif(sum(clients), 0), 2) AS arpu FROM {arpu} GROUP BY segment ORDER BY arpu DESC, segment",
+    "check_arpu_by_segment": "SELECT segment, floor(CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / nullif(sum(clients), 0) + 0.5) / 100 AS arpu FROM {arpu} GROUP BY segment ORDER BY arpu DESC, segment",
     "check_claim_days": "SELECT branch, CAST(sum(n_closed) AS BIGINT) AS n, round(sum(mean_days * n_closed) / sum(n_closed), 2) AS mean_days FROM {claim} GROUP BY branch",
     "check_mobile_failures": "SELECT operator, CAST(sum(n_ops) AS BIGINT) AS n, round(100e0 * sum(n_failed) / nullif(sum(n_ops), 0), 2) AS failed_pct FROM {flow} GROUP BY operator",
     "check_top_corridors": "SELECT corridor, round(sum(total), 2) AS amount, CAST(sum(n_ops) AS BIGINT) AS n FROM {corr} GROUP BY corridor ORDER BY amount DESC, corridor LIMIT 10",
@@ -77,7 +77,7 @@ SQL = {
     "bi_mobile_failures": "SELECT day, operator, CAST(sum(n_ops) AS BIGINT) AS n_ops, CAST(sum(n_failed) AS BIGINT) AS n_failed FROM {flow} GROUP BY day, operator",
     # metrics: ratios of sums, never means of ratios
     "metric_revenue": "SELECT entity, round(sum(revenue), 2) AS revenue FROM {arpu} GROUP BY entity",
-    "metric_revenue_per_client": "SELECT country, round(sum(revenue) / nullif(sum(clients), 0), 2) AS value FROM {arpu} GROUP BY country",
+    "metric_revenue_per_client": "SELECT country, floor(CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / nullif(sum(clients), 0) + 0.5) / 100 AS value FROM {arpu} GROUP BY country",
     "metric_npl_pct": "SELECT country, round(100e0 * sum(bad_outstanding) / nullif(sum(outstanding), 0), 2) AS value FROM {npl} GROUP BY country",
     "metric_loss_pct": "SELECT country, round(100e0 * sum(claims) / nullif(sum(premiums), 0), 2) AS value FROM {loss} GROUP BY country",
     "metric_aml_alerts": "SELECT country, CAST(count(*) AS BIGINT) AS value FROM {aml} GROUP BY country",
