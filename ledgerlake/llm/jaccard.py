@@ -206,7 +206,9 @@ class Join:
         part = F.pmod(F.col("hid"), F.lit(ORDER_EVERY)) == 0
         own = opened_sets(self.docs.where(part), self.name.where(part).select("hid", "c1", "c2"), self.n)
         top = own.select(F.explode("sh").alias("t")).groupBy("t").count().where("count >= 3").orderBy(F.desc("count"), "t").limit(LATE_TOKENS)
-        return top.select("t").toArrow().column(0).to_numpy()[::-1].astype(np.int64)
+        tokens = top.select("t").toArrow().column(0).to_numpy()[::-1].astype(np.int64)
+        pa.default_memory_pool().release_unused()
+        return tokens
 
     def asked(self, groups: DataFrame) -> DataFrame:
         """(g1, g2): groups whose cells don't rule out a link between them."""

@@ -37,7 +37,7 @@ BEGINNINGS = (3, 4, 5)
 #: A word is labelled in toxic documents from this log-likelihood ratio on.
 MIN_RATIO = 20.0
 #: Padded cells in a lot of chains.
-CELLS = 400_000
+CELLS = 100_000
 #: Words whose features a task keeps from text to text.
 REMEMBERED = 200_000
 
@@ -133,11 +133,16 @@ def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray, pairs: bool =
     return p, of_pairs
 
 
-def telling(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
+def counted(docs: list[np.ndarray], words: list[str], toxic: np.ndarray) -> tuple[Counter, Counter]:
+    """In how many clean and in how many toxic documents (numbers of words) each feature occurs."""
+    by_kind = Counter(), Counter()
+    for d, t in zip(docs, toxic):
+        by_kind[int(t)].update({m for w in d.tolist() for m in marks(words[w])})
+    return by_kind
+
+
+def telling(c0: Counter, c1: Counter, n0: int, n1: int) -> set[str]:
     """Features far more frequent in toxic documents than in clean ones (log-likelihood ratio)."""
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    c1 = Counter(m for d, t in zip(docs, toxic) if t for m in {m for w in d for m in marks(w)})
-    c0 = Counter(m for d, t in zip(docs, toxic) if not t for m in {m for w in d for m in marks(w)})
     out = set()
     for w, k1 in c1.items():
         k0 = c0.get(w, 0)
@@ -148,23 +153,24 @@ def telling(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
     return out
 
 
-def distinct_documents(docs: list[set[str]], least: float = 0.9) -> list[int]:
+def distinct_documents(docs: list[np.ndarray], hashes: np.ndarray, least: float = 0.9) -> list[int]:
     """Numbers of documents, without those whose words are those of an earlier one that stays, by a Jaccard similarity of `least`.
 
-    A document copied many times would make all its words look telling. Bands of least hashes, each hash with a seed of
-    its own, say which earlier ones to compare with; only a measured similarity lets a document go.
+    A document is its distinct words' numbers, by which hashes are found. One copied many times would make all its words look
+    telling. Bands of least hashes, each hash with a seed of its own, say which earlier ones to compare with; only a measured
+    similarity lets a document go.
     """
     seeds = np.random.default_rng(24).integers(0, 2**64, (24, 1), dtype=np.uint64)
     seen: dict[tuple, list[int]] = {}
     out = []
     for k, d in enumerate(docs):
-        if not d:
+        if not len(d):
             continue
-        h = np.array([zlib.crc32(w.encode()) for w in d], dtype=np.uint64)
-        first = mixed(h[None, :] ^ seeds).min(1).tolist()
+        first = mixed(hashes[d][None, :] ^ seeds).min(1).tolist()
         bands = [(b, *first[3 * b : 3 * b + 3]) for b in range(8)]
         earlier = {j for b in bands for j in seen.get(b, ())}
-        if not any(len(d & docs[j]) >= least * len(d | docs[j]) for j in earlier):
+        both = {j: len(np.intersect1d(d, docs[j], assume_unique=True)) for j in earlier}
+        if not any(n >= least * (len(d) + len(docs[j]) - n) for j, n in both.items()):
             out.append(k)
             for b in bands:
                 seen.setdefault(b, []).append(k)
@@ -197,15 +203,21 @@ def fitted(texts: list[str], labels: list[int], rounds: int = 30) -> Field:
     share = float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
         return Field({}, np.zeros(1), -9.0, np.zeros((2, 2)), np.array([30.0 if share else -30.0, 0, 0]))
-    docs = [{w.lower() for w in WORD.findall(t)} for t in texts]
+    # documents as numbers of their words: sets of texts' words would take ten times as much of the driver's memory
+    number: dict[str, int] = {}
+    docs = [np.unique(np.fromiter((number.setdefault(w, len(number)) for w in map(str.lower, WORD.findall(t))), np.int32)) for t in texts]
+    words = list(number)
+    hashes = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64)
+    del number
     # Near copies go within each kind.
     apart = [np.flatnonzero(y == kind) for kind in (True, False)]
-    use = sorted(int(part[k]) for part in apart for k in distinct_documents([docs[j] for j in part]))
+    use = sorted(int(part[k]) for part in apart for k in distinct_documents([docs[j] for j in part], hashes))
     if len(set(y[use])) == 2:
         texts, docs, y = [texts[k] for k in use], [docs[k] for k in use], y[use]
-    hot_marks = telling(docs, y)
-    common = Counter(m for d in docs for m in {m for w in d for m in marks(w)})
-    vocab = {m: k + 1 for k, m in enumerate(sorted(m for m, n in common.items() if n >= MIN_DOCS))}
+    c0, c1 = counted(docs, words, y)
+    hot_marks = telling(c0, c1, int((~y).sum()), int(y.sum()))
+    vocab = {m: k + 1 for k, m in enumerate(sorted(m for m in c0.keys() | c1.keys() if c0[m] + c1[m] >= MIN_DOCS))}
+    del docs, words, c0, c1
     f = Field(vocab, np.zeros(len(vocab) + 1), -3.0, np.zeros((2, 2)), np.zeros(3))
     tokens, chains, toxic = Tokens(vocab), [], []
     for t, is_toxic in zip(texts, y):

@@ -1,6 +1,7 @@
 """op7: the field's marginals against enumeration over tags, offsets, and held-out labels."""
 
 import random
+import zlib
 from itertools import product
 
 import duckdb
@@ -78,8 +79,6 @@ def test_only_near_copies_are_left_out_of_the_fit():
 
 
 def test_held_out_and_predicted_follow_their_rules(spark):
-    import zlib
-
     sf = "/root/testdata/sf0.01"
     got = toxicity.op7_toxicity(spark, sf).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in got) and any(r.held_out for r in got)
