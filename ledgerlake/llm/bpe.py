@@ -33,6 +33,8 @@ from .common import bound_batches, bucketed, discard, saved, spread, table
 from .sentencepiece import Merges, Pairs
 
 LOT_BYTES, BUCKET_WORDS = 16 << 20, 200_000
+#: The most buckets that Spark lets a table have by default; with more partitions than that, lots are shuffled to join them.
+BUCKETS = 100_000
 #: Bytes of words whose merges are worked out at a time.
 MERGE_BYTES = 500_000
 
@@ -243,7 +245,7 @@ def coded(docs: DataFrame, path: str, key: str, text: str, finish: Callable, sha
     """What finish(keys, words' counts, words' numbers, ids, counts of ids, vocabulary) makes of each lot of documents."""
     model = load(path)
     small = zlib.compress(json.dumps(model).encode())
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKETS)
     written = lots(docs, key, text, list(Vocabulary(model).special), tasks)
     n_words = written.agg(F.sum(F.size("words"))).first()[0] or 0
     n = max(tasks, -(-n_words // BUCKET_WORDS))
