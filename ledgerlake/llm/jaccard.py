@@ -5,8 +5,10 @@ groups of similar ones: each tries one leader with a least hash in common, and s
 where they link. The matrix has a cell for each token and group: the union of the group's
 tokens, of which the cells of rare tokens (the prefixes, one of which any two linked sets
 share) are laid out first, with the sizes of the members that hold the token. Groups that
-share no such cell, or whose cells' sizes rule a link out, aren't compared. Where they may
-be, a class of the smaller group asks the larger one: first one member; then, if the class's
+share no such cell, or whose cells' sizes rule a link out, aren't compared. Cells meet only
+where a common token is early enough to be the first one of a link with a set that is no smaller,
+so that texts just under the limit with one another don't meet at all that they share. Where groups
+may link, a class of the smaller group asks the larger one: first one member; then, if the class's
 overlap with the whole union of the group reaches what a link needs, the group is opened
 and its members compared exactly. A group of one is its own union: its bound is the comparison.
 
@@ -32,6 +34,8 @@ from .common import bound_batches, discard, saved, spread, table
 STAR_ROUNDS = 4
 #: Members of a group that a class is compared with at a time, about.
 BLOCK = 256
+#: Groups of at most so many classes are held against one another by the tokens of their prefixes; others are asked anyway.
+SMALL = 64
 #: Bytes of matrix cells in a task, about.
 CELL_BYTES = 48 << 20
 #: One class in so many tells which tokens are frequent, and most tokens put last; both change costs, not results.
@@ -104,6 +108,24 @@ def cells(prefixes: DataFrame) -> DataFrame:
     return prefixes.select("g", "n", "pre").mapInArrow(run, "t long, g long, lo int, hi int, most int")
 
 
+def meeting(found: DataFrame, n_parts: int, percent: int) -> DataFrame:
+    """(g1, g2), perhaps repeated, of the groups with a common cell that may hold the first common token of a link.
+
+    Of two sets that link, the smaller has that token among its first n - ceil(2 percent n / (100 + percent)) + 1,
+    as its overlap with a set of its size or more is no less; the larger has it in its prefix.
+    """
+    laid = found.repartition(n_parts, "t").groupBy("t", "g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("most").alias("most"))
+    early = lambda c: F.lit(100 + percent) * F.col(f"{c}most") >= F.lit(2 * percent) * F.col(f"{c}lo")
+    x = laid.where(early("")).select("t", F.struct("g", "lo", "hi", "most").alias("x"))
+    y = laid.select("t", F.struct("g", "lo", "hi", "most").alias("y"))
+    fits = (F.lit(100) * F.col("x.hi") >= F.lit(percent) * F.col("y.lo")) & (F.lit(100) * F.col("y.hi") >= F.lit(percent) * F.col("x.lo"))
+    # From their first common token on, two sets have at most the lesser rest in common.
+    enough = F.lit(100 + percent) * F.least("x.most", "y.most") >= F.lit(percent) * (F.col("x.lo") + F.col("y.lo"))
+    # Where both may be the smaller, they meet once.
+    once = F.when(early("y."), F.col("x.g") < F.col("y.g")).otherwise((F.col("x.g") != F.col("y.g")) & (F.col("x.lo") <= F.col("y.hi")))
+    return x.join(y, "t").where(fits & enough & once).select(F.least("x.g", "y.g").alias("g1"), F.greatest("x.g", "y.g").alias("g2"))
+
+
 def opened_sets(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     """(hid, c1, c2, sh) of the representatives of the needed (hid, c1, c2), and perhaps of some others.
 
@@ -213,24 +235,28 @@ class Join:
     def asked(self, groups: DataFrame) -> DataFrame:
         """(g1, g2): groups whose cells don't rule out a link between them."""
         percent = self.percent
-        to = saved(self.name.join(groups, "cno", "left").select("c1", "c2", F.coalesce("g", "cno").alias("g")), "named")
+        sizes = groups.groupBy("g").agg(F.count("*").alias("k"))
+        to = self.name.join(groups, "cno", "left").join(sizes, "g", "left").select("c1", "c2", F.coalesce("g", "cno").alias("g"), F.coalesce("k", F.lit(1)).alias("k"))
+        to = saved(to, "named")
         per = self.docs.select(prefixed(F.col("t"), self.n, percent, self.late()).alias("m")).select("m.*")
         # Copies fall together before and after the shuffle.
         one = per.groupBy("c1", "c2").agg(F.first("n").alias("n"), F.first("pre").alias("pre")).join(to, ["c1", "c2"])
+        one = saved(one.select("g", "k", "n", "pre"), "prefixes")
         total = self.kinds.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
         n_parts = max(int(self.kinds.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) * 48 // CELL_BYTES))
-        laid = cells(one).repartition(n_parts, "t").groupBy("t", "g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("most").alias("most"))
-        x = laid.select("t", F.struct("g", "lo", "hi", "most").alias("x"))
-        y = laid.select("t", F.struct("g", "lo", "hi", "most").alias("y"))
-        fits = (F.lit(100) * F.col("x.hi") >= F.lit(percent) * F.col("y.lo")) & (F.lit(100) * F.col("y.hi") >= F.lit(percent) * F.col("x.lo"))
-        # From their first common token on, two sets have at most the lesser rest in common; the first is one of those met.
-        enough = F.lit(100 + percent) * F.least("x.most", "y.most") >= F.lit(percent) * (F.col("x.lo") + F.col("y.lo"))
-        met = x.join(y, "t").where((F.col("x.g") < F.col("y.g")) & fits).groupBy(F.col("x.g").alias("g1"), F.col("y.g").alias("g2"))
-        met = met.agg(F.count("*").alias("c"), (F.min("x.lo") + F.min("y.lo")).alias("lo"), F.greatest(F.max("x.hi"), F.max("y.hi")).alias("hi"), F.bool_or(enough).alias("enough"))
+        met = saved(meeting(cells(one), n_parts, percent).distinct(), "met")
         # The prefix that ends first holds every common token up to its end, so both have it in common there:
-        # more than these cells in common come only from what follows a prefix, ceil(percent n) - 1 tokens.
-        rest = F.floor((F.lit(percent) * F.col("hi") + 99) / 100) - 1
-        return met.where(F.col("enough") & (F.lit(100 + percent) * (F.col("c") + rest) >= F.lit(percent) * F.col("lo"))).select("g1", "g2")
+        # more than these in common come only from what follows a prefix, ceil(percent n) - 1 tokens.
+        ends = met.select(F.col("g1").alias("g")).unionByName(met.select(F.col("g2").alias("g"))).distinct()
+        held = one.where(F.col("k") <= SMALL).join(ends, "g", "left_semi").groupBy("g")
+        held = held.agg(F.array_distinct(F.flatten(F.collect_list("pre"))).alias("p"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+        of = lambda x: held.toDF(*[f"{c}{x}" for c in held.columns])
+        both = F.size(F.array_intersect("p1", "p2"))
+        rest = F.floor((F.lit(percent) * F.greatest("hi1", "hi2") + 99) / 100) - 1
+        may = F.lit(100 + percent) * (both + rest) >= F.lit(percent) * (F.col("lo1") + F.col("lo2"))
+        out = saved(met.join(of(1), "g1", "left").join(of(2), "g2", "left").where(F.coalesce(may, F.lit(True))).select("g1", "g2"), "asks")
+        discard(to, one, met)
+        return out
 
     def bounded(self, asks: DataFrame, groups: DataFrame) -> DataFrame:
         """The (a, g) of asks where class a's overlap with the union of all tokens of group g allows a link."""
@@ -274,7 +300,7 @@ class Join:
     def grouped(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(links a, b; groups cno, g of the linked classes of stars; parts g, part of groups that later links join)."""
         first, groups = self.stars()
-        asks = saved(self.asked(groups), "asks")
+        asks = self.asked(groups)
         sizes = groups.groupBy("g").count()
         both = asks.join(sizes.toDF("g1", "k1"), "g1", "left").join(sizes.toDF("g2", "k2"), "g2", "left").fillna(1, ["k1", "k2"])
         less = F.col("k1") <= F.col("k2")

@@ -85,6 +85,30 @@ def test_clusters_open_groups(spark, tmp_path, monkeypatch, rounds):
     print("classes that open groups", seen)
 
 
+def joined_rows(spark, after):
+    """Most rows that a join made in the executions after this one."""
+    store, most = spark._jsparkSession.sharedState().statusStore(), 0
+    for e in (x.executionId() for x in map(store.executionsList().apply, range(store.executionsList().size()))):
+        if e > after:
+            nodes, values = store.planGraph(e).allNodes(), store.executionMetrics(e)
+            for n in map(nodes.apply, range(nodes.size())):
+                for m in map(n.metrics().apply, range(n.metrics().size())):
+                    if "Join" in n.name() and m.name() == "number of output rows" and (v := values.get(m.accumulatorId())).isDefined():
+                        most = max(most, int(v.get().replace(",", "")))
+    return most
+
+
+def test_texts_just_under_the_limit_do_not_meet_at_what_they_share(spark, tmp_path):
+    r = random.Random(8)
+    base = [f"b{k}" for k in range(150)]
+    rows = [(k, " ".join(f"x{k}-{j}" if j in at else w for j, w in enumerate(base))) for k in range(300) for at in [set(r.sample(range(2, 148, 6), 6))]]
+    rows += [(1000 + k, f"{t} end") for k, t in rows[:20]] + [(2000, " ".join(base)), (2001, " ".join(["one", "two", *base[2:]]))]
+    last = spark._jsparkSession.sharedState().statusStore().executionsList()
+    after = max((last.apply(k).executionId() for k in range(last.size())), default=-1)
+    assert query(spark, rows, tmp_path) == plain(rows)
+    assert joined_rows(spark, after) < 40 * len(rows)
+
+
 EDGES = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (6, "one two three"), (None, "one two"), (None, None), (7, "a b c d e"), (7, "a b c d e"), (7, "other words stand right here"), (0, "other words stand right here"), (8, "É é İ"), (9, "é É İ"), (10, "x " * 40_000), (11, "x x x x x x"), (12, "end\x0bof\x0cword\x85s one"), (13, " ".join(map(str, range(40_000)))), (14, " ".join(map(str, range(39_000))))]
 
 
