@@ -63,30 +63,32 @@ class Tokens(dict):
 
     def __init__(self, vocab: dict[str, int]):
         super().__init__()
-        self.vocab, self.rows, self.known = vocab, array("i", [0] * (1 + len(BEGINNINGS))), np.zeros(0)
+        self.words, self.begun = vocab.get, {m[1:]: k for m, k in vocab.items() if m[0] == "^"}.get
+        self.rows, self.known = array("i", [0] * (1 + len(BEGINNINGS))), np.zeros(0)
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self.rows) // (1 + len(BEGINNINGS))
-        found = [self.vocab.get(m, 0) for m in marks(word)]
-        self.rows.extend(found + [0] * (1 + len(BEGINNINGS) - len(found)))
+        # as marks() has them
+        self.rows.extend([self.words(word, 0), *[self.begun(word[:n], 0) if len(word) > n else 0 for n in BEGINNINGS]])
         return number
 
     def ids(self, line: str) -> list[int]:
-        return [self[w] for w in map(str.lower, WORD.findall(line))]
+        # Beyond ASCII, a word's lower case depends on what stands around it.
+        return list(map(self.__getitem__, WORD.findall(line.lower()) if line.isascii() else map(str.lower, WORD.findall(line))))
 
     def table(self, first: int = 0) -> np.ndarray:
         """Features of the words from number `first` on."""
         return np.array(self.rows[first * (1 + len(BEGINNINGS)) :], dtype=np.int32).reshape(-1, 1 + len(BEGINNINGS))
 
-    def weights(self, f: Field) -> np.ndarray:
-        """Of each word by a field that doesn't change any more; words met since are added to what is known."""
+    def odds(self, f: Field) -> np.ndarray:
+        """Of tag 1 at each word alone, by a field that doesn't change any more; words met since are added to what is known."""
         new = self.table(len(self.known))
-        self.known = np.r_[self.known, f.bias + f.unary[new].sum(1)]
+        self.known = np.r_[self.known, np.exp(np.clip(f.bias + f.unary[new].sum(1), -30, 30))]
         return self.known
 
 
 def lots(chains: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Chains of like length together: their numbers, ids padded with 0, lengths."""
+    """Chains of like length together, the shortest first: their numbers, ids padded with 0, lengths."""
     order = sorted((k for k, c in enumerate(chains) if c), key=lambda k: len(chains[k]))
     while order:
         n = 1
@@ -100,8 +102,8 @@ def lots(chains: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.nd
         yield part, pad, size
 
 
-def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray, pairs: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Marginal of tag 1 at each place, and (with `pairs`, as the fit needs) of each pair of tags, by forward-backward."""
+def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginal of tag 1 at each place, and of each pair of tags, by forward-backward."""
     n, t = u.shape
     live = np.arange(t)[None, :] < size[:, None]
     # Work with p = P(tag 1 | what is seen so far); a step mixes it by the transitions.
@@ -124,7 +126,7 @@ def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray, pairs: bool =
     m = fore * back
     p = (m[:, :, 1] / m.sum(2)).T * live
     of_pairs = np.zeros((2, 2))
-    if t > 1 and pairs:
+    if t > 1:
         nxt = back[1:].copy()
         nxt[:, :, 1] *= e[:, 1:].T
         joint = fore[:-1, :, :, None] * a[None, None] * nxt[:, :, None, :]
@@ -133,6 +135,28 @@ def marginals(trans: np.ndarray, u: np.ndarray, size: np.ndarray, pairs: bool =
     return p, of_pairs
 
 
+def shares(trans: np.ndarray, e: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Marginal of tag 1 as by marginals(), of chains from the shortest to the longest: e[i] has the odds of words i alone.
+
+    Forward and backward messages are kept as odds of tag 1 against tag 0, of the chains that reach so far.
+    """
+    (a00, a01), (a10, a11) = np.exp(trans).tolist()
+    t, n = e.shape
+    reach = np.searchsorted(size, np.arange(t), side="right").tolist()
+    r, s = np.zeros((t, n)), np.ones(n)
+    r[0] = e[0]
+    for i in range(1, t):
+        k = reach[i]
+        x = r[i - 1, k:]
+        r[i, k:] = e[i, k:] * (a01 + a11 * x) / (a00 + a10 * x)
+    for i in range(t - 2, -1, -1):
+        k = reach[i + 1]
+        x = e[i + 1, k:] * s[k:]
+        s[k:] = (a10 + a11 * x) / (a00 + a01 * x)
+        r[i] *= s
+    return r / (1 + r)
+
+
 def counted(docs: list[np.ndarray], words: list[str], toxic: np.ndarray) -> tuple[Counter, Counter]:
     """In how many clean and in how many toxic documents (numbers of words) each feature occurs."""
     by_kind = Counter(), Counter()
@@ -177,24 +201,46 @@ def distinct_documents(docs: list[np.ndarray], hashes: np.ndarray, least: float
     return out
 
 
-def features(f: Field, texts: list[str], tokens: Tokens | None = None) -> np.ndarray:
-    """Per text: 1, greatest marginal, log of their sum. A line that comes again is worked out once; `tokens` may know words of earlier texts."""
-    tokens = Tokens(f.vocab) if tokens is None else tokens
-    lines, of, line_of = {}, [], []
+def scanned(f: Field, texts: list[str], tokens: Tokens) -> tuple[np.ndarray, list[list[dict]]]:
+    """Per text: 1, greatest marginal, log of their sum; and the places of the words whose marginal is at least one half.
+
+    A line that comes again is worked out once; `tokens` may know words of earlier texts.
+    """
+    lines, of, line_of, starts = {}, [], [], []
     for k, t in enumerate(texts):
+        at = 0
         for line in t.split("\n"):
             line_of.append(lines.setdefault(line, len(lines)))
             of.append(k)
+            starts.append(at)
+            at += len(line) + 1
     chains = [tokens.ids(line) for line in lines]
-    weight = tokens.weights(f)
+    odds, hits = tokens.odds(f), {}
     most, summed = np.zeros((2, len(chains)))
     for part, pad, size in lots(chains):
-        p, _ = marginals(f.trans, weight[pad], size, pairs=False)
-        most[part], summed[part] = p.max(1), p.sum(1)
+        p = shares(f.trans, odds[pad.T], size)
+        most[part], summed[part] = p.max(0), p.sum(0)
+        for i, k in zip(*np.nonzero(p >= 0.5)):
+            hits.setdefault(part[k], []).append(i)
     top, total = np.zeros(len(texts)), np.zeros(len(texts))
     np.maximum.at(top, of, most[line_of])
     np.add.at(total, of, summed[line_of])
-    return np.stack([np.ones(len(texts)), top, np.log1p(total)], 1)
+    places = {c: [w.span() for w in WORD.finditer(line)] for c, line in enumerate(lines) if c in hits}
+    spans = [[] for _ in texts]
+    for k, c, at in zip(of, line_of, starts):
+        if c in hits:
+            spans[k] += [{"start": at + a, "stop": at + b} for a, b in (places[c][i] for i in hits[c])]
+    return np.stack([np.ones(len(texts)), top, np.log1p(total)], 1), spans
+
+
+def features(f: Field, texts: list[str]) -> np.ndarray:
+    """Per text: 1, greatest marginal, log of their sum."""
+    return scanned(f, texts, Tokens(f.vocab))[0]
+
+
+def offsets(f: Field, text: str) -> list[dict]:
+    """Places of the words whose marginal is at least one half."""
+    return scanned(f, [text], Tokens(f.vocab))[1][0]
 
 
 def fitted(texts: list[str], labels: list[int], rounds: int = 30) -> Field:
@@ -304,31 +350,15 @@ def tags(field: Field, text: Column) -> Column:
                 while end < len(texts) and (end == k or n + len(texts[end]) <= 1_000_000):
                     n, end = n + len(texts[end]), end + 1
                 tokens = tokens if len(tokens) < REMEMBERED else Tokens(field.vocab)
-                x = features(field, texts[k:end], tokens)
+                x, found = scanned(field, texts[k:end], tokens)
                 score += (1 / (1 + np.exp(-np.clip(x @ field.head, -30, 30)))).tolist()
-                spans += [offsets(field, t, tokens) if top >= 0.5 else [] for t, top in zip(texts[k:end], x[:, 1])]
+                spans += found
                 k = end
             yield pd.DataFrame({"score": score, "spans": spans})
 
     return run(text)
 
 
-def offsets(f: Field, text: str, tokens: Tokens | None = None) -> list[dict]:
-    """Places of the words whose marginal is at least one half."""
-    tokens = Tokens(f.vocab) if tokens is None else tokens
-    out, at, chains, places = [], 0, [], []
-    for line in text.split("\n"):
-        chains.append(tokens.ids(line))
-        places.append([(at + m.start(), at + m.end()) for m in WORD.finditer(line)])
-        at += len(line) + 1
-    weight = tokens.weights(f)
-    for part, pad, size in lots(chains):
-        p, _ = marginals(f.trans, weight[pad], size, pairs=False)
-        for r, c in zip(*np.nonzero(p >= 0.5)):
-            out.append(places[part[r]][c])
-    return [{"start": a, "stop": b} for a, b in sorted(out)]
-
-
 def scored(docs: DataFrame, field: Field, text: str = "text", out: str = "toxicity") -> DataFrame:
     return bound_batches(docs).withColumn(out, tags(field, F.coalesce(F.col(text), F.lit(""))))
 

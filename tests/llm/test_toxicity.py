@@ -86,3 +86,27 @@ def test_held_out_and_predicted_follow_their_rules(spark):
     sf = "/root/testdata/sf0.01"
     got = toxicity.op7_toxicity(spark, sf).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in got) and any(r.held_out for r in got)
+
+
+def test_shares_are_the_marginals():
+    rng = np.random.default_rng(3)
+    trans, size = rng.normal(0, 2, (2, 2)), np.array([1, 1, 2, 5, 5, 9, 40])
+    u = np.where(np.arange(40)[None, :] < size[:, None], rng.normal(0, 9, (7, 40)), 0.0)
+    p, _ = toxicity.marginals(trans, u, size)
+    assert np.allclose(toxicity.shares(trans, np.exp(np.clip(u, -30, 30)).T, size), p.T, rtol=1e-9, atol=1e-14)
+
+
+def test_a_line_is_worked_out_once(monkeypatch):
+    """Also of texts with tagged words, whose places come from the same marginals; features of words are those of marks()."""
+    vocab = {m: k + 1 for k, m in enumerate(["bad", "^bad", "^badl", "fine", "\u03c3", "\u03c2", "i\u0307"])}
+    f = toxicity.Field(vocab, np.array([0, 4.0, 3, 2, -1, 1, 2, 3]), -3.0, np.zeros((2, 2)), np.array([-1.0, 2, 1]))
+    seen, ids = [], toxicity.Tokens.ids
+    monkeypatch.setattr(toxicity.Tokens, "ids", lambda self, line: seen.append(line) or ids(self, line))
+    texts = ["So BAD it is\nfine here", "so badly it is\nfine here", "", "\u03a3'\u03b1 \u0130 BADLYS caf\u00e9\nSo BAD it is"]
+    x, spans = toxicity.scanned(f, texts, toxicity.Tokens(vocab))
+    assert sorted(seen) == sorted({line for t in texts for line in t.split("\n")})
+    for k, t in enumerate(texts):
+        words = [(w.group().lower(), w.span()) for w in toxicity.WORD.finditer(t)]
+        p = [1 / (1 + np.exp(3.0 - f.unary[[vocab.get(m, 0) for m in toxicity.marks(w)]].sum())) for w, _ in words]
+        assert np.allclose(x[k], [1, max(p, default=0), np.log1p(sum(p))])
+        assert [(s["start"], s["stop"]) for s in spans[k]] == [at for q, (_, at) in zip(p, words) if q >= 0.5]
