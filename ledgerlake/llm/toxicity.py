@@ -233,6 +233,17 @@ def scanned(f: Field, texts: list[str], tokens: Tokens) -> tuple[np.ndarray, lis
     return np.stack([np.ones(len(texts)), top, np.log1p(total)], 1), spans
 
 
+def pieces(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in lots of about a million characters."""
+    k = 0
+    while k < len(texts):
+        n, end = 0, k
+        while end < len(texts) and (end == k or n + len(texts[end]) <= 1_000_000):
+            n, end = n + len(texts[end]), end + 1
+        yield texts[k:end]
+        k = end
+
+
 def features(f: Field, texts: list[str]) -> np.ndarray:
     """Per text: 1, greatest marginal, log of their sum."""
     return scanned(f, texts, Tokens(f.vocab))[0]
@@ -299,7 +310,9 @@ def fitted(texts: list[str], labels: list[int], rounds: int = 30) -> Field:
         f.unary += 0.4 * gu / np.sqrt(g2u)
         f.bias += 0.4 * gb / np.sqrt(g2b)
         f.trans += 0.1 * gt / np.sqrt(g2t)
-    x = features(f, texts)
+    # what the rounds have used is the driver's memory, and the words are known
+    del chains, packs, rows, hot, weight, gw, gu, g2u
+    x = np.concatenate([scanned(f, part, tokens)[0] for part in pieces(texts)])
     w = np.zeros(3)
     for _ in range(25):  # Newton, with a small ridge
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -344,16 +357,11 @@ def tags(field: Field, text: Column) -> Column:
         for s in series:
             texts = ["" if t is None else t for t in s.tolist()]
             score, spans = [], []
-            k = 0
-            while k < len(texts):  # in lots of about a million characters
-                n, end = 0, k
-                while end < len(texts) and (end == k or n + len(texts[end]) <= 1_000_000):
-                    n, end = n + len(texts[end]), end + 1
+            for part in pieces(texts):
                 tokens = tokens if len(tokens) < REMEMBERED else Tokens(field.vocab)
-                x, found = scanned(field, texts[k:end], tokens)
+                x, found = scanned(field, part, tokens)
                 score += (1 / (1 + np.exp(-np.clip(x @ field.head, -30, 30)))).tolist()
                 spans += found
-                k = end
             yield pd.DataFrame({"score": score, "spans": spans})
 
     return run(text)
