@@ -30,18 +30,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Rows of texts that are handed to Python at a time.
-TEXT_ROWS = 1000
+#: Rows of texts that are handed to Python at a time, and bytes of any rows.
+TEXT_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def bound_batches(df: DataFrame) -> DataFrame:
     """df, of a session that from now on hands rows to Python in smaller batches, unless it has a setting of its own.
 
     Spark's default of 10,000 rows is meant for numbers; so many texts take a worker's and Arrow's memory several times over.
+    So do Spark's 64 MB a batch where rows hold many tokens: Arrow's buffers double as they grow, for each task of an executor.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(conf.get(key)) == 10_000:
-        conf.set(key, str(TEXT_ROWS))
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.max{}PerBatch"
+    if int(conf.get(key.format("Records"))) == 10_000:
+        conf.set(key.format("Records"), str(TEXT_ROWS))
+    if conf.get(key.format("Bytes")) == "67108864b":
+        conf.set(key.format("Bytes"), f"{BATCH_BYTES}b")
     return df
 
 

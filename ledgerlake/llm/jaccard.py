@@ -36,8 +36,8 @@ STAR_ROUNDS = 4
 BLOCK = 256
 #: Groups of at most so many classes are held against one another by the tokens of their prefixes; others are asked anyway.
 SMALL = 64
-#: Bytes of matrix cells in a task, about.
-CELL_BYTES = 48 << 20
+#: Bytes of matrix cells in a task, about; as two sides' sums and sorts they take about ten times as much.
+CELL_BYTES = 8 << 20
 #: One class in so many tells which tokens are frequent, and most tokens put last; both change costs, not results.
 ORDER_EVERY, LATE_TOKENS = 16, 500_000
 #: Most bits of the filter that says which sets a comparison needs (8 MB); beyond, more sets are shuffled than needed.

@@ -8,8 +8,9 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import jaccard, shingles
+from ledgerlake.llm import common, jaccard, shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -154,3 +155,16 @@ def test_words_that_collide_in_polynomials_differ():
     data, ends = np.frombuffer(b" ".join(made), np.uint8), np.array([sum(map(len, made)) + len(made) - 1])
     hashes, count = shingles.words(data, ends)
     assert count.tolist() == [len(made)] and len(set(hashes.tolist())) == len({m.lower() for m in made})
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    """Rows with many tokens (a class beside a block of members) are handed over by a few MB, not by 64 MB."""
+    df = common.bound_batches(spark.range(0, 120, 1, 1).select(F.sequence(F.col("id"), F.col("id") + 49_999).alias("m")))
+
+    @F.arrow_udf("array<bigint>")
+    def told(m: pa.Array) -> pa.Array:
+        return pa.array([[len(m), m.nbytes]] * len(m), pa.list_(pa.int64()))
+
+    seen = [r["x"] for r in df.select(told("m").alias("x")).collect()]
+    assert len(seen) == 120
+    assert max(size for _, size in seen) < 3 * common.BATCH_BYTES
