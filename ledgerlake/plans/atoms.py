@@ -10,6 +10,7 @@ from ledgerlake.operators.cleanse import asked_for, enriched, latest_by
 from ledgerlake.operators.contracts import Contract, Rule, file_stats, quality_metrics, reject_records, split, without_personal
 from ledgerlake.operators.ingest import Ingestion
 from ledgerlake.operators.policies import Policy
+from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.plans.silver import countries, silver_fx_rates, to_eur
 from ledgerlake.plans import silver
 from ledgerlake.sources.scratch import new_place
@@ -89,7 +90,7 @@ def agg_distinct_users(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT l_returnflag, quantile_disc(l_quantity, 0.5) AS p50, quantile_disc(l_quantity, 0.9) AS p90 FROM lineitem GROUP BY 1")
 def agg_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, LINE).groupBy("l_returnflag").agg(F.percentile_approx("l_quantity", 0.5).alias("p50"), F.percentile_approx("l_quantity", 0.9).alias("p90"))
+    return quantiles(load(spark, sf, LINE), ["l_returnflag"], F.col("l_quantity"), p50=50, p90=90)
 
 
 @query("WITH d AS (SELECT l_suppkey, l_shipdate::DATE AS day, avg(l_quantity) AS mean, count(*) AS n FROM lineitem GROUP BY ALL) SELECT l_suppkey, round(sum(mean * n) / sum(n), 6) AS mean, CAST(sum(n) AS BIGINT) AS n FROM d GROUP BY l_suppkey")
