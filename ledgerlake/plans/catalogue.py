@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.expressions import half_up, masked, pseudonym, ratio
 from ledgerlake.operators.cleanse import flagged, latest_by
 from ledgerlake.operators.contracts import Contract, Rule, split
+from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.plans.domain import bank, insurance, mobile
 from ledgerlake.sources.tables import load
 from ledgerlake.streaming.detect import bursts
@@ -54,7 +55,7 @@ def kpi_loss_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {INS} SELECT country, CAST(count(*) AS BIGINT) AS n_claims, quantile_disc(days, 0.5) AS p50_days, quantile_disc(days, 0.9) AS p90_days FROM ins WHERE is_claim GROUP BY country""")
 def kpi_claim_time(spark: SparkSession, sf: str) -> DataFrame:
-    return insurance(spark, sf).where("is_claim").groupBy("country").agg(F.count("*").alias("n_claims"), F.percentile_approx("days", 0.5).alias("p50_days"), F.percentile_approx("days", 0.9).alias("p90_days"))
+    return quantiles(insurance(spark, sf).where("is_claim"), ["country"], F.col("days"), "n_claims", p50_days=50, p90_days=90)
 
 
 @query(f"""WITH {BANK} SELECT country, date_trunc('month', ts)::DATE AS month, CAST(count(DISTINCT client) AS BIGINT) AS clients, CASE WHEN count(DISTINCT client) > 0 THEN floor(sum(CAST(round(amount * 100) AS BIGINT)) / 100::DOUBLE / count(DISTINCT client) * 100 + 0.5) / 100 END AS arpu FROM bank GROUP BY ALL""")

@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.quantiles import quantiles
-from ledgerlake.plans import atoms
+from ledgerlake.plans import atoms, catalogue
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +27,7 @@ def written(spark, tmp_path):
 
 def test_large_groups_equal_their_sql(spark, tmp_path):
     con = written(spark, tmp_path)
-    for part, name in ((atoms, "agg_percentiles"),):
+    for part, name in ((atoms, "agg_percentiles"), (catalogue, "kpi_claim_time")):
         cur = con.execute(part.ORACLES[name])
         got = part.QUERIES[name](spark, str(tmp_path)).select(*[c[0] for c in cur.description])
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(cur.fetchall(), key=repr), name
