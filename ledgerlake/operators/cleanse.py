@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.sketches import SPREADS, limits, marked, sketched
+from ledgerlake.operators.quantiles import quantiles
+from ledgerlake.operators.sketches import SPREADS, fence, marked
 
 #: Bytes of a dimension that may be sent to all tasks.
 SMALL = 32 << 20
@@ -50,5 +51,6 @@ def sized(dim: DataFrame, most: int = SMALL) -> DataFrame:
 
 
 def flagged(df: DataFrame, key: str, value: str, spreads: float = SPREADS, name: str = "outlier") -> DataFrame:
-    """df with marks of the values that lie far above the others of their key, by a sketch of df itself."""
-    return marked(df, key, value, limits(sketched(df, [key], F.col(value)), key, spreads), name)
+    """df with marks of the values that lie far above the others of their key, by exact quartiles of df itself."""
+    quarters = quantiles(df, [key], F.log1p(F.col(value)), low=25, high=75)
+    return marked(df, key, value, quarters.select(key, fence(F.col("low"), F.col("high"), spreads)), name)

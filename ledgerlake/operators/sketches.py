@@ -34,10 +34,14 @@ def quantile(q: float) -> Column:
     return F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q)))
 
 
+def fence(low: Column, high: Column, spreads: float) -> Column:
+    """The most that log1p of a value may be, from its quartiles."""
+    return (high + F.lit(spreads) * (high - low)).alias("fence")
+
+
 def limits(sketches: DataFrame, key: str, spreads: float = SPREADS) -> DataFrame:
-    """(key, fence): the most that log1p of a value may be, a row for each key."""
-    low, high = quantile(0.25), quantile(0.75)
-    return sketches.select(key, (high + F.lit(spreads) * (high - low)).alias("fence"))
+    """(key, fence), a row for each key."""
+    return sketches.select(key, fence(quantile(0.25), quantile(0.75), spreads))
 
 
 def marked(df: DataFrame, key: str, value: str, fences: DataFrame, name: str = "outlier") -> DataFrame:

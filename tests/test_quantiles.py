@@ -3,6 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.cleanse import flagged
 from ledgerlake.operators.quantiles import quantiles
 from ledgerlake.plans import atoms, catalogue
 
@@ -39,3 +40,14 @@ def test_ranks_nulls_and_repeats(spark):
     got = {r.k: tuple(r)[1:] for r in quantiles(df, ["k"], F.col("v"), "n", low=0, p25=25, p90=90, high=100).collect()}
     assert all(got[k] == (k, 0, -(-k // 4) - 1, -(-k * 9 // 10) - 1, k - 1) for k in range(1, 60))
     assert (got[60], got[61], got[None]) == ((10, 5, 5, 5, 7), (2, None, None, None, None), (1, 3, 3, 3, 3))
+
+
+def test_limits_of_large_keys_are_exact(spark):
+    """Keys of 30,000 values that lie close about their fences."""
+    n, v = 30_000, F.pmod(F.col("id") * 7919, F.lit(30_000))
+    df = spark.range(2 * n).select((F.col("id") % 2).alias("k"), F.when(v < n // 2, v + 1).otherwise(v + n).cast("double").alias("v")).repartition(8)
+    got = {(r.k, r.v) for r in flagged(df, "k", "v", spreads=0.01).where("outlier").collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE t AS SELECT id % 2 AS k, CASE WHEN id * 7919 % {n} < {n // 2} THEN id * 7919 % {n} + 1 ELSE id * 7919 % {n} + {n} END::DOUBLE AS v FROM range({2 * n}) r(id)")
+    want = con.execute("WITH q AS (SELECT k AS g, quantile_disc(ln(1 + v), 0.75) AS q3, quantile_disc(ln(1 + v), 0.25) AS q1 FROM t GROUP BY 1) SELECT DISTINCT k, v FROM t JOIN q ON k = g WHERE ln(1 + v) > q3 + 0.01 * (q3 - q1)").fetchall()
+    assert want and got == set(want)
