@@ -1,12 +1,12 @@
 """Nearest neighbours by inner product with anisotropic four-bit codes.
 
 Codebooks are fitted on a bounded sample (SAMPLE rows); every row is encoded, two codes to a
-byte. Each block of rows is scanned by table for each block of queries. What the code leaves
+byte. Each block of rows is scanned by table, a byte at a time, for each block of queries. What the code leaves
 out of a row (its gap, a norm) bounds by how much the exact product can pass the approximate
 one: by |q| times the gap in the worst case, and by |q| times the gap over the root of the
 dimension in standard deviations. Rows that may reach the k-th best by `sure` deviations are
 scored exactly on the original vectors, however many they are; the k-th best is known from
-the block's first rows by code and from the sample, whichever is more. sure=None takes the
+the block's first rows by code (where the sample alone leaves many) and from the sample, whichever is more. sure=None takes the
 worst case, which makes the search exact; the default's recall is measured in the tests.
 
 Vectors that are null, zero, hold null or non-finite components, or aren't of the commonest
@@ -14,23 +14,29 @@ length take no part. Rows with a null id take none either. A query's own row is
 other rows with its id and vector are; repeated rows are queries and candidates each. Ties go
 to the smaller id. Empty tables give empty results; other columns take no part.
 
-Blocks are cut by bytes. Rows are sent once for each block of queries, and queries once for
-each block of rows: the work is queries times rows, as the search asks.
+Blocks are cut by bytes. One block of queries after the other is sent to all tasks, which read the
+blocks of rows where they are written: vectors are shuffled once, into blocks, whatever the number of
+queries, and no join copies them. The work is queries times rows, as the search asks.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from .common import discard, saved, table
+from .common import bound_batches, discard, saved, table
 
 SAMPLE, SUB, CENTRES = 8192, 2, 16
 #: Bytes of vectors in a block, and the fewest blocks of rows.
 BLOCK_BYTES, LEAST_BLOCKS = 16 << 20, 32
+#: Rows that are encoded or looked up at a time, the most queries and the most products that are looked at at a time.
+LOT, ASKED, CELLS = 1024, 128, 4 << 20
 
 
 class Quantiser:
@@ -47,6 +53,10 @@ class Quantiser:
         return pad.reshape(len(x), self.parts, SUB)
 
     def encode(self, x: np.ndarray, passes: int = 2) -> np.ndarray:
+        """Codes of the rows, lot by lot, as the distances to all centres take some hundred times a vector."""
+        return np.concatenate([np.zeros((0, self.parts), np.uint8), *(self._encoded(x[a : a + LOT], passes) for a in range(0, len(x), LOT))])
+
+    def _encoded(self, x: np.ndarray, passes: int) -> np.ndarray:
         xs = self._split(x)
         u = xs / np.linalg.norm(x, axis=1)[:, None, None]
         gap = xs[:, :, None, :] - self.books[None]
@@ -87,12 +97,15 @@ class Quantiser:
         left = np.linalg.norm((self._split(x) - self.books[np.arange(self.parts), codes]).reshape(len(x), -1), axis=1)
         return left + (self.parts + 4) * 2.0**-23 * (np.linalg.norm(x, axis=1) + left)
 
-    def scan(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Approximate products by one table look-up a part."""
-        tables = np.einsum("qps,pks->pqk", self._split(queries), self.books).astype(np.float32)
-        out = np.zeros((len(queries), len(codes)), dtype=np.float32)
-        for p in range(self.parts):
-            out += tables[p][:, codes[:, p]]
+    def scan(self, queries: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """By row of packed codes and query, approximate products by one table look-up for two parts."""
+        tables = np.einsum("qps,pks->pkq", self._split(queries), self.books)
+        tables = np.pad(tables, ((0, self.parts % 2), (0, 0), (0, 0)))
+        tables = (tables[1::2, :, None] + tables[::2, None]).reshape(-1, CENTRES**2, len(queries)).astype(np.float32)
+        out = np.zeros((len(pairs), len(queries)), dtype=np.float32)
+        for a in range(0, len(pairs), LOT):
+            for found, codes in zip(tables, pairs[a : a + LOT].T):
+                out[a : a + LOT] += found[codes]
         return out
 
 
@@ -107,28 +120,33 @@ def packed(codes: np.ndarray) -> bytes:
     return (even[:, ::2] | even[:, 1::2] << 4).tobytes()
 
 
-def unpacked(data: bytes, parts: int) -> np.ndarray:
-    pairs = np.frombuffer(data, np.uint8).reshape(-1, -(-parts // 2))
-    return np.stack([pairs & 15, pairs >> 4], 2).reshape(len(pairs), -1)[:, :parts]
-
-
-def best_of_block(quantiser: Quantiser, q: np.ndarray, qrows: np.ndarray, known: np.ndarray, x: np.ndarray, rows: np.ndarray, ids: np.ndarray, codes: np.ndarray, gaps: np.ndarray, k: int, sure: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def best_of_block(quantiser: Quantiser, q: np.ndarray, qrows: np.ndarray, known: np.ndarray, x: np.ndarray, rows: np.ndarray, ids: np.ndarray, pairs: np.ndarray, gaps: np.ndarray, k: int, sure: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query place, row place, score) of the k best rows of a block for each query, none below `known`; and how many were scored exactly."""
-    other = qrows[:, None] != rows[None]
-    near = np.where(other, quantiser.scan(q, codes), -np.inf)
-    norms = np.linalg.norm(q, axis=1)[:, None]
-    # the k-th exact score among the first by code: the block's k-th is no lower
-    first = np.argpartition(-near, min(2 * k, len(ids)) - 1, axis=1)[:, : 2 * k]
-    places = np.repeat(np.arange(len(q)), first.shape[1])
-    score = np.where(np.take_along_axis(other, first, 1), products(q, x, places, first.ravel()).reshape(first.shape), -np.inf)
-    least = known[:, None]
-    if score.shape[1] >= k:
-        least = np.maximum(least, -np.sort(-score, axis=1)[:, k - 1 : k])
-    reach = 1.0 if sure is None else min(1.0, sure / np.sqrt(quantiser.dim))
-    # not(<) also keeps what overflowed to NaN
-    a, b = np.nonzero(other & ~(near + reach * norms * gaps + quantiser.parts * np.finfo(np.float32).tiny < least))
+    near = quantiser.scan(q, pairs)
+    reach = (1.0 if sure is None else min(1.0, sure / np.sqrt(quantiser.dim))) * np.linalg.norm(q, axis=1)
+    # single precision, widened by more than it rounds
+    most = near + (reach * (1 + 2.0**-20)).astype(np.float32) * (gaps[:, None] * (1 + 2.0**-20)).astype(np.float32)
+
+    def within(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a query and another row that may reach the query's least; not(<) also keeps what overflowed to NaN."""
+        single = np.finfo(np.float32)
+        wide = np.minimum(least - np.abs(np.where(np.isfinite(least), least, 0)) * 2.0**-21 - quantiser.dim * single.tiny, single.max)
+        b, a = np.nonzero(~(most < wide.astype(np.float32)))
+        other = qrows[a] != rows[b]
+        return a[other], b[other]
+
+    least = known
+    a, b = within(least)
+    if len(a) > 4 * k * len(q):
+        # the k-th exact score among the first by code: the block's k-th is no lower
+        first = np.argpartition(-near, min(2 * k, len(ids)) - 1, axis=0)[: 2 * k].T
+        places = np.repeat(np.arange(len(q)), first.shape[1])
+        score = np.where(qrows[:, None] != rows[first], products(q, x, places, first.ravel()).reshape(first.shape), -np.inf)
+        if score.shape[1] >= k:
+            least = np.maximum(least, -np.sort(-score, axis=1)[:, k - 1])
+            a, b = within(least)
     score = products(q, x, a, b)
-    fine = score >= least[a, 0]
+    fine = score >= least[a]
     n, a, b, score = len(a), a[fine], b[fine], score[fine]
     order = np.lexsort((rows[b], ids[b], -score, a))
     a, b, score = a[order], b[order], score[order]
@@ -148,7 +166,7 @@ def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddin
     With counts, instead a row per pair of blocks: n_scored of n_pairs were scored exactly.
     """
     kind = np.float32 if isinstance(df.schema[vector].dataType.elementType, FloatType) else np.float64
-    rows = saved(usable(df, key, vector), "ann-vectors")
+    rows = saved(usable(bound_batches(df), key, vector), "ann-vectors")
     lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dim, total = (lengths[0]["d"], lengths[0]["count"]) if lengths else (1, 0)
     rows = rows.where(F.size("v") == dim)
@@ -184,33 +202,56 @@ def search(df: DataFrame, is_query, key: str = "vec_id", vector: str = "embeddin
 
     shape = "block long, rows binary, ids binary, vectors binary"
     dealt = lambda x, n: x.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n)))
-    blocks = saved(dealt(rows, n_blocks).groupBy("block").applyInPandas(pack_rows, f"{shape}, codes binary, gaps binary"), "ann-rows")
-    asks = saved(dealt(rows.where(is_query(F.col("id"))), n_asks).groupBy("block").applyInPandas(pack_queries, f"{shape}, known binary"), "ann-queries").select(F.col("block").alias("ask"), F.col("rows").alias("qrows"), F.col("ids").alias("qids"), F.col("vectors").alias("queries"), "known")
+    # in a fixed number of parts, each of some blocks: a task of the writer holds few at a time, and a task of the scan reads few
+    by_block = lambda x, n: dealt(x, n).repartition(n, "block").groupBy("block")
+    blocks = saved(by_block(rows, n_blocks).applyInPandas(pack_rows, f"{shape}, codes binary, gaps binary"), "ann-rows")
+    asks = saved(by_block(rows.where(is_query(F.col("id"))), n_asks).applyInPandas(pack_queries, f"{shape}, known binary"), "ann-queries")
     discard(rows)
-    left = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asks - 1).cast("long"))))
-    right = asks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
 
     def scan(lots):
         for lot in lots:
             for rows, ids, vectors, codes, gaps, qrows, qids, queries, known in lot.itertuples(index=False):
                 rows, ids, qrows, qids = (np.frombuffer(b, np.int64) for b in (rows, ids, qrows, qids))
-                gaps, known, codes = np.frombuffer(gaps), np.frombuffer(known), unpacked(codes, quantiser.parts)
+                gaps, known, codes = np.frombuffer(gaps), np.frombuffer(known), np.frombuffer(codes, np.uint8).reshape(len(rows), -1)
                 x, q = (np.frombuffer(b, kind).reshape(-1, dim).astype(float) for b in (vectors, queries))
-                n = 0
-                for a in range(0, len(q), 128):
-                    who, what, score, scored = best_of_block(quantiser, q[a : a + 128], qrows[a : a + 128], known[a : a + 128], x, rows, ids, codes, gaps, k, sure)
+                n, step = 0, max(1, min(ASKED, CELLS // len(x)))
+                for a in range(0, len(q), step):
+                    who, what, score, scored = best_of_block(quantiser, q[a : a + step], qrows[a : a + step], known[a : a + step], x, rows, ids, codes, gaps, k, sure)
                     n += scored
                     if not counts:
-                        yield pd.DataFrame({"query_row": qrows[a : a + 128][who], "query_id": qids[a : a + 128][who], "vec_id": ids[what], "vec_row": rows[what], "score": score})
+                        yield pd.DataFrame({"query_row": qrows[a : a + step][who], "query_id": qids[a : a + step][who], "vec_id": ids[what], "vec_row": rows[what], "score": score})
                 if counts:
                     yield pd.DataFrame({"n_scored": [n], "n_pairs": [len(q) * len(x)]})
 
-    pairs = left.join(right, ["ask", "block"]).select("rows", "ids", "vectors", "codes", "gaps", "qrows", "qids", "queries", "known")
-    if counts:
-        return pairs.mapInPandas(scan, "n_scored long, n_pairs long")
-    found = pairs.mapInPandas(scan, "query_row long, query_id long, vec_id long, vec_row long, score double")
     w = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "vec_row")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def answered(ask: int) -> DataFrame:
+        """The blocks of rows against one block of queries, which alone is sent to tasks."""
+        asked = asks.where(F.col("block") == ask).select(F.col("rows").alias("qrows"), F.col("ids").alias("qids"), F.col("vectors").alias("queries"), "known")
+        pairs = blocks.drop("block").crossJoin(F.broadcast(asked))
+        if counts:
+            return pairs.mapInPandas(scan, "n_scored long, n_pairs long")
+        found = pairs.mapInPandas(scan, "query_row long, query_id long, vec_id long, vec_row long, score double")
+        return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    with split_as(df.sparkSession, n_blocks):
+        done = [saved(answered(ask), "ann-found") for ask in range(n_asks)]
+    discard(blocks, asks)
+    return reduce(DataFrame.unionByName, done)
+
+
+@contextmanager
+def split_as(spark: SparkSession, parts: int):
+    """Files are read in about so many parts meanwhile, however few cores there are and however small the files."""
+    settings = {"spark.sql.files.minPartitionNum": str(parts), "spark.sql.files.openCostInBytes": "0"}
+    before = {c: spark.conf.get(c, None) for c in settings}
+    try:
+        for c, v in settings.items():
+            spark.conf.set(c, v)
+        yield
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

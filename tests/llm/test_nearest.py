@@ -1,5 +1,6 @@
 """op4 against brute force: repeated rows, ties, near copies, and recall where the scan prunes."""
 
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
@@ -79,3 +80,25 @@ def test_table(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(i, np.array(v, dtype=float)) for i, v in duckdb.connect().execute(f"SELECT vec_id, embedding FROM '{sf}/embeddings.parquet'").fetchall() if v]
     assert found(nearest.op4_nearest_neighbours(spark, sf)) == brute(rows, lambda i: i % 20 == 0)
+
+
+def test_blocks_of_queries_follow_each_other(spark, monkeypatch):
+    """Several blocks of queries and rows give what brute force gives, and what is returned joins nothing: no block is copied for a join."""
+    monkeypatch.setattr(nearest, "BLOCK_BYTES", 640)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.integers(-3, 4, 8).astype(np.float32).astype(float)) for i in range(1, 900)]
+    rows = [(i, v) for i, v in rows if v.any()]
+    got = nearest.search(spark.createDataFrame([(i, v.tolist()) for i, v in rows], KIND), lambda c: c % 20 == 0, sure=None)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and plan.count("Relation") == 3
+    assert found(got) == brute(rows, lambda i: i % 20 == 0)
+
+
+def test_encoding_is_bounded_in_memory():
+    x = vectors(20_000, 2)
+    quantiser = nearest.Quantiser(64).fit(x[:500])
+    tracemalloc.start()
+    codes = quantiser.encode(x)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6 and len(codes) == len(x) and (codes[7000:7100] == quantiser.encode(x[7000:7100])).all()
