@@ -11,6 +11,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans import alerts, gold, reports, silver, streams
+from ledgerlake.sources.scratch import new_place
 from ledgerlake.sources.tables import load
 
 #: Tables by the names that queries use.
@@ -98,9 +99,26 @@ def names(sql: str) -> list[str]:
     return [n for n in (*TABLES, *BASE) if "{" + n + "}" in sql]
 
 
+def once(df: DataFrame) -> DataFrame:
+    """df written and read back, so that it is worked out once."""
+    df.write.parquet(place := new_place(df.sparkSession, "served"))
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def served(spark: SparkSession, sf: str, sql: str) -> DataFrame:
-    """The text over the frames that it names."""
-    frame = lambda n: load(spark, sf, n) if n in BASE else TABLES[n][0].QUERIES[TABLES[n][1]](spark, sf)
+    """The text over the frames that it names.
+
+    Metrics and reports are small beside what they are made of, and are made once where a text names them more than once:
+    in one plan Spark would work out each place anew, as places that ask for different columns share no shuffle.
+    """
+
+    def frame(n: str) -> DataFrame:
+        if n in BASE:
+            return load(spark, sf, n)
+        part, name = TABLES[n]
+        df = part.QUERIES[name](spark, sf)
+        return once(df) if part in (gold, reports) and sql.count("{" + n + "}") > 1 else df
+
     return spark.sql(sql, **{n: frame(n) for n in names(sql)})
 
 

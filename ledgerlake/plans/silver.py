@@ -68,9 +68,9 @@ def silver_fx_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def to_eur(df: DataFrame, rates: DataFrame, day: str, **amounts: str) -> DataFrame:
-    """df with each amount (new name = column) in euros at the rate of its day; null where there is none. Rates are small."""
+    """df with each amount (new name = column) in euros at the rate of its day; null where there is none. Rates, two a day, are sent to all tasks."""
     fx = rates.select(F.col("day").alias("_day"), F.col("currency").alias("_currency"), "per_eur")
-    df = df.join(fx, (F.col(day) == F.col("_day")) & (F.col("currency") == F.col("_currency")), "left")
+    df = df.join(F.broadcast(fx), (F.col(day) == F.col("_day")) & (F.col("currency") == F.col("_currency")), "left")
     return df.withColumns({new: F.round(F.col(old) / F.col("per_eur"), 2) for new, old in amounts.items()}).drop("_day", "_currency", "per_eur")
 
 
@@ -108,12 +108,13 @@ FENCED = "fences AS (SELECT {2} AS fc, quantile_disc(ln(1 + {1}), 0.75) + 1.5 *
 
 
 @query(with_ctes("bank") + ", " + FENCED.format("bank", "amount_eur", "country") + " SELECT bank.*, coalesce(ln(1 + amount_eur) > fence, FALSE) AS outlier FROM bank LEFT JOIN fences ON country = fc")
-def silver_bank(spark: SparkSession, sf: str) -> DataFrame:
-    """Bank operations: the latest of each id, enriched by home, account and branch, in euros, orphans and outliers marked."""
+def silver_bank(spark: SparkSession, sf: str, mark: bool = True) -> DataFrame:
+    """Bank operations: the latest of each id, enriched by home, account and branch, in euros, orphans and outliers marked (without `mark` outliers aren't)."""
     o = load(spark, sf, "orders")
     o = latest_by(o.unionByName(o.where("o_orderkey % 7 = 0")), ["o_orderkey"], F.col("o_orderdate"), F.col("o_totalprice"))
     o = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"), F.col("o_custkey").alias("account"), F.col("o_orderpriority").alias("type"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"))
-    return flagged(built_bank(o, *bank_dimensions(spark, sf)), "country", "amount_eur")
+    out = built_bank(o, *bank_dimensions(spark, sf))
+    return flagged(out, "country", "amount_eur") if mark else out
 
 
 def bank_dimensions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -138,31 +139,32 @@ FROM lines JOIN supplier ON l_suppkey = s_suppkey JOIN countries c ON s_nationke
 
 
 @query(with_ctes("countries", "lines") + f", {INSURANCE}, " + FENCED.format("ins", "amount", "country") + " SELECT ins.* EXCLUDE (sold), CAST(coalesce(sold, 0) AS BIGINT) AS sold, sold IS NULL AS orphan_product, coalesce(ln(1 + amount) > fence, FALSE) AS outlier FROM ins LEFT JOIN fences ON country = fc")
-def silver_insurance(spark: SparkSession, sf: str) -> DataFrame:
-    """Insurance operations with their product, by country and line."""
+def silver_insurance(spark: SparkSession, sf: str, mark: bool = True) -> DataFrame:
+    """Insurance operations with their product, by country and line. Products, types by countries, are sent to all tasks."""
     branch = silver_branches(spark, sf).select("branch", "country")
     li = latest_lines(spark, sf)
     li = enriched(li, "l_suppkey", branch, "branch", country=None)
     li = enriched(li, "l_partkey", load(spark, sf, "part"), "p_partkey", p_type=None)
     products = li.where("p_type <> 'PROMO'").groupBy("country", "p_type").agg(F.count("*").alias("sold"))
-    li = li.join(products, ["country", "p_type"], "left")
+    li = li.join(F.broadcast(products), ["country", "p_type"], "left")
     claim = F.col("l_returnflag") == "R"
     out = li.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_shipdate").alias("ts"), "country", F.coalesce("p_type", F.lit(UNKNOWN)).alias("line"),
         F.when(F.col("p_type").startswith("S"), "IARD").otherwise("VIE").alias("branch"), (~claim).alias("premium"), claim.alias("claim"), (claim & (F.col("l_linestatus") == "F")).alias("claim_paid"),
         F.col("l_quantity").cast("int").alias("days"), F.col("l_extendedprice").alias("amount"), F.coalesce("sold", F.lit(0)).cast("long").alias("sold"), F.col("sold").isNull().alias("orphan_product"),
     )
-    return flagged(out, "country", "amount")
+    return flagged(out, "country", "amount") if mark else out
 
 
 def latest_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The greatest row of each key: the order has all other columns, so that rows are shuffled once and hold nothing twice."""
     order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus", "l_tax", "l_discount"]
-    return latest_by(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], *[F.col(c) for c in order])
+    return load(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max(F.struct(*order)).alias("_best")).select("l_orderkey", "l_linenumber", "_best.*")
 
 
 @query(with_ctes("fx", "clients") + """, m AS (SELECT event_id AS id, ts, user_id AS sender, (user_id * 7 + 3) % 1600 AS receiver, event_type AS operator, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'SUCCESS' END AS status, value AS amount FROM events),
 mob AS (SELECT m.*, s.country AS sender_country, r.country AS receiver_country, coalesce(s.segment, 'UNKNOWN') AS sender_segment, s.client IS NULL AS orphan_sender, r.client IS NULL AS orphan_receiver, s.country || '-' || r.country AS corridor, coalesce(s.country <> r.country, FALSE) AS cross_border, date_trunc('week', ts)::DATE AS week, CAST(hour(ts) AS INT) AS hour, ts::DATE AS day, s.currency, round(amount / per_eur, 2) AS amount_eur FROM m LEFT JOIN clients s ON s.client = sender LEFT JOIN clients r ON r.client = receiver LEFT JOIN fx ON fx.day = ts::DATE AND fx.currency = s.currency), """ + FENCED.format("mob", "amount_eur", "sender_country") + " SELECT mob.*, coalesce(ln(1 + amount_eur) > fence, FALSE) AS outlier FROM mob LEFT JOIN fences ON sender_country = fc")
-def silver_mobile(spark: SparkSession, sf: str) -> DataFrame:
+def silver_mobile(spark: SparkSession, sf: str, mark: bool = True) -> DataFrame:
     """Mobile payments: one dimension in two roles, in euros at the rate of the sender's currency, outliers marked by the sender's country."""
     c, t = silver_clients(spark, sf), F.col("event_type")
     m = load(spark, sf, "events").select(F.col("event_id").alias("id"), "ts", F.col("user_id").alias("sender"), ((F.col("user_id") * 7 + 3) % 1600).alias("receiver"), t.alias("operator"), F.when(t == "error", "FAILED").when(t == "signup", "PENDING").otherwise("SUCCESS").alias("status"), F.col("value").alias("amount"))
@@ -171,12 +173,13 @@ def silver_mobile(spark: SparkSession, sf: str) -> DataFrame:
     m = enriched(m, "receiver", role("receiver"), "client", "orphan_receiver", receiver_country=None)
     a, b = F.col("sender_country"), F.col("receiver_country")
     m = m.withColumns({"corridor": F.concat(a, F.lit("-"), b), "cross_border": F.coalesce(a != b, F.lit(False)), "week": F.to_date(F.date_trunc("week", "ts")), "hour": F.hour("ts"), "day": F.to_date("ts")})
-    return flagged(to_eur(m, silver_fx_rates(spark, sf), "day", amount_eur="amount"), "sender_country", "amount_eur")
+    out = to_eur(m, silver_fx_rates(spark, sf), "day", amount_eur="amount")
+    return flagged(out, "sender_country", "amount_eur") if mark else out
 
 
 @query(with_ctes("countries", "fx", "lines") + f""", p AS (SELECT *, floor(l_extendedprice / 12 * 100 + 0.5) / 100 AS due, floor(l_extendedprice * l_discount * 100 + 0.5) / 100 AS paid, CASE WHEN l_tax > 0.02 THEN l_tax ELSE {DEFAULT_RATE}::DOUBLE END AS rate FROM lines),
 loan AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_suppkey AS loan, l_shipdate::DATE AS day, country, countries.currency, due, round(due / per_eur, 2) AS due_eur, paid, round(paid / per_eur, 2) AS paid_eur, rate, floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 AS interest, round(floor(paid * rate / (1 + rate) * 100 + 0.5) / 100 / per_eur, 2) AS interest_eur, coalesce(CASE WHEN s_acctbal >= 0 THEN s_acctbal END, 0.0) AS outstanding, NOT coalesce(s_acctbal >= 0, FALSE) AS orphan, l_returnflag = 'R' OR CAST(floor(l_quantity) AS INT) * 3 > 90 AS bad FROM p JOIN supplier ON l_suppkey = s_suppkey JOIN countries ON s_nationkey = nation LEFT JOIN fx ON fx.day = l_shipdate::DATE AND fx.currency = countries.currency), """ + FENCED.format("loan", "due_eur", "country") + " SELECT loan.*, coalesce(ln(1 + due_eur) > fence, FALSE) AS outlier FROM loan LEFT JOIN fences ON country = fc")
-def silver_loans(spark: SparkSession, sf: str) -> DataFrame:
+def silver_loans(spark: SparkSession, sf: str, mark: bool = True) -> DataFrame:
     """Repayments: what is outstanding comes from the loan's account, 0 where there is none; a missing rate has a default; amounts in euros too, outliers by what was due."""
     homes = load(spark, sf, "supplier").join(countries(spark, sf), F.col("s_nationkey") == F.col("nation")).select("s_suppkey", "country", "currency", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("outstanding"))
     li = enriched(latest_lines(spark, sf), "l_suppkey", homes, "s_suppkey", country=None, currency=None, outstanding=None)
@@ -186,7 +189,8 @@ def silver_loans(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_suppkey").alias("loan"), F.to_date("l_shipdate").alias("day"), "country", "currency", cents(F.col("l_extendedprice") / 12).alias("due"), paid.alias("paid"), rate.alias("rate"),
         cents(paid * rate / (1 + rate)).alias("interest"), F.coalesce("outstanding", F.lit(0.0)).alias("outstanding"), F.col("outstanding").isNull().alias("orphan"), bad.alias("bad"),
     )
-    return flagged(to_eur(li, silver_fx_rates(spark, sf), "day", due_eur="due", paid_eur="paid", interest_eur="interest"), "country", "due_eur")
+    out = to_eur(li, silver_fx_rates(spark, sf), "day", due_eur="due", paid_eur="paid", interest_eur="interest")
+    return flagged(out, "country", "due_eur") if mark else out
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS day, CAST(floor(l_quantity) AS INT) - 3 AS days, CAST(CASE WHEN floor(l_quantity) - 3 > 0 THEN len(list_filter(generate_series(l_shipdate::DATE - (CAST(floor(l_quantity) AS INT) - 4), l_shipdate::DATE, INTERVAL 1 DAY), lambda d: dayofweek(d) NOT IN (0, 6))) ELSE 0 END AS INT) AS working_days FROM lineitem""")

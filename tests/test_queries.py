@@ -40,3 +40,20 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_names_are_registered_once():
     assert len(QUERIES) == sum(len(part.QUERIES) for part in __spark_entry__.PARTS) and all(part.QUERIES.keys() == part.ORACLES.keys() for part in __spark_entry__.PARTS)
+
+
+def scans(df, table, column):
+    """How many times a plan reads a base table, known by one of its columns."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum(column in line for line in plan.splitlines() if "Relation [" in line)
+
+
+def test_metrics_read_lines_once(spark):
+    """Months of loans come from one pass over lines, and metrics that don't count outliers work out no limits."""
+    for name, most in (("gold_npl", 1), ("gold_arpu", 1), ("gold_claim_time", 1)):
+        assert scans(QUERIES[name][0](spark, SF), "lineitem", "l_orderkey") == most, name
+
+
+@pytest.mark.parametrize("name", ["check_npl_latest"])
+def test_metrics_named_twice_are_made_once(spark, name):
+    assert scans(QUERIES[name][0](spark, SF), "lineitem", "l_orderkey") == 0
