@@ -50,10 +50,10 @@ def scans(df, table, column):
 
 def test_metrics_read_lines_once(spark):
     """Months of loans come from one pass over lines, and metrics that don't count outliers work out no limits."""
-    for name, most in (("gold_npl", 1), ("gold_arpu", 1), ("gold_claim_time", 1)):
+    for name, most in (("gold_npl", 1), ("report_banking", 1), ("gold_arpu", 1), ("gold_claim_time", 1)):
         assert scans(QUERIES[name][0](spark, SF), "lineitem", "l_orderkey") == most, name
 
 
-@pytest.mark.parametrize("name", ["check_npl_latest"])
+@pytest.mark.parametrize("name", ["check_npl_latest", "check_banking_by_regulator"])
 def test_metrics_named_twice_are_made_once(spark, name):
     assert scans(QUERIES[name][0](spark, SF), "lineitem", "l_orderkey") == 0
