@@ -45,9 +45,12 @@ def limits(sketches: DataFrame, key: str, spreads: float = SPREADS) -> DataFrame
 
 
 def marked(df: DataFrame, key: str, value: str, fences: DataFrame, name: str = "outlier") -> DataFrame:
-    """df with a mark of values above the fence of their key; without a fence or a value nothing is marked, and no row is dropped."""
+    """df with a mark of values above the fence of their key; without a key, a fence or a value nothing is marked, and no row is dropped.
+
+    Fences are sent to all tasks, as keys are few (countries), so that rows aren't shuffled by key.
+    """
     side = fences.select(F.col(key).alias("_fenced"), F.col("fence").alias("_fence"))
-    out = df.join(side, F.col(key).eqNullSafe(F.col("_fenced")), "left")
+    out = df.join(F.broadcast(side), F.col(key) == F.col("_fenced"), "left")
     return out.withColumn(name, F.coalesce(F.log1p(F.col(value)) > F.col("_fence"), F.lit(False))).drop("_fenced", "_fence")
 
 

@@ -57,3 +57,7 @@ def test_metrics_read_lines_once(spark):
 @pytest.mark.parametrize("name", ["check_npl_latest", "check_banking_by_regulator"])
 def test_metrics_named_twice_are_made_once(spark, name):
     assert scans(QUERIES[name][0](spark, SF), "lineitem", "l_orderkey") == 0
+
+
+def test_volumes_shuffle_lines_for_no_limits(spark):
+    assert scans(QUERIES["check_metric_volumes"][0](spark, SF), "lineitem", "l_orderkey") <= 6
